@@ -108,7 +108,7 @@ SELECT omx.store AS source_store, order_id,
   order_date,
   CASE WHEN post_type = 'shop_order' THEN pst.post_status ELSE 'wc-completed' END AS order_status,
   CASE WHEN post_type <> 'shop_order' THEN NULL WHEN o_orderpriority = '5-LOW' THEN 0
-       ELSE o_custkey END::BIGINT AS customer_id,
+       ELSE o_custkey + 1 END::BIGINT AS customer_id,
   CASE WHEN post_type <> 'shop_order' THEN NULL
        WHEN o_orderstatus = 'P' THEN CAST(k AS VARCHAR)
        ELSE 'shop-' || lower(c_mktsegment) || '.example.com' END AS site,
@@ -177,3 +177,213 @@ ORACLE = {
     "order_profit": ORDER_PROFIT,
     "order_sku_list": ORDER_SKU_LIST,
 }
+
+
+ITEM_LINES = """
+smap AS (
+  SELECT p_partkey AS pid, 'P' || CAST(p_partkey AS VARCHAR) AS sku FROM part WHERE p_size > 2
+  UNION ALL
+  SELECT s_suppkey + 2000000000000, 'V' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_nationkey <> 0),
+il AS (
+  SELECT l.*, ord.store, ord.o_orderdate,
+    CASE WHEN l.l_linestatus = 'O' THEN l.l_suppkey + 2000000000000 END AS variation_id,
+    round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS net
+  FROM lineitem l LEFT JOIN ord ON l.l_orderkey = ord.o_orderkey)
+"""
+
+ORDER_ITEMS_SKU = "WITH " + BASE + "," + ITEM_LINES + """
+SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, il.variation_id,
+  CASE WHEN il.variation_id IS NULL OR il.variation_id = 0 THEN pp.sku
+       WHEN pp.sku IS NULL THEN pv.sku
+       WHEN pv.sku IS NULL THEN pp.sku
+       ELSE pp.sku || '(' || pv.sku || ')' END AS sku,
+  'Part ' || CAST(il.l_partkey AS VARCHAR) AS order_item_name,
+  CAST(il.l_quantity AS INTEGER) AS quantity,
+  CAST(il.net AS DOUBLE) AS line_total,
+  CAST(round(il.net * CAST(il.l_tax AS DECIMAL(4,2)), 2) AS DOUBLE) AS line_tax,
+  CASE WHEN il.l_returnflag = 'R' THEN il.l_orderkey + 1000000000000 END AS refund_reference,
+  coalesce(cur.currency, 'EUR') AS currency_code,
+  il.store AS source_store,
+  il.o_orderdate AS created_at
+FROM il
+LEFT JOIN smap pp ON il.l_partkey = pp.pid
+LEFT JOIN smap pv ON il.variation_id = pv.pid
+LEFT JOIN cur ON il.store = cur.cstore
+"""
+
+UNIT_COST_MAP = """
+WITH pc AS (
+  SELECT p_partkey, p_type,
+    round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.01, 2) AS wc,
+    round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.011, 2) AS alt
+  FROM part)
+SELECT p_partkey AS product_id,
+  CAST(CASE WHEN p_type IN ('PROMO', 'SMALL', 'LARGE', 'ECONOMY') THEN wc ELSE greatest(wc, alt) END AS DOUBLE)
+    AS cog_value
+FROM pc WHERE wc > 0
+"""
+
+MARKETPLACE_FILTER = "WITH " + BASE + """
+SELECT store AS source_store, order_id, post_type, o_orderpriority AS payment_method
+FROM kept WHERE store = 'OPS'
+"""
+
+REFUND_NUMBERS = "WITH " + BASE + """
+SELECT kept.store AS source_store, order_id,
+  CASE WHEN kept.store = 'TR' THEN CAST(order_id AS VARCHAR)
+       ELSE coalesce(rpx.prefix, '') || '-REFUND-' || CAST(order_id AS VARCHAR) END AS order_number_formatted
+FROM kept LEFT JOIN rpx ON kept.store = rpx.rstore
+WHERE post_type = 'shop_order_refund'
+"""
+
+CUSTOMERS = """
+nl AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+ocm AS (
+  SELECT store, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE o_custkey + 1 END AS customer_id,
+    min(o_orderdate) AS first_order_date, max(o_orderdate) AS last_order_date,
+    count(*) AS orders_count, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS ltv,
+    sum(coalesce(nl.n, 0)) AS units_total
+  FROM ord LEFT JOIN nl ON ord.o_orderkey = nl.l_orderkey
+  GROUP BY 1, 2),
+rcm AS (
+  SELECT store, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE o_custkey + 1 END AS customer_id,
+    sum(refunds.amt) AS refunds_total
+  FROM refunds JOIN ord ON refunds.l_orderkey = ord.o_orderkey
+  GROUP BY 1, 2),
+cb AS (
+  SELECT c_custkey + 1 AS customer_id, store, c_mktsegment, n_name,
+    regexp_extract(c_name, '([0-9]+)$', 1) AS no
+  FROM cust),
+cm AS (
+  SELECT cb.customer_id, cb.store,
+    CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN no
+         WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Ann'
+         WHEN c_mktsegment = 'MACHINERY' THEN 'Bill ' || no
+         ELSE 'Ann ' || no END AS full_name,
+    'user' || CAST(cb.customer_id - 1 AS VARCHAR) || '@example.com' AS email,
+    '+31-' || no AS phone,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE TIMESTAMP '2020-01-01 00:00:00' END AS registered_at,
+    ocm.first_order_date, ocm.last_order_date,
+    coalesce(ocm.orders_count, 0)::INTEGER AS orders_count,
+    coalesce(ocm.units_total, 0)::INTEGER AS units_total,
+    coalesce(ocm.ltv, 0) AS ltv,
+    CASE WHEN coalesce(ocm.orders_count, 0) > 0
+         THEN round(CAST(ocm.ltv / ocm.orders_count AS DECIMAL(18,6)), 2) ELSE 0 END AS aov,
+    coalesce(rcm.refunds_total, 0) AS refunds_total,
+    n_name AS billing_country, c_mktsegment AS billing_city
+  FROM cb
+  LEFT JOIN ocm ON cb.store = ocm.store AND cb.customer_id = ocm.customer_id
+  LEFT JOIN rcm ON cb.store = rcm.store AND cb.customer_id = rcm.customer_id)
+"""
+
+CUSTOMER_MART = "WITH " + BASE + "," + CUSTOMERS + """
+SELECT customer_id, full_name, email, phone, registered_at, first_order_date, last_order_date,
+  orders_count, units_total, CAST(ltv AS DOUBLE) AS ltv, CAST(aov AS DOUBLE) AS aov,
+  CAST(refunds_total AS DOUBLE) AS refunds_total, store AS source_store, billing_country, billing_city
+FROM cm
+"""
+
+REFUND_BY_PARENT = "WITH " + BASE + "," + CUSTOMERS + """
+SELECT store AS source_store, customer_id, CAST(refunds_total AS DOUBLE) AS refunds_total FROM rcm
+"""
+
+MASTER_ORDER_STORES_SQL = ", ".join(_lit(s) for s in S.MASTER_ORDER_STORES)
+MASTER_CUSTOMER_STORES_SQL = ", ".join(_lit(s) for s in S.MASTER_CUSTOMER_STORES)
+
+ORDER_NUMBERED = """
+onum AS (
+  SELECT omx.*, CAST(coalesce(total, 0) AS DECIMAL(12,2)) AS total_price,
+    CASE WHEN omx.store = 'TR' THEN CAST(order_id AS VARCHAR)
+         WHEN post_type = 'shop_order_refund' THEN coalesce(rpx.prefix, '') || '-REFUND-' || CAST(order_id AS VARCHAR)
+         WHEN omx.store IN ('TR', 'OPS') THEN NULL
+         WHEN omx.store = 'NL' AND o_orderpriority = '3-MEDIUM' THEN 'NULL'
+         WHEN omx.store = 'BE' AND o_orderpriority = '2-HIGH' THEN '  '
+         ELSE omx.store || '-' || CAST(k AS VARCHAR) END AS num,
+    CASE WHEN post_type <> 'shop_order' THEN NULL WHEN o_orderpriority = '5-LOW' THEN 0
+         ELSE o_custkey + 1 END::BIGINT AS customer_id,
+    CASE WHEN post_type = 'shop_order' THEN coalesce(cur.currency, 'EUR') END AS currency_code,
+    gross - discount + refunded AS rev
+  FROM omx LEFT JOIN rpx ON omx.store = rpx.rstore LEFT JOIN cur ON omx.store = cur.cstore),
+mo AS (
+  SELECT * FROM onum
+  WHERE store IN (""" + MASTER_ORDER_STORES_SQL + """)
+    AND num IS NOT NULL AND num <> '' AND length(trim(num)) > 0 AND num <> 'NULL')
+"""
+
+STORE_UNION_ORDERS = "WITH " + BASE + "," + ORDER_NUMBERED + """
+SELECT store AS source_store, trim(num) AS order_number_formatted, order_id, order_date, customer_id,
+  CAST(gross AS DOUBLE) AS gross_total, CAST(round(rev, 2) AS DOUBLE) AS net_revenue,
+  CAST(round(rev, 2) AS DOUBLE) AS net_profit,
+  CAST(CASE WHEN rev > 0 THEN 100 ELSE 0 END AS DOUBLE) AS net_margin
+FROM mo
+"""
+
+CUSTOMER_NUMBERED = """
+cpx(cpstore, cprefix) AS (VALUES """ + _values(S.CUSTOMER_PREFIX.items()) + """),
+mc AS (
+  SELECT cm.*,
+    CASE WHEN store = 'TR' THEN CAST(customer_id AS VARCHAR)
+         WHEN cprefix IS NOT NULL THEN cprefix || '-' || store || '-' || CAST(customer_id AS VARCHAR)
+         ELSE store || '-' || CAST(customer_id AS VARCHAR) END AS customer_number_formatted
+  FROM cm LEFT JOIN cpx ON cm.store = cpx.cpstore
+  WHERE store IN (""" + MASTER_CUSTOMER_STORES_SQL + """))
+"""
+
+STORE_UNION_CUSTOMERS = "WITH " + BASE + "," + CUSTOMERS + "," + CUSTOMER_NUMBERED + """
+SELECT customer_number_formatted, store AS source_store, customer_id, registered_at,
+  first_order_date, last_order_date, orders_count, CAST(ltv AS DOUBLE) AS ltv, CAST(aov AS DOUBLE) AS aov
+FROM mc
+"""
+
+RATES = "rates(rcur, rate) AS (VALUES " + ", ".join(
+    f"('{c}', CAST('{r}' AS DECIMAL(12,6)))" for c, r in S.SEED_RATES) + ")"
+
+CUSTOMERS_EUR = "WITH " + BASE + "," + CUSTOMERS + "," + CUSTOMER_NUMBERED + "," + RATES + """,
+mce AS (
+  SELECT mc.*, CASE WHEN store LIKE '%FR%' THEN 'EUR' WHEN store LIKE '%TR%' THEN 'TRY'
+                    WHEN store LIKE '%HU%' THEN 'HUF' WHEN store LIKE '%DK%' THEN 'DKK'
+                    WHEN store LIKE '%CZ%' THEN 'CZK' WHEN store LIKE '%RO%' THEN 'RON'
+                    WHEN store LIKE '%SE%' THEN 'SEK' WHEN store LIKE '%GB%' THEN 'GBP'
+                    ELSE 'EUR' END AS ccy
+  FROM mc)
+SELECT customer_id, full_name, email, store AS source_store, billing_country, billing_city,
+  CAST(ltv AS DOUBLE) AS original_ltv, CAST(aov AS DOUBLE) AS original_aov,
+  CAST(coalesce(rate, 1.0) AS DOUBLE) AS rate_to_eur,
+  CAST(round(ltv * coalesce(rate, 1.0), 2) AS DOUBLE) AS ltv_eur,
+  CAST(round(aov * coalesce(rate, 1.0), 2) AS DOUBLE) AS aov_eur,
+  orders_count, units_total, registered_at, last_order_date
+FROM mce LEFT JOIN rates ON mce.ccy = rates.rcur
+"""
+
+ORDERS_EUR = "WITH " + BASE + "," + ORDER_NUMBERED + "," + RATES + """
+SELECT store AS source_store, trim(num) AS order_number_formatted, order_id, currency_code,
+  CAST(round(coalesce(line_sum, 0) * rate, 2) AS DOUBLE) AS subtotal,
+  CAST(round(gross * rate, 2) AS DOUBLE) AS gross_total,
+  CAST(round(0 * rate, 2) AS DOUBLE) AS cogs,
+  CAST(round(total_price * rate, 2) AS DOUBLE) AS total_price,
+  CAST(round(tax * rate, 2) AS DOUBLE) AS tax_amount,
+  CAST(round(ship_first * rate, 2) AS DOUBLE) AS shipping_fee,
+  CAST(round(fee * rate, 2) AS DOUBLE) AS fee_amount,
+  CAST(round(discount * rate, 2) AS DOUBLE) AS discount_amount,
+  CAST(round(refunded * rate, 2) AS DOUBLE) AS refunded_amount,
+  CAST(round(0 * rate, 2) AS DOUBLE) AS ads_spend,
+  CAST(round(0 * rate, 2) AS DOUBLE) AS logistics_cost,
+  CAST(round(0 * rate, 2) AS DOUBLE) AS other_costs,
+  CAST(round(round(rev, 2) * rate, 2) AS DOUBLE) AS net_profit,
+  CAST(round(round(rev, 2) * rate, 2) AS DOUBLE) AS net_revenue,
+  CAST(CASE WHEN rev > 0 THEN 100 ELSE 0 END AS DOUBLE) AS net_margin
+FROM mo LEFT JOIN rates ON mo.currency_code = rates.rcur
+"""
+
+ORACLE.update({
+    "order_items_sku": ORDER_ITEMS_SKU,
+    "unit_cost_map": UNIT_COST_MAP,
+    "marketplace_filter": MARKETPLACE_FILTER,
+    "refund_numbers": REFUND_NUMBERS,
+    "customer_mart": CUSTOMER_MART,
+    "refund_by_parent": REFUND_BY_PARENT,
+    "store_union_orders": STORE_UNION_ORDERS,
+    "store_union_customers": STORE_UNION_CUSTOMERS,
+    "customers_eur": CUSTOMERS_EUR,
+    "orders_eur": ORDERS_EUR,
+})

@@ -35,6 +35,7 @@ VARIATION_ID_BASE = 2_000_000_000_000   # variation product id = supplier key +
 BRAND_TERM_BASE, SIZE_TERM_BASE, TYPE_TERM_BASE = 1000, 2000, 3000
 MAX_SIZE_TERM = 25                      # size terms exist for sizes 1..25 only
 GUEST_PRIORITY = "5-LOW"                # orders placed as guest (customer id 0)
+USER_ID_SHIFT = 1                       # user id = customer key + 1 (user ids start at 1)
 DISCOUNT_PRIORITY = "1-URGENT"          # orders with a cart discount and a fee line
 SECOND_SHIPPING_PRIORITY = "2-HIGH"     # orders with two shipping lines
 DOUBLE_DETAIL_PRIORITY = "1-URGENT"     # returns with two shipment-detail rows
@@ -120,7 +121,7 @@ class ShopShapes:
                .otherwise(F.concat(F.lit("https://shop-"), seg, F.lit(".example.com/checkout/"), key)))
         wide = o.select(
             "source_store", F.col("o_orderkey").alias("post_id"),
-            F.when(prio == GUEST_PRIORITY, F.lit("0")).otherwise(_txt(F.col("o_custkey")))
+            F.when(prio == GUEST_PRIORITY, F.lit("0")).otherwise(_txt(F.col("o_custkey") + USER_ID_SHIFT))
              .alias("_customer_user"),
             number.alias("_order_number_formatted"),
             url.alias("_wcst_order_track_http_url"),
@@ -325,7 +326,7 @@ class ShopShapes:
     @cached_property
     def users(self) -> DataFrame:
         c = self.customer_store
-        return c.select("source_store", F.col("c_custkey").alias("ID"),
+        return c.select("source_store", (F.col("c_custkey") + USER_ID_SHIFT).alias("ID"),
                         F.concat(F.lit("User"), _txt(F.col("c_custkey")), F.lit("@Example.COM"))
                          .alias("user_email"),
                         F.when(F.col("c_mktsegment") == "BUILDING", F.lit("0000-00-00 00:00:00"))
@@ -337,7 +338,7 @@ class ShopShapes:
         seg = F.col("c_mktsegment")
         name_no = F.regexp_extract(F.col("c_name"), "([0-9]+)$", 1)
         wide = c.select(
-            "source_store", F.col("c_custkey").alias("user_id"),
+            "source_store", (F.col("c_custkey") + USER_ID_SHIFT).alias("user_id"),
             F.when(seg == "AUTOMOBILE", F.lit("")).when(seg != "MACHINERY", F.lit("Ann"))
              .alias("first_name"),
             F.when(seg == "HOUSEHOLD", F.lit("")).when(seg != "MACHINERY", name_no).alias("last_name"),

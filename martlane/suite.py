@@ -61,3 +61,104 @@ QUERIES = {
     "order_profit": q_order_profit,
     "order_sku_list": q_order_sku_list,
 }
+
+
+# -- items, cost map, filters, numbers ----------------------------------------
+
+def q_order_items_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.order_items import apply_sku_map, build_order_items, sku_map
+    s = shapes(spark, sf_dir)
+    items = build_order_items(s.order_items, s.item_meta, s.order_posts, s.order_meta)
+    out = apply_sku_map(items, sku_map(s.product_lookup))
+    return as_double(out.drop("order_item_id"))
+
+
+def q_unit_cost_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.orders import unit_cost_map
+    s = shapes(spark, sf_dir)
+    return as_double(unit_cost_map(s.product_meta, s.product_posts))
+
+
+def q_marketplace_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.orders import order_header
+    s = shapes(spark, sf_dir)
+    h = order_header(s.order_posts, s.order_meta)
+    return h.filter(F.col("source_store") == "OPS").select(
+        "source_store", "order_id", "post_type", "payment_method")
+
+
+def q_refund_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.functions.text import order_number
+    from martlane.plans.orders import order_header
+    s = shapes(spark, sf_dir)
+    h = order_header(s.order_posts, s.order_meta).filter(F.col("post_type") == "shop_order_refund")
+    return h.select("source_store", "order_id",
+                    order_number("source_store", "post_type", "order_id", "number_meta")
+                    .alias("order_number_formatted"))
+
+
+# -- customers, masters, EUR ----------------------------------------------------
+
+def _customers(spark, sf_dir):
+    from martlane.plans.customers import build_customers
+    s = shapes(spark, sf_dir)
+    return build_customers(s.users, s.user_meta, s.order_posts, s.order_meta, s.order_items)
+
+
+def q_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_double(_customers(spark, sf_dir))
+
+
+def q_refund_by_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.customers import customer_refunds, order_customer_meta
+    s = shapes(spark, sf_dir)
+    return as_double(customer_refunds(s.order_posts, order_customer_meta(s.order_meta)))
+
+
+def q_store_union_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.masters import master_orders
+    m = master_orders(_orders(spark, sf_dir))
+    return as_double(m.select("source_store", "order_number_formatted", "order_id", "order_date",
+                              "customer_id", "gross_total", "net_revenue", "net_profit",
+                              "net_margin"))
+
+
+def q_store_union_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.masters import master_customers
+    m = master_customers(_customers(spark, sf_dir))
+    return as_double(m.select("customer_number_formatted", "source_store", "customer_id",
+                              "registered_at", "first_order_date", "last_order_date",
+                              "orders_count", "ltv", "aov"))
+
+
+def _rates(spark):
+    from martlane.plans.masters import seed_rates, upsert_rates
+    return upsert_rates(None, seed_rates(spark))
+
+
+def q_customers_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.masters import customers_eur, master_customers
+    m = master_customers(_customers(spark, sf_dir))
+    return as_double(customers_eur(m, _rates(spark)))
+
+
+def q_orders_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane import schemas as S
+    from martlane.plans.masters import master_orders, orders_eur
+    e = orders_eur(master_orders(_orders(spark, sf_dir)), _rates(spark))
+    return as_double(e.select("source_store", "order_number_formatted", "order_id",
+                              "currency_code", *S.ORDER_MONEY_COLUMNS, "net_margin"))
+
+
+QUERIES.update({
+    "order_items_sku": q_order_items_sku,
+    "unit_cost_map": q_unit_cost_map,
+    "marketplace_filter": q_marketplace_filter,
+    "refund_numbers": q_refund_numbers,
+    "customer_mart": q_customer_mart,
+    "refund_by_parent": q_refund_by_parent,
+    "store_union_orders": q_store_union_orders,
+    "store_union_customers": q_store_union_customers,
+    "customers_eur": q_customers_eur,
+    "orders_eur": q_orders_eur,
+})
