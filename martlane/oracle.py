@@ -387,3 +387,72 @@ ORACLE.update({
     "customers_eur": CUSTOMERS_EUR,
     "orders_eur": ORDERS_EUR,
 })
+
+
+PARTS = """
+pt AS (SELECT p_type, 3000 + dense_rank() OVER (ORDER BY p_type) AS tid FROM (SELECT DISTINCT p_type FROM part)),
+pp AS (
+  SELECT p.*, CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) AS b, pt.tid,
+    round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.01, 2) AS wc,
+    round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.011, 2) AS alt
+  FROM part p LEFT JOIN pt ON p.p_type = pt.p_type),
+pa AS (
+  SELECT *,
+    'Color:Brand ' || CAST(b AS VARCHAR) || ',' || p_type || ', Size:'
+      || CASE WHEN p_size <= 25 THEN 'EU ' || CAST(p_size AS VARCHAR) ELSE CAST(2000 + p_size AS VARCHAR) END
+      || ', Marka:0' AS attributes,
+    CASE WHEN p_size >= 3 AND p_size <= 45 THEN p_type END AS categories,
+    CASE WHEN p_size >= 3 THEN 'Brand ' || CAST(b AS VARCHAR) END AS tags,
+    CAST(wc AS VARCHAR) AS wc_txt,
+    CASE p_type WHEN 'PROMO' THEN replace(CAST(alt AS VARCHAR), '.', ',') WHEN 'SMALL' THEN 'n/a'
+                WHEN 'LARGE' THEN '-' || CAST(alt AS VARCHAR) WHEN 'ECONOMY' THEN '0'
+                ELSE CAST(alt AS VARCHAR) END AS alg_txt
+  FROM pp),
+gp AS (
+  SELECT DISTINCT p_partkey AS product_id, image_id FROM (
+    SELECT p_partkey, CAST(p_size AS BIGINT) AS image_id FROM part WHERE p_size >= 3
+    UNION ALL
+    SELECT p_partkey, CAST(p_size * 3 AS BIGINT) FROM part WHERE p_size >= 3)),
+img AS (
+  SELECT gp.product_id,
+    string_agg(pg.url, ',' ORDER BY gp.image_id) FILTER (WHERE pg.url IS NOT NULL) AS image_url
+  FROM gp LEFT JOIN (SELECT page_id, url FROM pages WHERE url NOT LIKE '%#top') pg ON gp.image_id = pg.page_id
+  GROUP BY gp.product_id)
+"""
+
+PRODUCT_PIVOT_ATTRIBUTES = "WITH " + PARTS + """
+SELECT p_partkey AS product_id, attributes FROM pa
+"""
+
+CATEGORY_ROLLUP = "WITH " + PARTS + """
+SELECT p_partkey AS product_id, categories, tags FROM pa WHERE p_size >= 3
+"""
+
+GALLERY_PAIRS = "WITH " + PARTS + """
+SELECT product_id, image_id FROM gp
+"""
+
+IMAGE_ROLLUP = "WITH " + PARTS + """
+SELECT product_id, image_url FROM img
+"""
+
+PRODUCT_MASTER = "WITH " + PARTS + """
+SELECT p_partkey AS product_id, p_name AS title, 'P' || CAST(p_partkey AS VARCHAR) AS sku,
+  'M-' || CAST(b AS VARCHAR) AS parent_sku, attributes,
+  CASE WHEN p_size = 2 THEN NULL ELSE p_size * 3 END::INTEGER AS stock_qty,
+  categories, tags,
+  CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS regular_price,
+  CAST(CASE WHEN p_size > 40 THEN round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.9, 2) END AS DOUBLE) AS sale_price,
+  img.image_url,
+  CAST(coalesce(TRY_CAST(nullif(regexp_extract(CASE WHEN wc_txt > alg_txt THEN wc_txt ELSE alg_txt END,
+        '^\\s*([+-]?([0-9]+([.][0-9]*)?|[.][0-9]+))', 1), '') AS DECIMAL(12,2)), 0) AS DOUBLE) AS cogs
+FROM pa LEFT JOIN img ON pa.p_partkey = img.product_id
+"""
+
+ORACLE.update({
+    "product_pivot_attributes": PRODUCT_PIVOT_ATTRIBUTES,
+    "category_rollup": CATEGORY_ROLLUP,
+    "gallery_pairs": GALLERY_PAIRS,
+    "image_rollup": IMAGE_ROLLUP,
+    "product_master": PRODUCT_MASTER,
+})

@@ -30,7 +30,7 @@ USER_META = {
 
 
 def customer_base(users: DataFrame, user_meta: DataFrame) -> DataFrame:
-    piv = eav_pivot(user_meta, [STORE, "user_id"], USER_META).withColumnRenamed("user_id", "ID")
+    piv = eav_pivot(user_meta, ["user_id", STORE], USER_META).withColumnRenamed("user_id", "ID")
     u = users.join(piv, [STORE, "ID"], "left")
     return u.select(
         STORE, F.col("ID").alias("customer_id"),
@@ -41,7 +41,7 @@ def customer_base(users: DataFrame, user_meta: DataFrame) -> DataFrame:
 
 
 def order_customer_meta(post_meta: DataFrame) -> DataFrame:
-    return eav_pivot(post_meta, [STORE, "post_id"], {
+    return eav_pivot(post_meta, ["post_id", STORE], {
         "customer_user": "_customer_user", "total_text": "_order_total",
         "refund_text": "_refund_amount"})
 
@@ -50,13 +50,13 @@ def customer_order_metrics(posts: DataFrame, meta: DataFrame, items: DataFrame)
     """first/last order date, orders count, ltv, line-item count per (store, customer)."""
     orders = posts.filter(F.col("post_type") == S.ORDER_TYPE).select(
         STORE, F.col("ID").alias("post_id"), "post_date")
-    lines = (items.groupBy(STORE, F.col("order_id").alias("post_id"))
+    lines = (items.groupBy(F.col("order_id").alias("post_id"), STORE)
                   .agg(F.count_if(F.col("order_item_type") == "line_item").alias("n_lines")))
-    o = (orders.join(meta, [STORE, "post_id"], "inner")
+    o = (orders.join(meta, ["post_id", STORE], "inner")
                .filter(F.col("customer_user").isNotNull() & (F.col("customer_user") != ""))
-               .join(lines, [STORE, "post_id"], "left"))
+               .join(lines, ["post_id", STORE], "left"))
     total = F.coalesce(lenient_decimal("total_text", 12, 2), F.lit(0).cast(S.MONEY))
-    return o.groupBy(STORE, F.col("customer_user").try_cast("bigint").alias("customer_id")).agg(
+    return o.groupBy(F.col("customer_user").try_cast("bigint").alias("customer_id"), STORE).agg(
         F.min("post_date").alias("first_order_date"),
         F.max("post_date").alias("last_order_date"),
         F.count("post_id").alias("orders_count"),
@@ -70,11 +70,11 @@ def customer_refunds(posts: DataFrame, meta: DataFrame) -> DataFrame:
         STORE, F.col("ID").alias("post_id"), "post_parent")
     amt = meta.select(STORE, "post_id", "refund_text")
     parent_cust = meta.select(STORE, F.col("post_id").alias("post_parent"), "customer_user")
-    r = (refunds.join(amt, [STORE, "post_id"], "left")
-                .join(parent_cust, [STORE, "post_parent"], "inner")
+    r = (refunds.join(amt, ["post_id", STORE], "left")
+                .join(parent_cust, ["post_parent", STORE], "inner")
                 .filter(F.col("customer_user").isNotNull()))
     amount = lenient_decimal(F.coalesce(F.col("refund_text"), F.lit("0")), 12, 2)
-    return r.groupBy(STORE, F.col("customer_user").try_cast("bigint").alias("customer_id")).agg(
+    return r.groupBy(F.col("customer_user").try_cast("bigint").alias("customer_id"), STORE).agg(
         F.sum(amount).alias("refunds_total"))
 
 
@@ -84,7 +84,7 @@ def build_customers(users: DataFrame, user_meta: DataFrame, posts: DataFrame,
     meta = order_customer_meta(post_meta)
     om = customer_order_metrics(posts, meta, items)
     rf = customer_refunds(posts, meta)
-    j = base.join(om, [STORE, "customer_id"], "left").join(rf, [STORE, "customer_id"], "left")
+    j = base.join(om, ["customer_id", STORE], "left").join(rf, ["customer_id", STORE], "left")
     n = F.coalesce(F.col("orders_count"), F.lit(0))
     ltv = F.coalesce(F.col("ltv"), F.lit(0)).cast(S.MONEY)
     return j.select(

@@ -54,21 +54,21 @@ def order_header(posts: DataFrame, post_meta: DataFrame,
     orders paid by a marketplace method (an EXISTS over the meta, folded into the pivot)."""
     paid_flag = F.max(F.when((F.col("meta_key") == "_payment_method")
                              & F.col("meta_value").isin(S.MARKETPLACE_PAYMENTS), F.lit(True)))
-    meta = eav_pivot(post_meta, [STORE, "post_id"], ORDER_META, extra_keys=["_payment_method"],
+    meta = eav_pivot(post_meta, ["post_id", STORE], ORDER_META, extra_keys=["_payment_method"],
                      extra_aggs=[paid_flag.alias("marketplace_paid")])
     p = (posts.filter(F.col("post_type").isin(S.ORDER_TYPE, S.REFUND_TYPE))
               .select(STORE, F.col("ID").alias("order_id"), "post_type",
                       F.col("post_date").alias("order_date"), F.col("post_status").alias("order_status")))
     m = meta.withColumnRenamed("post_id", "order_id")
-    hdr = p.join(m, [STORE, "order_id"], "left")
+    hdr = p.join(m, ["order_id", STORE], "left")
     return hdr.filter((F.col(STORE) != F.lit(marketplace_store)) | F.col("marketplace_paid").isNotNull())
 
 
 def item_facts(items: DataFrame, item_meta: DataFrame, product_lookup: DataFrame) -> DataFrame:
     """One row per order item: pivoted meta + parent/variation SKUs from the lookup."""
-    piv = eav_pivot(item_meta, [STORE, "order_item_id"], ITEM_META)
+    piv = eav_pivot(item_meta, ["order_item_id", STORE], ITEM_META)
     it = items.select(STORE, "order_item_id", "order_id", "order_item_name", "order_item_type")
-    f = it.join(piv, [STORE, "order_item_id"], "left")
+    f = it.join(piv, ["order_item_id", STORE], "left")
     f = (f.withColumn("product_id", F.col("product_text").try_cast("bigint"))
           .withColumn("variation_id", F.col("variation_text").try_cast("bigint")))
     lk = product_lookup.select("product_id", "sku")
@@ -109,20 +109,22 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None) -> Dat
     unit_key = F.when(is_line, F.coalesce(blank("variation_sku"), blank("parent_sku"),
                                           F.col("product_text")))
     label = F.when(is_line, sku_label("parent_sku", "variation_sku"))
-    g = f.groupBy(STORE, "order_id").agg(
-        F.count_distinct(unit_key).alias("units_total"),
+    ship_cost = F.when(is_ship, lenient_decimal("cost_text", 12, 2))
+    fee_amt = F.when(is_fee, lenient_decimal("fee_text", 12, 2))
+    # One aggregation pass: distinct counts/lists as sets (no Expand of count(DISTINCT)),
+    # "first row" values as numeric min_by (fixed-width buffers).
+    g = f.groupBy("order_id", STORE).agg(
+        F.size(F.collect_set(unit_key)).alias("units_total"),
         F.sum(F.when(is_line, lenient_decimal("qty_text", 12, 2))).alias("qty_sum"),
         sorted_distinct_join(label, ", ", empty="").alias("ordered_items_skus"),
         F.sum(F.when(is_line, lenient_decimal("subtotal_text", 12, 2))).alias("line_subtotal_sum"),
         F.sum(F.when(is_line, lenient_decimal("subtotal_text", 12, 4))).alias("subtotal4"),
-        F.sum(F.when(is_fee, lenient_decimal("fee_text", 12, 2))).alias("fee_sum"),
-        F.sum(F.when(is_ship, lenient_decimal("cost_text", 12, 2))).alias("ship_sum"),
-        F.min_by(F.when(is_ship, F.col("cost_text")),
-                 F.when(is_ship & F.col("cost_text").isNotNull(), F.col("order_item_id")))
-         .alias("shipping_text"),
-        F.min_by(F.when(is_fee, F.col("fee_text")),
-                 F.when(is_fee & F.col("fee_text").isNotNull(), F.col("order_item_id")))
-         .alias("fee_first_text"),
+        F.sum(fee_amt).alias("fee_sum"),
+        F.sum(ship_cost).alias("ship_sum"),
+        F.min_by(ship_cost, F.when(is_ship & F.col("cost_text").isNotNull(), F.col("order_item_id")))
+         .alias("shipping_first"),
+        F.min_by(fee_amt, F.when(is_fee & F.col("fee_text").isNotNull(), F.col("order_item_id")))
+         .alias("fee_first"),
         F.sum(F.when(is_line, lenient_decimal("qty_text", 12, 2) * F.col("unit_cost_sum")))
          .alias("item_cogs"),
     )
@@ -148,11 +150,11 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
             raise ValueError("cogs_mode='cost_map' needs cost_map")
         cm = (facts.filter(F.col("order_item_type") == "line_item")
                    .join(cost_map, "product_id", "inner")
-                   .groupBy(STORE, "order_id")
+                   .groupBy("order_id", STORE)
                    .agg(F.sum(F.col("qty_text").try_cast(S.MONEY4) * F.col("cog_value"))
                         .alias("map_cogs")))
-        roll = roll.join(cm, [STORE, "order_id"], "left")
-    o = hdr.join(roll, [STORE, "order_id"], "left")
+        roll = roll.join(cm, ["order_id", STORE], "left")
+    o = hdr.join(roll, ["order_id", STORE], "left")
     tax = lenient_decimal("tax_text", 12, 2)
     gross = (F.col("line_subtotal_sum") + F.coalesce(tax, F.lit(0)) + F.coalesce(F.col("fee_sum"), F.lit(0))
              + F.coalesce(F.col("ship_sum"), F.lit(0)))
@@ -180,8 +182,8 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
         cogs.cast(S.MONEY).alias("cogs"),
         F.coalesce(lenient_decimal("total_text"), F.lit(0)).cast(S.MONEY).alias("total_price"),
         tax.alias("tax_amount"),
-        lenient_decimal("shipping_text").alias("shipping_fee"),
-        lenient_decimal("fee_first_text").alias("fee_amount"),
+        F.col("shipping_first").alias("shipping_fee"),
+        F.col("fee_first").alias("fee_amount"),
         F.coalesce(lenient_decimal("discount_text"), F.lit(0)).cast(S.MONEY).alias("discount_amount"),
         F.coalesce(lenient_decimal("refund_text"), F.lit(0)).cast(S.MONEY).alias("refunded_amount"),
         *[F.lit(0).cast(S.MONEY).alias(c) for c in ("ads_spend", "logistics_cost", "other_costs")],
@@ -211,7 +213,7 @@ def apply_cogs(orders: DataFrame, order_items: DataFrame | None = None,
     if mode == "zero":
         return orders.withColumn("cogs", F.lit(0).cast(S.MONEY))
     calc = (order_items.join(cost_map, "product_id", "inner")
-                       .groupBy(STORE, "order_id")
+                       .groupBy("order_id", STORE)
                        .agg(F.sum(F.col("quantity").cast(S.MONEY4) * F.col("cog_value")).alias("_c")))
-    j = orders.join(calc, [STORE, "order_id"], "left")
+    j = orders.join(calc, ["order_id", STORE], "left")
     return j.withColumn("cogs", F.coalesce(F.col("_c"), F.col("cogs")).cast(S.MONEY)).drop("_c")

@@ -16,9 +16,15 @@ _CACHE: dict = {}
 
 
 def shapes(spark: SparkSession, sf_dir: str) -> ShopShapes:
+    """Shop-shaped source tables for ``sf_dir``, stored once under the checkpoint folder."""
+    import hashlib
+    from martlane.session import checkpoint_dir
+    from martlane.sources.shop_shape import materialize
     key = (id(spark), sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = ShopShapes(spark, sf_dir)
+        tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+        root = f"{checkpoint_dir(spark).rstrip('/')}/shop_tables/{tag}"
+        _CACHE[key] = materialize(ShopShapes(spark, sf_dir), root)
     return _CACHE[key]
 
 
@@ -162,3 +168,51 @@ QUERIES.update({
     "customers_eur": q_customers_eur,
     "orders_eur": q_orders_eur,
 })
+
+
+# -- products -----------------------------------------------------------------
+
+def q_product_pivot_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.products import build_products
+    s = shapes(spark, sf_dir)
+    p = build_products(s.product_posts, s.product_meta, s.product_lookup, s.terms)
+    return p.select("product_id", "attributes")
+
+
+def q_category_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.products import rollup_categories
+    s = shapes(spark, sf_dir)
+    return rollup_categories(s.term_relationships, s.term_taxonomy, s.terms)
+
+
+def q_gallery_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.products import gallery_pairs
+    s = shapes(spark, sf_dir)
+    return gallery_pairs(s.product_posts, s.product_meta)
+
+
+def q_image_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.products import gallery_pairs, image_urls, rollup_images
+    s = shapes(spark, sf_dir)
+    r = rollup_images(gallery_pairs(s.product_posts, s.product_meta), image_urls(s.attachments))
+    return r.withColumnRenamed("urls", "image_url")
+
+
+def _product_master(spark, sf_dir):
+    from martlane.plans.products import product_master
+    s = shapes(spark, sf_dir)
+    return product_master(s.product_posts, s.product_meta, s.product_lookup, s.terms,
+                          s.term_relationships, s.term_taxonomy, s.attachments)
+
+
+def q_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_double(_product_master(spark, sf_dir))
+
+
+QUERIES.update({
+    "product_pivot_attributes": q_product_pivot_attributes,
+    "category_rollup": q_category_rollup,
+    "gallery_pairs": q_gallery_pairs,
+    "image_rollup": q_image_rollup,
+    "product_master": q_product_master,
+})
