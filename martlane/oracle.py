@@ -456,3 +456,93 @@ ORACLE.update({
     "image_rollup": IMAGE_ROLLUP,
     "product_master": PRODUCT_MASTER,
 })
+
+
+RETURNS = """
+rl AS (
+  SELECT l.*, ord.store, ord.o_orderpriority,
+    CASE WHEN l.l_linestatus = 'O' THEN ' P' || CAST(l.l_partkey AS VARCHAR) || chr(13)
+         ELSE 'P' || CAST(l.l_partkey AS VARCHAR) END AS sku,
+    CASE WHEN l.l_linestatus = 'O'
+           THEN '{"pa_renk":{"value":"brand-' || CAST(pp.b AS VARCHAR) || '"},"pa_beden":{"value":"'
+                || CAST(pp.p_size + 2000 AS VARCHAR) || '"},"x":{"value":"y"}}'
+         WHEN l.l_discount > 0.05 THEN '[]'
+         ELSE '{"pa_materyal":{"value":"cotton"},"pa_beden":{"value":"size-' || CAST(pp.p_size AS VARCHAR) || '"}}'
+    END AS blob,
+    CASE WHEN l.l_linestatus = 'O'
+           THEN 'Color:Brand ' || CAST(pp.b AS VARCHAR) || ', Size:'
+                || CASE WHEN pp.p_size <= 25 THEN 'EU ' || CAST(pp.p_size AS VARCHAR) ELSE CAST(pp.p_size + 2000 AS VARCHAR) END
+         WHEN l.l_discount > 0.05 THEN NULL
+         ELSE 'Material:cotton, Size:'
+                || CASE WHEN pp.p_size <= 25 THEN 'EU ' || CAST(pp.p_size AS VARCHAR) ELSE 'size-' || CAST(pp.p_size AS VARCHAR) END
+    END AS decoded
+  FROM lineitem l JOIN ord ON l.l_orderkey = ord.o_orderkey
+  LEFT JOIN pp ON l.l_partkey = pp.p_partkey
+  WHERE l.l_returnflag = 'R'),
+ri AS (
+  SELECT l_orderkey, count(*) AS n, string_agg(sku, ', ' ORDER BY sku) AS skus,
+    string_agg(DISTINCT 'reason-' || l_linestatus, ', ' ORDER BY 'reason-' || l_linestatus) AS reasons,
+    sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS total,
+    string_agg(decoded, ' || ' ORDER BY blob) FILTER (WHERE decoded IS NOT NULL) AS attrs
+  FROM rl GROUP BY l_orderkey),
+rs AS (
+  SELECT ord.*, ri.*, pst.post_status AS status,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'UPS' ELSE 'DHL' END AS shipping_method,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 6.50 ELSE 4.95 END AS fee,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'refund' ELSE 'label' END AS return_method,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN greatest(coalesce(cur.currency, 'EUR'), 'EUR')
+         ELSE coalesce(cur.currency, 'EUR') END AS currency
+  FROM ri JOIN ord ON ri.l_orderkey = ord.o_orderkey
+  LEFT JOIN pst ON ord.o_orderstatus = pst.st
+  LEFT JOIN cur ON ord.store = cur.cstore)
+"""
+
+RETURNS_ROLLUP = "WITH " + BASE + "," + PARTS + "," + RETURNS + """
+SELECT o_orderkey AS return_id, CAST(o_orderkey AS VARCHAR) AS order_number,
+  'c' || CAST(o_custkey AS VARCHAR) || '@example.com' AS order_email, o_orderdate AS order_date,
+  o_orderdate + INTERVAL 14 DAY AS return_request_date,
+  'shop-' || lower(c_mktsegment) || '.example.com' AS order_site,
+  shipping_method, CAST(fee AS DOUBLE) AS payment_for_return_fee, status AS return_request_status,
+  n::INTEGER AS return_requested_items_count, skus AS return_requested_items_sku,
+  reasons AS return_reason, return_method,
+  CAST(total AS DOUBLE) AS return_requested_total_amount,
+  n_name AS country_code, c_mktsegment AS city, currency
+FROM rs
+"""
+
+RETURNS_FANOUT = "WITH " + BASE + "," + PARTS + "," + RETURNS + """,
+rl2 AS (
+  SELECT rl.* FROM rl
+  JOIN (SELECT 1 AS d UNION ALL SELECT 2) dd ON dd.d = 1 OR rl.o_orderpriority = '1-URGENT'),
+rf AS (
+  SELECT l_orderkey, count(*) AS n, string_agg(sku, ', ' ORDER BY sku) AS skus,
+    sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS total
+  FROM rl2 GROUP BY l_orderkey)
+SELECT rs.o_orderkey AS return_id, rf.n::INTEGER AS return_requested_items_count,
+  rf.skus AS return_requested_items_sku, CAST(rf.total AS DOUBLE) AS return_requested_total_amount,
+  CAST(rs.fee AS DOUBLE) AS payment_for_return_fee
+FROM rs JOIN rf ON rs.o_orderkey = rf.l_orderkey
+"""
+
+RETURN_ATTRIBUTES = "WITH " + BASE + "," + PARTS + "," + RETURNS + """
+SELECT o_orderkey AS return_id, attrs AS return_requested_items_attributes FROM rs
+"""
+
+RETURNS_BY_PRODUCT = "WITH " + BASE + "," + PARTS + """,
+rp AS (
+  SELECT 'P' || CAST(l.l_partkey AS VARCHAR) AS sku, l.l_orderkey, o.o_orderdate
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_returnflag = 'R')
+SELECT rp.sku, pa.p_name AS product_name, 'M-' || CAST(pa.b AS VARCHAR) AS parent_sku, pa.categories,
+  count(DISTINCT rp.l_orderkey)::INTEGER AS total_returns,
+  min(rp.o_orderdate) AS first_return_date, max(rp.o_orderdate) AS last_return_date
+FROM rp LEFT JOIN pa ON rp.sku = 'P' || CAST(pa.p_partkey AS VARCHAR)
+GROUP BY rp.sku, pa.p_name, pa.b, pa.categories
+"""
+
+ORACLE.update({
+    "returns_rollup": RETURNS_ROLLUP,
+    "returns_fanout": RETURNS_FANOUT,
+    "return_attributes": RETURN_ATTRIBUTES,
+    "returns_by_product": RETURNS_BY_PRODUCT,
+})

@@ -216,3 +216,40 @@ QUERIES.update({
     "image_rollup": q_image_rollup,
     "product_master": q_product_master,
 })
+
+
+# -- returns ----------------------------------------------------------------
+
+def _returns(spark, sf_dir, fanout=False):
+    from martlane.plans.returns import build_returns
+    s = shapes(spark, sf_dir)
+    return build_returns(s.shipments, s.shipment_items, s.shipment_details, s.shipment_addresses,
+                         s.terms, fanout=fanout)
+
+
+def q_returns_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_double(_returns(spark, sf_dir).drop("return_requested_items_attributes"))
+
+
+def q_returns_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _returns(spark, sf_dir, fanout=True)
+    return as_double(r.select("return_id", "return_requested_items_count",
+                              "return_requested_items_sku", "return_requested_total_amount",
+                              "payment_for_return_fee"))
+
+
+def q_return_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _returns(spark, sf_dir).select("return_id", "return_requested_items_attributes")
+
+
+def q_returns_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.returns import returns_by_product
+    return returns_by_product(_returns(spark, sf_dir), _product_master(spark, sf_dir))
+
+
+QUERIES.update({
+    "returns_rollup": q_returns_rollup,
+    "returns_fanout": q_returns_fanout,
+    "return_attributes": q_return_attributes,
+    "returns_by_product": q_returns_by_product,
+})
