@@ -546,3 +546,114 @@ ORACLE.update({
     "return_attributes": RETURN_ATTRIBUTES,
     "returns_by_product": RETURNS_BY_PRODUCT,
 })
+
+
+def _ads_records(where: str, factor: str) -> str:
+    return f"""(
+  SELECT 'camp-' || event_type AS campaign_name, 'ad-' || CAST(user_id AS VARCHAR) AS ad_name,
+    'set-' || CAST(user_id AS VARCHAR) AS adset_name, n * 10 AS impressions, k_sum AS clicks,
+    spend,
+    CASE WHEN k_sum > 0 THEN ((CAST(spend * 100 AS BIGINT) * 2 + k_sum) // (k_sum * 2)) / 100.0 END AS cpc,
+    CASE WHEN event_type = 'purchase' THEN ((k_sum * 20000 + n) // (n * 2)) / 10000.0 ELSE 0 END AS purchase_roas,
+    CAST(day AS VARCHAR) AS date_start, CAST(day AS VARCHAR) AS date_stop, position
+  FROM (
+    SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n,
+      sum(coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0)) AS k_sum,
+      round(sum(CAST(value AS DECIMAL(12,2))) * {factor}, 2) AS spend, min(event_id) AS position
+    FROM events WHERE {where}
+    GROUP BY 1, 2, 3))"""
+
+
+ADS_FLATTEN = "SELECT campaign_name, ad_name, adset_name, impressions::INTEGER AS impressions, " \
+    "clicks::INTEGER AS clicks, CAST(spend AS DOUBLE) AS spend, CAST(cpc AS DOUBLE) AS cpc, " \
+    "CAST(purchase_roas AS DOUBLE) AS purchase_roas, date_start, date_stop FROM " + \
+    _ads_records("TRUE", "1.0")
+
+ADS_A = "a AS (SELECT * FROM " + _ads_records("ts < TIMESTAMP '2024-01-21'", "1.0") + \
+    " QUALIFY row_number() OVER (PARTITION BY ad_name, date_start ORDER BY position) = 1)"
+ADS_B = "b AS (SELECT * FROM " + _ads_records("ts >= TIMESTAMP '2024-01-16'", "1.1") + \
+    " QUALIFY row_number() OVER (PARTITION BY ad_name, date_start ORDER BY position) = 1)"
+
+ADS_WINDOW = "WITH RECURSIVE " + ADS_A + """,
+w AS (SELECT CAST(max(date_stop) AS DATE) + 1 AS since FROM a),
+ch(s) AS (SELECT since FROM w UNION ALL SELECT CAST(s + INTERVAL 1 MONTH AS DATE) FROM ch
+          WHERE CAST(s + INTERVAL 1 MONTH AS DATE) <= DATE '2024-03-15')
+SELECT CAST(s AS VARCHAR) AS chunk_start,
+  CAST(least(CAST(s + INTERVAL 1 MONTH AS DATE) - 1, DATE '2024-03-15') AS VARCHAR) AS chunk_end
+FROM ch
+"""
+
+ADS_UPSERT = "WITH " + ADS_A + "," + ADS_B + """
+SELECT coalesce(a.campaign_name, b.campaign_name) AS campaign_name,
+  coalesce(a.ad_name, b.ad_name) AS ad_name,
+  CASE WHEN a.ad_name IS NOT NULL THEN a.adset_name ELSE b.adset_name END AS adset_name,
+  CASE WHEN b.ad_name IS NOT NULL THEN b.impressions ELSE a.impressions END::INTEGER AS impressions,
+  CASE WHEN b.ad_name IS NOT NULL THEN b.clicks ELSE a.clicks END::INTEGER AS clicks,
+  CAST(CASE WHEN b.ad_name IS NOT NULL THEN b.spend ELSE a.spend END AS DOUBLE) AS spend,
+  CAST(CASE WHEN b.ad_name IS NOT NULL THEN b.cpc ELSE a.cpc END AS DOUBLE) AS cpc,
+  CAST(CASE WHEN b.ad_name IS NOT NULL THEN b.purchase_roas ELSE a.purchase_roas END AS DOUBLE) AS purchase_roas,
+  coalesce(a.date_start, b.date_start) AS date_start,
+  CASE WHEN b.ad_name IS NOT NULL THEN b.date_stop ELSE a.date_stop END AS date_stop
+FROM a FULL OUTER JOIN b ON a.ad_name = b.ad_name AND a.date_start = b.date_start
+"""
+
+EAV_PIVOT = "SELECT * FROM orders"
+
+EAV_MULTI_KEY = "WITH " + PARTS + """
+SELECT p_partkey AS product_id, CASE WHEN wc_txt > alg_txt THEN wc_txt ELSE alg_txt END AS cost_text FROM pa
+"""
+
+URL_HOST = "SELECT page_id, split_part(url, '/', 3) AS host FROM pages"
+
+FULL_NAME = "WITH " + BASE + "," + CUSTOMERS + """
+SELECT store AS source_store, customer_id, full_name, email, registered_at FROM cm
+"""
+
+DAMAGED = """
+dmg AS (
+  SELECT o_orderkey, o_orderstatus AS st, o_orderpriority AS pr, o_orderdate,
+    CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS total_txt,
+    CAST(o_totalprice AS DECIMAL(12,2)) AS total
+  FROM orders)
+"""
+
+LENIENT_DATES = "WITH " + DAMAGED + """
+SELECT o_orderkey,
+  CASE WHEN st = 'F' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+       WHEN st = 'O' THEN strftime(o_orderdate, '%Y-%m-%d')
+       WHEN pr = '1-URGENT' THEN '0000-00-00 00:00:00' WHEN pr = '2-HIGH' THEN ''
+       WHEN pr = '3-MEDIUM' THEN 'junk' WHEN pr = '4-NOT SPECIFIED' THEN ' 2024 '
+       ELSE '1999-02-30 10:00:00' END AS date_text,
+  CASE WHEN st IN ('F', 'O') THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS parsed
+FROM dmg
+"""
+
+LENIENT_NUMBERS = "WITH " + DAMAGED + """
+SELECT o_orderkey,
+  CASE WHEN st = 'F' THEN total_txt WHEN st = 'O' THEN total_txt || 'abc'
+       WHEN pr = '1-URGENT' THEN 'abc' WHEN pr = '2-HIGH' THEN '' WHEN pr = '3-MEDIUM' THEN '  -12.5'
+       WHEN pr = '4-NOT SPECIFIED' THEN NULL ELSE '.5' END AS number_text,
+  CAST(CASE WHEN st IN ('F', 'O') THEN total
+            WHEN pr IN ('1-URGENT', '2-HIGH') THEN 0
+            WHEN pr = '3-MEDIUM' THEN -12.50
+            WHEN pr = '4-NOT SPECIFIED' THEN NULL ELSE 0.50 END AS DOUBLE) AS parsed
+FROM dmg
+"""
+
+UTF8_CLEAN = """
+SELECT doc_id, CAST(length(text || ' end') AS INTEGER) AS clean_length, md5(text || ' end') AS clean_md5
+FROM documents
+"""
+
+ORACLE.update({
+    "ads_flatten": ADS_FLATTEN,
+    "ads_window": ADS_WINDOW,
+    "ads_upsert": ADS_UPSERT,
+    "eav_pivot": EAV_PIVOT,
+    "eav_multi_key": EAV_MULTI_KEY,
+    "url_host": URL_HOST,
+    "full_name": FULL_NAME,
+    "lenient_dates": LENIENT_DATES,
+    "lenient_numbers": LENIENT_NUMBERS,
+    "utf8_clean": UTF8_CLEAN,
+})

@@ -424,19 +424,25 @@ class ShopShapes:
             F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(k, F.lit(0))).alias("k_sum"),
             F.sum(_dec("value")).alias("v_sum"), F.min("event_id").alias("position"))
         spend = F.round(F.col("v_sum") * F.lit(spend_factor).cast("decimal(3,1)"), 2)
+        # rounded ratios by integer arithmetic (half up), identical in every engine
+        cents = (spend * 100).cast("bigint")
+        roas_units = F.floor((F.col("k_sum") * 20000 + F.col("n")) / (F.col("n") * 2))
+        roas_txt = F.format_string("%d.%04d", F.floor(roas_units / 10000).cast("bigint"),
+                                   (roas_units % 10000).cast("bigint"))
         roas = F.when(F.col("event_type") == "purchase",
                       F.array(F.struct(F.lit("omni_purchase").alias("action_type"),
-                                       _txt(F.round(F.col("k_sum") / F.col("n"), 4).cast("decimal(10,4)"))
-                                       .alias("value"))))
+                                       roas_txt.alias("value"))))
         roas = F.coalesce(roas, F.array().cast("array<struct<action_type:string,value:string>>"))
+        cpc_units = F.floor((cents * 2 + F.col("k_sum")) / (F.col("k_sum") * 2))
+        cpc_txt = F.format_string("%d.%02d", F.floor(cpc_units / 100).cast("bigint"),
+                                  (cpc_units % 100).cast("bigint"))
         return g.select(
             F.concat(F.lit("camp-"), F.col("event_type")).alias("campaign_name"),
             F.concat(F.lit("ad-"), _txt(F.col("user_id"))).alias("ad_name"),
             F.concat(F.lit("set-"), _txt(F.col("user_id"))).alias("adset_name"),
             _txt(F.col("n") * 10).alias("impressions"), _txt(F.col("k_sum")).alias("clicks"),
             _txt(spend).alias("spend"),
-            _txt(F.when(F.col("k_sum") > 0, F.round(spend / F.col("k_sum"), 2).cast("decimal(12,2)")))
-             .alias("cpc"),
+            F.when(F.col("k_sum") > 0, cpc_txt).alias("cpc"),
             roas.alias("purchase_roas"),
             _txt(F.col("day")).alias("date_start"), _txt(F.col("day")).alias("date_stop"),
             "position")

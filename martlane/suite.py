@@ -253,3 +253,132 @@ QUERIES.update({
     "return_attributes": q_return_attributes,
     "returns_by_product": q_returns_by_product,
 })
+
+
+# -- ads --------------------------------------------------------------------
+
+ADS_SPLIT_A = "2024-01-21"      # batch A: events before this day (first 20 days)
+ADS_SPLIT_B = "2024-01-16"      # batch B: events from this day on (last 15 days)
+ADS_TODAY = "2024-03-15"        # the run date of the next incremental load
+
+
+def q_ads_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.ads import flatten_ads
+    s = shapes(spark, sf_dir)
+    return as_double(flatten_ads(s.ads_records()).drop("position")
+                     .withColumns({"date_start": F.col("date_start").cast("string"),
+                                   "date_stop": F.col("date_stop").cast("string")}))
+
+
+def _ads_a(spark, sf_dir):
+    from martlane.plans.ads import flatten_ads, upsert_ads
+    s = shapes(spark, sf_dir)
+    return upsert_ads(None, flatten_ads(s.ads_records(end=ADS_SPLIT_A)))
+
+
+def q_ads_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import datetime as dt
+    from martlane.plans.ads import ads_window_chunks
+    w = ads_window_chunks(_ads_a(spark, sf_dir), dt.date.fromisoformat(ADS_TODAY))
+    return w.select(F.col("chunk_start").cast("string").alias("chunk_start"),
+                    F.col("chunk_end").cast("string").alias("chunk_end"))
+
+
+def q_ads_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.ads import flatten_ads, upsert_ads
+    s = shapes(spark, sf_dir)
+    batch_b = flatten_ads(s.ads_records(start=ADS_SPLIT_B, spend_factor="1.1"))
+    out = upsert_ads(_ads_a(spark, sf_dir), batch_b)
+    return as_double(out.withColumns({"date_start": F.col("date_start").cast("string"),
+                                      "date_stop": F.col("date_stop").cast("string")}))
+
+
+# -- column functions over whole tables ------------------------------------
+
+def q_eav_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> (id, key, value) -> orders again."""
+    from martlane.operators.eav import eav_pivot, eav_unpivot
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    cols = [c for c in o.columns if c != "o_orderkey"]
+    long = eav_unpivot(o, "o_orderkey", cols)
+    wide = eav_pivot(long, "o_orderkey", {c: c for c in cols})
+    return wide.select("o_orderkey", *[F.col(c).cast(o.schema[c].dataType).alias(c) for c in cols])
+
+
+def q_eav_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two cost keys feed one output column; the textual maximum wins."""
+    from martlane import schemas as S
+    from martlane.operators.eav import eav_pivot
+    s = shapes(spark, sf_dir)
+    return eav_pivot(s.product_meta, "post_id", {"cost_text": S.COST_KEYS}) \
+        .withColumnRenamed("post_id", "product_id")
+
+
+def q_url_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.functions.text import url_host
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select("page_id", url_host("url").alias("host"))
+
+
+def q_full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.customers import customer_base
+    s = shapes(spark, sf_dir)
+    return customer_base(s.users, s.user_meta).select("source_store", "customer_id", "full_name",
+                                                      "email", "registered_at")
+
+
+def _damaged_orders(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    date_txt = (F.when(st == "F", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+                .when(st == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
+                .when(pr == "1-URGENT", F.lit("0000-00-00 00:00:00"))
+                .when(pr == "2-HIGH", F.lit(""))
+                .when(pr == "3-MEDIUM", F.lit("junk"))
+                .when(pr == "4-NOT SPECIFIED", F.lit(" 2024 "))
+                .otherwise(F.lit("1999-02-30 10:00:00")))
+    num_txt = (F.when(st == "F", total)
+               .when(st == "O", F.concat(total, F.lit("abc")))
+               .when(pr == "1-URGENT", F.lit("abc"))
+               .when(pr == "2-HIGH", F.lit(""))
+               .when(pr == "3-MEDIUM", F.lit("  -12.5"))
+               .when(pr == "4-NOT SPECIFIED", F.lit(None).cast("string"))
+               .otherwise(F.lit(".5")))
+    return o.select("o_orderkey", date_txt.alias("date_text"), num_txt.alias("number_text"))
+
+
+def q_lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.functions.dates import lenient_datetime
+    d = _damaged_orders(spark, sf_dir)
+    return d.select("o_orderkey", "date_text", lenient_datetime("date_text").alias("parsed"))
+
+
+def q_lenient_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.functions.numbers import lenient_decimal
+    d = _damaged_orders(spark, sf_dir)
+    return as_double(d.select("o_orderkey", "number_text",
+                              lenient_decimal("number_text", 12, 2).alias("parsed")))
+
+
+def q_utf8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole document texts with an invalid byte injected, cleaned back."""
+    from martlane.functions.text import drop_invalid_utf8
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("C3")), F.encode(F.lit(" end"), "UTF-8"))
+    clean = drop_invalid_utf8(raw)
+    return d.select("doc_id", F.length(clean).alias("clean_length"), F.md5(F.encode(clean, "UTF-8")).alias("clean_md5"))
+
+
+QUERIES.update({
+    "ads_flatten": q_ads_flatten,
+    "ads_window": q_ads_window,
+    "ads_upsert": q_ads_upsert,
+    "eav_pivot": q_eav_pivot,
+    "eav_multi_key": q_eav_multi_key,
+    "url_host": q_url_host,
+    "full_name": q_full_name,
+    "lenient_dates": q_lenient_dates,
+    "lenient_numbers": q_lenient_numbers,
+    "utf8_clean": q_utf8_clean,
+})
