@@ -1,0 +1,239 @@
+import datetime as dt
+import json
+import os
+import tempfile
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from martlane.plans.orders import build_orders
+from tests.conftest import rows
+
+POSTS = "source_store string, ID bigint, post_type string, post_date timestamp_ntz, post_status string, post_parent bigint"
+META = "source_store string, post_id bigint, meta_key string, meta_value string"
+ITEMS = "source_store string, order_item_id bigint, order_id bigint, order_item_name string, order_item_type string"
+IMETA = "source_store string, order_item_id bigint, meta_key string, meta_value string"
+LOOKUP = "product_id bigint, sku string, stock_quantity double"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def _orders(spark, items, imeta, lookup, meta=None, posts=None, **kw):
+    posts = posts or [("DE", 1, "shop_order", T0, "wc-completed", 0)]
+    meta = meta or [("DE", 1, "_order_tax", "1.10")]
+    o = build_orders(spark.createDataFrame(posts, POSTS), spark.createDataFrame(meta, META),
+                     spark.createDataFrame(items, ITEMS), spark.createDataFrame(imeta, IMETA),
+                     spark.createDataFrame(lookup, LOOKUP), **kw)
+    return {r["order_id"]: r for r in o.collect()}
+
+
+def test_units_total_distinct_products_fx3(spark):
+    items = [("DE", i, 1, "x", "line_item") for i in range(1, 5)]
+    im = [("DE", 1, "_product_id", "1"), ("DE", 1, "_variation_id", "10"),
+          ("DE", 2, "_product_id", "1"), ("DE", 2, "_variation_id", "11"),
+          ("DE", 3, "_product_id", "9"),
+          ("DE", 4, "_product_id", "1")]
+    lookup = [(10, "", None), (11, "B", None), (1, "A", None)]
+    o = _orders(spark, items, im, lookup)
+    assert o[1]["units_total"] == 3
+    assert o[1]["ordered_items_skus"] == "(Unregistered SKU), A, A(), A(B)"
+
+
+def test_qty_rounding_and_gross_fx4_fx5_fx7(spark):
+    items = [("DE", 1, 1, "x", "line_item"), ("DE", 2, 1, "y", "line_item"),
+             ("DE", 3, 1, "fee", "fee"), ("DE", 12, 1, "s", "shipping"), ("DE", 11, 1, "s", "shipping")]
+    im = [("DE", 1, "_qty", "1.00"), ("DE", 1, "_line_subtotal", "10.00"),
+          ("DE", 2, "_qty", "1.50"), ("DE", 2, "_line_subtotal", "5.50"),
+          ("DE", 3, "_fee_amount", "2.00"),
+          ("DE", 12, "cost", "7.00"), ("DE", 11, "cost", "4.00")]
+    o = _orders(spark, items, im, [])
+    r = o[1]
+    assert r["ordered_items_count"] == 3
+    assert r["shipping_fee"] == D("4.00")
+    # 10.00 + 5.50 + tax 1.10 + fee 2.00 + shipping (7.00 + 4.00)
+    assert r["gross_total"] == D("29.60")
+    assert r["subtotal"] == D("15.50")
+
+
+def test_no_lines_gives_zero_fx6_fx48(spark):
+    items = [("DE", 3, 1, "fee", "fee")]
+    im = [("DE", 3, "_fee_amount", "2.00")]
+    o = _orders(spark, items, im, [], meta=[("DE", 1, "_order_tax", "5")])
+    r = o[1]
+    assert (r["gross_total"], r["subtotal"], r["ordered_items_count"], r["units_total"]) == (D("0.00"), D("0.00"), 0, 0)
+    assert r["ordered_items_skus"] == ""
+
+
+def test_cogs_both_keys_fx8(spark):
+    items = [("DE", 1, 1, "x", "line_item")]
+    im = [("DE", 1, "_qty", "2"), ("DE", 1, "_product_id", "5")]
+    pm = spark.createDataFrame([(5, "_alg_wc_cog_cost", "3.00"), (5, "_wc_cog_cost", "4.00")],
+                               "post_id bigint, meta_key string, meta_value string")
+    o = _orders(spark, items, im, [], product_meta=pm, cogs_mode="items")
+    assert o[1]["cogs"] == D("14.00")
+    o0 = _orders(spark, items, im, [], product_meta=pm)
+    assert o0[1]["cogs"] == D("0.00")
+
+
+def test_sku_list_fx10(spark):
+    items = [("DE", i, 1, "x", "line_item") for i in (1, 2, 3)]
+    im = [("DE", 1, "_product_id", "2"), ("DE", 2, "_product_id", "1"), ("DE", 3, "_product_id", "2")]
+    o = _orders(spark, items, im, [(1, "A", None), (2, "B", None)])
+    assert o[1]["ordered_items_skus"] == "A, B"
+
+
+def test_marketplace_filter_fx15(spark):
+    posts = [("OPS", i, "shop_order", T0, "wc-completed", 0) for i in (1, 2, 3, 4)]
+    meta = [("OPS", 1, "_payment_method", "bol"), ("OPS", 2, "_payment_method", "other"),
+            ("OPS", 3, "_payment_method", "card")]
+    o = _orders(spark, [], [], [], meta=meta, posts=posts)
+    assert sorted(o) == [1, 2]
+
+
+def _customers(spark, posts, meta, users, umeta=()):
+    from martlane.plans.customers import build_customers
+    return {r["customer_id"]: r for r in build_customers(
+        spark.createDataFrame(users, "source_store string, ID bigint, user_email string, user_registered string"),
+        spark.createDataFrame(list(umeta), "source_store string, user_id bigint, meta_key string, meta_value string"),
+        spark.createDataFrame(posts, POSTS), spark.createDataFrame(meta, META),
+        spark.createDataFrame([], ITEMS)).collect()}
+
+
+def test_customer_without_orders_fx25_refund_without_parent_fx26(spark):
+    users = [("DE", 1, "A@X.COM", "0000-00-00 00:00:00"), ("DE", 2, "b@x.com", "2020-01-01")]
+    posts = [("DE", 10, "shop_order", T0, "wc-completed", 0),
+             ("DE", 11, "shop_order_refund", T0, "wc-completed", 10),
+             ("DE", 12, "shop_order_refund", T0, "wc-completed", 99)]
+    meta = [("DE", 10, "_customer_user", "2"), ("DE", 10, "_order_total", "10.00"),
+            ("DE", 11, "_refund_amount", "3.00"), ("DE", 12, "_refund_amount", "7.00")]
+    c = _customers(spark, posts, meta, users)
+    assert (c[1]["orders_count"], c[1]["units_total"], c[1]["ltv"], c[1]["aov"]) == (0, 0, D("0.00"), D("0.00"))
+    assert c[1]["first_order_date"] is None and c[1]["registered_at"] is None
+    assert c[1]["email"] == "a@x.com"
+    assert (c[2]["orders_count"], c[2]["ltv"], c[2]["aov"], c[2]["refunds_total"]) == (1, D("10.00"), D("10.00"), D("3.00"))
+
+
+def test_orders_eur_fx27_customers_eur_fx28(spark):
+    from martlane import schemas as S
+    from martlane.plans.masters import customers_eur, orders_eur, seed_rates
+    rates = seed_rates(spark)
+    cols = {c: F.lit(D("100.00")).cast("decimal(12,2)") for c in S.ORDER_MONEY_COLUMNS}
+    base = spark.createDataFrame([("TRY", 1), ("USD", 2)], "currency_code string, order_id bigint")
+    o = base.withColumns(cols).withColumn("net_margin", F.lit(D("12.34")).cast("decimal(8,2)"))
+    for c in S.ORDERS_COLUMNS:
+        if c not in o.columns:
+            o = o.withColumn(c, F.lit(None).cast("string"))
+    got = {r["order_id"]: r for r in orders_eur(o, rates).collect()}
+    assert got[1]["gross_total"] == D("2.80") and got[2]["gross_total"] is None
+    assert got[1]["net_margin"] == D("12.34")
+    cust = spark.createDataFrame([(i, s) for i, s in enumerate(["TR", "BEFRLU", "SE", "UK"])],
+                                 "customer_id int, source_store string")
+    cust = cust.select("*", F.lit(D("100.00")).cast("decimal(12,2)").alias("ltv"),
+                       F.lit(D("100.00")).cast("decimal(12,2)").alias("aov"),
+                       *[F.lit(None).cast("string").alias(c) for c in
+                         ("full_name", "email", "billing_country", "billing_city", "orders_count",
+                          "units_total", "registered_at", "last_order_date")])
+    e = {r["customer_id"]: r["ltv_eur"] for r in customers_eur(cust, rates).collect()}
+    assert [e[i] for i in range(4)] == [D("2.80"), D("100.00"), D("8.70"), D("100.00")]
+
+
+def test_php_attributes_fx29_fx30(spark):
+    from martlane.functions.attributes import decode_php_attributes
+    raw = ('a:1:{s:7:"pa_renk";a:2:{s:4:"name";s:7:"pa_renk";s:5:"value";s:5:"12|99";}}')
+    raw2 = 'a:1:{s:8:"pa_marka";a:2:{s:4:"name";s:8:"pa_marka";s:5:"value";s:1:"7";}}'
+    df = spark.createDataFrame([(1, raw), (2, raw2), (3, None)], "id bigint, raw string")
+    d = spark.createDataFrame([("12", "Red")], "term_key string, term_name string")
+    got = {r["id"]: r["attributes"] for r in decode_php_attributes(df, "id", "raw", d).collect()}
+    assert got == {1: "Color:Red,99", 2: "Marka:7", 3: ""}
+
+
+def test_json_attributes_fx31_fx32(spark):
+    from martlane.functions.attributes import decode_json_attributes
+    b1 = '{"pa_renk":{"value":"kirmizi"},"pa_beden":{"value":"12"},"x":{"value":"y"}}'
+    df = spark.createDataFrame([(1, 0, b1), (2, 0, b1), (2, 1, "[]")], "id bigint, pos int, blob string")
+    d = spark.createDataFrame([("kirmizi", "Red"), ("12", "XL")], "term_key string, term_name string")
+    got = {r["id"]: r["attributes"] for r in decode_json_attributes(df, "id", "pos", "blob", d).collect()}
+    assert got == {1: "Color:Red, Size:XL", 2: "Color:Red, Size:XL"}
+
+
+def test_categories_fx33(spark):
+    from martlane.plans.products import rollup_categories
+    rel = spark.createDataFrame([(1, 5)], "object_id bigint, term_taxonomy_id bigint")
+    tax = spark.createDataFrame([(5, 50, "product_tag")], "term_taxonomy_id bigint, term_id bigint, taxonomy string")
+    terms = spark.createDataFrame([(50, "t", "T")], "term_id bigint, slug string, name string")
+    assert rows(rollup_categories(rel, tax, terms)) == [(1, None, "T")]
+
+
+def test_gallery_and_images_fx34_fx35(spark):
+    from martlane.plans.products import gallery_pairs, image_urls, rollup_images
+    posts = spark.createDataFrame([(1, "product", "a"), (2, "product", "b"), (3, "product", "c")],
+                                  "ID bigint, post_type string, post_title string")
+    meta = spark.createDataFrame([(1, "_product_image_gallery", "12,11,,12,13"), (2, "_product_image_gallery", "")],
+                                 "post_id bigint, meta_key string, meta_value string")
+    pairs = gallery_pairs(posts, meta)
+    assert sorted(rows(pairs)) == [(1, 11), (1, 12), (1, 13)]
+    att = spark.createDataFrame([(11, "attachment", "url11", "image/png"), (12, "attachment", "url12", "image/jpeg")],
+                                "ID bigint, post_type string, guid string, post_mime_type string")
+    assert rows(rollup_images(pairs, image_urls(att))) == [(1, "url11,url12")]
+
+
+def _returns(spark, fanout):
+    from martlane.plans.returns import build_returns
+    sh = spark.createDataFrame([(1, "N1", "e", T0, T0, "site", "open")],
+                               "id bigint, order_id string, order_email string, order_date timestamp_ntz, created_at timestamp_ntz, order_site string, shipment_status string")
+    it = spark.createDataFrame([(1, 1, " A , B(1),,NULL", "{}", "r", D("10.00")), (2, 1, " A,C 1", "[]", "r", D("5.00"))],
+                               "id bigint, shipment_id bigint, product_sku string, attributes string, return_reason string, total decimal(12,2)")
+    de = spark.createDataFrame([(1, "DHL", D("1.00"), "p", "EUR"), (1, "UPS", D("2.00"), "p", "EUR")],
+                               "shipment_id bigint, shiping_method string, shiping_price decimal(12,2), payment_method string, currency string")
+    ad = spark.createDataFrame([(1, "NL", "X")], "shipment_id bigint, country string, city string")
+    return build_returns(sh, it, de, ad, None, fanout=fanout)
+
+
+def test_returns_fanout_fx37(spark):
+    f = _returns(spark, True).first()
+    d = _returns(spark, False).first()
+    assert (f["return_requested_items_count"], f["return_requested_total_amount"]) == (4, D("30.00"))
+    assert (d["return_requested_items_count"], d["return_requested_total_amount"]) == (2, D("15.00"))
+
+
+def test_returns_by_product_fx38_fx39(spark):
+    from martlane.plans.returns import returns_by_product
+    r = _returns(spark, False)
+    prods = spark.createDataFrame([("A", "t1", "pa", "c"), ("A", "t2", "pa", "c")],
+                                  "sku string, title string, parent_sku string, categories string")
+    got = sorted(rows(returns_by_product(r, prods), "sku", "product_name", "total_returns"), key=str)
+    assert got == [("A", "t1", 1), ("A", "t2", 1), ("B(1)", None, 1), ("C1", None, 1)]
+
+
+def test_read_ads_json_fx42_roas_fx43(spark):
+    from martlane.plans.ads import flatten_ads, read_ads_json
+    d = tempfile.mkdtemp(prefix="ads-json-")
+    rec = {"campaign_name": "c", "ad_name": "a", "adset_name": "s", "impressions": "10", "clicks": "2",
+           "spend": "1.50", "cpc": "0.75", "purchase_roas": [{"action_type": "x", "value": "3.2"}],
+           "date_start": "2024-01-01", "date_stop": "2024-01-01"}
+    rec2 = dict(rec, ad_name="b", purchase_roas=[])
+    rec3 = {k: v for k, v in rec.items() if k != "purchase_roas"}
+    rec3["ad_name"] = "c"
+    docs = [{"data": [rec, None]}, {"error": 1}, {"data": []}, {"data": [rec2, rec3]}]
+    for i, doc in enumerate(docs):
+        with open(os.path.join(d, f"f{i}.json"), "w") as fh:
+            json.dump(doc, fh)
+    got = {r["ad_name"]: r["purchase_roas"] for r in flatten_ads(read_ads_json(spark, d)).collect()}
+    assert got == {"a": D("3.2000"), "b": D("0.0000"), "c": D("0.0000")}
+
+
+def test_ads_stream_idempotent(spark):
+    from martlane.streaming.ads_stream import read_ads_table, run_ads_stream
+    land = tempfile.mkdtemp(prefix="ads-land-")
+    table = tempfile.mkdtemp(prefix="ads-table-")
+    ck = tempfile.mkdtemp(prefix="ads-ck-")
+    rec = {"campaign_name": "c1", "ad_name": "a", "adset_name": "s", "impressions": "10", "clicks": "1",
+           "spend": "1.00", "cpc": "1.00", "purchase_roas": [], "date_start": "2024-01-01", "date_stop": "2024-01-01"}
+    with open(os.path.join(land, "d1.json"), "w") as fh:
+        json.dump({"data": [rec]}, fh)
+    run_ads_stream(spark, land, table, checkpoint=ck)
+    with open(os.path.join(land, "d2.json"), "w") as fh:
+        json.dump({"data": [dict(rec, campaign_name="c2", clicks="5")]}, fh)
+    run_ads_stream(spark, land, table, checkpoint=ck)
+    run_ads_stream(spark, land, table, checkpoint=ck)
+    got = rows(read_ads_table(spark, table), "campaign_name", "ad_name", "clicks")
+    assert got == [("c1", "a", 5)]
