@@ -657,3 +657,48 @@ ORACLE.update({
     "lenient_numbers": LENIENT_NUMBERS,
     "utf8_clean": UTF8_CLEAN,
 })
+
+
+STORE_UNION_ITEMS = "WITH " + BASE + "," + ITEM_LINES + """
+SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, il.variation_id,
+  CASE WHEN il.variation_id IS NULL OR il.variation_id = 0 THEN pp.sku
+       WHEN pp.sku IS NULL THEN pv.sku
+       WHEN pv.sku IS NULL THEN pp.sku
+       ELSE pp.sku || '(' || pv.sku || ')' END AS sku,
+  'Part ' || CAST(il.l_partkey AS VARCHAR) AS order_item_name,
+  CAST(il.l_quantity AS INTEGER) AS quantity,
+  CAST(il.net AS DOUBLE) AS line_total,
+  CAST(round(il.net * CAST(il.l_tax AS DECIMAL(4,2)), 2) AS DOUBLE) AS line_tax,
+  CASE WHEN il.l_returnflag = 'R' THEN il.l_orderkey + 1000000000000 END AS refund_reference,
+  coalesce(cur.currency, 'EUR') AS currency_code,
+  il.store AS source_store,
+  il.o_orderdate AS created_at
+FROM il
+LEFT JOIN smap pp ON il.l_partkey = pp.pid
+LEFT JOIN smap pv ON il.variation_id = pv.pid
+LEFT JOIN cur ON il.store = cur.cstore
+WHERE il.store IN (""" + MASTER_ORDER_STORES_SQL + """)
+"""
+
+ORDER_COGS_MAP = "WITH " + BASE + "," + PARTS + """,
+cmap AS (
+  SELECT p_partkey, CASE WHEN p_type IN ('PROMO', 'SMALL', 'LARGE', 'ECONOMY') THEN wc ELSE greatest(wc, alt) END AS cog
+  FROM pa WHERE wc > 0),
+mc AS (
+  SELECT l_orderkey, sum(CAST(CAST(l_quantity AS INTEGER) AS DECIMAL(12,4)) * CAST(cog AS DECIMAL(12,4))) AS cogs
+  FROM lineitem JOIN cmap ON l_partkey = p_partkey GROUP BY l_orderkey),
+pr AS (
+  SELECT omx.store, order_id, gross - discount + refunded AS rev,
+    CASE WHEN post_type = 'shop_order' THEN CAST(coalesce(mc.cogs, 0) AS DECIMAL(12,2)) ELSE 0 END AS cogs
+  FROM omx LEFT JOIN mc ON omx.order_id = mc.l_orderkey)
+SELECT store AS source_store, order_id, CAST(cogs AS DOUBLE) AS cogs,
+  CAST(round(rev - cogs, 2) AS DOUBLE) AS net_profit,
+  CAST(CASE WHEN rev > 0 THEN greatest(least(round(CAST((rev - cogs) / rev AS DECIMAL(18,6)) * 100, 2), 9999.99), -9999.99)
+            ELSE 0 END AS DOUBLE) AS net_margin
+FROM pr
+"""
+
+ORACLE.update({
+    "store_union_items": STORE_UNION_ITEMS,
+    "order_cogs_map": ORDER_COGS_MAP,
+})

@@ -28,6 +28,22 @@ def shapes(spark: SparkSession, sf_dir: str) -> ShopShapes:
     return _CACHE[key]
 
 
+_WH: dict = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str):
+    """Written marts over the shaped sources of ``sf_dir`` (see plans/warehouse.py)."""
+    import hashlib
+    from martlane.plans.warehouse import Warehouse
+    from martlane.session import checkpoint_dir
+    key = (id(spark), sf_dir)
+    if key not in _WH:
+        tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+        root = f"{checkpoint_dir(spark).rstrip('/')}/marts/{tag}"
+        _WH[key] = Warehouse(spark, shapes(spark, sf_dir), root)
+    return _WH[key]
+
+
 def as_double(df: DataFrame) -> DataFrame:
     """Decimal columns -> double at the output edge."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name)
@@ -122,16 +138,14 @@ def q_refund_by_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_store_union_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlane.plans.masters import master_orders
-    m = master_orders(_orders(spark, sf_dir))
+    m = warehouse(spark, sf_dir).table("master_orders")
     return as_double(m.select("source_store", "order_number_formatted", "order_id", "order_date",
                               "customer_id", "gross_total", "net_revenue", "net_profit",
                               "net_margin"))
 
 
 def q_store_union_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlane.plans.masters import master_customers
-    m = master_customers(_customers(spark, sf_dir))
+    m = warehouse(spark, sf_dir).table("master_customers")
     return as_double(m.select("customer_number_formatted", "source_store", "customer_id",
                               "registered_at", "first_order_date", "last_order_date",
                               "orders_count", "ltv", "aov"))
@@ -143,15 +157,12 @@ def _rates(spark):
 
 
 def q_customers_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlane.plans.masters import customers_eur, master_customers
-    m = master_customers(_customers(spark, sf_dir))
-    return as_double(customers_eur(m, _rates(spark)))
+    return as_double(warehouse(spark, sf_dir).table("customers_eur"))
 
 
 def q_orders_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane import schemas as S
-    from martlane.plans.masters import master_orders, orders_eur
-    e = orders_eur(master_orders(_orders(spark, sf_dir)), _rates(spark))
+    e = warehouse(spark, sf_dir).table("eur_orders")
     return as_double(e.select("source_store", "order_number_formatted", "order_id",
                               "currency_code", *S.ORDER_MONEY_COLUMNS, "net_margin"))
 
@@ -243,8 +254,7 @@ def q_return_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_returns_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlane.plans.returns import returns_by_product
-    return returns_by_product(_returns(spark, sf_dir), _product_master(spark, sf_dir))
+    return warehouse(spark, sf_dir).table("return_by_product")
 
 
 QUERIES.update({
@@ -382,3 +392,23 @@ QUERIES.update({
     "lenient_numbers": q_lenient_numbers,
     "utf8_clean": q_utf8_clean,
 })
+
+
+def q_store_union_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = warehouse(spark, sf_dir).table("master_order_items")
+    return as_double(m.drop("order_item_id"))
+
+
+def q_order_cogs_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COGS from the PIM cost map (qty x cog_value), then the profit metrics."""
+    from martlane.plans.orders import build_orders, unit_cost_map
+    s = shapes(spark, sf_dir)
+    o = build_orders(s.order_posts, s.order_meta, s.order_items, s.item_meta, s.product_lookup,
+                     cogs_mode="cost_map", cost_map=unit_cost_map(s.product_meta, s.product_posts))
+    return as_double(o.select("source_store", "order_id", "cogs", "net_profit", "net_margin"))
+
+
+QUERIES.update({
+    "store_union_items": q_store_union_items,
+    "order_cogs_map": q_order_cogs_map,
+})
