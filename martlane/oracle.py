@@ -108,7 +108,7 @@ SELECT omx.store AS source_store, order_id,
   order_date,
   CASE WHEN post_type = 'shop_order' THEN pst.post_status ELSE 'wc-completed' END AS order_status,
   CASE WHEN post_type <> 'shop_order' THEN NULL WHEN o_orderpriority = '5-LOW' THEN 0
-       ELSE o_custkey + 1 END::BIGINT AS customer_id,
+       ELSE o_custkey + 1 END::DOUBLE AS customer_id,
   CASE WHEN post_type <> 'shop_order' THEN NULL
        WHEN o_orderstatus = 'P' THEN CAST(k AS VARCHAR)
        ELSE 'shop-' || lower(c_mktsegment) || '.example.com' END AS site,
@@ -192,7 +192,7 @@ il AS (
 """
 
 ORDER_ITEMS_SKU = "WITH " + BASE + "," + ITEM_LINES + """
-SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, il.variation_id,
+SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_id AS DOUBLE) AS variation_id,
   CASE WHEN il.variation_id IS NULL OR il.variation_id = 0 THEN pp.sku
        WHEN pp.sku IS NULL THEN pv.sku
        WHEN pv.sku IS NULL THEN pp.sku
@@ -201,7 +201,7 @@ SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, il.variation_id,
   CAST(il.l_quantity AS INTEGER) AS quantity,
   CAST(il.net AS DOUBLE) AS line_total,
   CAST(round(il.net * CAST(il.l_tax AS DECIMAL(4,2)), 2) AS DOUBLE) AS line_tax,
-  CASE WHEN il.l_returnflag = 'R' THEN il.l_orderkey + 1000000000000 END AS refund_reference,
+  CAST(CASE WHEN il.l_returnflag = 'R' THEN il.l_orderkey + 1000000000000 END AS DOUBLE) AS refund_reference,
   coalesce(cur.currency, 'EUR') AS currency_code,
   il.store AS source_store,
   il.o_orderdate AS created_at
@@ -311,7 +311,8 @@ mo AS (
 """
 
 STORE_UNION_ORDERS = "WITH " + BASE + "," + ORDER_NUMBERED + """
-SELECT store AS source_store, trim(num) AS order_number_formatted, order_id, order_date, customer_id,
+SELECT store AS source_store, trim(num) AS order_number_formatted, order_id, order_date,
+  CAST(customer_id AS DOUBLE) AS customer_id,
   CAST(gross AS DOUBLE) AS gross_total, CAST(round(rev, 2) AS DOUBLE) AS net_revenue,
   CAST(round(rev, 2) AS DOUBLE) AS net_profit,
   CAST(CASE WHEN rev > 0 THEN 100 ELSE 0 END AS DOUBLE) AS net_margin
@@ -439,7 +440,7 @@ SELECT product_id, image_url FROM img
 PRODUCT_MASTER = "WITH " + PARTS + """
 SELECT p_partkey AS product_id, p_name AS title, 'P' || CAST(p_partkey AS VARCHAR) AS sku,
   'M-' || CAST(b AS VARCHAR) AS parent_sku, attributes,
-  CASE WHEN p_size = 2 THEN NULL ELSE p_size * 3 END::INTEGER AS stock_qty,
+  CASE WHEN p_size = 2 THEN NULL ELSE p_size * 3 END::DOUBLE AS stock_qty,
   categories, tags,
   CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS regular_price,
   CAST(CASE WHEN p_size > 40 THEN round(CAST(p_retailprice AS DECIMAL(12,2)) * 0.9, 2) END AS DOUBLE) AS sale_price,
@@ -660,7 +661,7 @@ ORACLE.update({
 
 
 STORE_UNION_ITEMS = "WITH " + BASE + "," + ITEM_LINES + """
-SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, il.variation_id,
+SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_id AS DOUBLE) AS variation_id,
   CASE WHEN il.variation_id IS NULL OR il.variation_id = 0 THEN pp.sku
        WHEN pp.sku IS NULL THEN pv.sku
        WHEN pv.sku IS NULL THEN pp.sku
@@ -669,7 +670,7 @@ SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, il.variation_id,
   CAST(il.l_quantity AS INTEGER) AS quantity,
   CAST(il.net AS DOUBLE) AS line_total,
   CAST(round(il.net * CAST(il.l_tax AS DECIMAL(4,2)), 2) AS DOUBLE) AS line_tax,
-  CASE WHEN il.l_returnflag = 'R' THEN il.l_orderkey + 1000000000000 END AS refund_reference,
+  CAST(CASE WHEN il.l_returnflag = 'R' THEN il.l_orderkey + 1000000000000 END AS DOUBLE) AS refund_reference,
   coalesce(cur.currency, 'EUR') AS currency_code,
   il.store AS source_store,
   il.o_orderdate AS created_at

@@ -44,11 +44,15 @@ def warehouse(spark: SparkSession, sf_dir: str):
     return _WH[key]
 
 
-def as_double(df: DataFrame) -> DataFrame:
-    """Decimal columns -> double at the output edge."""
+NULLABLE_INTS = {"customer_id", "variation_id", "refund_reference", "stock_qty"}
+
+
+def as_double(df: DataFrame, nullable_ints=()) -> DataFrame:
+    """Decimal columns -> double at the output edge; so are integer columns that hold NULLs
+    (``nullable_ints``), which pandas would otherwise render differently per engine."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name)
-                       if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-                       for f in df.schema.fields])
+                       if isinstance(f.dataType, T.DecimalType) or f.name in nullable_ints
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def _orders(spark, sf_dir, cogs_mode="zero"):
@@ -64,7 +68,8 @@ def q_order_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_store", "order_id", "order_number_formatted", "order_date", "order_status",
         "customer_id", "site", "billing_country", "payment_method", "currency_code",
         "units_total", "ordered_items_count", "subtotal", "gross_total", "tax_amount",
-        "shipping_fee", "fee_amount", "discount_amount", "refunded_amount", "total_price"))
+        "shipping_fee", "fee_amount", "discount_amount", "refunded_amount", "total_price"),
+        NULLABLE_INTS)
 
 
 def q_order_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +97,7 @@ def q_order_items_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = shapes(spark, sf_dir)
     items = build_order_items(s.order_items, s.item_meta, s.order_posts, s.order_meta)
     out = apply_sku_map(items, sku_map(s.product_lookup))
-    return as_double(out.drop("order_item_id"))
+    return as_double(out.drop("order_item_id"), NULLABLE_INTS)
 
 
 def q_unit_cost_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +146,7 @@ def q_store_union_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse(spark, sf_dir).table("master_orders")
     return as_double(m.select("source_store", "order_number_formatted", "order_id", "order_date",
                               "customer_id", "gross_total", "net_revenue", "net_profit",
-                              "net_margin"))
+                              "net_margin"), NULLABLE_INTS)
 
 
 def q_store_union_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +222,7 @@ def _product_master(spark, sf_dir):
 
 
 def q_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_double(_product_master(spark, sf_dir))
+    return as_double(_product_master(spark, sf_dir), NULLABLE_INTS)
 
 
 QUERIES.update({
@@ -396,7 +401,7 @@ QUERIES.update({
 
 def q_store_union_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse(spark, sf_dir).table("master_order_items")
-    return as_double(m.drop("order_item_id"))
+    return as_double(m.drop("order_item_id"), NULLABLE_INTS)
 
 
 def q_order_cogs_map(spark: SparkSession, sf_dir: str) -> DataFrame:
