@@ -95,7 +95,8 @@ def unit_cost_map(product_meta: DataFrame, product_posts: DataFrame | None = Non
         F.max(F.col("meta_value").try_cast(S.MONEY4)).alias("cog_value"))
 
 
-def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None) -> DataFrame:
+def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
+                cost_map: DataFrame | None = None) -> DataFrame:
     """All per-order item aggregates in a single groupBy(store, order)."""
     is_line = F.col("order_item_type") == "line_item"
     is_fee = F.col("order_item_type") == "fee"
@@ -105,6 +106,11 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None) -> Dat
         f = f.join(product_costs, "product_id", "left")
     else:
         f = f.withColumn("unit_cost_sum", F.lit(None).cast(S.MONEY))
+    if cost_map is not None:
+        # left join + sum over matched lines = the inner-join form of the cost-map COGS
+        f = f.join(cost_map, "product_id", "left")
+    else:
+        f = f.withColumn("cog_value", F.lit(None).cast(S.MONEY4))
     blank = lambda c: F.nullif(F.col(c), F.lit(""))
     unit_key = F.when(is_line, F.coalesce(blank("variation_sku"), blank("parent_sku"),
                                           F.col("product_text")))
@@ -127,6 +133,8 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None) -> Dat
          .alias("fee_first"),
         F.sum(F.when(is_line, lenient_decimal("qty_text", 12, 2) * F.col("unit_cost_sum")))
          .alias("item_cogs"),
+        F.sum(F.when(is_line, F.col("qty_text").try_cast(S.MONEY4) * F.col("cog_value")))
+         .alias("map_cogs"),
     )
     return g.withColumn("ordered_items_count",
                         F.round(F.coalesce(F.col("qty_sum"), F.lit(0)), 0).cast("int")).drop("qty_sum")
@@ -144,16 +152,9 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
     hdr = order_header(posts, post_meta)
     facts = item_facts(items, item_meta, product_lookup)
     costs = product_cost_total(product_meta) if (product_meta is not None and cogs_mode == "items") else None
-    roll = item_rollup(facts, costs)
-    if cogs_mode == "cost_map":
-        if cost_map is None:
-            raise ValueError("cogs_mode='cost_map' needs cost_map")
-        cm = (facts.filter(F.col("order_item_type") == "line_item")
-                   .join(cost_map, "product_id", "inner")
-                   .groupBy("order_id", STORE)
-                   .agg(F.sum(F.col("qty_text").try_cast(S.MONEY4) * F.col("cog_value"))
-                        .alias("map_cogs")))
-        roll = roll.join(cm, ["order_id", STORE], "left")
+    if cogs_mode == "cost_map" and cost_map is None:
+        raise ValueError("cogs_mode='cost_map' needs cost_map")
+    roll = item_rollup(facts, costs, cost_map if cogs_mode == "cost_map" else None)
     o = hdr.join(roll, ["order_id", STORE], "left")
     tax = lenient_decimal("tax_text", 12, 2)
     gross = (F.col("line_subtotal_sum") + F.coalesce(tax, F.lit(0)) + F.coalesce(F.col("fee_sum"), F.lit(0))

@@ -19,18 +19,23 @@ PRODUCT_META = {
 }
 
 
+def product_base(posts: DataFrame, post_meta: DataFrame, product_lookup: DataFrame) -> DataFrame:
+    """Products and variations with their pivoted meta and stock (one pivot of the meta)."""
+    p = posts.filter(F.col("post_type").isin(S.PRODUCT_TYPES)).select(
+        F.col("ID").alias("product_id"), F.col("post_title").alias("title"))
+    meta = eav_pivot(post_meta, "post_id", PRODUCT_META).withColumnRenamed("post_id", "product_id")
+    stock = product_lookup.groupBy("product_id").agg(F.max("stock_quantity").alias("stock"))
+    return p.join(meta, "product_id", "left").join(stock, "product_id", "left")
+
+
 def build_products(posts: DataFrame, post_meta: DataFrame, product_lookup: DataFrame,
-                   terms: DataFrame) -> DataFrame:
-    """Products and variations with pivoted meta, stock, decoded attributes.
+                   terms: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """Products with decoded attributes and typed prices.
 
     ``image_url`` starts as the gallery id list and ``categories``/``tags`` as NULL, as
     in the source; the roll-ups below replace them.
     """
-    p = posts.filter(F.col("post_type").isin(S.PRODUCT_TYPES)).select(
-        F.col("ID").alias("product_id"), F.col("post_title").alias("title"))
-    meta = eav_pivot(post_meta, "post_id", PRODUCT_META).withColumnRenamed("post_id", "product_id")
-    stock = product_lookup.groupBy("product_id").agg(F.max("stock_quantity").alias("stock"))
-    j = p.join(meta, "product_id", "left").join(stock, "product_id", "left")
+    j = base if base is not None else product_base(posts, post_meta, product_lookup)
     attrs = decode_php_attributes(j.select("product_id", "attributes_raw"), "product_id",
                                   "attributes_raw", term_dictionary(terms, with_slugs=False))
     j = j.join(attrs, "product_id", "left")
@@ -70,8 +75,13 @@ def gallery_pairs(posts: DataFrame, post_meta: DataFrame) -> DataFrame:
     """(product_id, image_id): the gallery id list exploded, blanks dropped, pairs unique."""
     p = posts.filter(F.col("post_type").isin(S.PRODUCT_TYPES)).select(F.col("ID").alias("post_id"))
     g = eav_pivot(post_meta, "post_id", {"ids": "_product_image_gallery"})
-    j = p.join(g, "post_id", "left")
-    e = j.select(F.col("post_id").alias("product_id"), F.explode(F.split("ids", ",")).alias("x"))
+    j = p.join(g, "post_id", "left").withColumnRenamed("post_id", "product_id")
+    return pairs_from_lists(j, "ids")
+
+
+def pairs_from_lists(df: DataFrame, ids_col: str) -> DataFrame:
+    """(product_id, id list text) -> unique (product_id, image_id) pairs."""
+    e = df.select("product_id", F.explode(F.split(ids_col, ",")).alias("x"))
     e = e.filter(F.col("x") != "")
     image_id = F.coalesce(F.regexp_extract("x", r"^\s*([0-9]+)", 1).try_cast("bigint"), F.lit(0).cast("bigint"))
     return e.select("product_id", image_id.alias("image_id")).distinct()
@@ -101,7 +111,9 @@ def apply_images(products: DataFrame, rolled: DataFrame) -> DataFrame:
 def product_master(posts, post_meta, product_lookup, terms, term_relationships, term_taxonomy,
                    attachments) -> DataFrame:
     """Products -> categories/tags -> images, in the source's dependency order."""
-    prod = build_products(posts, post_meta, product_lookup, terms)
+    base = product_base(posts, post_meta, product_lookup)
+    prod = build_products(posts, post_meta, product_lookup, terms, base=base)
+    # gallery pairs come from the same pivot of the product meta
+    pairs = pairs_from_lists(base.select("product_id", "gallery_text"), "gallery_text")
     prod = apply_categories(prod, rollup_categories(term_relationships, term_taxonomy, terms))
-    pairs = gallery_pairs(posts, post_meta)
     return apply_images(prod, rollup_images(pairs, image_urls(attachments)))
