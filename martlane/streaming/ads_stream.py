@@ -3,54 +3,34 @@
 Landed API documents (``{"data": [...]}`` JSON files) are a file stream; each
 micro-batch is flattened and upserted into the advertisements table with
 ``foreachBatch``.  ``trigger(availableNow=True)`` processes what has landed and stops,
-which is the scheduled-batch form of the source's two-hourly run; the checkpoint in
-the shared checkpoint folder makes reruns skip files already applied, and the upsert
-is idempotent, so a replayed batch after an executor or driver loss is harmless.
+which is the scheduled-batch form of the source's two-hourly run.  The stream's
+checkpoint sits in the shared checkpoint folder, so a rerun skips files already applied;
+the upsert is idempotent, so a micro-batch replayed after a failure is harmless.
 
-The table is kept as parquet versions: each batch writes a new version directory and a
-pointer file names the current one (parquet has no MERGE; a table format with MERGE
-would replace this by ``mergeInto``).
+The table is stored partitioned by ``date_start``: each micro-batch reads and rewrites
+only the days it touches (``apply_ads_batch``: partition pruning + dynamic partition
+overwrite), never the whole history.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlane import schemas as S
-from martlane.plans.ads import flatten_ads, upsert_ads
+from martlane.plans.ads import apply_ads_batch, flatten_ads
 from martlane.session import checkpoint_dir
 
 
-def _current(spark: SparkSession, table_root: str) -> DataFrame | None:
-    ptr = os.path.join(table_root, "_CURRENT")
-    if not os.path.exists(ptr):
-        return None
-    with open(ptr) as fh:
-        return spark.read.parquet(os.path.join(table_root, fh.read().strip()))
+def read_ads_table(spark: SparkSession, table_path: str) -> DataFrame:
+    return spark.read.parquet(table_path)
 
 
-def _publish(df: DataFrame, table_root: str) -> str:
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(os.path.join(table_root, version))
-    tmp = os.path.join(table_root, "_CURRENT.tmp")
-    with open(tmp, "w") as fh:
-        fh.write(version)
-    os.replace(tmp, os.path.join(table_root, "_CURRENT"))
-    return version
-
-
-def read_ads_table(spark: SparkSession, table_root: str) -> DataFrame | None:
-    return _current(spark, table_root)
-
-
-def run_ads_stream(spark: SparkSession, landing_dir: str, table_root: str,
+def run_ads_stream(spark: SparkSession, landing_dir: str, table_path: str,
                    keys=("ad_name", "date_start"), checkpoint: str | None = None) -> None:
     """Process every landed file not yet applied, upserting each micro-batch."""
-    os.makedirs(table_root, exist_ok=True)
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "ads_stream")
     stream = (spark.readStream.schema(S.ADS_JSON_SCHEMA).option("multiLine", True)
                    .json(landing_dir)
@@ -60,10 +40,7 @@ def run_ads_stream(spark: SparkSession, landing_dir: str, table_root: str,
                      .select("r.*", F.struct("_file", "_i").alias("position")))
 
     def apply(batch: DataFrame, _epoch: int) -> None:
-        flat = flatten_ads(batch)
-        current = _current(spark, table_root)
-        merged = upsert_ads(current, flat, keys=list(keys))
-        _publish(merged, table_root)
+        apply_ads_batch(spark, table_path, flatten_ads(batch), keys=list(keys))
 
     q = (records.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
                 .trigger(availableNow=True).start())

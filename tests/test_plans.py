@@ -224,16 +224,18 @@ def test_read_ads_json_fx42_roas_fx43(spark):
 def test_ads_stream_idempotent(spark):
     from martlane.streaming.ads_stream import read_ads_table, run_ads_stream
     land = tempfile.mkdtemp(prefix="ads-land-")
-    table = tempfile.mkdtemp(prefix="ads-table-")
+    table = os.path.join(tempfile.mkdtemp(prefix="ads-table-"), "advertisements")
     ck = tempfile.mkdtemp(prefix="ads-ck-")
     rec = {"campaign_name": "c1", "ad_name": "a", "adset_name": "s", "impressions": "10", "clicks": "1",
            "spend": "1.00", "cpc": "1.00", "purchase_roas": [], "date_start": "2024-01-01", "date_stop": "2024-01-01"}
+    other = dict(rec, ad_name="z", date_start="2024-01-02", date_stop="2024-01-02")
     with open(os.path.join(land, "d1.json"), "w") as fh:
-        json.dump({"data": [rec]}, fh)
+        json.dump({"data": [rec, other]}, fh)
     run_ads_stream(spark, land, table, checkpoint=ck)
     with open(os.path.join(land, "d2.json"), "w") as fh:
         json.dump({"data": [dict(rec, campaign_name="c2", clicks="5")]}, fh)
     run_ads_stream(spark, land, table, checkpoint=ck)
     run_ads_stream(spark, land, table, checkpoint=ck)
-    got = rows(read_ads_table(spark, table), "campaign_name", "ad_name", "clicks")
-    assert got == [("c1", "a", 5)]
+    got = sorted(rows(read_ads_table(spark, table), "campaign_name", "ad_name", "clicks"))
+    # day 2024-01-01 was rewritten with the update, day 2024-01-02 left as it was
+    assert got == [("c1", "a", 5), ("c1", "z", 1)]
