@@ -20,6 +20,17 @@ BASE_CONF = {
 }
 
 
+# Cluster sizing (applied only where the cluster config leaves them unset): start wide
+# and let AQE coalesce shuffle partitions toward the advisory size; the skew rule splits
+# partitions far above it.  At 100 TB a shuffle of ~10 TB lands near 300 MB/partition.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def get_spark(master: str | None = None, app: str = "martlane",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
@@ -37,6 +48,10 @@ def get_spark(master: str | None = None, app: str = "martlane",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not (master or spark.sparkContext.master).startswith("local"):
+        for k, v in CLUSTER_CONF.items():
+            if spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

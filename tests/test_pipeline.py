@@ -88,3 +88,15 @@ def test_ads_batches_cut_lineage(spark):
     out = wh.ads([a, b])
     keys = out.select("ad_name", "date_start")
     assert keys.count() == keys.distinct().count()
+
+
+def test_warehouse_store_partitioning(spark):
+    from martlane.plans.warehouse import Warehouse
+    from martlane.suite import shapes
+    root = tempfile.mkdtemp(prefix="wh-part-")
+    wh = Warehouse(spark, shapes(spark, SF), root, partition_stores=True)
+    m = wh.table("master_orders")
+    assert any(d.startswith("source_store=") for d in os.listdir(os.path.join(root, "master_orders")))
+    # a store filter prunes to its partition directory
+    plan = m.filter(F.col("source_store") == "DE")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_store" in plan
