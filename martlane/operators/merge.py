@@ -110,3 +110,13 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     if dup:
         raise ValueError(f"duplicate key {dict((k, dup[0][k]) for k in keys)}")
     return df
+
+
+def assert_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Raise when a NOT NULL column holds a NULL; returns the frame unchanged."""
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNull() if cond is None else (cond | F.col(c).isNull())
+    if df.filter(cond).limit(1).count():
+        raise ValueError(f"NULL in a NOT NULL column of {cols}")
+    return df

@@ -65,3 +65,18 @@ def test_assert_unique(spark):
     with pytest.raises(ValueError):
         assert_unique(df, ["k"])
     assert_unique(spark.createDataFrame([(1,), (2,)], "k int"), ["k"])
+
+
+def test_assert_not_null_m12(spark):
+    from martlane.operators.merge import assert_not_null
+    with pytest.raises(ValueError):
+        assert_not_null(spark.createDataFrame([("a",), (None,)], "x string"), ["x"])
+
+
+def test_existing_stores_s8(spark):
+    from martlane.sources.readers import existing_stores
+    spark.sql("CREATE DATABASE IF NOT EXISTS woo_de")
+    try:
+        assert existing_stores(spark, ["DE", "FR"]) == ["DE"]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS woo_de")

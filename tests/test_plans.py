@@ -239,3 +239,49 @@ def test_ads_stream_idempotent(spark):
     got = sorted(rows(read_ads_table(spark, table), "campaign_name", "ad_name", "clicks"))
     # day 2024-01-01 was rewritten with the update, day 2024-01-02 left as it was
     assert got == [("c1", "a", 5), ("c1", "z", 1)]
+
+
+def test_hot_guest_key_customers(spark):
+    """A third of all orders belong to the guest id 0: results stay exact, the guest
+    group is folded by partial aggregation (no Python, no window over the group)."""
+    from martlane.plans.customers import build_customers
+    n = 3000
+    posts = spark.range(1, n + 1).select(F.lit("DE").alias("source_store"), F.col("id").alias("ID"),
+                                         F.lit("shop_order").alias("post_type"),
+                                         F.lit(T0).cast("timestamp_ntz").alias("post_date"),
+                                         F.lit("wc-completed").alias("post_status"),
+                                         F.lit(0).cast("bigint").alias("post_parent"))
+    cust = F.when(F.col("ID") % 3 == 0, F.lit("0")).otherwise((F.col("ID") % 10 + 1).cast("string"))
+    meta = posts.select("source_store", F.col("ID").alias("post_id"),
+                        F.lit("_customer_user").alias("meta_key"), cust.alias("meta_value")).unionByName(
+           posts.select("source_store", F.col("ID").alias("post_id"),
+                        F.lit("_order_total").alias("meta_key"), F.lit("1.00").alias("meta_value")))
+    users = spark.range(1, 11).select(F.lit("DE").alias("source_store"), F.col("id").alias("ID"),
+                                      F.lit("u@x").alias("user_email"), F.lit("2020-01-01").alias("user_registered"))
+    um = spark.createDataFrame([], "source_store string, user_id bigint, meta_key string, meta_value string")
+    items = spark.createDataFrame([], ITEMS)
+    c = build_customers(users, um, posts, meta, items)
+    got = {r["customer_id"]: (r["orders_count"], r["ltv"]) for r in c.collect()}
+    # ids not divisible by 3, grouped by id % 10 + 1
+    expect = {}
+    for i in range(1, n + 1):
+        if i % 3:
+            k = i % 10 + 1
+            expect[k] = expect.get(k, 0) + 1
+    assert {k: v[0] for k, v in got.items()} == expect
+    assert all(v[1] == D(v[0]) for v in got.values())
+    plan = c._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "Window" not in plan
+
+
+def test_hot_sku_returns_by_product(spark):
+    from martlane.plans.returns import returns_by_product
+    r = spark.range(0, 3000).select(
+        F.col("id").alias("return_id"), F.lit(T0).cast("timestamp_ntz").alias("order_date"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT, hot")).otherwise(F.concat(F.lit("S"), (F.col("id") % 7).cast("string")))
+         .alias("return_requested_items_sku"))
+    p = spark.createDataFrame([("HOT", "t", "p", "c")], "sku string, title string, parent_sku string, categories string")
+    got = {x["sku"]: x["total_returns"] for x in returns_by_product(r, p).collect()}
+    assert got["HOT"] == 1000 and got["hot"] == 1000
+    ci = {(x["sku"], x["product_name"]) for x in returns_by_product(r, p, case_insensitive=True).collect()}
+    assert ("hot", "t") in ci
