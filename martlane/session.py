@@ -70,7 +70,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     local = tempfile.mkdtemp(prefix="martlane-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # noqa: BLE001 - some sessions reject core-conf changes at runtime
+        pass
     spark.sparkContext.setCheckpointDir(local)
     return local
 

@@ -22,7 +22,12 @@ def shapes(spark: SparkSession, sf_dir: str) -> ShopShapes:
     from martlane.sources.shop_shape import materialize
     key = (id(spark), sf_dir)
     if key not in _CACHE:
-        tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+        # the tag covers the data directory AND the shaping rules, so tables stored by an
+        # older version of the rules are never reused
+        import martlane.sources.shop_shape as shape_mod
+        with open(shape_mod.__file__, "rb") as fh:
+            rules = fh.read()
+        tag = hashlib.sha1(sf_dir.rstrip("/").encode() + rules).hexdigest()[:12]
         root = f"{checkpoint_dir(spark).rstrip('/')}/shop_tables/{tag}"
         _CACHE[key] = materialize(ShopShapes(spark, sf_dir), root)
     return _CACHE[key]
