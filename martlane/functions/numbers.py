@@ -18,11 +18,18 @@ def _col(c) -> Column:
 
 
 def lenient_decimal(c, precision: int = 12, scale: int = 2) -> Column:
-    """Text -> decimal reading the leading number: '12abc' -> 12, 'abc' -> 0, NULL -> NULL."""
+    """Text -> decimal reading the leading number: '12abc' -> 12, 'abc' -> 0, NULL -> NULL.
+
+    A clean number (the common case) is parsed by a plain ``try_cast`` (whitespace trimmed,
+    half-up rounding); only text that does not cast goes through the regex for its
+    leading number.
+    """
     c = _col(c)
     dt = T.DecimalType(precision, scale)
-    head = F.regexp_extract(c.cast("string"), LEADING_NUMBER, 1)
-    parsed = F.coalesce(F.nullif(head, F.lit("")).try_cast(dt), F.lit(0).cast(dt))
+    text = c.cast("string")
+    head = F.regexp_extract(text, LEADING_NUMBER, 1)
+    parsed = F.coalesce(text.try_cast(dt), F.nullif(head, F.lit("")).try_cast(dt),
+                        F.lit(0).cast(dt))
     return F.when(c.isNull(), F.lit(None).cast(dt)).otherwise(parsed)
 
 
