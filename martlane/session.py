@@ -40,8 +40,10 @@ def get_spark(master: str | None = None, app: str = "martlane",
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     if master and master.startswith("local"):
-        # local mode: the driver JVM is the only executor
+        # local mode: the driver JVM is the only executor; small input splits keep all
+        # cores busy on the small test tables (the cluster branch below uses 256 MB)
         conf["spark.driver.memory"] = "16g"
+        conf.setdefault("spark.sql.files.maxPartitionBytes", "4m")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
