@@ -119,3 +119,17 @@ def test_plan_ads_window_fx40(spark):
 def test_month_chunks_fx41():
     got = month_chunks(dt.date(2024, 1, 15), dt.date(2024, 3, 1))
     assert got == [(dt.date(2024, 1, 15), dt.date(2024, 2, 14)), (dt.date(2024, 2, 15), dt.date(2024, 3, 1))]
+
+
+def test_ads_window_chunks_month_end_d5(spark):
+    """Chunk starts are iterated month steps clipped at month ends (01-31 -> 02-29 -> 03-29)."""
+    from martlane.plans.ads import ads_window_chunks
+    ads = spark.createDataFrame([("2024-01-30",)], "date_stop string")
+    got = [(r[0], r[1]) for r in ads_window_chunks(ads, dt.date(2024, 4, 10)).collect()]
+    assert got == [(dt.date(2024, 1, 31), dt.date(2024, 2, 28)),
+                   (dt.date(2024, 2, 29), dt.date(2024, 3, 28)),
+                   (dt.date(2024, 3, 29), dt.date(2024, 4, 10))]
+    assert [tuple(c) for c in month_chunks(dt.date(2024, 1, 31), dt.date(2024, 4, 10))] == got
+    empty = spark.createDataFrame([], "date_stop string")
+    first = ads_window_chunks(empty, dt.date(2024, 4, 10)).orderBy("chunk_start").first()
+    assert first[0] == dt.date(2024, 4, 10) - dt.timedelta(days=60)
