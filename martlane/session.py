@@ -71,6 +71,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # on a cluster a machine-local folder would lose checkpoints with the executor
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="martlane-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", local)
