@@ -703,3 +703,6 @@ ORACLE.update({
     "store_union_items": STORE_UNION_ITEMS,
     "order_cogs_map": ORDER_COGS_MAP,
 })
+
+
+ORACLE["ads_stream"] = ADS_FLATTEN

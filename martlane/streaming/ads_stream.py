@@ -28,11 +28,26 @@ def read_ads_table(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(table_path)
 
 
+def land_api_pages(records: DataFrame, landing_dir: str, page_size: int = 500) -> None:
+    """Write ads records as API-like documents ``{"data": [...]}``, one per line, at most
+    ``page_size`` records each (pages keyed by day and position, no unbounded group)."""
+    fields = [c for c in records.columns if c != "position"]
+    page = F.floor(F.col("position") / page_size)
+    docs = records.groupBy("date_start", page.alias("_page")).agg(
+        F.collect_list(F.struct(*fields)).alias("data"))
+    docs.select("data").write.mode("overwrite").json(landing_dir)
+
+
 def run_ads_stream(spark: SparkSession, landing_dir: str, table_path: str,
-                   keys=("ad_name", "date_start"), checkpoint: str | None = None) -> None:
-    """Process every landed file not yet applied, upserting each micro-batch."""
+                   keys=("ad_name", "date_start"), checkpoint: str | None = None,
+                   multi_line: bool = True) -> None:
+    """Process every landed file not yet applied, upserting each micro-batch.
+
+    ``multi_line=True``: one JSON document per file (API answers saved as files);
+    ``False``: JSON lines, one document per line (``land_api_pages``).
+    """
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "ads_stream")
-    stream = (spark.readStream.schema(S.ADS_JSON_SCHEMA).option("multiLine", True)
+    stream = (spark.readStream.schema(S.ADS_JSON_SCHEMA).option("multiLine", multi_line)
                    .json(landing_dir)
                    .withColumn("_file", F.input_file_name()))
     records = (stream.select("_file", F.posexplode_outer("data").alias("_i", "r"))

@@ -422,3 +422,24 @@ QUERIES.update({
     "store_union_items": q_store_union_items,
     "order_cogs_map": q_order_cogs_map,
 })
+
+
+def q_ads_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads records landed as API pages, ingested by the availableNow stream + upsert."""
+    import uuid
+    from martlane.plans.ads import ADS_KEYS_WITH_CAMPAIGN
+    from martlane.session import checkpoint_dir
+    from martlane.streaming.ads_stream import land_api_pages, read_ads_table, run_ads_stream
+    s = shapes(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/ads_stream_query/{uuid.uuid4().hex[:12]}"
+    land_api_pages(s.ads_records(), f"{root}/landing")
+    run_ads_stream(spark, f"{root}/landing", f"{root}/table", keys=ADS_KEYS_WITH_CAMPAIGN,
+                   checkpoint=f"{root}/checkpoint", multi_line=False)
+    t = read_ads_table(spark, f"{root}/table")
+    return as_double(t.select("campaign_name", "ad_name", "adset_name", "impressions", "clicks",
+                              "spend", "cpc", "purchase_roas",
+                              F.col("date_start").cast("string").alias("date_start"),
+                              F.col("date_stop").cast("string").alias("date_stop")))
+
+
+QUERIES["ads_stream"] = q_ads_stream
