@@ -35,14 +35,13 @@ ORDER_META = {
     "refund_text": "_refund_amount",
 }
 
+# Item meta the order roll-up reads.  Only these keys pass the pre-shuffle filter: every
+# extra key would be sorted and shuffled by the pivot even when no output uses it.
 ITEM_META = {
     "product_text": "_product_id",
     "variation_text": "_variation_id",
     "qty_text": "_qty",
     "subtotal_text": "_line_subtotal",
-    "line_total_text": "_line_total",
-    "line_tax_text": "_line_tax",
-    "refund_ref_text": "_refunded_item_id",
     "fee_text": "_fee_amount",
     "cost_text": "cost",
 }
