@@ -48,3 +48,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert df.columns
+
+
+def test_orders_plan_shape(spark):
+    """The orders mart keeps its intended shape: the meta-key filter reaches the parquet
+    scan, the product lookup is not hinted (AQE decides), and at most 6 shuffles."""
+    import re
+    df = E.queries()["order_mart"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*In\(meta_key", plan)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 6
+    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
