@@ -88,7 +88,7 @@ def order_number(store, post_type, order_id, formatted_meta) -> Column:
     oid = _col(order_id).cast("string")
     prefix = F.coalesce(_map_literal(S.REFUND_PREFIX)[store], F.lit(""))
     return (F.when(store == "TR", oid)
-            .when(post_type == S.REFUND_TYPE, F.concat(prefix, F.lit("-REFUND-"), oid))
+            .when(post_type == S.REFUND_TYPE, F.concat(prefix, F.lit(S.REFUND_NUMBER_INFIX), oid))
             .otherwise(_col(formatted_meta)))
 
 

@@ -170,7 +170,7 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
         F.col(STORE), "order_id", "order_date", "order_status",
         F.col("customer_user").try_cast("bigint").alias("customer_id"),
         F.col(STORE).alias("country_code"),
-        F.concat(F.lit("WOO-"), F.col(STORE)).alias("channel"),
+        F.concat(F.lit(S.CHANNEL_PREFIX), F.col(STORE)).alias("channel"),
         url_host("track_url").alias("site"),
         "billing_country", "billing_city",
         F.coalesce(F.col("units_total"), F.lit(0)).cast("int").alias("units_total"),

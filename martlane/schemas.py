@@ -51,6 +51,10 @@ PRODUCT_TYPES = ["product", "product_variation"]
 MARKETPLACE_STORE = "OPS"
 MARKETPLACE_PAYMENTS = ["bol", "other"]
 UNREGISTERED_SKU = "(Unregistered SKU)"
+CHANNEL_PREFIX = "WOO-"             # channel = prefix + store code
+REFUND_NUMBER_INFIX = "-REFUND-"    # refund number = refund prefix + infix + refund id
+MISSING_NUMBER_PREFIX = "ORD"       # fallback order number = prefix + order id
+STORE_DATABASE = "woo_{store}"      # per-store database name (lower-case store code)
 COST_KEYS = ["_alg_wc_cog_cost", "_wc_cog_cost"]
 MARGIN_BOUND = "9999.99"
 ADS_LOOKBACK_DAYS = 60
