@@ -45,6 +45,9 @@ ITEM_META = {
     "fee_text": "_fee_amount",
     "cost_text": "cost",
 }
+# Every item key the marts read: the shared item facts written once for orders and items.
+ITEM_META_ALL = {**ITEM_META, "line_total_text": "_line_total", "line_tax_text": "_line_tax",
+                 "refund_ref_text": "_refunded_item_id"}
 
 
 def order_header(posts: DataFrame, post_meta: DataFrame,
@@ -63,9 +66,10 @@ def order_header(posts: DataFrame, post_meta: DataFrame,
     return hdr.filter((F.col(STORE) != F.lit(marketplace_store)) | F.col("marketplace_paid").isNotNull())
 
 
-def item_facts(items: DataFrame, item_meta: DataFrame, product_lookup: DataFrame) -> DataFrame:
+def item_facts(items: DataFrame, item_meta: DataFrame, product_lookup: DataFrame,
+               keys=ITEM_META) -> DataFrame:
     """One row per order item: pivoted meta + parent/variation SKUs from the lookup."""
-    piv = eav_pivot(item_meta, ["order_item_id", STORE], ITEM_META)
+    piv = eav_pivot(item_meta, ["order_item_id", STORE], keys)
     it = items.select(STORE, "order_item_id", "order_id", "order_item_name", "order_item_type")
     f = it.join(piv, ["order_item_id", STORE], "left")
     f = (f.withColumn("product_id", F.col("product_text").try_cast("bigint"))
@@ -142,14 +146,16 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
 def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_meta: DataFrame,
                  product_lookup: DataFrame, product_meta: DataFrame | None = None,
                  cogs_mode: str = "zero", cost_map: DataFrame | None = None,
-                 with_profit: bool = True) -> DataFrame:
+                 with_profit: bool = True, facts: DataFrame | None = None) -> DataFrame:
     """Store orders (all stores at once, keyed by ``source_store``).
 
     ``cogs_mode``: "zero" (the source's current override), "items" (qty x product cost
     meta, both cost keys counted) or "cost_map" (qty x PIM cost map, the commented form).
+    ``facts``: item facts already pivoted (and written) once for several marts.
     """
     hdr = order_header(posts, post_meta)
-    facts = item_facts(items, item_meta, product_lookup)
+    if facts is None:
+        facts = item_facts(items, item_meta, product_lookup)
     costs = product_cost_total(product_meta) if (product_meta is not None and cogs_mode == "items") else None
     if cogs_mode == "cost_map" and cost_map is None:
         raise ValueError("cogs_mode='cost_map' needs cost_map")
