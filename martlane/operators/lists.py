@@ -23,8 +23,10 @@ def sorted_distinct_join(c, sep: str = ", ", empty=None) -> Column:
 
 
 def ordered_join(value, order, sep: str = ",") -> Column:
-    """Aggregate: values joined in ``order`` (ties broken by value); NULL when none."""
-    pairs = F.array_sort(F.collect_list(F.struct(_col(order).alias("o"), _col(value).alias("v"))))
+    """Aggregate: non-NULL values joined in ``order`` (ties broken by value); NULL when none."""
+    v = _col(value)
+    pairs = F.array_sort(F.collect_list(
+        F.when(v.isNotNull(), F.struct(_col(order).alias("o"), v.alias("v")))))
     return F.when(F.size(pairs) > 0,
                   F.array_join(F.transform(pairs, lambda x: x["v"]), sep))
 

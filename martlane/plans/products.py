@@ -10,6 +10,7 @@ from martlane.functions.attributes import decode_php_attributes, term_dictionary
 from martlane.functions.numbers import lenient_decimal
 from martlane.functions.text import drop_invalid_utf8
 from martlane.operators.eav import eav_pivot
+from martlane.operators.lists import ordered_join
 from martlane.operators.merge import update_from
 from martlane.session import cut_lineage
 
@@ -97,11 +98,7 @@ def image_urls(attachments: DataFrame) -> DataFrame:
 def rollup_images(pairs: DataFrame, urls: DataFrame) -> DataFrame:
     """Per product: image URLs joined by ',' in image-id order; NULL when none resolve."""
     j = pairs.join(urls, "image_id", "left")
-    st = F.when(F.col("image_url").isNotNull(), F.struct("image_id", "image_url"))
-    agg = F.array_sort(F.collect_list(st))
-    return j.groupBy("product_id").agg(
-        F.when(F.size(agg) > 0, F.array_join(F.transform(agg, lambda x: x["image_url"]), ","))
-         .alias("urls"))
+    return j.groupBy("product_id").agg(ordered_join("image_url", "image_id", ",").alias("urls"))
 
 
 def apply_images(products: DataFrame, rolled: DataFrame) -> DataFrame:
