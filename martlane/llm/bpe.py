@@ -18,7 +18,7 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -120,20 +120,21 @@ def encode_documents(docs: DataFrame, vocabulary: str, keep_ids: bool = True) ->
         raise ValueError("the vocabulary file is larger than what is broadcast")
     shared = spark.sparkContext.broadcast(spec)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for text in batch["text"].to_pylist():
                 text = text or ""
                 ids = codec.encode(text)
                 decoded = codec.decode(ids)
                 rows.append((len(ids) // 4, ids if keep_ids else b"", hashlib.sha256(ids).hexdigest(),
                              hashlib.sha256(decoded.encode()).hexdigest(), decoded == text))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids", "ids_sha256", "decoded_sha256", "exact"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+                [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.bool_()])]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], [
+                "doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "exact"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string, exact boolean")

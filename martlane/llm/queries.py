@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlane.llm.common import table
 
@@ -19,6 +20,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.line_dedup import drop_repeated_lines
+    return drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.llm.bpe import encode_documents
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), keep_ids=False).drop("ids")
@@ -26,6 +34,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
 }
 
@@ -36,4 +45,18 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(body) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY body)""",
+    "op7_line_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+        pieces AS (SELECT r, doc_id, string_split(body, chr(10)) AS lines FROM d),
+        l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM pieces),
+        k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''),
+                                                 '[\x20\x09-\x0D]+$', ''),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        bad AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40
+                GROUP BY key HAVING count(DISTINCT r) >= 5),
+        j AS (SELECT k.r, k.doc_id, k.line, k.i, bad.key IS NOT NULL AND k.doc_id <> bad.keeper AS lost
+              FROM k LEFT JOIN bad ON k.key = bad.key)
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+        FROM j GROUP BY r""",
 }
