@@ -20,6 +20,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.simhash_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.language_id import predict_languages, train
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return predict_languages(docs.select("doc_id", "text"), train(docs)).select(
+        "doc_id", held_out.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"),
+        F.col("__rejected").alias("rejected"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.llm.line_dedup import drop_repeated_lines
     return drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -34,6 +48,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_language_id": op5_language_id,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
 }
