@@ -34,6 +34,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__rejected").alias("rejected"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.html_extract import extract, train
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.llm.line_dedup import drop_repeated_lines
     return drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -50,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_language_id": op5_language_id,
+    "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
 }
