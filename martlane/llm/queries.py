@@ -52,6 +52,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), keep_ids=False).drop("ids")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.toxicity import predict, train
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
