@@ -15,6 +15,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.license_scan import scan
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_base").alias("n_base"),
+        F.col("__first_word").alias("first_word"), F.col("__last_word").alias("last_word"),
+        F.array_join("__base_labels", ",").alias("base_labels"), F.array_join("__labels", ",").alias("labels"),
+        F.col("__score").alias("score"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.llm.exact_dedup import exact_duplicates
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -25,6 +34,14 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each benchmark item that a document holds."""
+    from martlane.llm.decontaminate import find_leaks
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_leaks(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", F.explode("__leaks").alias("x")).select("doc_id", "x.item_id", "x.start", "x.edits")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.llm.language_id import predict_languages, train
     docs = table(spark, sf_dir, "documents")
@@ -59,8 +76,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_language_id": op5_language_id,
     "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
