@@ -69,6 +69,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), keep_ids=False).drop("ids")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.llm.chat_format import format_chats
+    return format_chats(table(spark, sf_dir, "conversations")).withColumn("problems", F.array_join("problems", "; "))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.llm.toxicity import predict, train
     docs = table(spark, sf_dir, "documents")
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
+    "op9_chat_format": op9_chat_format,
     "op10_toxicity": op10_toxicity,
 }
 
