@@ -12,7 +12,7 @@ from __future__ import annotations
 
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-V = r"(?:(?:v|version|ver|vers) )?"
+V = r"(?:(?:v|version|ver|vers) ?)?"
 
 
 def _creative_commons() -> list[tuple[str, str, str, int]]:
@@ -104,21 +104,21 @@ TITLES: list[tuple[str, str, str, int]] = [
     ("afl-3.0", "afl", rf"afl {V}3(?: 0)?", 1), ("osl-3.0", "osl", rf"osl {V}3(?: 0)?", 1), ("upl-1.0", "universal", rf"universal permissive licen[cs]e(?: {V}1 0)?", 1),
     ("sspl-1.0", "sspl", rf"sspl(?: {V}1(?: 0)?)?", 1), ("sspl-1.0", "server", rf"server side public licen[cs]e(?: {V}1(?: 0)?)?", 1),
     ("elastic-2.0", "elastic", rf"elastic licen[cs]e(?: {V}2(?: 0)?)?", 1), ("mulan-psl-2.0", "mulan", rf"mulan (?:permissive software licen[cs]e|psl)(?: {V}2)?", 1),
-    ("blueoak-1.0.0", "oak", r"blue oak model licen[cs]e(?: 1 0 0)?", 1), ("vim", "vim", r"vim licen[cs]e", 2), ("beerware", "beerware", r"beer ?ware(?: licen[cs]e)?", 2),
+    ("blueoak-1.0.0", "oak", r"blue oak model licen[cs]e(?: 1 0 0)?", 1), ("vim", "vim", r"vim licen[cs]e", 2), ("beerware", "beerware", r"beerware(?: licen[cs]e)?", 2),
     ("beerware", "beer", r"beer ware licen[cs]e", 2), ("json", "evil", r"software shall be used for good not evil", 1), ("icu", "icu", r"icu licen[cs]e", 2),
     ("unicode", "unicode", r"unicode (?:dfs 2016 )?licen[cs]e(?: agreement)?", 2), ("ijg", "jpeg", r"independent jpeg group s? ?(?:licen[cs]e|software)", 2),
     ("ipl-1.0", "ibm", rf"ibm public licen[cs]e(?: {V}1 0)?", 1), ("apsl-2.0", "apple", rf"apple public source licen[cs]e(?: {V}2(?: 0)?)?", 1),
     ("npl-1.1", "netscape", rf"netscape public licen[cs]e(?: {V}1 1)?", 1), ("spl-1.0", "sun", rf"sun public licen[cs]e(?: {V}1 0)?", 1),
-    ("qpl-1.0", "qt", rf"q(?:t)? public licen[cs]e(?: {V}1 0)?", 1), ("lppl-1.3", "latex", rf"latex project public licen[cs]e(?: {V}1 3[abc]?)?", 1),
+    ("qpl-1.0", "qt", rf"qt public licen[cs]e(?: {V}1 0)?", 1), ("lppl-1.3", "latex", rf"latex project public licen[cs]e(?: {V}1 3[abc]?)?", 1),
     ("cecill", "cecill", rf"cecill(?: [bc])?(?: {V}\d)?", 2), ("nosl", "nethack", r"nethack general public licen[cs]e", 1),
     ("openrail", "openrail", r"(?:creativeml |bigscience )?openrail(?: m)?", 2), ("openrail", "rail", r"(?:bigscience )?(?:open )?rail licen[cs]e", 2),
     ("llama-community", "community", r"llama \d(?: \d)? community licen[cs]e(?: agreement)?", 1), ("gemma-terms", "gemma", r"gemma terms of use", 1),
     ("commercial", "commercial", r"commercial licen[cs]e", 3), ("proprietary", "proprietary", r"proprietary (?:and confidential|licen[cs]e|software)", 3),
     ("all-rights-reserved", "reserved", r"all rights reserved", 3), ("copyright", "copyright", r"copyright(?: c)? (?:19|20)\d\d(?: (?:19|20)\d\d)?", 3),
-    ("copyright", "copyright", r"copyrighted? by", 3), ("warranty-disclaimer", "warranty", r"without warranty of any kind", 3),
+    ("copyright", "copyright", r"copyright (?:held )?by", 3), ("copyright", "copyrighted", r"copyrighted by", 3), ("warranty-disclaimer", "warranty", r"without warranty of any kind", 3),
     ("warranty-disclaimer", "warranties", r"without warranties or conditions of any kind", 3), ("warranty-disclaimer", "provided", r"provided as is without", 3),
     ("copyleft", "copyleft", r"copyleft", 3), ("eula", "eula", r"eula", 3), ("eula", "user", r"end user licen[cs]e agreement", 3),
-    ("spdx", "spdx", r"spdx license identifier(?: [^ ]+){1,3}", 3), ("license", "licensed", r"licen[cs]ed under", 3), ("license", "terms", r"terms of (?:this|the) licen[cs]e", 3),
+    ("spdx", "spdx", r"spdx license identifier(?: [^ ]+){1,3}", 3), ("license", "licensed", r"licensed under", 3), ("license", "licenced", r"licenced under", 3), ("license", "terms", r"terms of (?:this|the) licen[cs]e", 3),
     ("license", "permissions", r"permissions and limitations under the licen[cs]e", 3), ("license", "released", r"released under (?:the )?(?:[^ ]+ ){1,4}licen[cs]e", 3),
     ("no-derivatives", "derivative", r"no derivative works", 3), ("non-commercial", "noncommercial", r"(?:for )?noncommercial (?:use|purposes) only", 3),
     ("non-commercial", "commercial", r"(?:for )?non commercial (?:use|purposes) only", 3), ("non-commercial", "commercial", r"not for commercial use", 3),
