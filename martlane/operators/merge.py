@@ -46,19 +46,30 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str],
 
     * the batch is first reduced to one row per key, first row (by ``order_col``) wins;
     * matched keys take ``update_cols`` from the batch and keep every other column;
-    * new keys are inserted whole; target-only keys are unchanged.
+    * new keys are inserted whole; target-only keys are unchanged;
+    * a unique key says nothing about rows whose key holds a NULL: they are never matched
+      and all kept, only rows equal in every column are stored once, so that applying the
+      same batch twice gives the same table.
     ``touch_col`` (e.g. ``last_updated``) is set to ``touch_value`` on matched/new rows.
-    Applying the same batch twice gives the same table.
     """
     cols = list(target.columns) if target is not None else [
         c for c in batch.columns if c != order_col]
-    b = first_wins(batch, keys, order_col) if order_col else batch.dropDuplicates(keys)
+    whole = None
+    for k in keys:
+        whole = F.col(k).isNotNull() if whole is None else whole & F.col(k).isNotNull()
+
+    def shaped(df: DataFrame) -> DataFrame:
+        out = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols])
+        return out.withColumn(touch_col, touch_value) if touch_col else out
+
+    keyed = batch.filter(whole)
+    b = first_wins(keyed, keys, order_col) if order_col else keyed.dropDuplicates(keys)
     if order_col and order_col not in cols:
         b = b.drop(order_col)
+    loose = shaped(batch.filter(~whole))
     if target is None:
-        out = b.select(*[F.col(c) if c in b.columns else F.lit(None).alias(c) for c in cols])
-        return out.withColumn(touch_col, touch_value) if touch_col else out
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
+        return shaped(b).unionByName(loose.distinct())
+    t = target.filter(whole).withColumn("_in_target", F.lit(True)).alias("t")
     s = b.withColumn("_in_batch", F.lit(True)).alias("s")
     joined = t.join(s, keys, "full_outer")
     in_batch = F.col("_in_batch").isNotNull()
@@ -75,7 +86,7 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str],
             exprs.append(F.when(in_target, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
         else:
             exprs.append(F.col(f"t.{c}").alias(c))
-    return joined.select(*exprs)
+    return joined.select(*exprs).unionByName(target.filter(~whole).unionByName(loose).distinct())
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: list[str],

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,13 @@ ADS_KEYS_WITH_CAMPAIGN = ["campaign_name", "ad_name", "date_start"]
 ADS_UPDATE = ["impressions", "clicks", "spend", "cpc", "purchase_roas", "date_stop"]
 CPC = T.DecimalType(10, 4)
 ROAS = T.DecimalType(10, 4)
+#: The stored table's columns and types.
+ADS_TABLE = T.StructType([
+    T.StructField("campaign_name", T.StringType()), T.StructField("ad_name", T.StringType()),
+    T.StructField("adset_name", T.StringType()), T.StructField("impressions", T.IntegerType()),
+    T.StructField("clicks", T.IntegerType()), T.StructField("spend", S.MONEY),
+    T.StructField("cpc", CPC), T.StructField("purchase_roas", ROAS),
+    T.StructField("date_start", T.DateType()), T.StructField("date_stop", T.DateType())])
 
 
 def read_ads_json(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -86,39 +94,48 @@ def ads_window_chunks(ads: DataFrame, today: dt.date,
                     F.least(F.date_sub(F.add_months("chunk_start", 1), 1), t).alias("chunk_end"))
 
 
+def stored_ads(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """The stored ads table, None if its path does not exist.
+
+    The path is resolved by Spark's own file system layer, whatever way it is spelled.  Only
+    a path that is not there means "no table yet"; any other failure is raised.
+    """
+    try:
+        return spark.read.schema(ADS_TABLE).parquet(table_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def apply_ads_batch(spark: SparkSession, table_path: str, batch: DataFrame,
                     keys=ADS_KEYS, partition_col: str = "date_start") -> int:
     """Upsert a batch into the ads table stored partitioned by ``date_start``.
 
-    Only the partitions the batch touches are read (partition pruning on the batch's
-    distinct days, a list bounded by the load window) and rewritten (dynamic partition
-    overwrite); the rest of the history is untouched.  The merged partitions are
-    checkpointed before the write, so the job does not read the path it overwrites and
-    a lost executor re-reads the checkpoint.  Returns the number of rewritten days.
+    Only the days the batch touches are rewritten (dynamic partition overwrite, set on this
+    write alone); the rest of the history is untouched.  The batch's first and last day
+    prune the read; within them a null-safe semi join keeps the touched days, so rows
+    without a date are merged like those of any other day.  The merged days are
+    checkpointed before the write, so the job does not read the path it overwrites and a
+    lost executor re-reads the checkpoint.  Returns the number of rewritten days.
     """
     from martlane.session import cut_lineage
-    import os
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
-    days = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    if not days:
+    days = cut_lineage(batch.select(partition_col).distinct())
+    day = F.col(partition_col)
+    n_days, first, last, blank = days.agg(F.count("*"), F.min(day), F.max(day),
+                                          F.max(day.isNull())).first()
+    if not n_days:
         return 0
-    exists = (os.path.exists(os.path.join(table_path, "_SUCCESS"))
-              if "://" not in table_path else True)
-    target = None
-    if exists:
-        try:
-            target = spark.read.parquet(table_path).filter(F.col(partition_col).isin(days))
-        except Exception:  # noqa: BLE001 - empty or missing table
-            target = None
+    target = stored_ads(spark, table_path)
     if target is not None:
-        target = target.select(*[c for c in S.ADS_COLUMNS])
-    merged = upsert_ads(target, batch, keys=keys)
-    merged = cut_lineage(merged.select(*S.ADS_COLUMNS))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return len(days)
+        near = day.between(first, last) if first is not None else F.lit(False)
+        there = days.withColumnRenamed(partition_col, "_day")
+        target = (target.filter((near | day.isNull()) if blank else near)
+                        .join(there, day.eqNullSafe(F.col("_day")), "left_semi"))
+        target = target.select(*S.ADS_COLUMNS)
+    merged = cut_lineage(upsert_ads(target, batch, keys=keys).select(*S.ADS_COLUMNS))
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(table_path))
+    return n_days

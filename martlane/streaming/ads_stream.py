@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlane import schemas as S
-from martlane.plans.ads import apply_ads_batch, flatten_ads
+from martlane.plans.ads import ADS_TABLE, apply_ads_batch, flatten_ads
 from martlane.session import checkpoint_dir
 
 
 def read_ads_table(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path)
+    return spark.read.schema(ADS_TABLE).parquet(table_path)
 
 
 def land_api_pages(records: DataFrame, landing_dir: str, page_size: int = 500) -> None:
@@ -55,7 +55,7 @@ def run_ads_stream(spark: SparkSession, landing_dir: str, table_path: str,
                      .select("r.*", F.struct("_file", "_i").alias("position")))
 
     def apply(batch: DataFrame, _epoch: int) -> None:
-        apply_ads_batch(spark, table_path, flatten_ads(batch), keys=list(keys))
+        apply_ads_batch(batch.sparkSession, table_path, flatten_ads(batch), keys=list(keys))
 
     q = (records.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
                 .trigger(availableNow=True).start())
