@@ -1,8 +1,8 @@
 """Decoding of serialized product/return attributes as DataFrame plans (no UDF).
 
 Both decoders explode the serialized text into (entity, segment, position, key, value)
-rows, map values through the term dictionary with a join (size-checked broadcast, else a
-shuffle join that AQE may still broadcast), and regroup the pieces in source order.
+rows, map values through the term dictionary with a join (AQE broadcasts it if it is small
+at run time), and regroup the pieces in source order.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlane.functions.text import capitalize_first, strip_cr
-from martlane.operators.joins import bounded_broadcast
 
 # Attribute keys and their display names.
 PHP_KEY_NAMES = {"renk": "Color", "beden": "Size", "materyal": "Material",
@@ -57,8 +56,7 @@ def decode_php_attributes(df: DataFrame, id_col: str, raw_col: str,
     ids = segs.select("_id", "_seg_pos", "_key",
                       F.posexplode(F.split(F.regexp_replace("_val", "[|]", ","), ","))
                        .alias("_id_pos", "_term"))
-    d = bounded_broadcast(dictionary.select(F.col("term_key").alias("_term"),
-                                            F.col("term_name").alias("_name")))
+    d = dictionary.select(F.col("term_key").alias("_term"), F.col("term_name").alias("_name"))
     mapped = ids.join(d, "_term", "left").withColumn(
         "_mapped", F.coalesce(F.col("_name"), F.col("_term")))
     per_seg = mapped.groupBy("_id", "_seg_pos", "_key").agg(
@@ -74,34 +72,36 @@ def decode_php_attributes(df: DataFrame, id_col: str, raw_col: str,
 JSON_ATTR_TYPE = "map<string,struct<value:string>>"
 
 
-def decode_json_attributes(blobs: DataFrame, id_col: str, blob_pos_col: str, blob_col: str,
-                           dictionary: DataFrame) -> DataFrame:
-    """(id, blob position, JSON blob) -> (id, 'Color:Red, Size:XL || Color:Blue').
+def decode_json_blobs(blobs: DataFrame, keys: list[str], blob_col: str, dictionary: DataFrame) -> DataFrame:
+    """(keys, JSON blob) -> (keys, 'Color:Red, Size:XL'), blobs that decode to nothing left out.
 
     Only trimmed blobs that look like ``{...}`` and parse as an object are used; entries
     keep their source key order; five known keys are renamed, others dropped; each value
-    maps through the slug/id dictionary (unknown kept); blank keys/values are skipped;
-    blobs that decode to nothing are left out of the ' || ' join.  NULL when nothing decodes.
+    maps through the slug/id dictionary (unknown kept); blank keys/values are skipped.
     """
-    b = blobs.select(F.col(id_col).alias("_id"), F.col(blob_pos_col).alias("_bpos"),
-                     F.trim(F.col(blob_col)).alias("_blob"))
+    b = blobs.select(*keys, F.trim(F.col(blob_col)).alias("_blob"))
     b = b.filter(F.col("_blob").rlike(r"^\{.*\}$"))
-    parsed = b.select("_id", "_bpos",
-                      F.posexplode(F.map_entries(F.from_json("_blob", JSON_ATTR_TYPE)))
-                       .alias("_epos", "_e"))
-    entries = parsed.select("_id", "_bpos", "_epos", F.col("_e.key").alias("_k"),
+    parsed = b.select(*keys, F.posexplode(F.map_entries(F.from_json("_blob", JSON_ATTR_TYPE)))
+                      .alias("_epos", "_e"))
+    entries = parsed.select(*keys, "_epos", F.col("_e.key").alias("_k"),
                             F.trim(F.col("_e.value.value")).alias("_v"))
     entries = entries.filter(F.col("_k").isin(JSON_KEY_ORDER) & F.col("_v").isNotNull()
                              & (F.col("_v") != ""))
-    d = bounded_broadcast(dictionary.select(F.col("term_key").alias("_v"),
-                                            F.col("term_name").alias("_name")))
+    d = dictionary.select(F.col("term_key").alias("_v"), F.col("term_name").alias("_name"))
     m = entries.join(d, "_v", "left")
     pair = F.concat(_map_literal(JSON_KEY_NAMES)[F.col("_k")], F.lit(":"),
                     F.coalesce(F.col("_name"), F.col("_v")))
-    per_blob = m.withColumn("_pair", pair).groupBy("_id", "_bpos").agg(
-        _ordered_join(["_epos"], "_pair", ", ").alias("_txt"))
-    return per_blob.groupBy("_id").agg(_ordered_join(["_bpos"], "_txt", " || ").alias("attributes")) \
-        .withColumnRenamed("_id", id_col)
+    return m.withColumn("_pair", pair).groupBy(*keys).agg(
+        _ordered_join(["_epos"], "_pair", ", ").alias("attributes"))
+
+
+def decode_json_attributes(blobs: DataFrame, id_col: str, blob_pos_col: str, blob_col: str,
+                           dictionary: DataFrame) -> DataFrame:
+    """(id, blob position, JSON blob) -> (id, 'Color:Red, Size:XL || Color:Blue') in the
+    order of the positions; NULL when nothing decodes."""
+    per_blob = decode_json_blobs(blobs, [id_col, blob_pos_col], blob_col, dictionary)
+    return per_blob.groupBy(id_col).agg(
+        _ordered_join([blob_pos_col], "attributes", " || ").alias("attributes"))
 
 
 def term_dictionary(terms: DataFrame, with_slugs: bool = True) -> DataFrame:

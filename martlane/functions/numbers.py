@@ -18,7 +18,8 @@ def _col(c) -> Column:
 
 
 def lenient_decimal(c, precision: int = 12, scale: int = 2) -> Column:
-    """Text -> decimal reading the leading number: '12abc' -> 12, 'abc' -> 0, NULL -> NULL.
+    """Text -> decimal reading the leading number: '12abc' -> 12, 'abc' -> 0, NULL -> NULL;
+    a number beyond the type's range becomes the type's bound of that sign.
 
     A clean number (the common case) is parsed by a plain ``try_cast`` (whitespace trimmed,
     half-up rounding); only text that does not cast goes through the regex for its
@@ -28,13 +29,29 @@ def lenient_decimal(c, precision: int = 12, scale: int = 2) -> Column:
     dt = T.DecimalType(precision, scale)
     text = c.cast("string")
     head = F.regexp_extract(text, LEADING_NUMBER, 1)
-    parsed = F.coalesce(text.try_cast(dt), F.nullif(head, F.lit("")).try_cast(dt),
-                        F.lit(0).cast(dt))
+    wide = F.coalesce(text.try_cast(T.DecimalType(38, scale)), head.try_cast(T.DecimalType(38, scale)),
+                      F.when(head.startswith("-"), -bound(dt)).when(head != "", bound(dt)), F.lit(0))
+    parsed = F.coalesce(text.try_cast(dt), clamped(wide, dt))
     return F.when(c.isNull(), F.lit(None).cast(dt)).otherwise(parsed)
 
 
-def to_money(c, scale: int = 2) -> Column:
-    return _col(c).cast(T.DecimalType(12, scale))
+def bound(dt: T.DecimalType) -> Column:
+    """The largest value of a decimal type."""
+    digits = "9" * dt.precision
+    return F.lit(f"{digits[:dt.precision - dt.scale]}.{digits[:dt.scale]}").cast(dt)
+
+
+def clamped(c, dt: T.DecimalType) -> Column:
+    """Round to the type's scale and keep within its range, where a cast would fail."""
+    wide = F.round(_col(c), dt.scale)
+    # greatest and least pass over a NULL, which has to stay one
+    return F.when(wide.isNotNull(), F.greatest(F.least(wide, bound(dt)), -bound(dt))).cast(dt)
+
+
+def lenient_int(c) -> Column:
+    """Text -> INT column value: the leading number, rounded half up, within the INT range."""
+    whole = F.round(lenient_decimal(c, 18, 4), 0).cast("bigint")
+    return F.when(whole.isNotNull(), F.greatest(F.least(whole, F.lit((1 << 31) - 1)), F.lit(-1 << 31))).cast("int")
 
 
 def positive_number_text(c) -> Column:
@@ -46,13 +63,13 @@ def positive_number_text(c) -> Column:
 def safe_ratio(num, den, scale: int = 2) -> Column:
     """round(num / den, scale) when den > 0, else 0."""
     num, den = _col(num), _col(den)
-    ratio = (num / den).cast(T.DecimalType(18, 6))
-    return F.when(den > 0, F.round(ratio, scale)).otherwise(F.lit(0)).cast(S.MONEY)
+    ratio = (num / den).cast(T.DecimalType(38, 6))
+    return clamped(F.when(den > 0, F.round(ratio, scale)).otherwise(F.lit(0)), S.MONEY)
 
 
 def net_revenue(gross, discount, refunded) -> Column:
     """gross - discount + refunded (the refund is added, as the source does)."""
-    return F.round(_col(gross) - _col(discount) + _col(refunded), 2).cast(S.MONEY)
+    return clamped(_revenue_raw(gross, discount, refunded), S.MONEY)
 
 
 def _revenue_raw(gross, discount, refunded) -> Column:
@@ -65,14 +82,14 @@ def _costs(cogs, logistics, ads, other) -> Column:
 
 def net_profit(gross, discount, refunded, cogs, logistics, ads, other) -> Column:
     rev = _revenue_raw(gross, discount, refunded)
-    return F.round(rev - _costs(cogs, logistics, ads, other), 2).cast(S.MONEY)
+    return clamped(rev - _costs(cogs, logistics, ads, other), S.MONEY)
 
 
 def net_margin(gross, discount, refunded, cogs, logistics, ads, other) -> Column:
     """Profit / revenue in percent, clamped to +-9999.99; 0 when revenue <= 0."""
     rev = _revenue_raw(gross, discount, refunded)
     profit = rev - _costs(cogs, logistics, ads, other)
-    ratio = (profit / rev).cast(T.DecimalType(18, 6))
+    ratio = (profit / rev).cast(T.DecimalType(32, 6))
     pct = F.round(ratio * 100, 2)
     bound = F.lit(S.MARGIN_BOUND).cast(S.MARGIN)
     clamped = F.greatest(F.least(pct, bound), -bound)

@@ -1,25 +1,17 @@
-"""Join helpers: broadcast only behind a size check, else let AQE decide at runtime."""
+"""Join helpers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Rows of a dimension we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
+def lookup_key(key: str, row_id: str, zero_is_none: bool = False) -> Column:
+    """A join key for an optional reference, NULL (or 0) where there is none.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check runs ``limit(max_rows + 1).count()`` (stops early on big inputs).  Beyond
-    the bound the join stays a shuffle join that AQE may still turn into a broadcast
-    from runtime statistics, and that its skew-join rule splits on hot keys.
+    As a shuffle key the missing references would all land in one task.  They get a key of
+    their own below zero, which no id has, so they are dealt evenly and match nothing.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def fixed_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast for dimensions whose size is fixed by construction (rates, stores)."""
-    return F.broadcast(df)
+    k = F.col(key)
+    there = k > 0 if zero_is_none else k.isNotNull()
+    return F.when(there, k).otherwise(-1 - F.xxhash64(row_id).bitwiseAND(F.lit((1 << 62) - 1)))

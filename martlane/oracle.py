@@ -30,6 +30,7 @@ ns(nk, store) AS (VALUES {_values(enumerate(NATION_STORE))}),
 cur(cstore, currency) AS (VALUES {_values(STORE_ORDER_CURRENCY.items())}),
 pay(prio, method) AS (VALUES {_values(PAYMENT_OF_PRIORITY.items())}),
 pst(st, post_status) AS (VALUES {_values(POST_STATUS.items())}),
+stores(sstore, place) AS (SELECT store, min(nk) FROM ns GROUP BY store),
 rpx(rstore, prefix) AS (VALUES {_values(S.REFUND_PREFIX.items())}),
 cust AS (
   SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name, ns.store
@@ -38,25 +39,35 @@ cust AS (
 ord AS (
   SELECT o.*, cust.c_mktsegment, cust.n_name, cust.store
   FROM orders o LEFT JOIN cust ON o.o_custkey = cust.c_custkey),
+-- what a store's lookup holds of a product: a SKU, an empty one, no row
 psku AS (
-  SELECT p_partkey, CASE WHEN p_size = 1 THEN '' ELSE 'P' || CAST(p_partkey AS VARCHAR) END AS sku
-  FROM part WHERE p_size <> 2),
+  SELECT p_partkey, p_size, CASE p_size WHEN 1 THEN 'blank' WHEN 2 THEN 'none' ELSE 'known' END AS p_state FROM part),
 vsku AS (
-  SELECT s_suppkey, CASE WHEN s_nationkey = 0 THEN '' ELSE 'V' || CAST(s_suppkey AS VARCHAR) END AS sku
-  FROM supplier),
+  SELECT s_suppkey, CASE s_nationkey WHEN 0 THEN 'blank' ELSE 'known' END AS v_state FROM supplier),
+-- the label that goes with each pair of states (@ and # stand for the two SKUs)
+label_of(lp, lv, shape) AS (VALUES
+  ('known', 'known', '@(#)'), ('known', 'blank', '@()'), ('known', 'none', '@'),
+  ('blank', 'known', '(#)'), ('none', 'known', '#'),
+  ('blank', 'blank', '(Unregistered SKU)'), ('blank', 'none', '(Unregistered SKU)'),
+  ('none', 'blank', '(Unregistered SKU)'), ('none', 'none', '(Unregistered SKU)')),
+pim_of(mp, mv, mshape) AS (VALUES
+  ('known', 'known', '@(#)'), ('known', 'none', '@'), ('none', 'known', '#'), ('none', 'none', NULL)),
 lines AS (
-  SELECT l.*, ps.sku AS p_sku, CASE WHEN l.l_linestatus = 'O' THEN vs.sku END AS v_sku
-  FROM lineitem l LEFT JOIN psku ps ON l.l_partkey = ps.p_partkey
-  LEFT JOIN vsku vs ON l.l_suppkey = vs.s_suppkey),
+  SELECT l.*, l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
+      l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS item_id,
+    ord.store, coalesce(p_state, 'none') AS p_state,
+    CASE WHEN l.l_linestatus = 'O' THEN coalesce(v_state, 'none') ELSE 'none' END AS v_state
+  FROM lineitem l LEFT JOIN ord ON l.l_orderkey = ord.o_orderkey
+  LEFT JOIN psku ON l.l_partkey = p_partkey LEFT JOIN vsku ON l.l_suppkey = s_suppkey),
 labeled AS (
-  SELECT *,
-    CASE WHEN (p_sku IS NULL OR p_sku = '') AND (v_sku IS NULL OR v_sku = '') THEN '(Unregistered SKU)'
-         WHEN v_sku IS NOT NULL AND v_sku <> p_sku THEN p_sku || '(' || v_sku || ')'
-         ELSE coalesce(p_sku, v_sku, '(Unregistered SKU)') END AS label
-  FROM lines),
+  SELECT lines.*,
+    replace(replace(shape, '#', 'V' || l_suppkey || '-' || store), '@', 'P' || l_partkey || '-' || store) AS label,
+    CASE WHEN v_state = 'known' THEN 'V' || l_suppkey || '-' || store
+         WHEN p_state = 'known' THEN 'P' || l_partkey || '-' || store ELSE CAST(l_partkey AS VARCHAR) END AS unit
+  FROM lines JOIN label_of ON p_state = lp AND v_state = lv),
 la AS (
   SELECT l_orderkey,
-    count(DISTINCT coalesce(nullif(v_sku, ''), nullif(p_sku, ''), CAST(l_partkey AS VARCHAR))) AS units_total,
+    count(DISTINCT unit) AS units_total,
     CAST(round(sum(CAST(CAST(l_quantity AS INTEGER) AS DECIMAL(12,2))), 0) AS INTEGER) AS items_count,
     sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS line_sum,
     string_agg(DISTINCT label, ', ' ORDER BY label) AS skus
@@ -109,6 +120,11 @@ SELECT omx.store AS source_store, order_id,
   CASE WHEN post_type = 'shop_order' THEN pst.post_status ELSE 'wc-completed' END AS order_status,
   CASE WHEN post_type <> 'shop_order' THEN NULL WHEN o_orderpriority = '5-LOW' THEN 0
        ELSE o_custkey + 1 END::DOUBLE AS customer_id,
+  omx.store AS country_code, 'WOO-' || omx.store AS channel, c_mktsegment AS billing_city,
+  coalesce(skus, '') AS ordered_items_skus,
+  0::DOUBLE AS cogs, 0::DOUBLE AS ads_spend, 0::DOUBLE AS logistics_cost, 0::DOUBLE AS other_costs,
+  CAST(gross - discount + refunded AS DOUBLE) AS net_revenue, CAST(gross - discount + refunded AS DOUBLE) AS net_profit,
+  CASE WHEN gross - discount + refunded > 0 THEN 100 ELSE 0 END::DOUBLE AS net_margin,
   CASE WHEN post_type <> 'shop_order' THEN NULL
        WHEN o_orderstatus = 'P' THEN CAST(k AS VARCHAR)
        ELSE 'shop-' || lower(c_mktsegment) || '.example.com' END AS site,
@@ -144,8 +160,8 @@ pcost2 AS (
                                    WHEN 'LARGE' THEN -alt WHEN 'ECONOMY' THEN 0 ELSE alt END AS unit_cost
   FROM pcost),
 lc AS (
-  SELECT l_orderkey, sum(CAST(CAST(l_quantity AS INTEGER) AS DECIMAL(12,2)) * unit_cost) AS cogs
-  FROM lineitem JOIN pcost2 ON l_partkey = p_partkey GROUP BY l_orderkey)
+  SELECT l_orderkey, sum(CAST(CAST(l_quantity AS INTEGER) AS DECIMAL(12,2)) * (unit_cost + place * 0.01)) AS cogs
+  FROM lines JOIN pcost2 ON l_partkey = p_partkey JOIN stores ON lines.store = sstore GROUP BY l_orderkey)
 """
 
 ORDER_PROFIT = "WITH " + BASE + "," + PART_COST + """,
@@ -180,23 +196,18 @@ ORACLE = {
 
 
 ITEM_LINES = """
-smap AS (
-  SELECT p_partkey AS pid, 'P' || CAST(p_partkey AS VARCHAR) AS sku FROM part WHERE p_size > 2
-  UNION ALL
-  SELECT s_suppkey + 2000000000000, 'V' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_nationkey <> 0),
 il AS (
-  SELECT l.*, ord.store, ord.o_orderdate,
-    CASE WHEN l.l_linestatus = 'O' THEN l.l_suppkey + 2000000000000 END AS variation_id,
-    round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS net
-  FROM lineitem l LEFT JOIN ord ON l.l_orderkey = ord.o_orderkey)
+  SELECT lines.*, ord.o_orderdate, mshape,
+    CASE WHEN l_linestatus = 'O' THEN l_suppkey + 2000000000000 END AS variation_id,
+    round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS net
+  FROM lines LEFT JOIN ord ON l_orderkey = o_orderkey
+  JOIN pim_of ON mp = CASE p_state WHEN 'known' THEN 'known' ELSE 'none' END
+    AND mv = CASE v_state WHEN 'known' THEN 'known' ELSE 'none' END)
 """
 
 ORDER_ITEMS_SKU = "WITH " + BASE + "," + ITEM_LINES + """
-SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_id AS DOUBLE) AS variation_id,
-  CASE WHEN il.variation_id IS NULL OR il.variation_id = 0 THEN pp.sku
-       WHEN pp.sku IS NULL THEN pv.sku
-       WHEN pv.sku IS NULL THEN pp.sku
-       ELSE pp.sku || '(' || pv.sku || ')' END AS sku,
+SELECT il.item_id AS order_item_id, il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_id AS DOUBLE) AS variation_id,
+  replace(replace(mshape, '#', 'V' || l_suppkey), '@', 'P' || l_partkey) AS sku,
   'Part ' || CAST(il.l_partkey AS VARCHAR) AS order_item_name,
   CAST(il.l_quantity AS INTEGER) AS quantity,
   CAST(il.net AS DOUBLE) AS line_total,
@@ -206,8 +217,6 @@ SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_
   il.store AS source_store,
   il.o_orderdate AS created_at
 FROM il
-LEFT JOIN smap pp ON il.l_partkey = pp.pid
-LEFT JOIN smap pv ON il.variation_id = pv.pid
 LEFT JOIN cur ON il.store = cur.cstore
 """
 
@@ -311,12 +320,8 @@ mo AS (
 """
 
 STORE_UNION_ORDERS = "WITH " + BASE + "," + ORDER_NUMBERED + """
-SELECT store AS source_store, trim(num) AS order_number_formatted, order_id, order_date,
-  CAST(customer_id AS DOUBLE) AS customer_id,
-  CAST(gross AS DOUBLE) AS gross_total, CAST(round(rev, 2) AS DOUBLE) AS net_revenue,
-  CAST(round(rev, 2) AS DOUBLE) AS net_profit,
-  CAST(CASE WHEN rev > 0 THEN 100 ELSE 0 END AS DOUBLE) AS net_margin
-FROM mo
+SELECT m.* REPLACE (trim(m.order_number_formatted) AS order_number_formatted)
+FROM (""" + ORDER_MART + """) m JOIN mo ON m.source_store = mo.store AND m.order_id = mo.order_id
 """
 
 CUSTOMER_NUMBERED = """
@@ -331,8 +336,9 @@ mc AS (
 """
 
 STORE_UNION_CUSTOMERS = "WITH " + BASE + "," + CUSTOMERS + "," + CUSTOMER_NUMBERED + """
-SELECT customer_number_formatted, store AS source_store, customer_id, registered_at,
-  first_order_date, last_order_date, orders_count, CAST(ltv AS DOUBLE) AS ltv, CAST(aov AS DOUBLE) AS aov
+SELECT customer_number_formatted, store AS source_store, customer_id, full_name, email, phone, registered_at,
+  first_order_date, last_order_date, orders_count, units_total, CAST(ltv AS DOUBLE) AS ltv, CAST(aov AS DOUBLE) AS aov,
+  CAST(refunds_total AS DOUBLE) AS refunds_total, billing_country, billing_city
 FROM mc
 """
 
@@ -340,13 +346,9 @@ RATES = "rates(rcur, rate) AS (VALUES " + ", ".join(
     f"('{c}', CAST('{r}' AS DECIMAL(12,6)))" for c, r in S.SEED_RATES) + ")"
 
 CUSTOMERS_EUR = "WITH " + BASE + "," + CUSTOMERS + "," + CUSTOMER_NUMBERED + "," + RATES + """,
-mce AS (
-  SELECT mc.*, CASE WHEN store LIKE '%FR%' THEN 'EUR' WHEN store LIKE '%TR%' THEN 'TRY'
-                    WHEN store LIKE '%HU%' THEN 'HUF' WHEN store LIKE '%DK%' THEN 'DKK'
-                    WHEN store LIKE '%CZ%' THEN 'CZK' WHEN store LIKE '%RO%' THEN 'RON'
-                    WHEN store LIKE '%SE%' THEN 'SEK' WHEN store LIKE '%GB%' THEN 'GBP'
-                    ELSE 'EUR' END AS ccy
-  FROM mc)
+-- the stores that do not report in euros
+sells(vstore, vcur) AS (VALUES ('CZ', 'CZK'), ('DK', 'DKK'), ('HU', 'HUF'), ('RO', 'RON'), ('SE', 'SEK'), ('TR', 'TRY')),
+mce AS (SELECT mc.*, coalesce(vcur, 'EUR') AS ccy FROM mc LEFT JOIN sells ON store = vstore)
 SELECT customer_id, full_name, email, store AS source_store, billing_country, billing_city,
   CAST(ltv AS DOUBLE) AS original_ltv, CAST(aov AS DOUBLE) AS original_aov,
   CAST(coalesce(rate, 1.0) AS DOUBLE) AS rate_to_eur,
@@ -461,7 +463,7 @@ ORACLE.update({
 
 RETURNS = """
 rl AS (
-  SELECT l.*, ord.store, ord.o_orderpriority,
+  SELECT l.*, ord.o_orderpriority,
     CASE WHEN l.l_linestatus = 'O' THEN ' P' || CAST(l.l_partkey AS VARCHAR) || chr(13)
          ELSE 'P' || CAST(l.l_partkey AS VARCHAR) END AS sku,
     CASE WHEN l.l_linestatus = 'O'
@@ -477,14 +479,14 @@ rl AS (
          ELSE 'Material:cotton, Size:'
                 || CASE WHEN pp.p_size <= 25 THEN 'EU ' || CAST(pp.p_size AS VARCHAR) ELSE 'size-' || CAST(pp.p_size AS VARCHAR) END
     END AS decoded
-  FROM lineitem l JOIN ord ON l.l_orderkey = ord.o_orderkey
+  FROM lines l JOIN ord ON l.l_orderkey = ord.o_orderkey
   LEFT JOIN pp ON l.l_partkey = pp.p_partkey
   WHERE l.l_returnflag = 'R'),
 ri AS (
-  SELECT l_orderkey, count(*) AS n, string_agg(sku, ', ' ORDER BY sku) AS skus,
+  SELECT l_orderkey, count(*) AS n, string_agg(sku, ', ' ORDER BY item_id) AS skus,
     string_agg(DISTINCT 'reason-' || l_linestatus, ', ' ORDER BY 'reason-' || l_linestatus) AS reasons,
     sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS total,
-    string_agg(decoded, ' || ' ORDER BY blob) FILTER (WHERE decoded IS NOT NULL) AS attrs
+    string_agg(decoded, ' || ' ORDER BY item_id) FILTER (WHERE decoded IS NOT NULL) AS attrs
   FROM rl GROUP BY l_orderkey),
 rs AS (
   SELECT ord.*, ri.*, pst.post_status AS status,
@@ -516,7 +518,7 @@ rl2 AS (
   SELECT rl.* FROM rl
   JOIN (SELECT 1 AS d UNION ALL SELECT 2) dd ON dd.d = 1 OR rl.o_orderpriority = '1-URGENT'),
 rf AS (
-  SELECT l_orderkey, count(*) AS n, string_agg(sku, ', ' ORDER BY sku) AS skus,
+  SELECT l_orderkey, count(*) AS n, string_agg(sku, ', ' ORDER BY item_id) AS skus,
     sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS total
   FROM rl2 GROUP BY l_orderkey)
 SELECT rs.o_orderkey AS return_id, rf.n::INTEGER AS return_requested_items_count,
@@ -575,8 +577,8 @@ ADS_A = "a AS (SELECT * FROM " + _ads_records("ts < TIMESTAMP '2024-01-21'", "1.
 ADS_B = "b AS (SELECT * FROM " + _ads_records("ts >= TIMESTAMP '2024-01-16'", "1.1") + \
     " QUALIFY row_number() OVER (PARTITION BY ad_name, date_start ORDER BY position) = 1)"
 
-ADS_WINDOW = "WITH RECURSIVE " + ADS_A + """,
-w AS (SELECT CAST(max(date_stop) AS DATE) + 1 AS since FROM a),
+ADS_WINDOW = """WITH RECURSIVE
+w AS (SELECT CAST(max(ts) AS DATE) + 1 AS since FROM events),
 ch(s) AS (SELECT since FROM w UNION ALL SELECT CAST(s + INTERVAL 1 MONTH AS DATE) FROM ch
           WHERE CAST(s + INTERVAL 1 MONTH AS DATE) <= DATE '2024-03-15')
 SELECT CAST(s AS VARCHAR) AS chunk_start,
@@ -631,10 +633,13 @@ FROM dmg
 
 LENIENT_NUMBERS = "WITH " + DAMAGED + """
 SELECT o_orderkey,
-  CASE WHEN st = 'F' THEN total_txt WHEN st = 'O' THEN total_txt || 'abc'
+  CASE WHEN st = 'F' AND pr = '1-URGENT' THEN '99999999' || total_txt
+       WHEN st = 'F' AND pr = '2-HIGH' THEN '-' || repeat('9', 40) || ' x'
+       WHEN st = 'F' THEN total_txt WHEN st = 'O' THEN total_txt || 'abc'
        WHEN pr = '1-URGENT' THEN 'abc' WHEN pr = '2-HIGH' THEN '' WHEN pr = '3-MEDIUM' THEN '  -12.5'
        WHEN pr = '4-NOT SPECIFIED' THEN NULL ELSE '.5' END AS number_text,
-  CAST(CASE WHEN st IN ('F', 'O') THEN total
+  CAST(CASE WHEN st = 'F' AND pr = '1-URGENT' THEN 9999999999.99 WHEN st = 'F' AND pr = '2-HIGH' THEN -9999999999.99
+            WHEN st IN ('F', 'O') THEN total
             WHEN pr IN ('1-URGENT', '2-HIGH') THEN 0
             WHEN pr = '3-MEDIUM' THEN -12.50
             WHEN pr = '4-NOT SPECIFIED' THEN NULL ELSE 0.50 END AS DOUBLE) AS parsed
@@ -650,6 +655,7 @@ ORACLE.update({
     "ads_flatten": ADS_FLATTEN,
     "ads_window": ADS_WINDOW,
     "ads_upsert": ADS_UPSERT,
+    "ads_stored_upsert": ADS_UPSERT,
     "eav_pivot": EAV_PIVOT,
     "eav_multi_key": EAV_MULTI_KEY,
     "url_host": URL_HOST,
@@ -661,11 +667,8 @@ ORACLE.update({
 
 
 STORE_UNION_ITEMS = "WITH " + BASE + "," + ITEM_LINES + """
-SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_id AS DOUBLE) AS variation_id,
-  CASE WHEN il.variation_id IS NULL OR il.variation_id = 0 THEN pp.sku
-       WHEN pp.sku IS NULL THEN pv.sku
-       WHEN pv.sku IS NULL THEN pp.sku
-       ELSE pp.sku || '(' || pv.sku || ')' END AS sku,
+SELECT il.item_id AS order_item_id, il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_id AS DOUBLE) AS variation_id,
+  replace(replace(mshape, '#', 'V' || l_suppkey), '@', 'P' || l_partkey) AS sku,
   'Part ' || CAST(il.l_partkey AS VARCHAR) AS order_item_name,
   CAST(il.l_quantity AS INTEGER) AS quantity,
   CAST(il.net AS DOUBLE) AS line_total,
@@ -675,8 +678,6 @@ SELECT il.l_orderkey AS order_id, il.l_partkey AS product_id, CAST(il.variation_
   il.store AS source_store,
   il.o_orderdate AS created_at
 FROM il
-LEFT JOIN smap pp ON il.l_partkey = pp.pid
-LEFT JOIN smap pv ON il.variation_id = pv.pid
 LEFT JOIN cur ON il.store = cur.cstore
 WHERE il.store IN (""" + MASTER_ORDER_STORES_SQL + """)
 """

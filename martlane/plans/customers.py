@@ -47,38 +47,6 @@ def order_customer_meta(post_meta: DataFrame) -> DataFrame:
         "refund_text": "_refund_amount"})
 
 
-def customer_order_metrics(posts: DataFrame, meta: DataFrame, items: DataFrame) -> DataFrame:
-    """first/last order date, orders count, ltv, line-item count per (store, customer)."""
-    orders = posts.filter(F.col("post_type") == S.ORDER_TYPE).select(
-        STORE, F.col("ID").alias("post_id"), "post_date")
-    lines = (items.groupBy(F.col("order_id").alias("post_id"), STORE)
-                  .agg(F.count_if(F.col("order_item_type") == "line_item").alias("n_lines")))
-    o = (orders.join(meta, ["post_id", STORE], "inner")
-               .filter(F.col("customer_user").isNotNull() & (F.col("customer_user") != ""))
-               .join(lines, ["post_id", STORE], "left"))
-    total = F.coalesce(lenient_decimal("total_text", 12, 2), F.lit(0).cast(S.MONEY))
-    return o.groupBy(F.col("customer_user").try_cast("bigint").alias("customer_id"), STORE).agg(
-        F.min("post_date").alias("first_order_date"),
-        F.max("post_date").alias("last_order_date"),
-        F.count("post_id").alias("orders_count"),
-        F.sum(total).alias("ltv"),
-        F.sum(F.coalesce(F.col("n_lines"), F.lit(0))).alias("units_total"))
-
-
-def customer_refunds(posts: DataFrame, meta: DataFrame) -> DataFrame:
-    """Refund amounts per customer of the parent order (refunds without one are dropped)."""
-    refunds = posts.filter(F.col("post_type") == S.REFUND_TYPE).select(
-        STORE, F.col("ID").alias("post_id"), "post_parent")
-    amt = meta.select(STORE, "post_id", "refund_text")
-    parent_cust = meta.select(STORE, F.col("post_id").alias("post_parent"), "customer_user")
-    r = (refunds.join(amt, ["post_id", STORE], "left")
-                .join(parent_cust, ["post_parent", STORE], "inner")
-                .filter(F.col("customer_user").isNotNull()))
-    amount = lenient_decimal(F.coalesce(F.col("refund_text"), F.lit("0")), 12, 2)
-    return r.groupBy(F.col("customer_user").try_cast("bigint").alias("customer_id"), STORE).agg(
-        F.sum(amount).alias("refunds_total"))
-
-
 def customer_activity(posts: DataFrame, post_meta: DataFrame, items: DataFrame) -> DataFrame:
     """Order metrics, line counts and refunds per (store, customer) in one pass.
 

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlane import schemas as S
-from martlane.functions.numbers import (lenient_decimal, net_margin, net_profit, net_revenue,
-                                        positive_number_text)
+from martlane.functions.numbers import (clamped, lenient_decimal, lenient_int, net_margin, net_profit,
+                                        net_revenue, positive_number_text)
 from martlane.functions.text import order_number, sku_label, url_host
 from martlane.operators.eav import eav_pivot
+from martlane.operators.joins import lookup_key
 from martlane.operators.lists import sorted_distinct_join
 
 STORE = "source_store"
@@ -66,25 +67,30 @@ def order_header(posts: DataFrame, post_meta: DataFrame,
     return hdr.filter((F.col(STORE) != F.lit(marketplace_store)) | F.col("marketplace_paid").isNotNull())
 
 
-def item_facts(items: DataFrame, item_meta: DataFrame, product_lookup: DataFrame,
+def item_facts(items: DataFrame, item_meta: DataFrame, store_lookup: DataFrame,
                keys=ITEM_META) -> DataFrame:
-    """One row per order item: pivoted meta + parent/variation SKUs from the lookup."""
+    """One row per order item: pivoted meta + parent/variation SKUs from the store's lookup.
+
+    Product ids are local to a store, so the lookup is joined on store and id.  Most items
+    have no variation and fee or shipping rows no product: ``lookup_key`` keeps them from
+    meeting in one task.
+    """
     piv = eav_pivot(item_meta, ["order_item_id", STORE], keys)
     it = items.select(STORE, "order_item_id", "order_id", "order_item_name", "order_item_type")
     f = it.join(piv, ["order_item_id", STORE], "left")
     f = (f.withColumn("product_id", F.col("product_text").try_cast("bigint"))
           .withColumn("variation_id", F.col("variation_text").try_cast("bigint")))
-    lk = product_lookup.select("product_id", "sku")
-    parent = lk.select(F.col("product_id"), F.col("sku").alias("parent_sku"))
-    var = lk.select(F.col("product_id").alias("variation_id"), F.col("sku").alias("variation_sku"))
-    return (f.join(parent, "product_id", "left")
-             .join(var, "variation_id", "left"))
+    f = (f.withColumn("_p", lookup_key("product_id", "order_item_id"))
+          .withColumn("_v", lookup_key("variation_id", "order_item_id", zero_is_none=True)))
+    parent = store_lookup.select(STORE, F.col("product_id").alias("_p"), F.col("sku").alias("parent_sku"))
+    var = store_lookup.select(STORE, F.col("product_id").alias("_v"), F.col("sku").alias("variation_sku"))
+    return f.join(parent, [STORE, "_p"], "left").join(var, [STORE, "_v"], "left").drop("_p", "_v")
 
 
-def product_cost_total(product_meta: DataFrame) -> DataFrame:
-    """Per product: sum of the cost-key values (both keys counted, as the join does)."""
-    return (product_meta.filter(F.col("meta_key").isin(S.COST_KEYS))
-                        .groupBy(F.col("post_id").alias("product_id"))
+def product_cost_total(store_product_meta: DataFrame) -> DataFrame:
+    """Per store and product: sum of the cost-key values (both keys counted, as the join does)."""
+    return (store_product_meta.filter(F.col("meta_key").isin(S.COST_KEYS))
+                        .groupBy(STORE, F.col("post_id").alias("_p"))
                         .agg(F.sum(lenient_decimal("meta_value", 12, 2)).alias("unit_cost_sum")))
 
 
@@ -104,14 +110,14 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
     is_line = F.col("order_item_type") == "line_item"
     is_fee = F.col("order_item_type") == "fee"
     is_ship = F.col("order_item_type") == "shipping"
-    f = facts
+    f = facts.withColumn("_p", lookup_key("product_id", "order_item_id"))
     if product_costs is not None:
-        f = f.join(product_costs, "product_id", "left")
+        f = f.join(product_costs, [STORE, "_p"], "left")
     else:
         f = f.withColumn("unit_cost_sum", F.lit(None).cast(S.MONEY))
     if cost_map is not None:
         # left join + sum over matched lines = the inner-join form of the cost-map COGS
-        f = f.join(cost_map, "product_id", "left")
+        f = f.join(cost_map.withColumnRenamed("product_id", "_p"), "_p", "left")
     else:
         f = f.withColumn("cog_value", F.lit(None).cast(S.MONEY4))
     blank = lambda c: F.nullif(F.col(c), F.lit(""))
@@ -122,7 +128,7 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
     fee_amt = F.when(is_fee, lenient_decimal("fee_text", 12, 2))
     # One aggregation pass: distinct counts/lists as sets (no Expand of count(DISTINCT)),
     # "first row" values as numeric min_by (fixed-width buffers).
-    g = f.groupBy("order_id", STORE).agg(
+    g = f.drop("_p").groupBy("order_id", STORE).agg(
         F.size(F.collect_set(unit_key)).alias("units_total"),
         F.sum(F.when(is_line, lenient_decimal("qty_text", 12, 2))).alias("qty_sum"),
         sorted_distinct_join(label, ", ", empty="").alias("ordered_items_skus"),
@@ -136,7 +142,7 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
          .alias("fee_first"),
         F.sum(F.when(is_line, lenient_decimal("qty_text", 12, 2) * F.col("unit_cost_sum")))
          .alias("item_cogs"),
-        F.sum(F.when(is_line, F.col("qty_text").try_cast(S.MONEY4) * F.col("cog_value")))
+        F.sum(F.when(is_line, lenient_int("qty_text") * F.col("cog_value")))
          .alias("map_cogs"),
     )
     return g.withColumn("ordered_items_count",
@@ -144,19 +150,22 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
 
 
 def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_meta: DataFrame,
-                 product_lookup: DataFrame, product_meta: DataFrame | None = None,
+                 store_lookup: DataFrame, store_product_meta: DataFrame | None = None,
                  cogs_mode: str = "zero", cost_map: DataFrame | None = None,
                  with_profit: bool = True, facts: DataFrame | None = None) -> DataFrame:
     """Store orders (all stores at once, keyed by ``source_store``).
 
+    ``store_lookup`` and ``store_product_meta`` hold each store's own products, keyed by
+    ``source_store`` and id; the cost map comes from the product master and is global.
     ``cogs_mode``: "zero" (the source's current override), "items" (qty x product cost
-    meta, both cost keys counted) or "cost_map" (qty x PIM cost map, the commented form).
+    meta, both cost keys counted) or "cost_map" (INT qty x PIM cost map, the commented form).
     ``facts``: item facts already pivoted (and written) once for several marts.
     """
     hdr = order_header(posts, post_meta)
     if facts is None:
-        facts = item_facts(items, item_meta, product_lookup)
-    costs = product_cost_total(product_meta) if (product_meta is not None and cogs_mode == "items") else None
+        facts = item_facts(items, item_meta, store_lookup)
+    costs = (product_cost_total(store_product_meta)
+             if store_product_meta is not None and cogs_mode == "items" else None)
     if cogs_mode == "cost_map" and cost_map is None:
         raise ValueError("cogs_mode='cost_map' needs cost_map")
     roll = item_rollup(facts, costs, cost_map if cogs_mode == "cost_map" else None)
@@ -183,9 +192,9 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
         F.coalesce(F.col("ordered_items_count"), F.lit(0)).cast("int").alias("ordered_items_count"),
         F.coalesce(F.col("ordered_items_skus"), F.lit("")).alias("ordered_items_skus"),
         "payment_method", "currency_code",
-        F.coalesce(F.col("subtotal4"), F.lit(0)).cast(S.MONEY).alias("subtotal"),
-        F.coalesce(gross, F.lit(0)).cast(S.MONEY).alias("gross_total"),
-        cogs.cast(S.MONEY).alias("cogs"),
+        clamped(F.coalesce(F.col("subtotal4"), F.lit(0)), S.MONEY).alias("subtotal"),
+        clamped(F.coalesce(gross, F.lit(0)), S.MONEY).alias("gross_total"),
+        clamped(cogs, S.MONEY).alias("cogs"),
         F.coalesce(lenient_decimal("total_text"), F.lit(0)).cast(S.MONEY).alias("total_price"),
         tax.alias("tax_amount"),
         F.col("shipping_first").alias("shipping_fee"),
@@ -212,14 +221,3 @@ def add_profit_metrics(orders: DataFrame) -> DataFrame:
         "net_margin": net_margin(*args),
     })
 
-
-def apply_cogs(orders: DataFrame, order_items: DataFrame | None = None,
-               cost_map: DataFrame | None = None, mode: str = "zero") -> DataFrame:
-    """COGS refresh on an orders table: "zero" sets 0; "cost_map" uses qty x cog_value."""
-    if mode == "zero":
-        return orders.withColumn("cogs", F.lit(0).cast(S.MONEY))
-    calc = (order_items.join(cost_map, "product_id", "inner")
-                       .groupBy("order_id", STORE)
-                       .agg(F.sum(F.col("quantity").cast(S.MONEY4) * F.col("cog_value")).alias("_c")))
-    j = orders.join(calc, ["order_id", STORE], "left")
-    return j.withColumn("cogs", F.coalesce(F.col("_c"), F.col("cogs")).cast(S.MONEY)).drop("_c")

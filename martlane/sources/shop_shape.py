@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlane.operators.eav import eav_unpivot
@@ -39,6 +39,10 @@ USER_ID_SHIFT = 1                       # user id = customer key + 1 (user ids s
 DISCOUNT_PRIORITY = "1-URGENT"          # orders with a cart discount and a fee line
 SECOND_SHIPPING_PRIORITY = "2-HIGH"     # orders with two shipping lines
 DOUBLE_DETAIL_PRIORITY = "1-URGENT"     # returns with two shipment-detail rows
+STORE_COST_STEP = "0.01"                # a store's product cost is this much a place in NATION_STORE higher
+LINES_PER_ORDER = 1000                  # item id = order key times this + place in the order
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+              "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _map(d: dict) -> Column:
@@ -146,12 +150,13 @@ class ShopShapes:
     @cached_property
     def _lines(self) -> DataFrame:
         li = self.table("lineitem")
-        # Line rows are distinct as whole rows (not by order key + line number):
-        # the item id hashes the whole row.
-        item_id = F.xxhash64(*[F.col(c) for c in li.columns]).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+        # Several rows of an order may share a line number: the item id is the order key and
+        # the row's place in its order, which ends with the whole row (an order is small).
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+        item_id = F.col("l_orderkey") * LINES_PER_ORDER + place
+        li = li.select(*li.columns, item_id.alias("order_item_id"))
         o = self._orders.select("o_orderkey", "source_store")
-        return (li.join(o, li.l_orderkey == o.o_orderkey, "left")
-                  .withColumn("order_item_id", item_id))
+        return li.join(o, li.l_orderkey == o.o_orderkey, "left")
 
     @cached_property
     def order_items(self) -> DataFrame:
@@ -205,9 +210,32 @@ class ShopShapes:
         return meta.unionByName(ship1).unionByName(ship2).unionByName(fee)
 
     # -- products -------------------------------------------------------------
+    @property
+    def _stores(self) -> Column:
+        """Each store once with its (first) place among the nations."""
+        return F.explode(F.array(*[F.struct(F.lit(s).alias("source_store"), F.lit(NATION_STORE.index(s)).alias("place"))
+                                   for s in dict.fromkeys(NATION_STORE)]))
+
+    @cached_property
+    def store_product_lookup(self) -> DataFrame:
+        """Each store's own lookup: the same product ids in every store, other SKUs."""
+        lk = self.product_lookup.select("*", self._stores.alias("x"))
+        sku = F.when(F.col("sku") != "", F.concat("sku", F.lit("-"), "x.source_store")).otherwise(F.col("sku"))
+        return lk.select("x.source_store", "product_id", sku.alias("sku"))
+
+    @cached_property
+    def store_product_meta(self) -> DataFrame:
+        """Each store's own cost meta: the clean cost is higher by the store's place."""
+        m = self.product_meta.filter(F.col("meta_key").isin("_wc_cog_cost", "_alg_wc_cog_cost"))
+        m = m.select("*", self._stores.alias("x"))
+        more = _txt(_dec("meta_value") + F.col("x.place") * F.lit(STORE_COST_STEP).cast("decimal(12,2)"))
+        return m.select("x.source_store", "post_id", "meta_key",
+                        F.when(F.col("meta_key") == "_wc_cog_cost", more).otherwise(F.col("meta_value")).alias("meta_value"))
+
     @cached_property
     def product_lookup(self) -> DataFrame:
-        """Product id -> SKU; size-1 parts have an empty SKU, size-2 parts no row."""
+        """The product master's lookup: product id -> SKU; size-1 parts have an empty SKU,
+        size-2 parts no row."""
         p = self.table("part")
         parts = (p.filter(F.col("p_size") != 2)
                   .select(F.col("p_partkey").alias("product_id"),
@@ -230,7 +258,6 @@ class ShopShapes:
     @cached_property
     def type_terms(self) -> DataFrame:
         """One term per distinct part type, id by rank of the type name."""
-        from pyspark.sql import Window
         t = self.table("part").select("p_type").distinct()
         return t.select("p_type", (F.lit(TYPE_TERM_BASE) + F.dense_rank().over(
             Window.orderBy("p_type"))).cast("bigint").alias("term_id"))
@@ -260,7 +287,7 @@ class ShopShapes:
     @cached_property
     def product_meta(self) -> DataFrame:
         """Product meta incl. PHP-serialized attributes and two (messy) cost keys."""
-        p = self._part_terms.join(F.broadcast(self.type_terms), "p_type", "left")
+        p = self._part_terms.join(self.type_terms, "p_type", "left")
         renk = F.concat(_txt(F.col("brand_no") + BRAND_TERM_BASE), F.lit("|"), _txt(F.col("term_id")))
         beden = _txt(F.col("p_size") + SIZE_TERM_BASE)
 
@@ -306,7 +333,7 @@ class ShopShapes:
     @cached_property
     def term_relationships(self) -> DataFrame:
         """Type as category (sizes <= 45), brand as tag (sizes >= 3); sizes 1-2 have none."""
-        p = self._part_terms.join(F.broadcast(self.type_terms), "p_type", "left")
+        p = self._part_terms.join(self.type_terms, "p_type", "left")
         cat = (p.filter((F.col("p_size") >= 3) & (F.col("p_size") <= 45))
                 .select(F.col("p_partkey").alias("object_id"), F.col("term_id").alias("term_taxonomy_id")))
         tag = (p.filter(F.col("p_size") >= 3)
@@ -449,7 +476,7 @@ class ShopShapes:
 
 
 SOURCE_TABLES = ["order_posts", "order_meta", "order_items", "item_meta", "product_lookup",
-                 "product_posts", "product_meta", "terms", "term_taxonomy",
+                 "store_product_lookup", "store_product_meta", "product_posts", "product_meta", "terms", "term_taxonomy",
                  "term_relationships", "attachments", "users", "user_meta", "shipments",
                  "shipment_items", "shipment_details", "shipment_addresses"]
 

@@ -64,17 +64,12 @@ def _orders(spark, sf_dir, cogs_mode="zero"):
     from martlane.plans.orders import build_orders
     s = shapes(spark, sf_dir)
     return build_orders(s.order_posts, s.order_meta, s.order_items, s.item_meta,
-                        s.product_lookup, product_meta=s.product_meta, cogs_mode=cogs_mode)
+                        s.store_product_lookup, store_product_meta=s.store_product_meta, cogs_mode=cogs_mode)
 
 
 def q_order_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return as_double(o.select(
-        "source_store", "order_id", "order_number_formatted", "order_date", "order_status",
-        "customer_id", "site", "billing_country", "payment_method", "currency_code",
-        "units_total", "ordered_items_count", "subtotal", "gross_total", "tax_amount",
-        "shipping_fee", "fee_amount", "discount_amount", "refunded_amount", "total_price"),
-        NULLABLE_INTS)
+    return as_double(o, NULLABLE_INTS)
 
 
 def q_order_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,11 +93,10 @@ QUERIES = {
 # -- items, cost map, filters, numbers ----------------------------------------
 
 def q_order_items_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlane.plans.order_items import apply_sku_map, build_order_items, sku_map
+    from martlane.plans.order_items import build_order_items, sku_map
     s = shapes(spark, sf_dir)
-    items = build_order_items(s.order_items, s.item_meta, s.order_posts, s.order_meta)
-    out = apply_sku_map(items, sku_map(s.product_lookup))
-    return as_double(out.drop("order_item_id"), NULLABLE_INTS)
+    return as_double(build_order_items(s.order_items, s.item_meta, s.order_posts, s.order_meta,
+                                       sku_map(s.product_lookup)), NULLABLE_INTS)
 
 
 def q_unit_cost_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,23 +136,20 @@ def q_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_refund_by_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martlane.plans.customers import customer_refunds, order_customer_meta
+    from martlane.plans.customers import customer_activity
     s = shapes(spark, sf_dir)
-    return as_double(customer_refunds(s.order_posts, order_customer_meta(s.order_meta)))
+    activity = customer_activity(s.order_posts, s.order_meta, s.order_items)
+    return as_double(activity.filter("refunds_total is not null").select("source_store", "customer_id", "refunds_total"))
 
 
 def q_store_union_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse(spark, sf_dir).table("master_orders")
-    return as_double(m.select("source_store", "order_number_formatted", "order_id", "order_date",
-                              "customer_id", "gross_total", "net_revenue", "net_profit",
-                              "net_margin"), NULLABLE_INTS)
+    return as_double(m, NULLABLE_INTS)
 
 
 def q_store_union_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse(spark, sf_dir).table("master_customers")
-    return as_double(m.select("customer_number_formatted", "source_store", "customer_id",
-                              "registered_at", "first_order_date", "last_order_date",
-                              "orders_count", "ltv", "aov"))
+    return as_double(m)
 
 
 def _rates(spark):
@@ -277,7 +268,7 @@ QUERIES.update({
 
 # -- ads --------------------------------------------------------------------
 
-ADS_SPLIT_A = "2024-01-21"      # batch A: events before this day (first 20 days)
+ADS_SPLIT_A = "2024-01-21"      # batch A of the upsert: events before this day
 ADS_SPLIT_B = "2024-01-16"      # batch B: events from this day on (last 15 days)
 ADS_TODAY = "2024-03-15"        # the run date of the next incremental load
 
@@ -298,8 +289,9 @@ def _ads_a(spark, sf_dir):
 
 def q_ads_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     import datetime as dt
-    from martlane.plans.ads import ads_window_chunks
-    w = ads_window_chunks(_ads_a(spark, sf_dir), dt.date.fromisoformat(ADS_TODAY))
+    from martlane.plans.ads import ads_window_chunks, flatten_ads, upsert_ads
+    ads = upsert_ads(None, flatten_ads(shapes(spark, sf_dir).ads_records()))
+    w = ads_window_chunks(ads, dt.date.fromisoformat(ADS_TODAY))
     return w.select(F.col("chunk_start").cast("string").alias("chunk_start"),
                     F.col("chunk_end").cast("string").alias("chunk_end"))
 
@@ -313,6 +305,18 @@ def q_ads_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "date_stop": F.col("date_stop").cast("string")}))
 
 
+def q_ads_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two batches of ``ads_upsert`` through the stored, day-partitioned table."""
+    import uuid
+    from martlane.plans.ads import apply_ads_batch, flatten_ads, stored_ads
+    from martlane.session import checkpoint_dir
+    s = shapes(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ads_stored_query/{uuid.uuid4().hex[:12]}"
+    apply_ads_batch(spark, path, flatten_ads(s.ads_records(end=ADS_SPLIT_A)))
+    apply_ads_batch(spark, path, flatten_ads(s.ads_records(start=ADS_SPLIT_B, spend_factor="1.1")))
+    return as_double(stored_ads(spark, path).withColumns({c: F.col(c).cast("string") for c in ("date_start", "date_stop")}))
+
+
 # -- column functions over whole tables ------------------------------------
 
 def q_eav_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +362,9 @@ def _damaged_orders(spark, sf_dir):
                 .when(pr == "3-MEDIUM", F.lit("junk"))
                 .when(pr == "4-NOT SPECIFIED", F.lit(" 2024 "))
                 .otherwise(F.lit("1999-02-30 10:00:00")))
-    num_txt = (F.when(st == "F", total)
+    num_txt = (F.when((st == "F") & (pr == "1-URGENT"), F.concat(F.lit("99999999"), total))
+               .when((st == "F") & (pr == "2-HIGH"), F.concat(F.lit("-"), F.repeat(F.lit("9"), F.lit(40)), F.lit(" x")))
+               .when(st == "F", total)
                .when(st == "O", F.concat(total, F.lit("abc")))
                .when(pr == "1-URGENT", F.lit("abc"))
                .when(pr == "2-HIGH", F.lit(""))
@@ -394,6 +400,7 @@ QUERIES.update({
     "ads_flatten": q_ads_flatten,
     "ads_window": q_ads_window,
     "ads_upsert": q_ads_upsert,
+    "ads_stored_upsert": q_ads_stored_upsert,
     "eav_pivot": q_eav_pivot,
     "eav_multi_key": q_eav_multi_key,
     "url_host": q_url_host,
@@ -406,14 +413,14 @@ QUERIES.update({
 
 def q_store_union_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse(spark, sf_dir).table("master_order_items")
-    return as_double(m.drop("order_item_id"), NULLABLE_INTS)
+    return as_double(m, NULLABLE_INTS)
 
 
 def q_order_cogs_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COGS from the PIM cost map (qty x cog_value), then the profit metrics."""
     from martlane.plans.orders import build_orders, unit_cost_map
     s = shapes(spark, sf_dir)
-    o = build_orders(s.order_posts, s.order_meta, s.order_items, s.item_meta, s.product_lookup,
+    o = build_orders(s.order_posts, s.order_meta, s.order_items, s.item_meta, s.store_product_lookup,
                      cogs_mode="cost_map", cost_map=unit_cost_map(s.product_meta, s.product_posts))
     return as_double(o.select("source_store", "order_id", "cogs", "net_profit", "net_margin"))
 

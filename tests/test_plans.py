@@ -13,7 +13,7 @@ POSTS = "source_store string, ID bigint, post_type string, post_date timestamp_n
 META = "source_store string, post_id bigint, meta_key string, meta_value string"
 ITEMS = "source_store string, order_item_id bigint, order_id bigint, order_item_name string, order_item_type string"
 IMETA = "source_store string, order_item_id bigint, meta_key string, meta_value string"
-LOOKUP = "product_id bigint, sku string, stock_quantity double"
+LOOKUP = "source_store string, product_id bigint, sku string"
 T0 = dt.datetime(2024, 1, 1)
 
 
@@ -32,7 +32,7 @@ def test_units_total_distinct_products_fx3(spark):
           ("DE", 2, "_product_id", "1"), ("DE", 2, "_variation_id", "11"),
           ("DE", 3, "_product_id", "9"),
           ("DE", 4, "_product_id", "1")]
-    lookup = [(10, "", None), (11, "B", None), (1, "A", None)]
+    lookup = [("DE", 10, ""), ("DE", 11, "B"), ("DE", 1, "A"), ("FR", 1, "F")]
     o = _orders(spark, items, im, lookup)
     assert o[1]["units_total"] == 3
     assert o[1]["ordered_items_skus"] == "(Unregistered SKU), A, A(), A(B)"
@@ -66,18 +66,19 @@ def test_no_lines_gives_zero_fx6_fx48(spark):
 def test_cogs_both_keys_fx8(spark):
     items = [("DE", 1, 1, "x", "line_item")]
     im = [("DE", 1, "_qty", "2"), ("DE", 1, "_product_id", "5")]
-    pm = spark.createDataFrame([(5, "_alg_wc_cog_cost", "3.00"), (5, "_wc_cog_cost", "4.00")],
-                               "post_id bigint, meta_key string, meta_value string")
-    o = _orders(spark, items, im, [], product_meta=pm, cogs_mode="items")
+    pm = spark.createDataFrame([("DE", 5, "_alg_wc_cog_cost", "3.00"), ("DE", 5, "_wc_cog_cost", "4.00"),
+                                ("FR", 5, "_wc_cog_cost", "90.00")],
+                               "source_store string, post_id bigint, meta_key string, meta_value string")
+    o = _orders(spark, items, im, [], store_product_meta=pm, cogs_mode="items")
     assert o[1]["cogs"] == D("14.00")
-    o0 = _orders(spark, items, im, [], product_meta=pm)
+    o0 = _orders(spark, items, im, [], store_product_meta=pm)
     assert o0[1]["cogs"] == D("0.00")
 
 
 def test_sku_list_fx10(spark):
     items = [("DE", i, 1, "x", "line_item") for i in (1, 2, 3)]
     im = [("DE", 1, "_product_id", "2"), ("DE", 2, "_product_id", "1"), ("DE", 3, "_product_id", "2")]
-    o = _orders(spark, items, im, [(1, "A", None), (2, "B", None)])
+    o = _orders(spark, items, im, [("DE", 1, "A"), ("DE", 2, "B")])
     assert o[1]["ordered_items_skus"] == "A, B"
 
 
@@ -285,3 +286,105 @@ def test_hot_sku_returns_by_product(spark):
     assert got["HOT"] == 1000 and got["hot"] == 1000
     ci = {(x["sku"], x["product_name"]) for x in returns_by_product(r, p, case_insensitive=True).collect()}
     assert ("hot", "t") in ci
+
+
+def test_product_ids_are_local_to_a_store(spark):
+    """Product 5 of two stores: own SKU, own cost, no line counted twice."""
+    posts = [(s, 1, "shop_order", T0, "wc-completed", 0) for s in ("DE", "FR")]
+    meta = [(s, 1, "_order_tax", "0") for s in ("DE", "FR")]
+    items = [(s, 1, 1, "x", "line_item") for s in ("DE", "FR")]
+    im = [(s, 1, k, v) for s in ("DE", "FR") for k, v in (("_product_id", "5"), ("_qty", "2"), ("_line_subtotal", "10.00"))]
+    pm = spark.createDataFrame([("DE", 5, "_wc_cog_cost", "1.00"), ("FR", 5, "_wc_cog_cost", "3.00")],
+                               "source_store string, post_id bigint, meta_key string, meta_value string")
+    o = build_orders(spark.createDataFrame(posts, POSTS), spark.createDataFrame(meta, META),
+                     spark.createDataFrame(items, ITEMS), spark.createDataFrame(im, IMETA),
+                     spark.createDataFrame([("DE", 5, "DE-SKU"), ("FR", 5, "FR-SKU")], LOOKUP),
+                     store_product_meta=pm, cogs_mode="items")
+    got = {r["source_store"]: (r["ordered_items_count"], r["gross_total"], r["cogs"], r["ordered_items_skus"]) for r in o.collect()}
+    assert got == {"DE": (2, D("10.00"), D("2.00"), "DE-SKU"), "FR": (2, D("10.00"), D("6.00"), "FR-SKU")}
+
+
+def test_item_skus_come_from_the_product_master(spark):
+    from martlane.plans.order_items import build_order_items, sku_map
+    from martlane.plans.orders import ITEM_META_ALL, item_facts
+    posts = spark.createDataFrame([("DE", 1, "shop_order", T0, "wc-completed", 0)], POSTS)
+    meta = spark.createDataFrame([("DE", 1, "_order_currency", "EUR")], META)
+    items = spark.createDataFrame([("DE", 1, 1, "x", "line_item"), ("DE", 2, 1, "x", "line_item")], ITEMS)
+    im = spark.createDataFrame([("DE", 1, "_product_id", "5"), ("DE", 2, "_product_id", "5"), ("DE", 2, "_variation_id", "6"),
+                                ("DE", 1, "_variation_id", "0"), ("DE", 1, "_qty", "1.50")], IMETA)
+    shop = spark.createDataFrame([("DE", 5, "SHOP5"), ("DE", 6, "SHOP6")], LOOKUP)
+    pim = sku_map(spark.createDataFrame([(5, "PIM5"), (6, "PIM6")], "product_id bigint, sku string"))
+    facts = item_facts(items, im, shop, keys=ITEM_META_ALL)
+    for f in (None, facts):
+        got = {r["order_item_id"]: (r["sku"], r["quantity"]) for r in build_order_items(items, im, posts, meta, pim, f).collect()}
+        assert got == {1: ("PIM5", 2), 2: ("PIM5(PIM6)", None)}
+
+
+def test_cost_map_multiplies_the_integer_quantity(spark):
+    items = [("DE", 1, 1, "x", "line_item")]
+    im = [("DE", 1, "_product_id", "5"), ("DE", 1, "_qty", "1.50")]
+    cost = spark.createDataFrame([(5, D("2.0000"))], "product_id bigint, cog_value decimal(12,4)")
+    assert _orders(spark, items, im, [], cogs_mode="cost_map", cost_map=cost)[1]["cogs"] == D("4.00")
+
+
+def test_money_beyond_the_range_is_clamped_not_zero_and_no_failure(spark):
+    from martlane.functions.numbers import lenient_decimal
+    df = spark.createDataFrame([("99999999999.99",), ("-1" + "0" * 50,), ("12345678901.5 EUR",), ("9999999999.994",), (None,)], "x string")
+    assert [r[0] for r in df.select(lenient_decimal("x", 12, 2)).collect()] == [
+        D("9999999999.99"), D("-9999999999.99"), D("9999999999.99"), D("9999999999.99"), None]
+    items = [("DE", k, 1, "x", "line_item") for k in (1, 2)]
+    im = [("DE", k, m, v) for k in (1, 2) for m, v in (("_product_id", "5"), ("_qty", "1"), ("_line_subtotal", "0.01"))]
+    pm = spark.createDataFrame([("DE", 5, "_wc_cog_cost", "9999999999.99")],
+                               "source_store string, post_id bigint, meta_key string, meta_value string")
+    r = _orders(spark, items, im, [], meta=[("DE", 1, "_order_tax", "0")], store_product_meta=pm, cogs_mode="items")[1]
+    assert (r["cogs"], r["net_profit"], r["net_margin"]) == (D("9999999999.99"), D("-9999999999.97"), D("-9999.99"))
+
+
+def test_return_skus_and_attributes_keep_their_order(spark):
+    from martlane.plans.returns import build_returns
+    sh = spark.createDataFrame([(1, "N1", "e", T0, T0, "site", "open")],
+                               "id bigint, order_id string, order_email string, order_date timestamp_ntz, created_at timestamp_ntz, order_site string, shipment_status string")
+    blob = '{"%s":{"value":"%s"}}'
+    it = spark.createDataFrame([(1, 1, "Z9", blob % ("pa_beden", "S"), "r", D("1.00")), (2, 1, "M5", "[]", "r", D("1.00")),
+                                (3, 1, "A1", blob % ("pa_renk", "red"), "r", D("1.00"))],
+                               "id bigint, shipment_id bigint, product_sku string, attributes string, return_reason string, total decimal(12,2)")
+    de = spark.createDataFrame([(1, "DHL", D("1.00"), "p", "EUR"), (1, "UPS", D("2.00"), "p", "EUR")],
+                               "shipment_id bigint, shiping_method string, shiping_price decimal(12,2), payment_method string, currency string")
+    ad = spark.createDataFrame([(1, "NL", "X")], "shipment_id bigint, country string, city string")
+    both = ("return_requested_items_sku", "return_requested_items_attributes")
+    assert rows(build_returns(sh, it, de, ad, None), *both) == [("Z9, M5, A1", "Size:S || Color:red")]
+    assert rows(build_returns(sh, it, de, ad, None, keep_positions=True), *both) == [("Z9, M5, A1", "Size:S ||  || Color:red")]
+    assert rows(build_returns(sh, it, de, ad, None, fanout=True), *both) == [
+        ("Z9, Z9, M5, M5, A1, A1", "Size:S || Size:S || Color:red || Color:red")]
+
+
+def test_missing_variations_are_no_hot_key(spark):
+    """With broadcasting off no exchange is keyed by a nullable id, and a store whose items
+    mostly have no variation is dealt over many keys."""
+    import re
+    from martlane.suite import shapes
+    from martlane.plans.orders import item_facts
+    from martlane.operators.joins import lookup_key
+    s = shapes(spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = item_facts(s.order_items, s.item_meta, s.store_product_lookup)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert keys and not any("variation_id#" in k or "product_id#" in k for k in keys if "_v#" not in k and "_p#" not in k
+                            and "source_store" in k and "order_item_id" not in k)
+    assert any("_v#" in k for k in keys) and any("_p#" in k for k in keys)
+    items = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    assert items.select(lookup_key("v", "id", zero_is_none=True).alias("k")).distinct().count() > 2990
+
+
+def test_fixed_values(spark):
+    """Literal values, so that the oracle's and the engine's shared constants are held to something."""
+    from martlane import schemas as S
+    assert S.REFUND_PREFIX["BEFRLU"] == "241" and S.REFUND_PREFIX["DE"] == "301" and S.REFUND_PREFIX["OPS"] == ""
+    assert S.CUSTOMER_PREFIX["UK"] == "161" and S.CUSTOMER_PREFIX["NL"] == "101" and "TR" not in S.CUSTOMER_PREFIX
+    assert dict(S.SEED_RATES) == {"EUR": "1.000000", "GBP": "1.165000", "DKK": "0.134000", "SEK": "0.087000",
+                                  "CZK": "0.040000", "HUF": "0.002500", "RON": "0.201000", "TRY": "0.028000"}
+    assert len(S.MASTER_ORDER_STORES) == 19 and len(S.MASTER_CUSTOMER_STORES) == 18

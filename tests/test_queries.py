@@ -4,6 +4,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from martlane.suite import QUERIES
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     sql = E.oracle_sql().get(name)
@@ -36,7 +37,7 @@ def test_query_matches_oracle(spark, duck, name):
     assert digest(df.columns, got)[0] == digest(cols, exp)[0]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cartesian_or_python(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
