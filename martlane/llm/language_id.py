@@ -102,7 +102,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model:
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weights = rng.normal(0, 0.1, (DIMENSIONS, len(languages)))
     wanted = np.array([languages.index(x) for x in labels])
-    shares = [(b, c / c.sum()) for b, c in bags]
+    shares = [(b, (c / c.sum()).astype(np.float32)) for b, c in bags]
     held = np.arange(len(bags)) % CALIBRATION_SHARE == 0
     if len(bags) < 2 * CALIBRATION_SHARE:
         held[:] = False
@@ -152,7 +152,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     size = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("lang")) if sizes else F.lit(1)
     chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), size) < per_language).select("doc_id", "lang", "text")
 
-    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, ids, times = [], [], []
             for at, text in enumerate(batch["text"].to_pylist()):
@@ -160,19 +160,19 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
                 if c.any():
                     keep.append(at)
                     ids.append(np.flatnonzero(c).astype(np.int32))
-                    times.append(c[ids[-1]])
+                    times.append(c[ids[-1]].astype(np.int32))
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].take(at), batch["lang"].take(at), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(times, pa.list_(pa.int64()))], ["doc_id", "lang", "buckets", "times"])
+                 pa.array(times, pa.list_(pa.int32()))], ["doc_id", "lang", "buckets", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = cut(chosen.mapInArrow(bags, f"doc_id {kind}, lang string, buckets array<int>, times array<long>"))
+    sample = cut(chosen.mapInArrow(reduced, f"doc_id {kind}, lang string, buckets array<int>, times array<int>"))
     # many rows of one id could pass the share: a hard bound
-    got = sample.limit(2 * per_language * max(1, len(sizes))).toPandas()
-    got = got.sort_values(["doc_id", "lang"], kind="stable")
-    return fit([(np.asarray(b), np.asarray(c)) for b, c in zip(got["buckets"], got["times"], strict=True)],
-               list(got["lang"]))
+    got = sample.limit(2 * per_language * max(1, len(sizes))).toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")]).combine_chunks()
+    bags = zip(*([row.values.to_numpy() for row in got[c]] for c in ("buckets", "times")), strict=True)
+    return fit(list(bags), got["lang"].to_pylist())
 
 
 def predict_languages(docs: DataFrame, model: Model) -> DataFrame:
