@@ -1,7 +1,9 @@
-"""Refresh the marts: ``python -m martlane --tables DIR --out DIR [mart ...]``.
+"""Refresh the marts: ``python -m martlane --stores DIR --out DIR [mart ...]``.
 
-Builds the shop-shaped source tables from a directory of driver tables, then writes the
-requested marts (default: all) and everything they depend on, in dependency order.
+Reads the shop tables landed per store (``--stores``, see ``sources/landed.py``) or shapes
+them from a directory of driver tables (``--tables``), then publishes the requested marts
+(default: all) and everything they depend on, in dependency order.  Every refresh reads its
+sources anew.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ import time
 
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="martlane")
-    ap.add_argument("--tables", required=True, help="directory with <table>.parquet inputs")
+    given = ap.add_mutually_exclusive_group(required=True)
+    given.add_argument("--stores", help="directory with a folder of landed tables for each store")
+    given.add_argument("--tables", help="directory with <table>.parquet inputs")
     ap.add_argument("--out", required=True, help="root folder for the written marts")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--partition-stores", action="store_true",
@@ -22,13 +26,15 @@ def main(argv=None):
     a = ap.parse_args(argv)
     from martlane.plans.warehouse import DEPENDS, Warehouse
     from martlane.session import get_spark
+    from martlane.sources.landed import LandedStores
     from martlane.sources.shop_shape import ShopShapes, materialize
     spark = get_spark(a.master)
     t0 = time.time()
-    shapes = materialize(ShopShapes(spark, a.tables), f"{a.out.rstrip('/')}/_sources")
-    wh = Warehouse(spark, shapes, a.out, partition_stores=a.partition_stores)
+    sources = (LandedStores(spark, a.stores) if a.stores
+               else materialize(ShopShapes(spark, a.tables), f"{a.out.rstrip('/')}/_sources"))
+    wh = Warehouse(spark, sources, a.out, partition_stores=a.partition_stores)
     built = wh.refresh(a.marts or list(DEPENDS))
-    print(json.dumps({"built": built, "root": a.out, "seconds": round(time.time() - t0, 1)}))
+    print(json.dumps({"built": built, "rows": wh.counts, "root": a.out, "seconds": round(time.time() - t0, 1)}))
 
 
 if __name__ == "__main__":

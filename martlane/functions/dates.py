@@ -57,9 +57,3 @@ def month_chunks(since: dt.date, until: dt.date) -> list[tuple[dt.date, dt.date]
         out.append((start, end))
         start = end + dt.timedelta(days=1)
     return out
-
-
-def month_chunks_df(spark, since: dt.date, until: dt.date) -> DataFrame:
-    """The same chunks as a DataFrame (chunk_start, chunk_end), for joins with landed files."""
-    return spark.createDataFrame(month_chunks(since, until),
-                                 "chunk_start date, chunk_end date")

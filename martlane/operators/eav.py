@@ -47,15 +47,3 @@ def eav_unpivot(df: DataFrame, entity: str | list[str], columns: Iterable[str] |
     casted = df.select(*entities, *[F.col(c).cast("string").alias(c) for c in cols])
     out = casted.unpivot(entities, cols, key, value)
     return out.filter(F.col(value).isNotNull()) if drop_nulls else out
-
-
-def attach_pivot(base: DataFrame, meta: DataFrame, base_key: str | list[str],
-                 meta_entity: str | list[str], outputs: Mapping[str, str | Iterable[str]],
-                 key: str = "meta_key", value: str = "meta_value") -> DataFrame:
-    """Base rows LEFT JOIN their pivoted metadata: an entity without metadata survives."""
-    bk = [base_key] if isinstance(base_key, str) else list(base_key)
-    mk = [meta_entity] if isinstance(meta_entity, str) else list(meta_entity)
-    wide = eav_pivot(meta, mk, outputs, key, value)
-    wide = wide.select(*[F.col(m).alias(b) for m, b in zip(mk, bk)],
-                       *[c for c in wide.columns if c not in mk])
-    return base.join(wide, bk, "left")

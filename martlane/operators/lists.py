@@ -34,17 +34,3 @@ def ordered_join(value, order, sep: str = ",") -> Column:
         F.when(v.isNotNull(), F.struct(_col(order).alias("o"), v.alias("v")))))
     return F.when(F.size(pairs) > 0,
                   F.array_join(F.transform(pairs, lambda x: x["v"]), sep))
-
-
-def explode_list(df: DataFrame, col: str, out: str, sep: str = ",",
-                 keep_position: bool = False, drop_blank: bool = True) -> DataFrame:
-    """One row per list element of a delimited text; blanks dropped; no element cap."""
-    parts = F.split(F.col(col), sep)
-    if keep_position:
-        exploded = df.select("*", F.posexplode_outer(parts).alias(f"{out}_pos", out))
-        exploded = exploded.filter(F.col(out).isNotNull())
-    else:
-        exploded = df.select("*", F.explode(parts).alias(out))
-    if drop_blank:
-        exploded = exploded.filter(F.col(out) != "")
-    return exploded

@@ -707,3 +707,28 @@ ORACLE.update({
 
 
 ORACLE["ads_stream"] = ADS_FLATTEN
+
+
+ORACLE["rates_upsert"] = "WITH " + BASE + "," + RATES + """,
+paid AS (SELECT coalesce(currency, 'EUR') AS pcur, (count(*) % 1000 + 1) * 0.001 AS prate
+  FROM ord LEFT JOIN cur ON store = cstore GROUP BY 1)
+SELECT coalesce(pcur, rcur) AS currency_code, CAST(coalesce(prate, rate) AS DOUBLE) AS rate_to_eur,
+  CASE WHEN pcur IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-02-01' END AS last_updated
+FROM rates FULL JOIN paid ON rcur = pcur
+"""
+
+ORACLE["customers_eur_v1"] = """
+SELECT customer_id, full_name, email, source_store, billing_country, billing_city, original_ltv, rate_to_eur,
+  ltv_eur, orders_count, original_aov AS aov, units_total, registered_at, last_order_date
+FROM (""" + CUSTOMERS_EUR + ")"
+
+ORACLE["advertisements"] = "WITH a AS (SELECT * FROM " + _ads_records("TRUE", "1.0") + """
+  QUALIFY row_number() OVER (PARTITION BY ad_name, date_start ORDER BY position) = 1)
+SELECT campaign_name, ad_name, adset_name, impressions::INTEGER AS impressions, clicks::INTEGER AS clicks,
+  CAST(spend AS DOUBLE) AS spend, CAST(cpc AS DOUBLE) AS cpc, CAST(purchase_roas AS DOUBLE) AS purchase_roas,
+  date_start, date_stop FROM a
+"""
+
+ORACLE["landed_store_orders"] = """
+SELECT m.* REPLACE (CASE WHEN source_store = 'DE' THEN NULL ELSE order_status END AS order_status)
+FROM (""" + ORDER_MART + """) m WHERE source_store IN (""" + MASTER_ORDER_STORES_SQL + ")"

@@ -68,12 +68,7 @@ MONEY4 = T.DecimalType(12, 4)
 MARGIN = T.DecimalType(8, 2)
 RATE = T.DecimalType(12, 6)
 
-EAV_SCHEMA = T.StructType([
-    T.StructField("entity_id", T.LongType()),
-    T.StructField("meta_key", T.StringType()),
-    T.StructField("meta_value", T.StringType()),
-])
-
+# Columns of the marts.
 ORDERS_COLUMNS = [
     "order_number_formatted", "source_store", "order_id", "order_date", "order_status",
     "customer_id", "country_code", "channel", "site", "billing_country", "billing_city",

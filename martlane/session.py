@@ -42,7 +42,7 @@ def get_spark(master: str | None = None, app: str = "martlane",
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor; small input splits keep all
         # cores busy on the small test tables (the cluster branch below uses 256 MB)
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = "8g"
         conf.setdefault("spark.sql.files.maxPartitionBytes", "4m")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -87,9 +87,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "tables", name)

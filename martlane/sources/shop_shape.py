@@ -482,18 +482,13 @@ SOURCE_TABLES = ["order_posts", "order_meta", "order_items", "item_meta", "produ
 
 
 def materialize(shapes: ShopShapes, root: str, names=SOURCE_TABLES) -> ShopShapes:
-    """Write each shaped source table once as parquet under ``root`` and read it back.
+    """Publish each shaped source table once under ``root`` and read it back.
 
     The marts then scan stored source tables, as they would in production (extracts
     landed per store), instead of re-deriving them from the driver tables in every plan.
-    A table already written (``_SUCCESS`` present) is reused.
+    Whatever is stored there already is replaced, never reused.
     """
-    import os
-    spark = shapes.spark
+    from martlane.sources.sinks import publish
     for name in names:
-        path = f"{root.rstrip('/')}/{name}"
-        done = os.path.exists(os.path.join(path, "_SUCCESS")) if not path.startswith(("hdfs:", "s3", "gs:", "abfs")) else False
-        if not done:
-            getattr(shapes, name).write.mode("overwrite").parquet(path)
-        shapes.__dict__[name] = spark.read.parquet(path)
+        shapes.__dict__[name] = publish(getattr(shapes, name), f"{root.rstrip('/')}/{name}")
     return shapes

@@ -1,15 +1,25 @@
-"""Sinks: full-refresh table writes and on-request exports."""
+"""Sinks: published (versioned) tables and on-request exports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+
+from martlane.sources.files import file_system, replace_file
+
+#: Versions of a published table that stay: the current one and the one before it, which a
+#: running reader may still scan.
+KEPT_VERSIONS = 2
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 max_records_per_file: int | None = None) -> None:
-    """Truncate-and-reload as an atomic overwrite (the commit protocol publishes the new
-    files only when the job succeeds).  ``partition_by=["source_store"]`` gives store
-    pruning at rest; ``max_records_per_file`` bounds file size for a hot store."""
+    """Overwrite a folder.  Spark deletes the old files first, so a reader may find the table
+    missing while this runs or after it failed; ``publish`` is the safe form.
+    ``partition_by=["source_store"]`` gives store pruning at rest; ``max_records_per_file``
+    bounds file size for a hot store."""
     w = df.write.mode("overwrite")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -18,6 +28,45 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, check=None) -> DataFrame:
+    """Truncate-and-reload that a reader never sees half done; returns the published table.
+
+    The rows go to a new version folder.  ``check`` is called with what was written; only if
+    neither it nor the write fails does the pointer file move to the new version, by an
+    atomic rename.  Versions before the last one are removed.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    write_table(df, f"{path}/versions/{version}", partition_by)
+    written = spark.read.schema(df.schema).parquet(f"{path}/versions/{version}").select(*df.columns)
+    if check is not None:
+        check(written)
+    before = current_version(spark, path)
+    replace_file(spark, f"{path}/CURRENT", version)
+    fs, folder = file_system(spark, f"{path}/versions")
+    for status in fs.listStatus(folder):
+        if status.getPath().getName() not in (version, before):
+            fs.delete(status.getPath(), True)
+    return written
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the published version, None if nothing was published yet."""
+    try:
+        return spark.read.text(f"{path}/CURRENT").first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table was published at {path}")
+    return spark.read.parquet(f"{path}/versions/{version}")
+
+
 def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
     """Delimited export (TSV with ``sep='\\t'``), quoted where needed, one folder of parts."""
     (df.write.mode("overwrite").option("sep", sep).option("header", header)

@@ -13,39 +13,36 @@ from pyspark.sql import types as T
 from martlane.sources.shop_shape import ShopShapes
 
 _CACHE: dict = {}
+_WH: dict = {}
 
 
-def shapes(spark: SparkSession, sf_dir: str) -> ShopShapes:
-    """Shop-shaped source tables for ``sf_dir``, stored once under the checkpoint folder."""
-    import hashlib
+def _source_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """A session and what lies in a data directory just now."""
+    from martlane.sources.files import fingerprint
+    return id(spark), sf_dir, fingerprint(spark, sf_dir)
+
+
+def _fresh_root(spark: SparkSession, kind: str) -> str:
+    import uuid
     from martlane.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex[:12]}"
+
+
+def shapes(spark: SparkSession, sf_dir: str) -> ShopShapes:
+    """Shop-shaped source tables for ``sf_dir``, stored once for each state of its files."""
     from martlane.sources.shop_shape import materialize
-    key = (id(spark), sf_dir)
+    key = _source_key(spark, sf_dir)
     if key not in _CACHE:
-        # the tag covers the data directory AND the shaping rules, so tables stored by an
-        # older version of the rules are never reused
-        import martlane.sources.shop_shape as shape_mod
-        with open(shape_mod.__file__, "rb") as fh:
-            rules = fh.read()
-        tag = hashlib.sha1(sf_dir.rstrip("/").encode() + rules).hexdigest()[:12]
-        root = f"{checkpoint_dir(spark).rstrip('/')}/shop_tables/{tag}"
-        _CACHE[key] = materialize(ShopShapes(spark, sf_dir), root)
+        _CACHE[key] = materialize(ShopShapes(spark, sf_dir), _fresh_root(spark, "shop_tables"))
     return _CACHE[key]
 
 
-_WH: dict = {}
-
-
 def warehouse(spark: SparkSession, sf_dir: str):
-    """Written marts over the shaped sources of ``sf_dir`` (see plans/warehouse.py)."""
-    import hashlib
+    """Published marts over the shaped sources of ``sf_dir`` (see plans/warehouse.py)."""
     from martlane.plans.warehouse import Warehouse
-    from martlane.session import checkpoint_dir
-    key = (id(spark), sf_dir)
+    key = _source_key(spark, sf_dir)
     if key not in _WH:
-        tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-        root = f"{checkpoint_dir(spark).rstrip('/')}/marts/{tag}"
-        _WH[key] = Warehouse(spark, shapes(spark, sf_dir), root)
+        _WH[key] = Warehouse(spark, shapes(spark, sf_dir), _fresh_root(spark, "marts"))
     return _WH[key]
 
 
@@ -149,12 +146,48 @@ def q_store_union_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_store_union_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse(spark, sf_dir).table("master_customers")
-    return as_double(m)
+    return as_double(m.drop("created_at"))
 
 
-def _rates(spark):
+def q_rates_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seed rates after an upsert of a rate for each currency that orders are paid in."""
+    import datetime as dt
     from martlane.plans.masters import seed_rates, upsert_rates
-    return upsert_rates(None, seed_rates(spark))
+    meta = shapes(spark, sf_dir).order_meta.filter(F.col("meta_key") == "_order_currency")
+    rate = (F.count("*") % 1000 + 1) * F.lit("0.001").cast("decimal(12,6)")
+    batch = meta.groupBy(F.col("meta_value").alias("currency_code")).agg(rate.cast("decimal(12,6)").alias("rate_to_eur"))
+    old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    return as_double(upsert_rates(upsert_rates(None, seed_rates(spark), now=old), batch, now=new))
+
+
+def q_customers_eur_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.masters import customers_eur_v1
+    wh = warehouse(spark, sf_dir)
+    return as_double(customers_eur_v1(wh.table("master_customers"), wh.table("rates")))
+
+
+def q_advertisements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ads mart after one refresh over all landed records."""
+    m = warehouse(spark, sf_dir).table("advertisements").drop("created_at")
+    return as_double(m.withColumns({c: F.col(c).cast("string") for c in ("date_start", "date_stop")}))
+
+
+def q_landed_store_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders from tables landed per store: the master stores that are there, one of them
+    (DE) without the status column."""
+    from martlane.plans.orders import build_orders
+    from martlane.sources.landed import STORE_TABLES, LandedStores
+    s, root = shapes(spark, sf_dir), _fresh_root(spark, "landed")
+    for name in STORE_TABLES:
+        table = getattr(s, name)
+        if name == "order_posts":
+            (table.filter("source_store = 'DE'").drop("post_status")
+                  .write.partitionBy("source_store").parquet(f"{root}/{name}"))
+            table = table.filter("source_store <> 'DE'")
+        table.write.mode("append").partitionBy("source_store").parquet(f"{root}/{name}")
+    src = LandedStores(spark, root, store_path="{root}/{table}/source_store={store}")
+    return as_double(build_orders(src.order_posts, src.order_meta, src.order_items, src.item_meta,
+                                  src.store_product_lookup), NULLABLE_INTS)
 
 
 def q_customers_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +212,9 @@ QUERIES.update({
     "store_union_customers": q_store_union_customers,
     "customers_eur": q_customers_eur,
     "orders_eur": q_orders_eur,
+    "rates_upsert": q_rates_upsert,
+    "customers_eur_v1": q_customers_eur_v1,
+    "landed_store_orders": q_landed_store_orders,
 })
 
 
@@ -401,6 +437,7 @@ QUERIES.update({
     "ads_window": q_ads_window,
     "ads_upsert": q_ads_upsert,
     "ads_stored_upsert": q_ads_stored_upsert,
+    "advertisements": q_advertisements,
     "eav_pivot": q_eav_pivot,
     "eav_multi_key": q_eav_multi_key,
     "url_host": q_url_host,

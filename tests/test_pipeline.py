@@ -96,7 +96,8 @@ def test_warehouse_store_partitioning(spark):
     root = tempfile.mkdtemp(prefix="wh-part-")
     wh = Warehouse(spark, shapes(spark, SF), root, partition_stores=True)
     m = wh.table("master_orders")
-    assert any(d.startswith("source_store=") for d in os.listdir(os.path.join(root, "master_orders")))
+    version = os.listdir(os.path.join(root, "master_orders", "versions"))
+    assert any(d.startswith("source_store=") for d in os.listdir(os.path.join(root, "master_orders", "versions", *version)))
     # a store filter prunes to its partition directory
     plan = m.filter(F.col("source_store") == "DE")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source_store" in plan
