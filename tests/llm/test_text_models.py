@@ -41,7 +41,8 @@ def expected_licenses(text):
 
 def test_license_scan(spark):
     rows = documents() + [(200, "mit-License MIT\nLICENSE permit license, mit licenses; " + LICENSE * 3, None),
-                          (201, "Licensed under CC BY-NC-SA 4.0, not CC BY 3.0. GNU LGPL v2.1 or later; GPLv3", None)]
+                          (201, "Licensed under CC BY-NC-SA 4.0, not CC BY 3.0. GNU LGPL v2.1 or later; GPLv3", None),
+                          (202, "All rights reserved. MIT License\n" * 400, None)]
     got = scan(table(spark, rows)).collect()
     out = [(r["doc_id"], r["text"], (r["__n_words"], r["__n_base"], r["__first_word"], r["__last_word"], r["__base_labels"],
                                      r["__labels"], [(d.label, d.start, d.end) for d in r["__detections"]])) for r in got]
@@ -116,12 +117,14 @@ def test_decontamination(spark):
     assert dc.find_leaks(table(spark, []), bench).count() == 0
 
 
-def test_banded_distance():
+def test_banded_distances():
     rng = random.Random(2)
-    for _ in range(60):
-        window = "".join(rng.choice("abcd") for _ in range(40))
-        region = "".join(rng.choice("abcd") for _ in range(6)) + planted(rng, window, rng.randrange(5)) + "dcba" * 3
-        assert dc.banded_distance(dc.points(window), dc.points(region), 24) == edit_distance_in(window, region)
+    windows, regions = [], []
+    for n in [40, 25, 40, 60, 31] * 12:
+        windows.append("".join(rng.choice("abcd") for _ in range(n)))
+        regions.append("".join(rng.choice("abcd") for _ in range(6)) + planted(rng, windows[-1], rng.randrange(5)) + "dcba" * 3)
+    got = dc.banded_distances(windows, regions, 24)
+    assert got.tolist() == [edit_distance_in(w, r) for w, r in zip(windows, regions)]
 
 
 def test_language_id(spark):
