@@ -12,7 +12,6 @@ from martlane.functions.text import drop_invalid_utf8
 from martlane.operators.eav import eav_pivot
 from martlane.operators.lists import ordered_join
 from martlane.operators.merge import update_from
-from martlane.session import cut_lineage
 
 PRODUCT_META = {
     "sku": "_sku", "parent_sku": "_main_SKU", "attributes_raw": "_product_attributes",
@@ -107,12 +106,12 @@ def apply_images(products: DataFrame, rolled: DataFrame) -> DataFrame:
 
 
 def product_master(posts, post_meta, product_lookup, terms, term_relationships, term_taxonomy,
-                   attachments) -> DataFrame:
-    """Products -> categories/tags -> images, in the source's dependency order."""
-    # three branches read the pivot (attributes, gallery, the row itself); column pruning
-    # would give each its own pivot of the meta, so it is computed once and checkpointed
-    # (one row per product, much smaller than the meta it comes from)
-    base = cut_lineage(product_base(posts, post_meta, product_lookup))
+                   attachments, base: DataFrame) -> DataFrame:
+    """Products -> categories/tags -> images, in the source's dependency order.
+
+    ``base`` is the stored ``product_base``: three branches read it (attributes, gallery, the
+    row itself), and column pruning would give each its own pivot of the meta.
+    """
     prod = build_products(posts, post_meta, product_lookup, terms, base=base)
     # gallery pairs come from the same pivot of the product meta
     pairs = pairs_from_lists(base.select("product_id", "gallery_text"), "gallery_text")

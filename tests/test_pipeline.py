@@ -101,3 +101,23 @@ def test_warehouse_store_partitioning(spark):
     # a store filter prunes to its partition directory
     plan = m.filter(F.col("source_store") == "DE")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source_store" in plan
+
+
+def test_missing_order_numbers_can_be_filled_x4(spark):
+    from martlane import schemas as S
+    from martlane.plans.masters import master_orders
+    o = spark.createDataFrame([("DE", 1, " DE-1 "), ("DE", 2, "  "), ("DE", 3, None), ("PL", 4, "x")],
+                              "source_store string, order_id bigint, order_number_formatted string")
+    o = o.select("*", *[F.lit(None).cast("string").alias(c) for c in S.ORDERS_COLUMNS if c not in o.columns])
+    kept = sorted(rows(master_orders(o), "order_id", "order_number_formatted"))
+    filled = sorted(rows(master_orders(o, fill_missing=True), "order_id", "order_number_formatted"))
+    assert kept == [(1, "DE-1")] and filled == [(1, "DE-1"), (2, "ORD2"), (3, "ORD3")]
+
+
+def test_stores_without_a_database_are_left_out_a19(spark):
+    from martlane.sources.readers import existing_stores
+    spark.sql("CREATE DATABASE IF NOT EXISTS woo_de")
+    try:
+        assert existing_stores(spark, ["DE", "XX"]) == ["DE"]
+    finally:
+        spark.sql("DROP DATABASE woo_de")

@@ -43,7 +43,7 @@ BAD_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 #: Their plan is that of the mart they read; the builds are checked below.
 MART_READERS = {"store_union_orders": "master_orders", "store_union_items": "master_order_items",
                 "store_union_customers": "master_customers", "customers_eur": "customers_eur", "orders_eur": "eur_orders",
-                "returns_by_product": "return_by_product", "advertisements": "advertisements"}
+                "returns_by_product": "return_by_product", "advertisements": "advertisements", "product_master": "products"}
 
 
 def plan_of(df):
