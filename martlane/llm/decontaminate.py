@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 
 from martlane.llm.common import small_batches
 
-Q, WINDOW, STRIDE, SHORTEST = 10, 96, 48, 30
+Q, WINDOW, STRIDE, SHORTEST = 10, 64, 32, 30
 EDIT_SHARE, LEAST_SHARED = 0.1, 4
 #: The largest budget of a window, and so half the width of a band.
 MAX_EDITS = min(int(WINDOW * EDIT_SHARE), (WINDOW + 1 - LEAST_SHARED) // Q - 1)
 BLOCK_POINTS = 4 << 20
 #: Code points of documents that are hashed at once.
 AT_ONCE = 1 << 20
+#: Regions that are aligned at once.
+ALIGNED_AT_ONCE = 2048
 TABLE_BITS = 22
 LEAKS = "array<struct<item_id:{kind},start:long,edits:int>>"
 
@@ -66,17 +68,25 @@ def grams(p: np.ndarray) -> np.ndarray:
     return ten ^ (ten >> np.uint64(31))
 
 
-def banded_distance(window: np.ndarray, region: np.ndarray, width: int) -> int:
-    """Least edits between the window and any part of the region, along the diagonals 0 to
-    ``width`` (window position 0 at region position 0 is diagonal 0)."""
-    offsets = np.arange(width + 1)
-    padded = np.concatenate([region.astype(np.int64), np.full(max(0, len(window) + width + 1 - len(region)), -1)])
-    row = np.zeros(width + 1, dtype=np.int64)
-    for i, c in enumerate(window.astype(np.int64)):
-        step = row + (padded[i:i + width + 1] != c)
-        step[:-1] = np.minimum(step[:-1], row[1:] + 1)
-        row = np.minimum.accumulate(step - offsets) + offsets
-    return int(row.min())
+def banded_distances(windows: list[str], regions: list[str], width: int) -> np.ndarray:
+    """Least edits between each window and any part of its region, along the diagonals 0 to
+    ``width`` (window position 0 at region position 0 is diagonal 0); all pairs at once."""
+    lengths = np.array([len(w) for w in windows])
+    longest = int(lengths.max())
+    rows = np.full((len(windows), longest), -2, dtype=np.int64)
+    columns = np.full((len(windows), longest + width + 1), -1, dtype=np.int64)
+    for i, (window, region) in enumerate(zip(windows, regions, strict=True)):
+        rows[i, :len(window)] = points(window)
+        part = points(region)[:columns.shape[1]]
+        columns[i, :len(part)] = part
+    offsets = np.arange(width + 1, dtype=np.int16)
+    row = np.zeros((len(windows), width + 1), dtype=np.int16)
+    for i in range(longest):
+        step = row + (columns[:, i:i + width + 1] != rows[:, i:i + 1])
+        np.minimum(step[:, :-1], row[:, 1:] + 1, out=step[:, :-1])
+        new = np.minimum.accumulate(step - offsets, axis=1) + offsets
+        row = np.where((lengths > i)[:, None], new, row)
+    return row.min(axis=1)
 
 
 @dataclass
@@ -141,26 +151,30 @@ def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, in
     doc = np.searchsorted(starts, position, side="right") - 1
     diagonal = position - starts[doc] - at
     band = np.floor_divide(diagonal, MAX_EDITS)
-    keys = np.stack([np.tile(doc, 2), np.tile(window, 2), np.r_[band, band - 1]])
-    order = np.lexsort(keys[::-1])
-    keys = keys[:, order]
-    new = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]) if len(order) else np.zeros(0, int)
-    shared = np.diff(np.r_[new, len(order)])
+    bands = np.r_[band, band - 1]
+    lowest, span = (int(bands.min()), int(np.ptp(bands)) + 1) if len(bands) else (0, 1)
+    keys, shared = np.unique((np.tile(doc, 2) * len(own.texts) + np.tile(window, 2)) * span + bands - lowest,
+                             return_counts=True)
     bound = np.array([max(1, len(t) + 1 - Q * (budget(len(t)) + 1)) for t in own.texts])
-    reach = shared >= bound[keys[1, new]]
+    keys = keys[shared >= bound[keys // span % len(own.texts)]]
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for d, w, b in keys[:, new[reach]].T.tolist():
-        text, k = own.texts[w], budget(len(own.texts[w]))
-        key = d, own.items[w]
-        if best.get(key, (1, 0))[0] == 0:
-            continue
-        lo = (b - 1) * MAX_EDITS
+    unsure = []
+    for key in keys.tolist():
+        (d, w), b = divmod(key // span, len(own.texts)), key % span + lowest
+        text, lo = own.texts[w], (b - 1) * MAX_EDITS
         # before the document's start stand signs that match nothing
         region = "\0" * -lo + bodies[d][max(0, lo):max(0, (b + 3) * MAX_EDITS + len(text))]
         if (exact := region.find(text)) >= 0:
-            best[key] = 0, lo + exact
-        elif (edits := banded_distance(points(text), points(region), 4 * MAX_EDITS)) <= k:
-            best[key] = min(best.get(key, (edits, max(0, lo))), (edits, max(0, lo)))
+            best[d, own.items[w]] = min(best.get((d, own.items[w]), (0, lo + exact)), (0, lo + exact))
+        else:
+            unsure.append((d, w, max(0, lo), region))
+    unsure = [u for u in unsure if (u[0], own.items[u[1]]) not in best]
+    for at in range(0, len(unsure), ALIGNED_AT_ONCE):
+        part = unsure[at:at + ALIGNED_AT_ONCE]
+        distances = banded_distances([own.texts[w] for _, w, _, _ in part], [r for *_, r in part], 4 * MAX_EDITS)
+        for (d, w, lo, _), edits in zip(part, distances.tolist(), strict=True):
+            if edits <= budget(len(own.texts[w])):
+                best[d, own.items[w]] = min(best.get((d, own.items[w]), (edits, lo)), (edits, lo))
     for (d, item), (edits, start) in sorted(best.items()):
         out[d].append((item, start, edits))
     return out
