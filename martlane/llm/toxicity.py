@@ -15,7 +15,7 @@ words are chosen by their association with a category (log-likelihood ratio) amo
 are sums over all sample texts.  Every document is predicted from its whole text.
 
 A document is toxic if its probability reaches the threshold that gives the best F1 of the
-out-of-fold predictions.
+out-of-fold predictions, ``LEAST_THRESHOLD`` at least.
 
 Cases: a null text or one without a word is not toxic, with probability 0.  Of several label
 rows of one id the worst of each category counts; label rows with a null are left out.  Without
@@ -42,6 +42,8 @@ CHAIN: tuple[tuple[str, str], ...] = (("low_quality", "quality = 0"), ("toxic",
 TARGET = "toxic"
 SAMPLE_PER_STRATUM, FEATURES, LEAST_DOCUMENTS, GRAM = 2000, 800, 4, 5
 FOLDS, STEPS, RATE, PENALTY = 5, 250, 0.5, 1e-4
+#: A document below this probability is never called toxic.
+LEAST_THRESHOLD = 0.3
 WORD = r"[^\W\d_]+"
 SHARES = 4
 #: Words whose features a task remembers.
@@ -152,7 +154,7 @@ def fit(rows: list[tuple[list[int], list[float]]], truth: dict[str, np.ndarray],
             best = int(f1.argmax())
             after = unseen[order[best + 1]] if best + 1 < len(order) else 0.0
             # between the last document taken and the first one left
-            threshold = float((unseen[order[best]] + after) / 2)
+            threshold = max(LEAST_THRESHOLD, float((unseen[order[best]] + after) / 2))
     return Chain(list(truth), index, weights, threshold)
 
 
