@@ -19,12 +19,12 @@ Other columns are not read, and the label, the source and the id are no input of
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +38,8 @@ EPOCHS, RATE, CALIBRATION_SHARE = 6, 0.5, 5
 ROW_RATE = 20
 #: The model and its labels are held by the driver; more languages than this are an error.
 MAX_LANGUAGES = 1000
-NO_LETTERS = r"[\W\d_]+"
-REJECT_QUANTILE, MOST_THRESHOLD = 0.0005, 0.5
+NO_LETTERS = regex.compile(r"\P{L}+")
+REJECT_QUANTILE, MOST_THRESHOLD = 0.0005, 0.4
 #: Bytes of a text that are hashed at once, so that memory does not grow with its length.
 CHUNK = 1 << 16
 UNDETERMINED = "und"
@@ -48,7 +48,7 @@ UNDETERMINED = "und"
 def pieces(text: str) -> Iterator[np.ndarray]:
     """The lower-cased letters of a text with one space between and around words, as bytes,
     in pieces of ``CHUNK`` bytes that end at a space (only a longer word is cut)."""
-    body = f" {re.sub(NO_LETTERS, ' ', text.lower()).strip()} ".encode()
+    body = f" {NO_LETTERS.sub(' ', text.lower()).strip()} ".encode()
     at = 0
     while at < len(body) - 2:
         end = body.rfind(b" ", at + 1, at + CHUNK)

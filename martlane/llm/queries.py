@@ -47,7 +47,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     return predict_languages(docs.select("doc_id", "text"), train(docs)).select(
-        "doc_id", held_out.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"),
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"),
         F.col("__rejected").alias("rejected"))
 
 
