@@ -132,8 +132,9 @@ def repeated_lines(docs: DataFrame, points: int = MIN_POINTS, documents: int = M
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = cut(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
                 .mapInArrow(suspects, f"doc_id {kind}, text_hash long, key string, lines array<int>"))
-    confirmed = (found.groupBy("key").agg(F.count("*").alias("times"), F.max("doc_id").alias("keeper"))
-                 .filter(F.col("times") >= documents).drop("times"))
+    # written, so that the join below meets plain rows on both sides and a hot line can be split
+    confirmed = cut(found.groupBy("key").agg(F.count("*").alias("times"), F.max("doc_id").alias("keeper"))
+                    .filter(F.col("times") >= documents).drop("times"))
     return (found.join(confirmed, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("lines")).alias("lines")))
 
