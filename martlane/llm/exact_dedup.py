@@ -88,7 +88,8 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK, hashed=F.xxhash64) ->
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row."""
     named = cut(name_documents(docs, block, hashed))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
-    groups = named.groupBy("n", "name").agg(first, F.count("*").alias("group_size"))
+    # written, so that the join below meets plain rows on both sides and a hot group can be split
+    groups = cut(named.groupBy("n", "name").agg(first, F.count("*").alias("group_size")))
     return named.join(groups, ["n", "name"]).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("first.rid")).alias("kept"),
