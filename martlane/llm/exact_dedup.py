@@ -61,8 +61,8 @@ def name_documents(docs: DataFrame, block: int = BLOCK, hashed=F.xxhash64) -> Da
     names = cut(_named(docs.select(F.explode(_blocks(normalised(F.col("text")), block)).alias("b"))
                        .select(hashed(F.col("b")).alias("h"), "b").distinct(), ["h", "b"])
                 .select("h", "name"))
-    by_hash = names.groupBy("h").agg(F.min("name").alias("name"), F.count("*").alias("variants"))
-    doubtful = cut(by_hash.filter("variants > 1").select("h"))
+    by_hash = cut(names.groupBy("h").agg(F.min("name").alias("name"), F.count("*").alias("variants")))
+    doubtful = by_hash.filter("variants > 1").select("h")
 
     rows = keyed.select("rid", F.size("hs").alias("n"), F.posexplode("hs").alias("i", "h"))
     named = rows.join(by_hash.filter("variants = 1").select("h", "name"), "h").select("rid", "n", "i", "name")
