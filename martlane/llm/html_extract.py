@@ -6,8 +6,8 @@ weights are log-odds from labelled pages: those that mark their content with exa
 ``article`` or ``main`` element say for each kind of token how often it stands inside and
 outside.  At most about ``SAMPLE_PAGES`` pages are used, chosen by a hash of the id.  Words
 of scripts, styles and of containers that name themselves as menus, adverts, comments and
-the like (``BOILERPLATE``) score negative too and are no part of the text, also where the
-region runs over them.
+the like (``BOILERPLATE``) are no part of the text; such a container scores nothing, tags
+and all, so the region runs over it.
 
 Text of the region: character references decoded, white space inside a block made one space,
 blocks trimmed, empty ones left out, the rest joined by a line feed in page order.
@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from martlane.llm.common import small_batches
 
 SAMPLE_PAGES, MAX_KINDS = 2000, 500
-#: Scores without labelled pages; of words, of words in boilerplate, of other tags.
-DEFAULT = {"word": 1.0, "boilerplate": -1.0, "p": -0.1, "/p": -0.1, "br": -0.1, "h1": -0.1, "/h1": -0.1}
+#: Scores without labelled pages; of words, of some tags, of other tags.
+DEFAULT = {"word": 1.0, "p": -0.1, "/p": -0.1, "br": -0.1, "h1": -0.1, "/h1": -0.1}
 TAG = -1.0
+#: Starts the kind of a tag of, or in, a container that is left out.
+CUT = "!"
 #: Least and largest size of a weight.
 WEAKEST, STRONGEST = 0.02, 4.0
 
@@ -88,7 +90,8 @@ def is_boilerplate(name: str, rest: str, inside: bool) -> bool:
 
 def tokens(page: str) -> list[tuple[str, str, bool]]:
     """(kind, text, in labelled content) in page order: kind ``word`` or ``boilerplate`` with
-    a piece of text, or a tag's name (with a slash if it closes) with an empty text."""
+    a piece of text, or a tag's name (with a slash if it closes, after ``CUT`` if it is left
+    out) with an empty text."""
     out: list[tuple[str, str, bool]] = []
     open_: list[tuple[str, bool]] = []  # name, boilerplate
     boilerplate = content = at = 0
@@ -108,6 +111,9 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
                 return None
         return None
 
+    def tag(kind: str, cut: bool, inside: bool) -> None:
+        out.append((CUT + kind if cut else kind, "", inside))
+
     for m in TOKEN.finditer(page):
         if m.start() > at:
             out.append(("boilerplate" if boilerplate else "word", page[at:m.start()], content > 0))
@@ -115,24 +121,27 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             if m["raw"]:
-                out.append((m["raw"].lower(), "", content > 0))
+                tag(m["raw"].lower(), boilerplate > 0, content > 0)
             continue
         rest = m["rest"] or m["rest2"] or ""
         if m["close"] or m["close2"]:
             if (k := last(name, set())) is not None:
-                out.append((f"/{name}", "", content > 0 and name not in ("article", "main")))
+                inside = content > 0 and name not in ("article", "main")
+                close(k + 1)
+                tag(f"/{name}", boilerplate > 0, inside)
                 close(k)
             else:
-                out.append((f"/{name}", "", content > 0))
+                tag(f"/{name}", boilerplate > 0, content > 0)
             continue
         if name in BLOCK and (k := last("p", BLOCK - {"p"})) is not None:
             close(k)
         if name in ("li", "dd", "dt", "td", "th", "tr", "option") and (
                 k := last(name, {"ul", "ol", "dl", "table", "menu", "article", "main"})) is not None:
             close(k)
-        out.append((name, "", content > 0))
-        if name not in VOID and not rest.endswith("/"):
-            bad = is_boilerplate(name, rest, content > 0)
+        opens = name not in VOID and not rest.endswith("/")
+        bad = opens and is_boilerplate(name, rest, content > 0)
+        tag(name, boilerplate > 0 or bad, content > 0)
+        if opens:
             open_.append((name, bad))
             boilerplate += bad
             content += name in ("article", "main")
@@ -143,10 +152,12 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
 
 def region(items: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
     """First and last+1 token of the maximum-scoring run (the first of equals; empty if no
-    token scores positive)."""
+    token scores positive).  What is left out anyway scores nothing."""
     best = here = 0.0
     span, start = (0, 0), 0
     for i, (kind, text, _) in enumerate(items):
+        if kind == "boilerplate" or kind[0] == CUT:
+            continue
         score = weights.get(kind, TAG) * len(text.split()) if text else weights.get(kind, TAG)
         here += score
         if here <= 0:
@@ -165,7 +176,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
             block.append(html.unescape(text))
         elif kind == "br":
             block.append(" ")
-        elif kind.lstrip("/") in BLOCK and block:
+        elif kind.lstrip(CUT + "/") in BLOCK and block:
             blocks.append(block)
             block = []
     lines = (" ".join("".join(b).split()) for b in [*blocks, block])
@@ -174,7 +185,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 def token_counts(page: str) -> Counter:
     """(kind, inside) counts of a labelled page; empty for a page without one label."""
-    items = tokens(page)
+    items = [(kind.removeprefix(CUT), text, inside) for kind, text, inside in tokens(page)]
     if sum(kind in ("article", "main") for kind, _, _ in items) != 1:
         return Counter()
     out: Counter = Counter()

@@ -194,6 +194,35 @@ def test_html_extraction(spark):
     assert html_extract.extract(df.limit(0), weights).count() == 0
 
 
+PLAIN_PAGE = """<html><head><title>t</title></head><body><nav><ul><li><a href="/">Menu</a></li></ul></nav>
+<div class="ad">Buy this thing now and here</div><article><h1>{}</h1><p>{}</p></article><footer>words here</footer></body></html>"""
+
+
+def learned_without_boxes():
+    """Weights of pages that hold no box inside the article."""
+    rng, total = random.Random(14), html_extract.Counter()
+    for _ in range(50):
+        total.update(html_extract.token_counts(PLAIN_PAGE.format(sentence(rng, ENGLISH, 5), sentence(rng, ENGLISH, 80))))
+    all_in, all_out = (1 + sum(n for (_, i), n in total.items() if i == inside) for inside in (True, False))
+    weights = dict(html_extract.DEFAULT)
+    for kind in {k for k, _ in total}:
+        odds = np.log((total[kind, True] + 0.5) / all_in) - np.log((total[kind, False] + 0.5) / all_out)
+        least, most = (0.02, 4.0) if kind == "word" else (-4.0, -0.02)
+        weights[kind] = float(min(most, max(least, odds)))
+    return weights
+
+
+def test_a_box_inside_the_article_does_not_split_it():
+    weights = learned_without_boxes()
+    assert weights["word"] == 4 and weights["div"] == -4
+    box = "<div><p>" + "box words here " * 60 + "</p></div>"
+    for name in ("share", "newsletter", "cookie-notice", "comments"):
+        for inner in ("Share this now", box):
+            page = (f'<html><body><nav><a>Menu</a></nav><article><h1>A title of five words</h1><div class="{name}">{inner}</div>'
+                    f'<p>A short lead.</p><div class="{name}">{inner}</div><p>{"body " * 40}</p></article><footer>f</footer></body></html>')
+            assert html_extract.main_text(page, weights).split() == ["A", "title", "of", "five", "words", "A", "short", "lead."] + ["body"] * 40
+
+
 def test_region_is_the_best_run():
     rng = random.Random(8)
     for _ in range(200):
