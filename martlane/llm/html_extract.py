@@ -61,31 +61,57 @@ BOILERPLATE = set("""ad ads adv advert advertisement advertising adsense banner
     respond search share sharing sidebar side-bar skip skyscraper social sponsor sponsored subscribe subscription
     signup login tags toc toolbar widget widgets discussion reviews reader-comments outbrain taboola""".split())
 CONTENT_TAGS = {"article", "main", "body", "html"}
-#: Names that say a container holds content, or only speaks of such a part.
-CONTENT = set("article content main post entry body story text has no with without".split())
-
-
-def names_of(rest: str) -> set[str]:
-    out: set[str] = set()
+#: Names that say a container holds content.
+CONTENT = set("article content main post entry body story text".split())
+#: Last parts of a name that leave it to the part before them what the container is.
+PART_OF = set("body content main text".split())
+#: A name with one of these only speaks of what follows it; beside a content name also these.
+SPEAKS_OF, LABELS = set("has no with without".split()), set("category tag topic type format status".split())
+#: Also names of headings, wrappers and parts of an article.
+WEAK = {"header", "widget", "widgets", "tags"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+
+
+def names_of(rest: str) -> list[str]:
+    """Names in class, id and role; none if the role is that of a content element."""
+    out: list[str] = []
     for key, *values in ATTRIBUTE.findall(rest):
         if key.lower() == "hidden":
-            out.add("dialog")
-        spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values))
-        for name in spaced.lower().split():
-            out.update([name, *re.split(r"[^a-z]+", name)])
+            out.append("dialog")
+        spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values)).lower().split()
+        if key.lower() == "role" and not CONTENT_TAGS.isdisjoint(spaced):
+            return []
+        out += spaced
     return out
 
 
+def names_boilerplate(name: str, bad: set[str], beside_content: bool) -> bool:
+    """Whether the last part of a name that says something is one of ``bad``.  Parts in
+    ``PART_OF`` say nothing, nor do unknown ones (``share-buttons``), but beside a name of
+    content an unknown one keeps the container (``post ad-supported``)."""
+    if name in bad:
+        return True
+    parts = [x for x in re.split(r"[^a-z]+", name) if x]
+    for k in range(len(parts) - 1, -1, -1):
+        if parts[k] in bad:
+            return not (SPEAKS_OF | LABELS if beside_content else SPEAKS_OF) & set(parts[:k])
+        if parts[k] not in PART_OF and (parts[k] in CONTENT or beside_content):
+            return False
+    return False
+
+
 def is_boilerplate(name: str, rest: str, inside: bool) -> bool:
     """``inside``: within an article or main element, where a header holds the title."""
+    if name in ("header", "label"):
+        return not inside
     if name in BOILERPLATE_TAGS:
         return True
-    if name == "header":
-        return not inside
     if name in CONTENT_TAGS or not rest.strip():
         return False
     names = names_of(rest)
-    return bool(names & BOILERPLATE) and not names & CONTENT
+    bad = BOILERPLATE - WEAK if inside or name in HEADINGS else BOILERPLATE
+    return any(names_boilerplate(x, bad, any(y != x and not CONTENT.isdisjoint(re.split(r"[^a-z]+", y)) for y in names))
+               for x in names)
 
 
 def tokens(page: str) -> list[tuple[str, str, bool]]:

@@ -223,6 +223,21 @@ def test_a_box_inside_the_article_does_not_split_it():
             assert html_extract.main_text(page, weights).split() == ["A", "title", "of", "five", "words", "A", "short", "lead."] + ["body"] * 40
 
 
+@pytest.mark.parametrize("name, rest, inside, bad", [
+    ("h2", 'class="section-header"', True, False), ("h2", 'class="section-header"', False, False),
+    ("div", 'class="elementor-widget-container"', True, False), ("div", 'class="post-tags"', True, False),
+    ("label", 'for="x"', True, False), ("label", 'for="x"', False, True), ("div", 'class="site-header"', False, True),
+    *[("div", x, inside, True) for inside in (True, False) for x in (
+        'class="post-comments"', 'id="article-comments"', 'class="comment-body"', 'class="post-share"', 'class="content-ad"',
+        'class="post comments"', 'id="content-1" class="postShare"', 'class="share-buttons"', 'class="ad-slot"', 'class="comment-list"',
+        "role=navigation", "hidden", 'class="comment-header"')],
+    *[("div", x, inside, False) for inside in (True, False) for x in (
+        'class="has-sidebar"', 'class="post ad-supported"', 'class="post hentry category-social"', 'class="entry-content"',
+        'role="main" class="search"', 'class="share-story"')]])
+def test_each_name_of_a_container_is_judged_by_itself(name, rest, inside, bad):
+    assert html_extract.is_boilerplate(name, f" {rest}", inside) == bad
+
+
 def test_region_is_the_best_run():
     rng = random.Random(8)
     for _ in range(200):
