@@ -1,11 +1,12 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Benchmark items are cut into overlapping windows of ``WINDOW`` code points (a shorter item is
-one window).  A window of length m occurs in a document if some region of it is at most k
+Benchmark items are cut into overlapping windows of each size in ``WINDOWS`` (a shorter item
+is one window): the small ones find short quotes, the large ones, with their larger budget,
+copies whose edits stand close together.  A window of length m occurs in a document if some region of it is at most k
 edits away, k being a tenth of m and no more than lets ``LEAST_SHARED`` q-grams survive: by
 the q-gram lemma such a region shares m + 1 - Q (k + 1) q-grams with the window, on diagonals
 that lie within k of each other.  So the shared q-grams of a document and a window are
-counted in diagonal bands of twice the largest budget that overlap by half; bands that reach
+counted in diagonal bands of twice the size's largest budget that overlap by half; bands that reach
 the bound are verified by a banded alignment with free ends, or found to hold the window as it is.
 The filter loses no region: hash collisions and repeated q-grams only add candidates.
 
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 
 from martlane.llm.common import small_batches
 
-Q, WINDOW, STRIDE, SHORTEST = 10, 64, 32, 30
+Q, SHORTEST = 10, 30
+#: (code points, stride) of the windows.
+WINDOWS = ((64, 32), (96, 48))
 EDIT_SHARE, LEAST_SHARED = 0.1, 4
-#: The largest budget of a window, and so half the width of a band.
-MAX_EDITS = min(int(WINDOW * EDIT_SHARE), (WINDOW + 1 - LEAST_SHARED) // Q - 1)
 BLOCK_POINTS = 4 << 20
 #: Code points of documents that are hashed at once.
 AT_ONCE = 1 << 20
@@ -94,6 +95,7 @@ class Windows:
     """Windows of a block of items and the index of their q-grams."""
     texts: list[str]
     items: list[int]  # place of the window's item
+    reach: np.ndarray  # of each window, the largest budget of its size: half the width of its bands
     codes: np.ndarray  # sorted distinct q-grams
     first: np.ndarray  # of each, its first entry
     entry_window: np.ndarray
@@ -102,26 +104,30 @@ class Windows:
 
 
 def index(items: list[str]) -> Windows:
-    texts, owner, codes, windows, at = [], [], [], [], []
+    texts, owner, reach, codes, windows, at = [], [], [], [], [], []
     for k, item in enumerate(items):
         if len(item) < SHORTEST:
             continue
-        last = max(0, len(item) - WINDOW)
-        for start in sorted({*range(0, last + 1, STRIDE), last}):
-            text = item[start:start + WINDOW]
-            g = grams(points(text))
-            codes.append(g)
-            windows.append(np.full(len(g), len(texts)))
-            at.append(np.arange(len(g)))
-            texts.append(text)
-            owner.append(k)
+        for n, (size, stride) in enumerate(WINDOWS):
+            if n and len(item) <= WINDOWS[n - 1][0]:
+                break  # the item was one window before
+            last = max(0, len(item) - size)
+            for start in sorted({*range(0, last + 1, stride), last}):
+                text = item[start:start + size]
+                g = grams(points(text))
+                codes.append(g)
+                windows.append(np.full(len(g), len(texts)))
+                at.append(np.arange(len(g)))
+                texts.append(text)
+                owner.append(k)
+                reach.append(budget(size))
     none = np.zeros(0, dtype=np.int64)
     all_codes = np.concatenate([none.astype(np.uint64), *codes])
     order = np.argsort(all_codes, kind="stable")
     distinct, first = np.unique(all_codes[order], return_index=True)
     present = np.zeros(1 << TABLE_BITS, dtype=bool)
     present[distinct >> np.uint64(64 - TABLE_BITS)] = True
-    return Windows(texts, owner, distinct, np.append(first, len(all_codes)),
+    return Windows(texts, owner, np.array(reach, dtype=np.int64), distinct, np.append(first, len(all_codes)),
                    np.concatenate([none, *windows])[order], np.concatenate([none, *at])[order], present)
 
 
@@ -150,7 +156,7 @@ def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, in
     position, window, at = hits(points("\0".join(bodies)), own)
     doc = np.searchsorted(starts, position, side="right") - 1
     diagonal = position - starts[doc] - at
-    band = np.floor_divide(diagonal, MAX_EDITS)
+    band = np.floor_divide(diagonal, own.reach[window])
     bands = np.r_[band, band - 1]
     lowest, span = (int(bands.min()), int(np.ptp(bands)) + 1) if len(bands) else (0, 1)
     keys, shared = np.unique((np.tile(doc, 2) * len(own.texts) + np.tile(window, 2)) * span + bands - lowest,
@@ -161,20 +167,23 @@ def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, in
     unsure = []
     for key in keys.tolist():
         (d, w), b = divmod(key // span, len(own.texts)), key % span + lowest
-        text, lo = own.texts[w], (b - 1) * MAX_EDITS
+        text, reach = own.texts[w], int(own.reach[w])
+        lo = (b - 1) * reach
         # before the document's start stand signs that match nothing
-        region = "\0" * -lo + bodies[d][max(0, lo):max(0, (b + 3) * MAX_EDITS + len(text))]
+        region = "\0" * -lo + bodies[d][max(0, lo):max(0, (b + 3) * reach + len(text))]
         if (exact := region.find(text)) >= 0:
             best[d, own.items[w]] = min(best.get((d, own.items[w]), (0, lo + exact)), (0, lo + exact))
         else:
             unsure.append((d, w, max(0, lo), region))
     unsure = [u for u in unsure if (u[0], own.items[u[1]]) not in best]
-    for at in range(0, len(unsure), ALIGNED_AT_ONCE):
-        part = unsure[at:at + ALIGNED_AT_ONCE]
-        distances = banded_distances([own.texts[w] for _, w, _, _ in part], [r for *_, r in part], 4 * MAX_EDITS)
-        for (d, w, lo, _), edits in zip(part, distances.tolist(), strict=True):
-            if edits <= budget(len(own.texts[w])):
-                best[d, own.items[w]] = min(best.get((d, own.items[w]), (edits, lo)), (edits, lo))
+    for reach in sorted({int(own.reach[u[1]]) for u in unsure}):
+        alike = [u for u in unsure if own.reach[u[1]] == reach]
+        for at in range(0, len(alike), ALIGNED_AT_ONCE):
+            part = alike[at:at + ALIGNED_AT_ONCE]
+            distances = banded_distances([own.texts[w] for _, w, _, _ in part], [r for *_, r in part], 4 * reach)
+            for (d, w, lo, _), edits in zip(part, distances.tolist(), strict=True):
+                if edits <= budget(len(own.texts[w])):
+                    best[d, own.items[w]] = min(best.get((d, own.items[w]), (edits, lo)), (edits, lo))
     for (d, item), (edits, start) in sorted(best.items()):
         out[d].append((item, start, edits))
     return out

@@ -117,6 +117,19 @@ def test_decontamination(spark):
     assert dc.find_leaks(table(spark, []), bench).count() == 0
 
 
+def test_decontamination_of_edits_close_together():
+    """Edits within a tenth of the item, but more than a window of 64 allows, in its middle."""
+    rng = random.Random(21)
+    signs = "abcdefghijklmnopqrstuvw"
+    short, long = ("".join(rng.choice(signs) for _ in range(n)) for n in (81, 200))
+    noise = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [noise(50) + " " + short[:38] + "xyzxyz" + short[44:] + " " + noise(50),  # in [17:64], which all windows of 64 hold
+             noise(50) + long[:44] + "xyzxyzx" + long[51:96] + noise(50),
+             noise(40) + short[:64] + noise(40), short[:35] + noise(9) + short[44:]]
+    got = dc.leaks(texts, dc.index([short, long]))
+    assert [sorted((i, e) for i, _, e in f) for f in got] == [[(0, 6)], [(1, 7)], [(0, 0)], []]
+
+
 def test_banded_distances():
     rng = random.Random(2)
     windows, regions = [], []
