@@ -16,7 +16,10 @@ before it is shuffled.  Calls are ordered topologically: a call comes after the
 depends on, a result after its call, and everything else by turn.  The order is given as a
 sort key (``order_turn``, ``order_step``, ``turn``), not by sorting a conversation in one task.
 Arguments are checked against the schema that the conversation gives for the tool.  Every
-turn is written as canonical JSON: keys sorted, no white space, null fields left out.
+turn is written as canonical JSON: keys sorted, no white space, null fields left out.  The
+definitions and dependencies stand beside the message, in canonical JSON too: ``tools``
+(name and parameters of each tool the turn declares) and ``depends_on`` (a list for each call
+in the message's order); null where a turn has none.
 
 Cases: null texts and roles are left out of the JSON; a text that is not a JSON object of
 these forms is plain content; a JSON object with a key twice is plain content.  Calls without
@@ -112,7 +115,7 @@ def _argument_problems(arguments: str, schema: str) -> Column:
 
 def format_chats(conversations: DataFrame) -> DataFrame:
     """One row per turn: ``conv_id, turn, order_turn, order_step, role, n_calls, n_answered,
-    n_problems, problems, message`` (canonical JSON)."""
+    n_problems, problems, message, tools, depends_on`` (the last three canonical JSON)."""
     turns = parse(conversations)
     calls = cut(turns.filter(F.size("calls") > 0).select("rid", "conv_id", "turn", F.inline("calls")))
     results = turns.filter("result_of is not null").select("rid", "conv_id", "turn", F.col("result_of").alias("id"))
@@ -138,7 +141,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         F.count("*").alias("n_calls"), F.count("result").alias("n_answered"),
         F.array_sort(F.flatten(F.collect_list(F.transform("wrong", lambda p: F.concat(F.coalesce("id", F.lit("")), F.lit(": "), p))))).alias("call_problems"),
         F.max(F.coalesce("level", F.lit(0))).alias("call_level"),
-        F.array_sort(F.collect_list(F.struct(F.coalesce("level", F.lit(0)).alias("level"), "place", "id", "name", "arguments"))).alias("ordered")))
+        F.array_sort(F.collect_list(F.struct(F.coalesce("level", F.lit(0)).alias("level"), "place", "id", "name", "arguments", "needs"))).alias("ordered")))
     linked = (results.join(first_call, ONE, "left").join(first_result, ONE, "left").join(level, ONE, "left")
               .select("rid", F.col("call.at.turn").alias("call_turn"), F.col("level").alias("result_level"),
                       F.when(F.col("call").isNull(), "no such call").when(F.col("result.rid") != F.col("rid"), "repeated result").alias("wrong")))
@@ -150,18 +153,25 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         F.substring(F.to_json(F.struct(c["id"].alias("id"), c["name"].alias("name"))), 2, 1 << 30)))
     problems = F.concat(F.coalesce("call_problems", F.expr("cast(array() as array<string>)")),
                         F.when(F.col("wrong").isNotNull(), F.array("wrong")).otherwise(F.expr("cast(array() as array<string>)")))
-    columns = ["conv_id", "turn", "order_turn", "order_step", "role", "n_calls", "n_answered", "n_problems", "problems", "message"]
+    columns = ["conv_id", "turn", "order_turn", "order_step", "role", "n_calls", "n_answered", "n_problems", "problems", "message", "tools", "depends_on"]
     head = F.to_json(F.struct("content", "role"))
     tied = (tied.withColumn("order_turn", F.greatest("turn", "call_turn"))
             .withColumn("order_step", F.coalesce(2 * F.col("call_level"), F.when(F.col("call_turn").isNotNull(), 2 * F.coalesce("result_level", F.lit(0)) + 1), F.lit(0)))
             .withColumn("problems", problems).withColumn("n_problems", F.size("problems").cast("long"))
             .withColumn("n_calls", F.coalesce("n_calls", F.lit(0))).withColumn("n_answered", F.coalesce("n_answered", F.lit(0)))
-            .withColumn("message", _with_tools(head, F.col("result_of"), F.when(F.size("ordered") > 0, F.array_join(call_json, ",")))))
+            .withColumn("message", _with_tools(head, F.col("result_of"), F.when(F.size("ordered") > 0, F.array_join(call_json, ","))))
+            .withColumn("depends_on", F.expr("if(exists(ordered, c -> size(c.needs) > 0), to_json(transform(ordered, c -> c.needs)), null)")))
     plain = (plain.withColumn("order_turn", F.col("turn")).withColumn("order_step", F.lit(0))
              .withColumn("n_calls", F.lit(0).cast("long")).withColumn("n_answered", F.lit(0).cast("long"))
              .withColumn("n_problems", F.lit(0).cast("long")).withColumn("problems", F.expr("cast(array() as array<string>)"))
-             .withColumn("message", head))
-    return plain.select(*columns).unionByName(tied.select(*columns))
+             .withColumn("message", head).withColumn("depends_on", F.lit(None).cast("string")))
+    return plain.withColumn("tools", _tools_json()).select(*columns).unionByName(tied.withColumn("tools", _tools_json()).select(*columns))
+
+
+def _tools_json() -> Column:
+    name = "to_json(struct(t.name as name))"
+    return F.expr(f"""concat('[', array_join(transform(tools, t -> concat('{{', concat_ws(',',
+        nullif(substring({name}, 2, length({name}) - 2), ''), concat('"parameters":', t.schema)), '}}')), ','), ']')""")
 
 
 def _with_tools(head: Column, result_of: Column, calls: Column) -> Column:

@@ -61,6 +61,17 @@ def test_links_order_and_schemas(spark):
     assert got[1, 0, "system"].message == canonical({"content": "hi", "role": "system"})
 
 
+def test_tools_and_dependencies_are_kept(spark):
+    calls = {"tool_calls": [{"id": "c2", "name": "f", "arguments": {}, "depends_on": ["c1"]}, {"id": "c1", "name": "f", "arguments": {}}]}
+    both = {"tools": [{"function": {"name": 'a "b"', "parameters": {"type": "object", "$id": "x"}}}, {"name": "no schema"}, {}], **calls}
+    rows = [(1, 0, "system", json.dumps(TOOLS)), (1, 1, "assistant", json.dumps(calls)), (1, 2, "user", "plain"),
+            (2, 0, "assistant", json.dumps(both)), (3, 0, "system", '{"tools": []}')]
+    got = {(r.conv_id, r.turn): (r.tools, r.depends_on) for r in format_chats(chats(spark, rows)).collect()}
+    named = [{"name": 'a "b"', "parameters": {"type": "object", "$id": "x"}}, {"name": "no schema"}, {}]
+    assert got == {(1, 0): (canonical(TOOLS["tools"]), None), (1, 1): (None, '[[],["c1"]]'), (1, 2): (None, None),
+                   (2, 0): (canonical(named), '[[],["c1"]]'), (3, 0): ("[]", None)}
+
+
 def test_awkward_turns(spark):
     cycle = {"tool_calls": [{"id": "x", "name": "f", "arguments": [1], "depends_on": ["y"]},
                             {"id": "y", "name": "f", "arguments": {}, "depends_on": ["x"]},
