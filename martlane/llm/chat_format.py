@@ -15,7 +15,11 @@ so the join never multiplies rows and a conversation that holds a third of all t
 before it is shuffled.  Calls are ordered topologically: a call comes after the calls it
 depends on, a result after its call, and everything else by turn.  The order is given as a
 sort key (``order_turn``, ``order_step``, ``turn``), not by sorting a conversation in one task.
-Arguments are checked against the schema that the conversation gives for the tool.  Every
+Arguments are checked against the schema that the conversation gives for the tool, one level
+of nesting after the other: ``type`` (also a list), ``enum``, ``const``, ``required``,
+``properties``, ``additionalProperties``, ``items``, and bounds of numbers, lengths and sizes.
+Other keywords that could fail a value (``pattern``, ``anyOf``, ``$ref`` ..) are reported as
+not supported where the schema meets a value.  Every
 turn is written as canonical JSON: keys sorted, no white space, null fields left out.  The
 definitions and dependencies stand beside the message, in canonical JSON too: ``tools``
 (name and parameters of each tool the turn declares) and ``depends_on`` (a list for each call
@@ -38,6 +42,10 @@ from martlane.llm.common import cut
 #: JSON schema types and the types that a parsed value of them shows.
 TYPES = {"string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DOUBLE|DECIMAL.*)", "boolean": "BOOLEAN",
          "array": "ARRAY<.*", "object": "OBJECT<.*", "null": "VOID"}
+#: Keywords that are checked, and those that fail no value.
+CHECKED = """type enum const properties required additionalProperties items minimum maximum exclusiveMinimum
+    exclusiveMaximum minLength maxLength minItems maxItems minProperties maxProperties""".split()
+ANNOTATIONS = "title description default examples deprecated readOnly writeOnly $schema $id $comment $defs definitions".split()
 ONE = ["conv_id", "id"]
 
 
@@ -59,7 +67,7 @@ def parse(conversations: DataFrame) -> DataFrame:
         to_json(coalesce({_get('t', '$.parameters', 'variant')}, {_get('t', '$.function.parameters', 'variant')})) as schema))"""
     return cut(
         conversations.select(F.monotonically_increasing_id().alias("rid"), "conv_id", "turn", "role", "text",
-                             F.expr("if(ltrim(text) like '{%', try_parse_json(text), null)").alias("v"))
+                             F.when(F.col("text").rlike(r"^\s*\{"), F.expr("try_parse_json(text)")).alias("v"))
         .withColumn("calls", F.expr(call)).withColumn("result_of", F.expr(_get("v", "$.tool_call_id")))
         .withColumn("tools", F.expr(tool))
         .select("rid", "conv_id", "turn", "role",
@@ -93,24 +101,82 @@ def levels(calls: DataFrame) -> DataFrame:
     return done.groupBy(*ONE).agg(F.max("level").alias("level"))
 
 
-def _argument_problems(arguments: str, schema: str) -> Column:
-    """Names of what is wrong with the arguments of a call (JSON texts)."""
+def _level_problems() -> Column:
+    """Names of what is wrong with the value ``v`` of a ``path``, by its schema ``s`` alone;
+    ``members`` and ``elements`` are its parts, ``kind`` its type."""
     kinds = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in TYPES.items()) + ")"
-    args = f"cast(try_parse_json({arguments}) as map<string, variant>)"
-    known = f"try_variant_get(try_parse_json({schema}), '$.properties', 'map<string, variant>')"
-    required = f"coalesce(try_variant_get(try_parse_json({schema}), '$.required', 'array<string>'), array())"
-    strict = f"coalesce(not try_variant_get(try_parse_json({schema}), '$.additionalProperties', 'boolean'), false)"
-    is_object = f"coalesce(schema_of_variant(try_parse_json({arguments})) like 'OBJECT%', false)"
-    return F.expr(f"""case when {arguments} is null or not {is_object} then array('arguments are no object')
-        when {schema} is null then cast(array() as array<string>)
-        else concat(
-            transform(array_except({required}, map_keys({args})), k -> concat('missing ', k)),
-            transform(if({strict}, array_except(map_keys({args}), coalesce(map_keys({known}), array())), array()),
-                      k -> concat('unknown ', k)),
-            transform(filter(map_keys({args}), k -> coalesce(not regexp_like(
-                schema_of_variant(element_at({args}, k)),
-                concat('^', element_at({kinds}, try_variant_get(element_at({known}, k), '$.type', 'string')), '$')), false)),
-                k -> concat('type of ', k))) end""")
+    at = "if(path = '', '', concat(' of ', path))"
+    key = "if(path = '', k, concat(path, '.', k))"
+    types = f"coalesce({_get('s', '$.type', 'array<string>')}, array({_get('s', '$.type')}))"
+    allowed = f"filter({types}, t -> t is not null)"
+    # equal numbers are equal however they are written
+    same = """(to_json({0}) = to_json(v) or coalesce(kind rlike '^(BIGINT|DOUBLE|DECIMAL|FLOAT)'
+        and schema_of_variant({0}) rlike '^(BIGINT|DOUBLE|DECIMAL|FLOAT)'
+        and try_variant_get({0}, '$', 'double') = try_variant_get(v, '$', 'double'), false))"""
+    is_number = "kind rlike '^(BIGINT|DOUBLE|DECIMAL|FLOAT)'"
+    size = {"Length": ("kind = 'STRING'", f"length({_get('v', '$')})"), "Items": ("elements is not null", "size(elements)"),
+            "Properties": ("members is not null", "size(members)")}
+    bounds = [(f"{word}{what}", on, f"{got} {sign}") for what, (on, got) in size.items() for word, sign in (("min", "<"), ("max", ">"))]
+    bounds += [(k, is_number, f"{_get('v', '$', 'double')} {sign}")
+               for k, sign in (("minimum", "<"), ("maximum", ">"), ("exclusiveMinimum", "<="), ("exclusiveMaximum", ">="))]
+    bound = ", ".join(f"if({on} and coalesce({got} {_get('s', '$.' + k, 'double')}, false), concat('{k}', {at}), null)"
+                      for k, on, got in bounds)
+    known = ", ".join(f"'{k}'" for k in (*CHECKED, *ANNOTATIONS))
+    # keywords whose value is no such thing as this check reads
+    shapes = {"type": f"{allowed} = array() or exists({allowed}, t -> not map_contains_key({kinds}, t)) or size({allowed}) < size({types})",
+              "enum": f"{_get('s', '$.enum', 'array<variant>')} is null", "items": _no_schema(_get("s", "$.items", "variant")),
+              "required": f"{_get('s', '$.required', 'array<string>')} is null",
+              "properties": f"{_get('s', '$.properties', 'map<string, variant>')} is null",
+              "additionalProperties": _no_schema(_get("s", "$.additionalProperties", "variant")),
+              **{k: f"{_get('s', '$.' + k, 'double')} is null" for k, *_ in bounds}}
+    odd = " ".join(f"when '{k}' then {test}" for k, test in shapes.items())
+    declared = f"coalesce(map_keys({_get('s', '$.properties', 'map<string, variant>')}), array())"
+    return F.expr(f"""filter(concat(
+        if(coalesce(not {_get('s', '$', 'boolean')}, false), array(concat('not allowed', {at})), cast(array() as array<string>)),
+        if(schema_of_variant(s) not like 'OBJECT%' and schema_of_variant(s) <> 'BOOLEAN', array(concat('unsupported schema', {at})), array()),
+        transform(filter(coalesce(map_keys({_get('s', '$', 'map<string, variant>')}), array()), k -> k not in ({known})
+                         or coalesce(case k {odd} else false end, true)),
+                  k -> concat('unsupported keyword ', k, {at})),
+        if(path <> '' and size({allowed}) > 0 and not exists({allowed}, t -> coalesce(kind rlike concat('^', element_at({kinds}, t), '$'), true)),
+           array(concat('type of ', path)), array()),
+        if(not exists({_get('s', '$.enum', 'array<variant>')}, e -> {same.format('e')}), array(concat('enum', {at})), array()),
+        if(not {same.format(_get('s', '$.const', 'variant'))}, array(concat('const', {at})), array()),
+        if(members is null, array(), transform(array_except(coalesce({_get('s', '$.required', 'array<string>')}, array()), map_keys(members)),
+           k -> concat('missing ', {key}))),
+        if(members is null or coalesce({_get('s', '$.additionalProperties', 'boolean')}, true), array(),
+           transform(array_except(map_keys(members), {declared}), k -> concat('unknown ', {key}))),
+        array({bound})), p -> p is not null)""")
+
+
+def _no_schema(v: str) -> str:
+    return f"schema_of_variant({v}) not like 'OBJECT%' and schema_of_variant({v}) <> 'BOOLEAN'"
+
+
+def argument_problems(calls: DataFrame) -> DataFrame:
+    """``rid, place, wrong``: what the schema finds wrong, of the ``calls`` (``rid, place,
+    arguments, schema``, both JSON texts) that break theirs."""
+    parts = {"members": _get("v", "$", "map<string, variant>"), "elements": _get("v", "$", "array<variant>"), "kind": "schema_of_variant(v)"}
+    children = f"""concat(
+        if(members is null, array(), transform(map_entries(members), e -> struct(
+            if(path = '', e.key, concat(path, '.', e.key)) as path, to_json(e.value) as value,
+            to_json(if(coalesce(map_contains_key({_get('s', '$.properties', 'map<string, variant>')}, e.key), false),
+                       element_at({_get('s', '$.properties', 'map<string, variant>')}, e.key),
+                       if(schema_of_variant({_get('s', '$.additionalProperties', 'variant')}) like 'OBJECT%',
+                          {_get('s', '$.additionalProperties', 'variant')}, null))) as schema))),
+        if(elements is null, array(), transform(elements, (e, i) -> struct(
+            concat(path, '[', i, ']') as path, to_json(e) as value, to_json({_get('s', '$.items', 'variant')}) as schema))))"""
+    level = calls.select("rid", "place", F.lit("").alias("path"), F.col("arguments").alias("value"), "schema")
+    found = None
+    while True:
+        level = level.filter("schema is not null").withColumn("v", F.expr("try_parse_json(value)")).withColumn("s", F.expr("try_parse_json(schema)"))
+        for name, e in parts.items():
+            level = level.withColumn(name, F.expr(e))
+        level = cut(level.select("rid", "place", _level_problems().alias("wrong"), F.expr(children).alias("children")))
+        wrong = level.filter(F.size("wrong") > 0).select("rid", "place", "wrong")
+        found = wrong if found is None else found.unionByName(wrong)
+        level = level.select("rid", "place", F.inline("children")).filter("schema is not null")
+        if level.isEmpty():
+            return found.groupBy("rid", "place").agg(F.flatten(F.collect_list("wrong")).alias("broken"))
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
@@ -128,10 +194,13 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     level = cut(levels(calls.filter("id is not null")))
     needs = F.size("needs") > 0
 
-    checked = (calls.join(first_call, ONE, "left").join(first_result, ONE, "left").join(level, ONE, "left")
-               .join(schemas, ["conv_id", "name"], "left")
+    with_schema = cut(calls.join(schemas, ["conv_id", "name"], "left"))
+    is_object = "coalesce(schema_of_variant(try_parse_json(arguments)) like 'OBJECT%', false)"
+    broken = argument_problems(with_schema.filter(f"schema is not null and {is_object}"))
+    checked = (with_schema.join(first_call, ONE, "left").join(first_result, ONE, "left").join(level, ONE, "left")
+               .join(broken, ["rid", "place"], "left")
                .withColumn("repeated", F.coalesce((F.col("call.at.rid") != F.col("rid")) | (F.col("call.place") != F.col("place")), F.lit(False)))
-               .withColumn("wrong", _argument_problems("arguments", "schema"))
+               .withColumn("wrong", F.expr(f"if({is_object}, coalesce(broken, array()), array('arguments are no object'))"))
                .withColumn("wrong", F.concat(
                    "wrong", F.when(F.col("id").isNull(), F.array(F.lit("no identifier"))).otherwise(F.array()),
                    F.when(F.col("repeated"), F.array(F.lit("repeated identifier"))).otherwise(F.array()),

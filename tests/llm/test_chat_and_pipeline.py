@@ -72,6 +72,32 @@ def test_tools_and_dependencies_are_kept(spark):
                    (2, 0): (canonical(named), '[[],["c1"]]'), (3, 0): ("[]", None)}
 
 
+def test_arguments_are_checked_at_every_depth(spark):
+    schema = {"type": "object", "title": "t", "required": ["unit"], "additionalProperties": {"type": "boolean"}, "properties": {
+        "unit": {"enum": ["c", "f", 1]}, "fixed": {"const": {"a": [1]}}, "note": {"type": ["string", "null"]},
+        "place": {"type": "object", "properties": {"lat": {"type": "number", "minimum": -90}, "a.b": {"type": "string"}},
+                  "required": ["lat"], "additionalProperties": False},
+        "ids": {"type": "array", "maxItems": 3, "items": {"type": "integer", "exclusiveMaximum": 10}},
+        "code": {"type": "string", "minLength": 2, "pattern": "^a"}, "never": False, "size": {"maximum": 5}}}
+    cases = [({"unit": "c"}, []), ({"unit": 1.0, "fixed": {"a": [1]}, "note": None, "extra": True}, []),
+             ({"unit": "x", "fixed": {"a": [2]}, "note": 3, "extra": 1}, ["const of fixed", "enum of unit", "type of extra", "type of note"]),
+             ({"unit": "f", "place": {"lat": -91, "a.b": 1, "z": 2}}, ["minimum of place.lat", "type of place.a.b", "unknown place.z"]),
+             ({"unit": "f", "place": {}}, ["missing place.lat"]), ({"unit": "f", "place": []}, ["type of place"]),
+             ({"unit": "f", "ids": [1, "2", 10, 4]}, ["exclusiveMaximum of ids[2]", "maxItems of ids", "type of ids[1]"]),
+             ({"unit": "f", "code": "b"}, ["minLength of code", "unsupported keyword pattern of code"]),
+             ({"unit": "f", "never": 1}, ["not allowed of never"]), ({"unit": "f", "size": "9"}, []), ({}, ["missing unit"])]
+    tools = {"tools": [{"name": "f", "parameters": schema}, {"name": "g", "parameters": {"anyOf": [], "type": "strin"}}]}
+    rows = [(1, 0, "system", "\n\t\r " + json.dumps(tools))]
+    rows += [(1, 2 * k + 1, "assistant", "\n\t " + json.dumps({"tool_calls": [{"id": f"c{k}", "name": "f", "arguments": a}]})) for k, (a, _) in enumerate(cases)]
+    rows += [(1, 2 * k + 2, "tool", "\r\n" + json.dumps({"tool_call_id": f"c{k}", "content": "x"})) for k in range(len(cases))]
+    rows += [(2, 0, "system", json.dumps(tools)), (2, 1, "assistant", json.dumps({"tool_calls": [{"id": "h", "name": "g", "arguments": {}}]}))]
+    got = {(r.conv_id, r.turn): r for r in format_chats(chats(spark, rows)).collect()}
+    for k, (_, problems) in enumerate(cases):
+        assert got[1, 2 * k + 1].problems == [f"c{k}: {p}" for p in problems]
+        assert got[1, 2 * k + 1].n_answered == 1 and not got[1, 2 * k + 2].problems
+    assert got[2, 1].problems == ["h: not answered", "h: unsupported keyword anyOf", "h: unsupported keyword type"]
+
+
 def test_awkward_turns(spark):
     cycle = {"tool_calls": [{"id": "x", "name": "f", "arguments": [1], "depends_on": ["y"]},
                             {"id": "y", "name": "f", "arguments": {}, "depends_on": ["x"]},
