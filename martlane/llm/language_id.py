@@ -6,7 +6,9 @@ reads the language.  The model is trained by stochastic gradient descent in nump
 bounded sample (``SAMPLE_PER_LANGUAGE`` documents of each language, whole texts, reduced to
 their hashed counts by the executors).  A part of the sample that training does not see
 calibrates the probabilities (one temperature) and the rejection threshold: the lowest
-``REJECT_QUANTILE`` of its rightly predicted probabilities, ``MOST_THRESHOLD`` at most.
+``REJECT_QUANTILE`` of its rightly predicted probabilities, at most ``MOST_THRESHOLD`` or, with
+few languages, ``MARGIN`` above the probability that all of them share evenly.  With a single
+language every probability is 1, so only texts without a letter are rejected.
 
 As averaging and the softmax's input are linear, prediction looks up one row of logits per
 n-gram.  The model (``BUCKETS`` x languages floats) is broadcast.
@@ -39,7 +41,7 @@ ROW_RATE = 20
 #: The model and its labels are held by the driver; more languages than this are an error.
 MAX_LANGUAGES = 1000
 NO_LETTERS = regex.compile(r"\P{L}+")
-REJECT_QUANTILE, MOST_THRESHOLD = 0.0005, 0.4
+REJECT_QUANTILE, MOST_THRESHOLD, MARGIN = 0.0005, 0.4, 0.15
 #: Bytes of a text that are hashed at once, so that memory does not grow with its length.
 CHUNK = 1 << 16
 UNDETERMINED = "und"
@@ -93,6 +95,11 @@ class Model:
         return self.languages[best], float(p[best]), bool(p[best] < self.threshold)
 
 
+def most_threshold(languages: int) -> float:
+    """The largest threshold, above what a text that tells nothing gets."""
+    return max(MOST_THRESHOLD, min(1.0, 1 / languages + MARGIN))
+
+
 def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model:
     """SGD over (buckets, counts) bags."""
     languages = sorted(set(labels))
@@ -132,7 +139,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model:
         p = model.probabilities(z)
         right = p.max(axis=1)[p.argmax(axis=1) == wanted[checked]]
         if len(right):
-            model.threshold = float(min(MOST_THRESHOLD, np.quantile(right, REJECT_QUANTILE)))
+            model.threshold = float(min(most_threshold(len(languages)), np.quantile(right, REJECT_QUANTILE)))
     return model
 
 

@@ -160,6 +160,20 @@ def test_language_id(spark):
     assert language_id.predict_languages(table(spark, []), model).count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 4])
+def test_language_id_can_reject_garbage(n):
+    rng = random.Random(11)
+    own = [ENGLISH, FRENCH, "der die und das ist nicht ein zu mit auf für von sich den auch".split(),
+           "el los una por con para como pero sus más este entre cuando muy sin".split()][:n]
+    texts = [(f"l{k}", sentence(rng, words, rng.randint(20, 60))) for _ in range(150) for k, words in enumerate(own)]
+    bags = [(np.flatnonzero(c), c[c > 0]) for c in (language_id.counts(t) for _, t in texts)]
+    model = language_id.fit(bags, [lang for lang, _ in texts])
+    assert model.threshold > 1 / n
+    garbage = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300)) for _ in range(40)]
+    assert any(model.predict(t)[2] for t in garbage)
+    assert np.mean([model.predict(t)[2] for _, t in texts]) < 0.03
+
+
 def test_language_id_counts_do_not_depend_on_the_chunk(monkeypatch):
     text = " ".join(sentence(random.Random(1), FRENCH, 300) for _ in range(4))
     whole = language_id.counts(text)
