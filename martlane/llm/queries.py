@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from martlane.llm.common import table
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations repaired; one row for each conversation of the table."""
+    from martlane.llm.conversation_repair import damage, repair
+    conversations = table(spark, sf_dir, "conversations")
+    found = repair(damage(conversations)).drop("repaired")
+    ids = conversations.select(F.col("conv_id").alias("original")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(found, ids["original"].eqNullSafe(found["conv_id"]), "left").select(
+        F.col("original").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every whole vector."""
+    from martlane.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and where they lie in the sequences."""
+    from martlane.llm.packing import pack
+    packed = pack(table(spark, sf_dir, "documents"), vocabulary_path(), vocabulary_path("byte_bpe_50k.tiktoken"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -91,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_packing": op13_packing,
 }
 
 SQL: dict[str, str] = {
