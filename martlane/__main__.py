@@ -22,6 +22,10 @@ def main(argv=None):
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--partition-stores", action="store_true",
                     help="write store-level marts partitionBy(source_store)")
+    ap.add_argument("--on-duplicate", choices=["fail", "skip", "quarantine"], default="fail",
+                    help="what becomes of rows that repeat a mart's key")
+    ap.add_argument("--on-reject", choices=["fail", "quarantine"], default="fail",
+                    help="what becomes of ads documents that cannot be read")
     ap.add_argument("marts", nargs="*", help="marts to build (default: all)")
     a = ap.parse_args(argv)
     from martlane.plans.warehouse import DEPENDS, Warehouse
@@ -32,7 +36,8 @@ def main(argv=None):
     t0 = time.time()
     sources = (LandedStores(spark, a.stores) if a.stores
                else materialize(ShopShapes(spark, a.tables), f"{a.out.rstrip('/')}/_sources"))
-    wh = Warehouse(spark, sources, a.out, partition_stores=a.partition_stores)
+    wh = Warehouse(spark, sources, a.out, partition_stores=a.partition_stores, on_duplicate=a.on_duplicate,
+                   on_reject=a.on_reject)
     built = wh.refresh(a.marts or list(DEPENDS))
     print(json.dumps({"built": built, "rows": wh.counts, "root": a.out, "seconds": round(time.time() - t0, 1)}))
 

@@ -22,11 +22,6 @@ def sorted_distinct_join(c, sep: str = ", ", empty=None) -> Column:
     return F.when(F.count(_col(c)) > 0, joined).otherwise(F.lit(empty))
 
 
-def sorted_join(c, sep: str = ", ") -> Column:
-    """Aggregate: all non-NULL values (duplicates kept) sorted and joined; NULL when none."""
-    return F.when(F.count(_col(c)) > 0, F.array_join(F.sort_array(F.collect_list(_col(c))), sep))
-
-
 def ordered_join(value, order, sep: str = ",") -> Column:
     """Aggregate: non-NULL values joined in ``order`` (ties broken by value); NULL when none."""
     v = _col(value)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from martlane import schemas as S
 from martlane.operators.merge import upsert
+from martlane.sources.daily import DayTable
 
 ADS_KEYS = ["ad_name", "date_start"]           # unique key of the table as deployed
 ADS_KEYS_WITH_CAMPAIGN = ["campaign_name", "ad_name", "date_start"]
@@ -139,3 +140,34 @@ def apply_ads_batch(spark: SparkSession, table_path: str, batch: DataFrame,
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(table_path))
     return n_days
+
+
+#: The ads mart: the table's columns, and when a row was first loaded.
+ADS_MART = T.StructType([*ADS_TABLE.fields, T.StructField("created_at", T.TimestampNTZType())])
+
+
+def ads_mart(spark: SparkSession, path: str) -> DayTable:
+    """The ads mart kept by ``date_start``; its mark is the last ``date_stop``."""
+    return DayTable(spark, path, ADS_MART, "date_start", "date_stop")
+
+
+def load_ads(table: DayTable, batch: DataFrame, now=None, keys=ADS_KEYS) -> int:
+    """Upsert a flattened batch into the mart: only the days it touches are read and written.
+
+    Rows that are there keep their ``created_at``; ``now`` (a timestamp column) is that of new
+    ones.  Returns the number of days written.
+    """
+    from martlane.session import stage, unstage
+    if table.day not in keys:
+        raise ValueError("the day must be part of the key")
+    batch = stage(batch.withColumn("created_at", F.localtimestamp() if now is None else now))
+    days = batch.select(F.col(table.day).alias("day")).distinct()
+    merged = upsert_ads(table.read(days), batch, keys=keys).select(*ADS_MART.names)
+    days_written = table.replace(merged)
+    unstage(batch)
+    return days_written
+
+
+def high_water_mark(table: DayTable) -> DataFrame:
+    """``date_stop`` of the last day loaded, from the mart's list of days: no row is read."""
+    return table.days().agg(F.max("mark").alias("date_stop"))

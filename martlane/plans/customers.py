@@ -2,8 +2,7 @@
 
 Plan shape: the order meta is pivoted once; orders and refunds are folded per order
 (a refund keyed by its parent), joined with per-order line counts, and fed to ONE
-aggregate per (store, customer).  ``customer_refunds`` keeps the source's explicit
-refund -> parent self join for the refunds-only view.  The guest id (0) can hold a large
+aggregate per (store, customer).  The guest id (0) can hold a large
 share of orders: every aggregate here is algebraic (min/max/count/sum), so the partial
 aggregate folds it map-side before the exchange; no user row carries id 0, so it drops
 out at the final left join from users.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,3 +88,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it from there.
+
+    Unlike a checkpoint the plan runs once, columns are pruned when it is read again, and what
+    an ``observe`` on it counts is counted once.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete what ``stage`` wrote; ``df`` is not read any more."""
+    from martlane.sources.files import file_system
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        fs, path = file_system(df.sparkSession, folder)
+        if "/stages/" in folder:
+            fs.delete(path, True)

@@ -20,7 +20,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_file(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file and put it in place by a rename that replaces the old one."""
+    """Write a small file and put it in place by a rename that replaces the old one.
+
+    The rename is atomic on HDFS and local disks.  An object store copies instead: there a reader
+    may for a moment find no pointer and has to look again, but never half of one."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     fs, _ = file_system(spark, path)
     new = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")

@@ -4,15 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from martlane.sources.daily import PREFIX, DayTable, pointer
 from martlane.sources.files import file_system, replace_file
 
-#: Versions of a published table that stay: the current one and the one before it, which a
-#: running reader may still scan.
-KEPT_VERSIONS = 2
-
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 max_records_per_file: int | None = None) -> None:
@@ -33,7 +29,8 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, che
 
     The rows go to a new version folder.  ``check`` is called with what was written; only if
     neither it nor the write fails does the pointer file move to the new version, by an
-    atomic rename.  Versions before the last one are removed.
+    atomic rename.  The current version and the one before it, which a running reader may still
+    scan, stay; older ones are removed.
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex
@@ -52,18 +49,16 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, che
 
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Name of the published version, None if nothing was published yet."""
-    try:
-        return spark.read.text(f"{path}/CURRENT").first()[0]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    lines = pointer(spark, path)
+    return lines[0] if lines else None
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no table was published at {path}")
+    if version.startswith(PREFIX):
+        return DayTable.published(spark, path).read()
     return spark.read.parquet(f"{path}/versions/{version}")
 
 

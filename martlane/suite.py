@@ -480,3 +480,8 @@ def q_ads_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["ads_stream"] = q_ads_stream
+
+
+from martlane.suite_loads import QUERIES as _LOADS  # noqa: E402 - it builds on this module
+
+QUERIES.update(_LOADS)
