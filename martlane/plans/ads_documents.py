@@ -7,6 +7,7 @@ documents one after the other is read as all of them where each stands on a line
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,8 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def _empty_files(files: DataFrame) -> DataFrame:
     """``document`` of the files without a byte, which Spark lists but never reads."""
-    names = [(unquote(n),) for n in files.inputFiles()]
+    # the listing writes file:///x for what a scan calls file:/x
+    names = [(re.sub(r"^([\w+.-]+):///", r"\1:/", unquote(n)),) for n in files.inputFiles()]
     listed = files.sparkSession.createDataFrame(names, "document string")
     return listed.join(files.select(F.col("path").alias("document")), "document", "left_anti")
 
