@@ -9,6 +9,7 @@ Every rule below is restated in the DuckDB oracle of the same query.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -486,9 +487,13 @@ def materialize(shapes: ShopShapes, root: str, names=SOURCE_TABLES) -> ShopShape
 
     The marts then scan stored source tables, as they would in production (extracts
     landed per store), instead of re-deriving them from the driver tables in every plan.
+    Entities and their attributes are stored in buckets of the entity's key.
     Whatever is stored there already is replaced, never reused.
     """
+    from martlane.sources.bucketed import BUCKET_KEYS, store_bucketed
     from martlane.sources.sinks import publish
     for name in names:
-        shapes.__dict__[name] = publish(getattr(shapes, name), f"{root.rstrip('/')}/{name}")
+        table, path = getattr(shapes, name), f"{root.rstrip('/')}/{name}"
+        shapes.__dict__[name] = (store_bucketed(table, name, f"{path}/{uuid.uuid4().hex}", BUCKET_KEYS[name])
+                                 if name in BUCKET_KEYS else publish(table, path))
     return shapes
