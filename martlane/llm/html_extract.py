@@ -7,10 +7,12 @@ weights are log-odds from labelled pages: those that mark their content with exa
 outside.  At most about ``SAMPLE_PAGES`` pages are used, chosen by a hash of the id.  Words
 of scripts, styles and of containers that name themselves as menus, adverts, comments and
 the like (``BOILERPLATE``) are no part of the text; such a container scores nothing, tags
-and all, so the region runs over it.
+and all, so the region runs over it.  A ``form`` or ``fieldset`` is such a container if it holds
+fields and neither an article nor ``FORM_SHARE`` of the page's words: a page-wide form, or one
+around the article, holds the text and is kept.
 
 Text of the region: character references decoded, white space inside a block made one space,
-blocks trimmed, empty ones left out, the rest joined by a line feed in page order.
+blocks trimmed, empty ones left out, the rest joined by two line feeds in page order.
 
 Cases: null or empty html gives an empty text; unclosed tags, comments and scripts run to the
 end of what can close them; without any labelled page the weights are ``DEFAULT``.  Pages are
@@ -25,6 +27,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,7 +56,11 @@ BLOCK = set("""address article aside blockquote body center dd details dialog di
     figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search
     section summary table tbody td tfoot th thead tr ul""".split())
 #: Elements and names (words of class, id or role) of what is not content.
-BOILERPLATE_TAGS = set("nav footer aside form button dialog menu label head fieldset".split())
+BOILERPLATE_TAGS = set("nav footer aside button dialog menu label head".split())
+#: Elements judged by what they hold, and the elements that make them one to fill in.
+FORMS, FIELDS = {"form", "fieldset"}, {"input", "button", "select", "textarea"}
+#: Share of a page's words that a form's text is no mere form with.
+FORM_SHARE = 0.5
 BOILERPLATE = set("""ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs byline
     comment comments commentlist comment-list disqus consent cookie cookies gdpr contentinfo complementary dialog
     footer footnav form header masthead topbar menu navbar navigation nav newsletter notice notices notification
@@ -110,6 +117,8 @@ def is_boilerplate(name: str, rest: str, inside: bool) -> bool:
         return False
     names = names_of(rest)
     bad = BOILERPLATE - WEAK if inside or name in HEADINGS else BOILERPLATE
+    if name in FORMS:
+        bad = bad - FORMS  # what such an element is, its content says
     return any(names_boilerplate(x, bad, any(y != x and not CONTENT.isdisjoint(re.split(r"[^a-z]+", y)) for y in names))
                for x in names)
 
@@ -119,14 +128,17 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
     a piece of text, or a tag's name (with a slash if it closes, after ``CUT`` if it is left
     out) with an empty text."""
     out: list[tuple[str, str, bool]] = []
-    open_: list[tuple[str, bool]] = []  # name, boilerplate
+    open_: list[tuple[str, bool, int]] = []  # name, boilerplate, first token
+    forms: list[tuple[int, int]] = []  # first token and last + 1
     boilerplate = content = at = 0
 
     def close(to: int) -> None:
         nonlocal boilerplate, content
-        for name, bad in open_[to:]:
+        for name, bad, first in reversed(open_[to:]):
             boilerplate -= bad
             content -= name in ("article", "main")
+            if name in FORMS and not boilerplate:
+                forms.append((first, len(out)))
         del open_[to:]
 
     def last(name: str, stop: set[str]) -> int | None:
@@ -168,12 +180,26 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
         bad = opens and is_boilerplate(name, rest, content > 0)
         tag(name, boilerplate > 0 or bad, content > 0)
         if opens:
-            open_.append((name, bad))
+            open_.append((name, bad, len(out) - 1))
             boilerplate += bad
             content += name in ("article", "main")
     if at < len(page):
         out.append(("boilerplate" if boilerplate else "word", page[at:], content > 0))
-    return out
+    close(0)
+    return without_forms(out, forms) if forms else out
+
+
+def without_forms(items: list[tuple[str, str, bool]], forms: list[tuple[int, int]]) -> list[tuple[str, str, bool]]:
+    """The tokens with those of forms to fill in (``forms``: first token, last + 1) left out."""
+    words = list(accumulate((len(text.split()) if kind == "word" else 0 for kind, text, _ in items), initial=0))
+    fields = list(accumulate((kind.lstrip(CUT) in FIELDS for kind, _, _ in items), initial=0))
+    articles = list(accumulate((kind in ("article", "main") for kind, _, _ in items), initial=0))
+    for first, end in forms:
+        holds_text = articles[end] > articles[first] or words[end] - words[first] >= FORM_SHARE * words[-1]
+        if fields[end] > fields[first] and not (holds_text and words[end] > words[first]):
+            items[first:end] = [("boilerplate" if kind == "word" else kind if text or kind[0] == CUT else CUT + kind, text, inside)
+                                for kind, text, inside in items[first:end]]
+    return items
 
 
 def region(items: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
@@ -206,7 +232,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
             blocks.append(block)
             block = []
     lines = (" ".join("".join(b).split()) for b in [*blocks, block])
-    return "\n".join(x for x in lines if x)
+    return "\n\n".join(x for x in lines if x)
 
 
 def token_counts(page: str) -> Counter:

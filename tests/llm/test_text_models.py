@@ -197,7 +197,7 @@ def pages(n=30):
         title, one, two, three = (sentence(rng, ENGLISH, k) for k in (5, 30, 20, 12))
         one = one.replace(" ", "  \n ", 2) + " a &lt; b &amp;&#233; c"
         rows.append((i, f"http://x/{i}", PAGE.format(title=title, one=one, two=two, three=three)))
-        truth[i] = "\n".join([title, " ".join(one.replace("&lt;", "<").replace("&amp;", "&").replace("&#233;", "é").split()), two, three])
+        truth[i] = "\n\n".join([title, " ".join(one.replace("&lt;", "<").replace("&amp;", "&").replace("&#233;", "é").split()), two, three])
     return rows, truth
 
 
@@ -216,7 +216,7 @@ def test_html_extraction(spark):
     assert by_id[0, "again"].text == truth[0]
     assert [by_id[k].text for k in [(100, "u"), (101, None), (103, "u"), (105, "u")]] == [""] * 4
     assert by_id[102, "u"].text == "unclosed words" and by_id[104, "u"].text == "no markup & more"
-    assert by_id[106, "u"].text == "\n".join("x" * 5000)
+    assert by_id[106, "u"].text == "\n\n".join("x" * 5000)
     assert html_extract.train(df.limit(0)) == html_extract.DEFAULT
     assert html_extract.extract(df.limit(0), weights).count() == 0
 
@@ -250,6 +250,29 @@ def test_a_box_inside_the_article_does_not_split_it():
             assert html_extract.main_text(page, weights).split() == ["A", "title", "of", "five", "words", "A", "short", "lead."] + ["body"] * 40
 
 
+ARTICLE = "<h1>A title of five words</h1><p>{}</p><p>The end.</p>".format("body " * 40)
+NAV, FOOT = '<nav><a href="/">Menu</a><a>More</a></nav>', "<footer>words here</footer>"
+HIDDEN, FIELD = '<input type="hidden" name="x">', '<p>Your mail</p><input name="mail"><button>Send</button>'
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><form id="aspnetForm">{HIDDEN}{NAV}<div class="article">{ARTICLE}</div>{FOOT}</form></body>',
+    f"<body>{NAV}<article><form>{HIDDEN}{ARTICLE}</form></article>{FOOT}</body>",
+    f"<body>{NAV}<form>{HIDDEN}<article>{ARTICLE}</article></form>{FOOT}</body>",
+    f"<body>{NAV}<article><fieldset>{ARTICLE}</fieldset></article>{FOOT}</body>",
+    f"<body><form>{HIDDEN}{NAV}<article>{ARTICLE}</article><form>{FIELD}</form>{FOOT}</form></body>",
+    f"<body>{NAV}<article>{ARTICLE}<form>{FIELD}<fieldset>{FIELD}</fieldset></form></article>{FOOT}</body>",
+    f"<body>{NAV}<article>{ARTICLE}</article><form>{FIELD}",
+    f"<body>{NAV}<article>{ARTICLE}</article><form class='comment-form'>{ARTICLE}</form></body>"])
+def test_a_form_around_the_article_keeps_it(page):
+    for weights in (html_extract.DEFAULT, learned_without_boxes()):
+        assert html_extract.main_text(page, weights) == "\n\n".join(["A title of five words", "body " * 39 + "body", "The end."])
+
+
+def test_a_page_of_fields_only_is_empty():
+    assert html_extract.main_text("<form><input><button>Go</button></form>", html_extract.DEFAULT) == ""
+
+
 @pytest.mark.parametrize("name, rest, inside, bad", [
     ("h2", 'class="section-header"', True, False), ("h2", 'class="section-header"', False, False),
     ("div", 'class="elementor-widget-container"', True, False), ("div", 'class="post-tags"', True, False),
