@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +44,40 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with other names for columns that begin with two underscores, as the operators'
+    own do; and the names they have now, with those they had."""
+    odd = [c for c in docs.columns if c.startswith("__")]
+    names: dict[str, str] = {}
+    for c in odd:
+        k = len(names)
+        while f"aside_{k}" in docs.columns or f"aside_{k}" in names:
+            k += 1
+        names[f"aside_{k}"] = c
+    return docs.withColumnsRenamed({c: n for n, c in names.items()}), names
+
+
+def _put_back(out: DataFrame, names: dict[str, str]) -> DataFrame:
+    hidden = [n for n, c in names.items() if c in out.columns]
+    return out.drop(*hidden).withColumnsRenamed({n: c for n, c in names.items() if n not in hidden})
+
+
+def passes_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator on documents, its first argument, that passes on columns of any name; one that
+    has the name of a result column gives way to it."""
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kw) -> DataFrame:
+        renamed, names = _set_aside(docs)
+        return _put_back(operator(renamed, *args, **kw), names) if names else operator(docs, *args, **kw)
+    return run
+
+
+def passes_documents(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage ``(spark, docs, sf_dir)`` of the same kind."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        renamed, names = _set_aside(docs)
+        return _put_back(stage(spark, renamed, sf_dir), names) if names else stage(spark, docs, sf_dir)
+    return run

@@ -15,7 +15,7 @@ from fixtures import documents, table  # noqa: E402
 
 from martlane.llm import simhash_dedup  # noqa: E402
 from martlane.llm.exact_dedup import exact_duplicates  # noqa: E402
-from martlane.llm.line_dedup import drop_repeated_lines, twice_filter  # noqa: E402
+from martlane.llm.line_dedup import Filters, digest_of, drop_repeated_lines, long_lines, suspects  # noqa: E402
 
 
 def lower(text):
@@ -166,11 +166,52 @@ def test_line_dedup(spark):
     expected = expected_lines(rows)
     assert got == Counter(expected) and sum(r[2] for r in expected) > 10
     assert drop_repeated_lines(table(spark, [])).count() == 0
+    # columns of the names that the operator uses
+    odd = docs.withColumns({c: F.lit(i) for i, c in enumerate(["__lines", "__lost", "__text_hash", "__id", "__n_lines"])})
+    out = drop_repeated_lines(odd)
+    assert out.columns == [*odd.columns[:-1], "__n_lines", "__n_dropped"]
+    assert Counter((r["doc_id"], r["__n_lines"], r["__n_dropped"], r["text"] or "") for r in out.collect()) == got
+    assert {(r["__lines"], r["__id"]) for r in out.collect()} == {(0, 3)}
 
 
-def test_twice_filter_leaves_out_what_is_seen_once(spark):
-    lines = [f"a line of at least forty code points, number {i:05}" for i in range(2000)]
-    rows = [(i, x, None) for i, x in enumerate(lines + lines[:100])]
-    parts, bits = twice_filter(table(spark, rows), 40)
-    ones = sum(int(np.unpackbits(np.frombuffer(b, dtype=np.uint8)).sum()) for b in parts.values())
-    assert 0 < ones < 3 * 200 and all(len(b) * 8 == bits for b in parts.values())
+def line_rows():
+    lines = [f"a line of at least forty code points, number {i:06}" for i in range(6000)]
+    return lines, [(i, x, None) for i, x in enumerate(lines + lines[:300])]
+
+
+def test_filters_suspect_all_repeats_and_little_else(spark):
+    lines, rows = line_rows()
+    found = long_lines(table(spark, rows).repartition(7).withColumn("name", F.lit("x")), 40)
+    got = {r.h for r in suspects(found, 100, 4).collect()}
+    assert suspects(found, 100, 4).count() == len(got)  # each is given back once
+    repeated = {h_of(x) for x in lines[:300]}
+    assert repeated <= got and len(got - repeated) < 0.05 * 5700
+
+
+def h_of(line):
+    return int.from_bytes(digest_of(line)[:8], "little", signed=True)
+
+
+def test_filters_grow_with_the_input():
+    """Share of once-seen hashes that are suspected, where a filter of a fixed size suspects over
+    70 in 100: with parts for the lines there are, it stays under 5."""
+    rng = np.random.default_rng(1)
+
+    def share(lines, parts, room):
+        wrong = 0
+        for _ in range(parts):
+            own = Filters(room)
+            for at in range(0, lines // parts, 4096):
+                wrong += len(own.repeats(rng.integers(0, 1 << 63, min(4096, lines // parts - at), dtype=np.uint64)))
+        return wrong / lines
+
+    assert share(400_000, 1, 4_000) > 0.7
+    assert share(400_000, 100, 5_000) < 0.05
+
+
+def test_filters_lose_no_repeat_when_full():
+    """Also when the twice filter answers yes to everything."""
+    own, rng = Filters(8), np.random.default_rng(2)
+    values = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    got = np.concatenate([own.repeats(part) for part in np.array_split(rng.permutation(np.repeat(values, 2)), 20)])
+    assert sorted(got) == sorted(values)
