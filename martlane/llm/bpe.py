@@ -6,6 +6,10 @@ is stale and skipped.  A pre-token's ids are kept in a table of bounded size, as
 repeat.  The vocabulary file is read once by the driver and broadcast (its size is that of
 the file, under ``MAX_VOCABULARY_BYTES``).
 
+Text is split where the public library splits it.  Most characters are of one class everywhere
+(``characters``); of any other one, such as a letter that newer Unicode versions added, the
+library's own pre-tokenizer is asked for the class, once for each task.
+
 Nulls: a null text is an empty text with no tokens.  Rows are handled one by one, so
 repeated rows, ties and empty tables need no care; other columns are not read.
 """
@@ -22,10 +26,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from martlane.llm.characters import all_settled, unsettled
 from martlane.llm.common import small_batches
 
 #: How a byte-level tokenizer splits text before merging (fixed value).
 PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A letter, a number and another sign, of which no contraction is made.
+STAND_INS = "é1!"
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pre-tokens whose ids a task remembers, and the length up to which it does.
 MEMO, MEMO_LENGTH = 200_000, 64
@@ -57,9 +64,30 @@ class Codec:
             self.pieces[i] = piece.encode()
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
-        self.words = regex.compile(PRE_TOKEN).findall
+        self.pattern = regex.compile(PRE_TOKEN)
+        self.spec, self.splitter = spec, None
+        self.stand_ins: dict[int, str] = {}
         self.memo: dict[str, bytes] = {}
 
+    def stand_in(self, c: str) -> str:
+        """A settled character of the class that the library gives a character."""
+        if self.splitter is None:
+            from tokenizers import Tokenizer
+            self.splitter = Tokenizer.from_str(self.spec).pre_tokenizer
+        for settled in STAND_INS:
+            if len(self.splitter.pre_tokenize_str(settled + c)) == 1:
+                return settled
+        return "\t"
+
+    def words(self, text: str) -> list[str]:
+        """Pre-tokens of a text."""
+        if all_settled(text):
+            return self.pattern.findall(text)
+        for c in set(unsettled().findall(text)):
+            if ord(c) not in self.stand_ins:
+                self.stand_ins[ord(c)] = self.stand_in(c)
+        return [text[slice(*m.span())] for m in self.pattern.finditer(text.translate(self.stand_ins))]
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
         ids = [self.byte_ids[b] for b in word]

@@ -3,8 +3,9 @@
 Alternating star contraction: in the large-star step each node sends its larger neighbours
 to the smallest node of its neighbourhood, in the small-star step its smaller ones.  When
 nothing changes, every node is linked to the smallest node of its component and to nothing
-else.  A round is two groupings and two joins over the links; a node with very many
-neighbours is one long list of join rows that Spark can split, never a collected list.
+else.  A round is two groupings and two joins over the links.  Both sides of a join are written
+tables (the grouping's result is written first), so a node with very many neighbours is one long
+list of plain join rows that Spark can split, never a collected list.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from martlane.llm.common import cut
 
 
 def _star(links: DataFrame) -> DataFrame:
-    """Link every neighbour of ``a`` (column ``b``) and ``a`` itself to the least of them."""
-    least = links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    """Link every neighbour of ``a`` (column ``b``) and ``a`` itself to the least of them; ``links``
+    are written rows."""
+    least = cut(links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
     return links.join(least, "a")
 
 
@@ -28,8 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = (_star(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
+        large = cut(_star(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                    .filter("a <> b").distinct())
         # every link now leads from a larger to a smaller node
         small = _star(large)
         links = cut(small.select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlane.llm.common import cut, small_batches
+from martlane.llm.common import cut, passes_columns, small_batches
 from martlane.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -58,6 +58,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+@passes_columns
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """All columns of ``docs`` but ``text``, and ``__fp`` (the fingerprint's bits as a long)."""
     small_batches(docs.sparkSession)
@@ -245,8 +246,10 @@ def component_ids(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     spark = marked.sparkSession
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")  # these rows are 24 bytes
-    found = cut(links(least.select("fp"), max_bits).distinct())
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    try:
+        found = cut(links(least.select("fp"), max_bits).distinct())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     roots = components(found)
     rooted = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -254,6 +257,7 @@ def component_ids(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return rooted.join(ids, "root").select("fp", "root", "component_id")
 
 
+@passes_columns
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest ``doc_id``.
 

@@ -318,6 +318,25 @@ def test_bpe_equals_the_public_library(spark):
     assert encode_documents(table(spark, []), vocabulary_path()).count() == 0
 
 
+def test_bpe_splits_all_code_points_as_the_library_does():
+    import sys
+    from tokenizers import Tokenizer
+    from martlane.llm.characters import is_settled
+    with open(vocabulary_path()) as f:
+        codec = Codec(f.read())
+    library = Tokenizer.from_file(vocabulary_path())
+    points = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    # the unassigned ones of the upper planes are one class
+    points = [c for c in points if ord(c) < 0x20000 or ord(c) % 97 == 0]
+    for group in ([c for c in points if is_settled(c)], [c for c in points if not is_settled(c)]):
+        for at in range(0, len(group), 2000):
+            text = "\n".join(f"{c}'s {c}1 a{c}" for c in group[at:at + 2000])
+            got = np.frombuffer(codec.encode(text), dtype="<u4")
+            want = library.encode(text, add_special_tokens=False).ids
+            assert got.tolist() == want
+    assert np.frombuffer(codec.encode("՘'s"), dtype="<u4").tolist() == [145, 246, 6, 82]
+
+
 def test_bpe_memo_is_bounded(monkeypatch):
     from martlane.llm import bpe
     monkeypatch.setattr(bpe, "MEMO", 10)
