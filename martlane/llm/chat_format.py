@@ -20,10 +20,9 @@ of nesting after the other: ``type`` (also a list), ``enum``, ``const``, ``requi
 ``properties``, ``additionalProperties``, ``items``, and bounds of numbers, lengths and sizes.
 Other keywords that could fail a value (``pattern``, ``anyOf``, ``$ref`` ..) are reported as
 not supported where the schema meets a value.  Every
-turn is written as canonical JSON: keys sorted, no white space, null fields left out.  The
-definitions and dependencies stand beside the message, in canonical JSON too: ``tools``
-(name and parameters of each tool the turn declares) and ``depends_on`` (a list for each call
-in the message's order); null where a turn has none.
+turn is written as canonical JSON: keys sorted, no white space, null fields and empty lists of
+dependencies left out; calls stand in their order, with the calls they depend on, and tools
+with their names and parameters.
 
 Cases: null texts and roles are left out of the JSON; a text that is not a JSON object of
 these forms is plain content; a JSON object with a key twice is plain content.  Calls without
@@ -78,27 +77,34 @@ def parse(conversations: DataFrame) -> DataFrame:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """``conv_id, id, level`` of the calls that depend on others or are depended on, level by
-    level; those of a cycle, and those after one, have no row."""
+    """``conv_id, id, level`` of the calls that depend on others or are depended on: the longest
+    way to a call that needs nothing; those of a cycle, and those after one, have no row.
+
+    The relation "some way of exactly 2^k steps" is joined with itself, so a chain of n calls
+    takes log n rounds.  A way longer than its conversation has edges runs into a cycle.  As ways
+    of each length up to the longest exist, the longest is found bit by bit, from the highest.
+    """
     edges = cut(calls.select("conv_id", "id", F.explode("needs").alias("need"))
                 .join(calls.select("conv_id", F.col("id").alias("need")).distinct(), ["conv_id", "need"])
                 .distinct())
-    done = edges.select("conv_id", "id", F.lit(0).alias("level")).limit(0)
-    level = 0
-    while not edges.isEmpty():
-        later = edges.select("conv_id", "id").distinct()
-        now = (edges.select("conv_id", F.col("need").alias("id")).distinct()
-               .join(later, ONE, "left_anti"))
-        rest = cut(edges.join(now.withColumnRenamed("id", "need"), ["conv_id", "need"], "left_anti"))
-        # calls whose last open need was just met and that no other call needs
-        leaf = (later.join(rest.select("conv_id", "id").distinct(), ONE, "left_anti")
-                .join(rest.select("conv_id", F.col("need").alias("id")).distinct(), ONE, "left_anti"))
-        now = cut(now.withColumn("level", F.lit(level)).unionByName(leaf.withColumn("level", F.lit(level + 1))))
-        if now.isEmpty():
+    most = edges.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    steps, endless = [edges], None
+    while not steps[-1].isEmpty():
+        if 1 << (len(steps) - 1) > most:
+            endless = cut(steps.pop().select("conv_id", "id").distinct())
             break
-        done = done.unionByName(now)
-        edges, level = rest, level + 1
-    return done.groupBy(*ONE).agg(F.max("level").alias("level"))
+        first, second = steps[-1], steps[-1].select("conv_id", F.col("id").alias("need"), F.col("need").alias("end"))
+        steps.append(cut(first.join(second, ["conv_id", "need"]).select("conv_id", "id", F.col("end").alias("need")).distinct()))
+    calls_ = edges.select("conv_id", "id").unionByName(edges.select("conv_id", F.col("need").alias("id"))).distinct()
+    if endless is not None:
+        calls_ = calls_.join(endless, ONE, "left_anti")
+    at = cut(calls_.select("conv_id", "id", F.col("id").alias("at"), F.lit(0).alias("level")))
+    for k in range(len(steps) - 1, -1, -1):
+        way = steps[k].select("conv_id", F.col("id").alias("at"), "need")
+        further = cut(at.join(way, ["conv_id", "at"]).select(
+            "conv_id", "id", F.col("need").alias("at"), (F.col("level") + (1 << k)).alias("level")).distinct())
+        at = cut(further.unionByName(at.join(further.select(*ONE).distinct(), ONE, "left_anti")))
+    return at.select(*ONE, "level").distinct()
 
 
 def _level_problems() -> Column:
@@ -181,7 +187,7 @@ def argument_problems(calls: DataFrame) -> DataFrame:
 
 def format_chats(conversations: DataFrame) -> DataFrame:
     """One row per turn: ``conv_id, turn, order_turn, order_step, role, n_calls, n_answered,
-    n_problems, problems, message, tools, depends_on`` (the last three canonical JSON)."""
+    n_problems, problems, message`` (canonical JSON)."""
     turns = parse(conversations)
     calls = cut(turns.filter(F.size("calls") > 0).select("rid", "conv_id", "turn", F.inline("calls")))
     results = turns.filter("result_of is not null").select("rid", "conv_id", "turn", F.col("result_of").alias("id"))
@@ -219,22 +225,22 @@ def format_chats(conversations: DataFrame) -> DataFrame:
             .join(per_turn, "rid", "left").join(linked, "rid", "left"))
     call_json = F.transform("ordered", lambda c: F.concat(
         F.lit('{"arguments":'), F.coalesce(c["arguments"], F.lit("null")), F.lit(","),
-        F.substring(F.to_json(F.struct(c["id"].alias("id"), c["name"].alias("name"))), 2, 1 << 30)))
+        F.substring(F.to_json(F.struct(F.when(F.size(c["needs"]) > 0, c["needs"]).alias("depends_on"),
+                                       c["id"].alias("id"), c["name"].alias("name"))), 2, 1 << 30)))
     problems = F.concat(F.coalesce("call_problems", F.expr("cast(array() as array<string>)")),
                         F.when(F.col("wrong").isNotNull(), F.array("wrong")).otherwise(F.expr("cast(array() as array<string>)")))
-    columns = ["conv_id", "turn", "order_turn", "order_step", "role", "n_calls", "n_answered", "n_problems", "problems", "message", "tools", "depends_on"]
+    columns = ["conv_id", "turn", "order_turn", "order_step", "role", "n_calls", "n_answered", "n_problems", "problems", "message"]
     head = F.to_json(F.struct("content", "role"))
     tied = (tied.withColumn("order_turn", F.greatest("turn", "call_turn"))
             .withColumn("order_step", F.coalesce(2 * F.col("call_level"), F.when(F.col("call_turn").isNotNull(), 2 * F.coalesce("result_level", F.lit(0)) + 1), F.lit(0)))
             .withColumn("problems", problems).withColumn("n_problems", F.size("problems").cast("long"))
             .withColumn("n_calls", F.coalesce("n_calls", F.lit(0))).withColumn("n_answered", F.coalesce("n_answered", F.lit(0)))
-            .withColumn("message", _with_tools(head, F.col("result_of"), F.when(F.size("ordered") > 0, F.array_join(call_json, ","))))
-            .withColumn("depends_on", F.expr("if(exists(ordered, c -> size(c.needs) > 0), to_json(transform(ordered, c -> c.needs)), null)")))
+            .withColumn("message", _with_tools(head, F.col("result_of"), F.when(F.size("ordered") > 0, F.array_join(call_json, ",")), _tools_json())))
     plain = (plain.withColumn("order_turn", F.col("turn")).withColumn("order_step", F.lit(0))
              .withColumn("n_calls", F.lit(0).cast("long")).withColumn("n_answered", F.lit(0).cast("long"))
              .withColumn("n_problems", F.lit(0).cast("long")).withColumn("problems", F.expr("cast(array() as array<string>)"))
-             .withColumn("message", head).withColumn("depends_on", F.lit(None).cast("string")))
-    return plain.withColumn("tools", _tools_json()).select(*columns).unionByName(tied.withColumn("tools", _tools_json()).select(*columns))
+             .withColumn("message", _with_tools(head, F.col("result_of"), F.lit(None).cast("string"), _tools_json())))
+    return plain.select(*columns).unionByName(tied.select(*columns))
 
 
 def _tools_json() -> Column:
@@ -243,10 +249,11 @@ def _tools_json() -> Column:
         nullif(substring({name}, 2, length({name}) - 2), ''), concat('"parameters":', t.schema)), '}}')), ','), ']')""")
 
 
-def _with_tools(head: Column, result_of: Column, calls: Column) -> Column:
+def _with_tools(head: Column, result_of: Column, calls: Column, tools: Column) -> Column:
     """Add the fields that sort after content and role to a message's JSON."""
     start = F.substring(head, 1, F.length(head) - 1)
     more = F.concat_ws(",", F.when(head != "{}", F.substring(start, 2, 1 << 30)),
                        F.when(result_of.isNotNull(), F.expr("substring(to_json(struct(result_of as tool_call_id)), 2, length(to_json(struct(result_of as tool_call_id))) - 2)")),
-                       F.when(calls.isNotNull(), F.concat(F.lit('"tool_calls":['), calls, F.lit("]"))))
+                       F.when(calls.isNotNull(), F.concat(F.lit('"tool_calls":['), calls, F.lit("]"))),
+                       F.when(tools.isNotNull(), F.concat(F.lit('"tools":'), tools)))
     return F.concat(F.lit("{"), more, F.lit("}"))

@@ -4,6 +4,7 @@ import json
 import os
 import random
 import sys
+import time
 from collections import Counter
 
 import duckdb
@@ -16,7 +17,7 @@ from test_dedup_and_lines import components_of, expected_fingerprint, expected_l
 
 import corpus_pipeline  # noqa: E402
 from martlane.llm import decontaminate, language_id, queries  # noqa: E402
-from martlane.llm.chat_format import format_chats  # noqa: E402
+from martlane.llm.chat_format import format_chats, levels  # noqa: E402
 
 SCHEMA = "conv_id long, turn long, role string, text string, id string, calls int"
 
@@ -51,14 +52,14 @@ def test_links_order_and_schemas(spark):
     assert call.problems == ["c2: missing a", "c2: type of b", "c2: unknown z"]
     assert call.message == canonical({"role": "assistant", "tool_calls": [
         {"id": "c1", "name": "add", "arguments": {"a": 2, "b": 1.5}},
-        {"id": "c2", "name": "add", "arguments": {"b": "x", "z": 1}}]})
+        {"id": "c2", "name": "add", "arguments": {"b": "x", "z": 1}, "depends_on": ["c1"]}]})
     early = got[1, 1, "tool"]
     assert early.message == canonical({"content": '{"a":[1,2],"z":1}', "role": "tool", "tool_call_id": "c2"})
     order = sorted((r for r in got.values() if r.conv_id == 1), key=lambda r: (r.order_turn, r.order_step, r.turn))
     assert order.index(call) < order.index(got[1, 4, "tool"]) and order.index(call) < order.index(early)
     assert got[1, 5, "tool"].problems == ["no such call"] and got[2, 4, "tool"].problems == ["no such call"]
     assert got[1, 6, "tool"].problems == ["repeated result"] and not got[1, 4, "tool"].problems
-    assert got[1, 0, "system"].message == canonical({"content": "hi", "role": "system"})
+    assert got[1, 0, "system"].message == canonical({"content": "hi", "role": "system", "tools": TOOLS["tools"]})
 
 
 def test_tools_and_dependencies_are_kept(spark):
@@ -66,10 +67,13 @@ def test_tools_and_dependencies_are_kept(spark):
     both = {"tools": [{"function": {"name": 'a "b"', "parameters": {"type": "object", "$id": "x"}}}, {"name": "no schema"}, {}], **calls}
     rows = [(1, 0, "system", json.dumps(TOOLS)), (1, 1, "assistant", json.dumps(calls)), (1, 2, "user", "plain"),
             (2, 0, "assistant", json.dumps(both)), (3, 0, "system", '{"tools": []}')]
-    got = {(r.conv_id, r.turn): (r.tools, r.depends_on) for r in format_chats(chats(spark, rows)).collect()}
+    got = {(r.conv_id, r.turn): r.message for r in format_chats(chats(spark, rows)).collect()}
     named = [{"name": 'a "b"', "parameters": {"type": "object", "$id": "x"}}, {"name": "no schema"}, {}]
-    assert got == {(1, 0): (canonical(TOOLS["tools"]), None), (1, 1): (None, '[[],["c1"]]'), (1, 2): (None, None),
-                   (2, 0): (canonical(named), '[[],["c1"]]'), (3, 0): ("[]", None)}
+    ordered = [{"id": "c1", "name": "f", "arguments": {}}, {"id": "c2", "name": "f", "arguments": {}, "depends_on": ["c1"]}]
+    assert got == {k: canonical(v) for k, v in {
+        (1, 0): {"role": "system", **TOOLS}, (1, 1): {"role": "assistant", "tool_calls": ordered},
+        (1, 2): {"role": "user", "content": "plain"}, (2, 0): {"role": "assistant", "tool_calls": ordered, "tools": named},
+        (3, 0): {"role": "system", "tools": []}}.items()}
 
 
 def test_arguments_are_checked_at_every_depth(spark):
@@ -126,6 +130,115 @@ def test_levels_follow_a_chain(spark):
     assert [steps[f"c{k}"] for k in range(6)] == [0, 2, 4, 6, 8, 10]
 
 
+def plain_levels(needs):
+    """Longest ways by repeated relaxing; a call whose way grows beyond all calls has none."""
+    edges = [(i, n) for i, own in needs.items() for n in own if n in needs]
+    level = {x: 0 for e in edges for x in e}
+    for _ in range(len(needs) + 1):
+        for i, n in edges:
+            level[i] = max(level[i], level[n] + 1)
+    return {i: v for i, v in level.items() if v <= len(needs)}
+
+
+def test_levels_of_diamonds_and_cycles(spark):
+    rng = random.Random(6)
+    needs = {conv: {f"c{k}": sorted({f"c{rng.randrange(max(1, k) if conv % 2 else 14)}" for _ in range(rng.randint(0, 3))} - {f"c{k}"} | ({"gone"} if k == 5 else set()))
+                    for k in range(14)} for conv in range(30)}
+    needs[100] = {"self": ["self"], "after": ["self"], "free": [], "on": ["free"]}
+    rows = [(conv, i, own) for conv, calls in needs.items() for i, own in calls.items()]
+    got = {(r.conv_id, r.id): r.level for r in levels(spark.createDataFrame(rows, "conv_id long, id string, needs array<string>")).collect()}
+    assert got == {(conv, i): v for conv, calls in needs.items() for i, v in plain_levels(calls).items()}
+    assert any((conv, f"c{k}") not in got for conv in range(30) for k in range(14)) and ("after" not in got)
+
+
+def test_a_chain_of_a_thousand_calls(spark):
+    calls = [{"id": f"c{k}", "name": "f", "arguments": {}, **({"depends_on": [f"c{k - 1}"]} if k else {})} for k in range(1000)]
+    started = time.time()
+    got = format_chats(chats(spark, [(1, k, "assistant", json.dumps({"tool_calls": [c]})) for k, c in enumerate(calls)])).collect()
+    assert time.time() - started < 60
+    assert [r.order_step for r in sorted(got, key=lambda r: r.turn)] == [2 * k for k in range(1000)]
+
+
+def plain_chats(rows):
+    """Messages, counts and problems of conversations, said plainly (for valid schemas of depth one)."""
+    parsed = []
+    for place, (conv, turn, role, text) in enumerate(rows):
+        try:
+            v = json.loads(text) if text and text.lstrip().startswith("{") else None
+        except ValueError:
+            v = None
+        v = v if v and {"tool_calls", "tool_call_id", "tools"} & v.keys() else None
+        parsed.append((conv, turn, role, text, v, place))
+    first_call, first_result, schema, needs = {}, {}, {}, {}
+    for conv, turn, _, _, v, place in sorted(parsed, key=lambda r: (r[1], r[5])):
+        for i, c in enumerate((v or {}).get("tool_calls", [])):
+            first_call.setdefault((conv, c["id"]), (turn, place, i))
+            needs.setdefault(conv, {}).setdefault(c["id"], []).extend(c.get("depends_on", []))
+        if v and "tool_call_id" in v:
+            first_result.setdefault((conv, v["tool_call_id"]), place)
+        for t in (v or {}).get("tools", []):
+            schema[conv, t["name"]] = max(schema.get((conv, t["name"]), ""), canonical(t["parameters"]))
+    level = {(conv, i): x for conv, own in needs.items() for i, x in plain_levels(own).items()}
+    kinds = {"integer": int, "string": str, "boolean": bool}
+    out = []
+    for conv, turn, role, text, v, place in parsed:
+        if v is None:
+            out.append((conv, turn, 0, 0, [], canonical({"content": text, "role": role})))
+            continue
+        message, problems, calls = {"role": role}, [], []
+        if v.get("content") is not None:
+            message["content"] = v["content"]
+        for i, c in enumerate(v.get("tool_calls", [])):
+            key = (conv, c["id"])
+            wrong = []
+            if (conv, c["name"]) in schema:
+                s = json.loads(schema[conv, c["name"]])
+                wrong += [f"missing {k}" for k in s["required"] if k not in c["arguments"]]
+                wrong += [f"type of {k}" for k, x in c["arguments"].items() if k in s["properties"]
+                          and type(x) is not kinds[s["properties"][k]["type"]]]
+                wrong += [f"unknown {k}" for k in c["arguments"] if k not in s["properties"]]
+            wrong += ["repeated identifier"] * (first_call[key][1:] != (place, i)) + ["not answered"] * (key not in first_result)
+            wrong += ["cycle or unknown need"] * (bool(c.get("depends_on")) and key not in level)
+            problems += [f"{c['id']}: {w}" for w in wrong]
+            calls.append((level.get(key, 0), i, c))
+        if calls:
+            message["tool_calls"] = [c if c.get("depends_on") else {k: x for k, x in c.items() if k != "depends_on"}
+                                     for _, _, c in sorted(calls, key=lambda x: x[:2])]
+        if "tool_call_id" in v:
+            key = (conv, v["tool_call_id"])
+            message["tool_call_id"] = v["tool_call_id"]
+            problems += ["no such call"] if key not in first_call else ["repeated result"] if first_result[key] != place else []
+        if "tools" in v:
+            message["tools"] = v["tools"]
+        answered = sum((conv, c["id"]) in first_result for _, _, c in calls)
+        out.append((conv, turn, len(calls), answered, sorted(problems), canonical(message)))
+    return out
+
+
+def test_random_conversations_against_a_plain_version(spark):
+    rng = random.Random(12)
+    kinds = ["integer", "string", "boolean"]
+    rows = []
+    for conv in range(25):
+        tools = [{"name": f"f{k}", "parameters": {"type": "object", "additionalProperties": False, "required": rng.sample("abc", rng.randint(0, 2)),
+                                                  "properties": {x: {"type": rng.choice(kinds)} for x in "abc"}}} for k in range(2)]
+        rows.append((conv, 0, "system", json.dumps({"content": "use é", "tools": tools})))
+        for turn in range(1, rng.randint(3, 12)):
+            ids = [f"c{k}" for k in range(6)]
+            kind = rng.random()
+            if kind < 0.4:
+                made = [{"id": rng.choice(ids), "name": f"f{rng.randrange(3)}", "arguments": {x: rng.choice([1, "s", True]) for x in rng.sample("abcd", rng.randint(0, 3))},
+                         "depends_on": rng.sample(ids, rng.choice([0, 0, 1, 2]))} for _ in range(rng.randint(1, 3))]
+                rows.append((conv, turn, "assistant", json.dumps({"content": rng.choice([None, "so"]), "tool_calls": made})))
+            elif kind < 0.8:
+                rows.append((conv, turn, "tool", json.dumps({"tool_call_id": rng.choice(ids), "content": f"r{turn}"})))
+            else:
+                rows.append((conv, turn, "user", rng.choice(["plain", '{"a": 1}', "{broken", ""])))
+    got = [(r.conv_id, r.turn, r.n_calls, r.n_answered, sorted(r.problems), r.message) for r in format_chats(chats(spark, rows)).collect()]
+    assert sorted(got) == sorted(plain_chats(rows))
+    assert sum(bool(r[4]) for r in got) > 50
+
+
 def test_hot_conversation(spark):
     """One conversation with a third of all calls, all under one identifier."""
     def turn(conv, k, i):
