@@ -3,19 +3,26 @@
 Benchmark items are cut into overlapping windows of each size in ``WINDOWS`` (a shorter item
 is one window): the small ones find short quotes, the large ones, with their larger budget,
 copies whose edits stand close together.  A window of length m occurs in a document if some region of it is at most k
-edits away, k being a tenth of m and no more than lets ``LEAST_SHARED`` q-grams survive: by
-the q-gram lemma such a region shares m + 1 - Q (k + 1) q-grams with the window, on diagonals
+edits away, k being a tenth of m (of windows under 64 code points no more than lets
+``LEAST_SHARED`` q-grams survive, and none of those under ``SHORTEST``, which must occur as they
+are): by the q-gram lemma such a region shares m + 1 - Q (k + 1) q-grams with the window, on diagonals
 that lie within k of each other.  So the shared q-grams of a document and a window are
 counted in diagonal bands of twice the size's largest budget that overlap by half; bands that reach
 the bound are verified by a banded alignment with free ends, or found to hold the window as it is.
 The filter loses no region: hash collisions and repeated q-grams only add candidates.
 
+Memory is bounded whatever the text: shared q-grams are counted ``HITS_AT_ONCE`` at a time, equal
+pairs of window and region are aligned once, and a stretch that repeats a pattern of up to
+``PERIODS`` code points over and over (a ruler, a run of one sign) is searched without its middle.
+A stretch of over ``STRETCH`` code points holds each of its shorter pieces at both ends too, so
+nothing that could be found is left out.
+
 Texts are compared lower-cased, with each run of white space as one space.  The benchmark is
 a stated query set: it is broadcast in blocks of about ``BLOCK_POINTS`` code points, each
 block against all documents, and no row is joined or shuffled.
 
-Cases: null and empty texts hold no leak; items of fewer than ``SHORTEST`` code points are
-no passage and are not searched for; equal items are found each; rows repeated are found
+Cases: null and empty texts hold no leak; items of fewer than ``Q`` code points have no q-gram,
+are no passage and are not searched for; equal items are found each; rows repeated are found
 each.  An empty benchmark leaves all documents clean.  Columns of the documents are passed
 on as they are; the findings are in ``__leaks``.
 """
@@ -30,17 +37,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlane.llm.common import small_batches
+from martlane.llm.common import passes_columns, small_batches
 
-Q, SHORTEST = 10, 30
+Q, SHORTEST = 8, 30
 #: (code points, stride) of the windows.
 WINDOWS = ((64, 32), (96, 48))
 EDIT_SHARE, LEAST_SHARED = 0.1, 4
 BLOCK_POINTS = 4 << 20
 #: Code points of documents that are hashed at once.
 AT_ONCE = 1 << 20
+#: Shared q-grams that are counted at once.
+HITS_AT_ONCE = 1 << 20
+#: Longest pattern of a repetitive stretch, and what stays of such a stretch: more than two windows.
+PERIODS, STRETCH = 4, 256
 #: Regions that are aligned at once.
 ALIGNED_AT_ONCE = 2048
+#: Regions that wait to be aligned.
+REGIONS_HELD = 1 << 16
 TABLE_BITS = 22
 LEAKS = "array<struct<item_id:{kind},start:long,edits:int>>"
 
@@ -54,19 +67,18 @@ def points(text: str) -> np.ndarray:
 
 
 def budget(length: int) -> int:
-    return max(0, min(int(length * EDIT_SHARE), (length + 1 - LEAST_SHARED) // Q - 1))
+    return 0 if length < SHORTEST else max(0, min(int(length * EDIT_SHARE), (length + 1 - LEAST_SHARED) // Q - 1))
 
 
 def grams(p: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of Q = 8 + 2 code points, from those of 2, 4 and 8."""
+    """A 64-bit hash of each run of Q = 8 code points, from those of 2 and 4."""
     prime = 0x9E3779B97F4A7C15
     power = lambda n: np.uint64(pow(prime, n, 1 << 64))
     one = p.astype(np.uint64) + np.uint64(0x632BE5AB)
     two = one[:-1] * power(1) + one[1:]
     four = two[:-2] * power(2) + two[2:]
     eight = four[:-4] * power(4) + four[4:]
-    ten = eight[:-2] * power(2) + two[8:]
-    return ten ^ (ten >> np.uint64(31))
+    return eight ^ (eight >> np.uint64(31))
 
 
 def banded_distances(windows: list[str], regions: list[str], width: int) -> np.ndarray:
@@ -106,7 +118,7 @@ class Windows:
 def index(items: list[str]) -> Windows:
     texts, owner, reach, codes, windows, at = [], [], [], [], [], []
     for k, item in enumerate(items):
-        if len(item) < SHORTEST:
+        if len(item) < Q:
             continue
         for n, (size, stride) in enumerate(WINDOWS):
             if n and len(item) <= WINDOWS[n - 1][0]:
@@ -131,19 +143,37 @@ def index(items: list[str]) -> Windows:
                    np.concatenate([none, *windows])[order], np.concatenate([none, *at])[order], present)
 
 
-def hits(p: np.ndarray, own: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, window, position in the window) of each q-gram that a window shares."""
-    found = [np.zeros((3, 0), dtype=np.int64)]
+def hits(p: np.ndarray, own: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(position, window, position in the window) of each q-gram that a window shares, some at a
+    time."""
     for lo in range(0, max(0, len(p) - Q + 1), AT_ONCE):
         g = grams(p[lo:lo + AT_ONCE + Q - 1])
         pos = np.flatnonzero(own.present[g >> np.uint64(64 - TABLE_BITS)])
         code = np.searchsorted(own.codes, g[pos])
         same = own.codes[np.minimum(code, len(own.codes) - 1)] == g[pos]
         pos, code = pos[same], code[same]
-        n = own.first[code + 1] - own.first[code]
-        entry = np.repeat(own.first[code] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        found.append(np.stack([np.repeat(pos, n) + lo, own.entry_window[entry], own.entry_at[entry]]))
-    return tuple(np.concatenate(found, axis=1))
+        ends = np.cumsum(own.first[code + 1] - own.first[code])
+        # the pairs of all positions, numbered one after the other, in pieces
+        for start in range(0, int(ends[-1]) if len(ends) else 0, HITS_AT_ONCE):
+            pair = np.arange(start, min(start + HITS_AT_ONCE, int(ends[-1])))
+            at = np.searchsorted(ends, pair, side="right")
+            entry = own.first[code[at] + 1] - (ends[at] - pair)
+            yield pos[at] + lo, own.entry_window[entry], own.entry_at[entry]
+
+
+def without_middles(p: np.ndarray) -> np.ndarray:
+    """Which code points are searched: all but the middles of repetitive stretches."""
+    kept = np.ones(len(p), dtype=bool)
+    for period in range(1, PERIODS + 1):
+        if len(p) <= STRETCH:
+            break
+        differs = (p[period:] != p[:-period]) | (p[period:] == 0) | (p[:-period] == 0)
+        ends = np.r_[-1, np.flatnonzero(differs), len(differs)]
+        for k in np.flatnonzero(np.diff(ends) > STRETCH + period):
+            first, last = ends[k] + 1, ends[k + 1] + period  # the stretch is p[first:last]
+            drop = (last - first - STRETCH) // period * period
+            kept[first + STRETCH // 2:first + STRETCH // 2 + drop] = False
+    return kept
 
 
 def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, int]]]:
@@ -152,43 +182,72 @@ def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, in
     if not own.texts:
         return out
     bodies = [plain(t) for t in texts]
+    p = points("\0".join(bodies))
     starts = np.cumsum([0, *(len(b) + 1 for b in bodies)])
-    position, window, at = hits(points("\0".join(bodies)), own)
-    doc = np.searchsorted(starts, position, side="right") - 1
-    diagonal = position - starts[doc] - at
-    band = np.floor_divide(diagonal, own.reach[window])
-    bands = np.r_[band, band - 1]
-    lowest, span = (int(bands.min()), int(np.ptp(bands)) + 1) if len(bands) else (0, 1)
-    keys, shared = np.unique((np.tile(doc, 2) * len(own.texts) + np.tile(window, 2)) * span + bands - lowest,
-                             return_counts=True)
+    kept = without_middles(p)
+    place = None
+    if not kept.all():  # of each searched code point, its place in the whole
+        place = np.flatnonzero(kept)
+        before, p, starts = starts, p[kept], np.searchsorted(place, starts)
+        bodies = [p[a:z - 1].tobytes().decode("utf-32-le") for a, z in zip(starts, [*starts[1:-1], len(p) + 1])]
+    counted: list[tuple[np.ndarray, np.ndarray]] = []
+    # band numbers are made positive: no diagonal lies further before a document than a window is long
+    lowest, span = 2 * max(map(len, own.texts)) + 2, int(max(map(len, bodies))) + 4 * max(map(len, own.texts)) + 8
+    for position, window, at in hits(p, own):
+        doc = np.searchsorted(starts, position, side="right") - 1
+        band = np.floor_divide(position - starts[doc] - at, np.maximum(own.reach[window], 1))
+        bands = np.r_[band, band - 1]
+        counted.append(np.unique((np.tile(doc, 2) * len(own.texts) + np.tile(window, 2)) * span + bands + lowest, return_counts=True))
+        if len(counted) > 16:
+            counted = [_added(counted)]
+    if not counted:
+        return out
+    keys, shared = _added(counted)
     bound = np.array([max(1, len(t) + 1 - Q * (budget(len(t)) + 1)) for t in own.texts])
     keys = keys[shared >= bound[keys // span % len(own.texts)]]
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    unsure = []
+    # regions of each window that have to be aligned, with where they stand
+    unsure: dict[int, dict[tuple[int, str], list[tuple[int, int]]]] = {}
+    held = 0
+
+    def align() -> None:
+        for reach, alike in unsure.items():
+            pairs = [pair for pair, places in alike.items() if any((d, own.items[pair[0]]) not in best or best[d, own.items[pair[0]]][0] for d, _ in places)]
+            for at in range(0, len(pairs), ALIGNED_AT_ONCE):
+                part = pairs[at:at + ALIGNED_AT_ONCE]
+                distances = banded_distances([own.texts[w] for w, _ in part], [r for _, r in part], 4 * reach)
+                for (w, r), edits in zip(part, distances.tolist(), strict=True):
+                    if edits <= budget(len(own.texts[w])):
+                        for d, lo in alike[w, r]:
+                            best[d, own.items[w]] = min(best.get((d, own.items[w]), (edits, lo)), (edits, lo))
+        unsure.clear()
+
     for key in keys.tolist():
-        (d, w), b = divmod(key // span, len(own.texts)), key % span + lowest
-        text, reach = own.texts[w], int(own.reach[w])
+        (d, w), b = divmod(key // span, len(own.texts)), key % span - lowest
+        text, reach = own.texts[w], max(1, int(own.reach[w]))
         lo = (b - 1) * reach
         # before the document's start stand signs that match nothing
         region = "\0" * -lo + bodies[d][max(0, lo):max(0, (b + 3) * reach + len(text))]
         if (exact := region.find(text)) >= 0:
             best[d, own.items[w]] = min(best.get((d, own.items[w]), (0, lo + exact)), (0, lo + exact))
-        else:
-            unsure.append((d, w, max(0, lo), region))
-    unsure = [u for u in unsure if (u[0], own.items[u[1]]) not in best]
-    for reach in sorted({int(own.reach[u[1]]) for u in unsure}):
-        alike = [u for u in unsure if own.reach[u[1]] == reach]
-        for at in range(0, len(alike), ALIGNED_AT_ONCE):
-            part = alike[at:at + ALIGNED_AT_ONCE]
-            distances = banded_distances([own.texts[w] for _, w, _, _ in part], [r for *_, r in part], 4 * reach)
-            for (d, w, lo, _), edits in zip(part, distances.tolist(), strict=True):
-                if edits <= budget(len(own.texts[w])):
-                    best[d, own.items[w]] = min(best.get((d, own.items[w]), (edits, lo)), (edits, lo))
+        elif budget(len(text)):
+            unsure.setdefault(reach, {}).setdefault((w, region), []).append((d, max(0, lo)))
+            held += 1
+            if held % REGIONS_HELD == 0:
+                align()
+    align()
     for (d, item), (edits, start) in sorted(best.items()):
-        out[d].append((item, start, edits))
+        out[d].append((item, start if place is None else int(place[starts[d] + start] - before[d]), edits))
     return out
 
 
+def _added(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of counts by key."""
+    keys, which = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+    return keys, np.bincount(which, weights=np.concatenate([n for _, n in counted])).astype(np.int64)
+
+
+@passes_columns
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of ``docs`` and ``__leaks``: an entry for each benchmark item held."""
     spark = docs.sparkSession

@@ -130,6 +130,75 @@ def test_decontamination_of_edits_close_together():
     assert [sorted((i, e) for i, _, e in f) for f in got] == [[(0, 6)], [(1, 7)], [(0, 0)], []]
 
 
+def test_decontamination_finds_short_items_word_for_word():
+    items = ["ten points", "what is the capital of x? y", "a short"]
+    own = dc.index(items)
+    texts = ["say ten points", "What is  the capital of x? Y", "what is the capital of z? y", "tenpoints", "a short"]
+    assert [[(i, e) for i, _, e in f] for f in dc.leaks(texts, own)] == [[(0, 0)], [(1, 0)], [], [], []]
+
+
+def test_decontamination_recall_of_a_tenth_of_edits():
+    """Copies with an edit in every tenth place, and with as many at random places."""
+    rng = random.Random(31)
+    signs = "abcdefghijklmnopqrstuvw"
+    items = ["".join(rng.choice(signs) for _ in range(rng.randint(64, 400))) for _ in range(150)]
+    own = dc.index(items)
+    for spread in (True, False):
+        texts = []
+        for item in items:
+            at = range(rng.randrange(10), len(item), 10) if spread else rng.sample(range(len(item)), len(item) // 10)
+            copy = list(item)
+            for k in at:
+                copy[k] = rng.choice(["x", "", copy[k] + "y"])
+            texts.append("0" * rng.randint(0, 90) + "".join(copy) + "1" * 40)
+        found = dc.leaks(texts, own)
+        recall = np.mean([i in {x for x, _, _ in f} for i, f in enumerate(found)])
+        assert recall >= 0.9, (spread, recall)
+        assert all({x for x, _, _ in f} <= {i} for i, f in enumerate(found))
+
+
+def brute_leaks(text, own):
+    body = dc.plain(text)
+    return {own.items[w] for w, t in enumerate(own.texts) if edit_distance_in(t, body) <= dc.budget(len(t))}
+
+
+@pytest.mark.parametrize("ruler", ["=", "-=", "abc", "+--+", "<>|<>"])
+def test_decontamination_of_rulers(ruler):
+    """Long repetitive stretches, against items that hold some of them, with the place found."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("defghij") for _ in range(n))
+    items = [word(20) + (ruler * 60)[:50] + word(20), (ruler * 200)[:150], word(60) + (ruler * 99)[:90], word(70)]
+    own = dc.index(items)
+    near = lambda n, k: word(30) + (ruler * n)[:n] + items[k][-20:] + word(10)
+    texts = [word(40) + (ruler * n)[:n] + word(9) for n in (200, 700, 3000)] + [near(n, k) for n in (300, 900) for k in (0, 2)]
+    texts += [items[0] + (ruler * 500) + items[3] + (ruler * 400) + items[2], "\0" + ruler * 300 + "\0\0" + items[3], "", None]
+    got = dc.leaks(texts, own)
+    assert [{i for i, _, _ in f} for f in got] == [brute_leaks(t, own) for t in texts]
+    body = dc.plain(texts[7])
+    for i, start, edits in got[7]:
+        if i == 3:
+            assert edits == 0 and body[start:start + 64] in items[3]
+
+
+def test_decontamination_memory_does_not_grow_with_a_run():
+    """A million equal signs against items that hold runs, in a process of its own."""
+    import subprocess
+    code = """
+import resource, sys
+sys.path.insert(0, {root!r})
+from martlane.llm import decontaminate as dc
+own = dc.index(["intro " * 8 + "=" * n + " outro" * 8 for n in (20, 60, 100, 100, 120)] + ["=-" * 60, "=-+*/" * 30])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = dc.leaks(["a " + "=" * 1_000_000 + " b", "=-+*/" * 100_000], own)
+print([sorted({{i for i, _, _ in f}}) for f in found], (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    said = subprocess.run([sys.executable, "-c", code.format(root=root)], capture_output=True, text=True, timeout=300, check=True).stdout
+    found, grown = said.rsplit(" ", 1)
+    assert int(grown) < 500, grown
+    assert "6]" in found
+
+
 def test_banded_distances():
     rng = random.Random(2)
     windows, regions = [], []
