@@ -9,8 +9,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martlane.sources.files import file_system
+
 #: Rows of one Arrow batch: a batch of very long texts must still fit beside the heap.
 BATCH_ROWS = 256
+#: Tables that ``cut`` wrote.
+_CUTS: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,9 +47,26 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cuts_made() -> int:
+    return len(_CUTS)
+
+
+def settled(make: Callable[[], DataFrame], since: int | None = None) -> DataFrame:
+    """The written result of ``make``; the tables that were cut on the way to it, or since there
+    were ``since`` cuts, are deleted."""
+    start = len(_CUTS) if since is None else since
+    out = cut(make())
+    spare, _CUTS[start:] = _CUTS[start:-1], _CUTS[-1:]
+    for path in spare:
+        fs, folder = file_system(out.sparkSession, path)
+        fs.delete(folder, True)
+    return out
+
+
 def _set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The frame with other names for columns that begin with two underscores, as the operators'
     own do; and the names they have now, with those they had."""

@@ -5,10 +5,17 @@ row of an embedding table, the rows are averaged over the whole text and a linea
 reads the language.  The model is trained by stochastic gradient descent in numpy on a
 bounded sample (``SAMPLE_PER_LANGUAGE`` documents of each language, whole texts, reduced to
 their hashed counts by the executors).  A part of the sample that training does not see
-calibrates the probabilities (one temperature) and the rejection threshold: the lowest
-``REJECT_QUANTILE`` of its rightly predicted probabilities, at most ``MOST_THRESHOLD`` or, with
-few languages, ``MARGIN`` above the probability that all of them share evenly.  With a single
-language every probability is 1, so only texts without a letter are rejected.
+calibrates the probabilities (one temperature) and two rejection thresholds.
+
+A text is rejected if the languages learned are about equally likely: its best probability is
+below the lowest ``REJECT_QUANTILE`` of the rightly predicted ones, at most ``MOST_THRESHOLD`` or, with
+few languages, ``MARGIN`` above the probability that all of them share evenly.  It is also rejected
+if it is no text of the predicted language at all: the softmax compares languages, and gives the
+least unlike one for any text.  So each language also has the shares of its n-grams, and a text's
+familiarity is the mean logarithm of its n-grams' shares, less what is usual for the language.
+Texts below the ``REJECT_QUANTILE`` of the calibration part are unfamiliar, but none whose n-grams are
+less than exp(``UNFAMILIAR``) times rarer than usual; a text of d distinct n-grams may be
+``SHORT`` / sqrt(d) lower, as its mean says less.
 
 As averaging and the softmax's input are linear, prediction looks up one row of logits per
 n-gram.  The model (``BUCKETS`` x languages floats) is broadcast.
@@ -30,11 +37,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlane.llm.common import cut, small_batches
+from martlane.llm.common import cut, passes_columns, small_batches
 
 BUCKET_BITS, DIMENSIONS, LONGEST = 14, 16, 4
 BUCKETS = 1 << BUCKET_BITS
-SAMPLE_PER_LANGUAGE = 600
+#: Sampled documents of a language, and of all together (some 70 kB each on the driver).
+SAMPLE_PER_LANGUAGE, SAMPLE_IN_ALL = 600, 12_000
 EPOCHS, RATE, CALIBRATION_SHARE = 6, 0.5, 5
 #: Steps of an embedding row are so much larger than its share of the text, 1 at most.
 ROW_RATE = 20
@@ -42,6 +50,11 @@ ROW_RATE = 20
 MAX_LANGUAGES = 1000
 NO_LETTERS = regex.compile(r"\P{L}+")
 REJECT_QUANTILE, MOST_THRESHOLD, MARGIN = 0.0005, 0.4, 0.15
+UNFAMILIAR, SHORT = 2.6, 6.0
+#: Temperatures that are tried, and what a calibration row counts for the languages it is not of.
+TEMPERATURES, DOUBT = np.exp(np.linspace(-8, 4, 97)), 0.5
+#: Added to each bucket's count before its share of a language is taken.
+PRIOR = 0.5
 #: Bytes of a text that are hashed at once, so that memory does not grow with its length.
 CHUNK = 1 << 16
 UNDETERMINED = "und"
@@ -80,6 +93,9 @@ class Model:
     logits: np.ndarray  # BUCKETS x languages
     temperature: float = 1.0
     threshold: float = 0.0
+    shares: np.ndarray | None = None  # languages x BUCKETS: logarithm of each bucket's share
+    usual: np.ndarray | None = None  # of each language, the mean of that over its texts
+    least: float = -np.inf  # familiarity
 
     def probabilities(self, mean_logits: np.ndarray) -> np.ndarray:
         z = mean_logits / self.temperature
@@ -92,7 +108,13 @@ class Model:
             return UNDETERMINED, 0.0, True
         p = self.probabilities((bag / bag.sum()) @ self.logits)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.threshold)
+        found = np.flatnonzero(bag)
+        strange = self.shares is not None and self.familiarity(best, found, bag[found]) < self.least
+        return self.languages[best], float(p[best]), bool(p[best] < self.threshold or strange)
+
+    def familiarity(self, language: int, buckets: np.ndarray, times: np.ndarray) -> float:
+        mean = self.shares[language, buckets] @ times / times.sum()
+        return float(mean - self.usual[language] + SHORT / np.sqrt(len(buckets)))
 
 
 def most_threshold(languages: int) -> float:
@@ -129,33 +151,53 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model:
     model = Model(languages, (table @ weights).astype(np.float32))
     checked = np.flatnonzero(held)
     if len(checked):
-        z = np.array([shares[i][1] @ model.logits[shares[i][0]] for i in checked])
-        grid = np.exp(np.linspace(-3, 2, 41))
+        z = np.array([shares[i][1] @ model.logits[shares[i][0]] for i in checked], dtype=float)
+        # half a row of doubt: where all are told apart, the best temperature would be zero
+        target = np.full((len(z), len(languages)), DOUBT / len(z) / len(languages))
+        target[np.arange(len(z)), wanted[checked]] += 1 - DOUBT / len(z)
         loss = []
-        for t in grid:
+        for t in TEMPERATURES:
             model.temperature = float(t)
-            loss.append(-np.log(model.probabilities(z)[np.arange(len(z)), wanted[checked]] + 1e-12).mean())
-        model.temperature = float(grid[int(np.argmin(loss))])
+            loss.append(-(target * np.log(np.maximum(model.probabilities(z), 1e-300))).sum(axis=1).mean())
+        model.temperature = float(TEMPERATURES[int(np.argmin(loss))])
         p = model.probabilities(z)
         right = p.max(axis=1)[p.argmax(axis=1) == wanted[checked]]
         if len(right):
             model.threshold = float(min(most_threshold(len(languages)), np.quantile(right, REJECT_QUANTILE)))
+        learn_familiarity(model, bags, wanted, train, checked)
     return model
 
 
+def learn_familiarity(model: Model, bags: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray,
+                      train: np.ndarray, checked: np.ndarray) -> None:
+    """Shares from the training part; what is usual, and the least, from the calibration part."""
+    totals = np.full((len(model.languages), BUCKETS), PRIOR)
+    for i in train:
+        totals[wanted[i], bags[i][0]] += bags[i][1]
+    model.shares = np.log(totals / totals.sum(axis=1, keepdims=True)).astype(np.float32)
+    model.usual = np.zeros(len(model.languages))
+    for k in range(len(model.languages)):
+        own = [i for i in checked if wanted[i] == k] or [i for i in train if wanted[i] == k]
+        mass = sum(bags[i][1].sum() for i in own)
+        model.usual[k] = sum(model.shares[k, bags[i][0]] @ bags[i][1] for i in own) / max(1, mass)
+    known = [model.familiarity(wanted[i], *bags[i]) for i in checked]
+    model.least = float(min(-UNFAMILIAR, np.quantile(known, REJECT_QUANTILE)))
+
+
 def training_rows(docs: DataFrame) -> Column:
     """Documents that may be learned from: labelled, and crc32 of the id not divisible by 5."""
     return F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Fit on about ``per_language`` documents of each language, chosen by a hash of the id,
-    and never more than twice as many."""
+    """Fit on about ``per_language`` documents of each language (fewer where that would be over
+    ``SAMPLE_IN_ALL``), chosen by a hash of the id, and never more than twice as many."""
     small_batches(docs.sparkSession)
     rows = docs.filter(training_rows(docs) & F.col("text").isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    per_language = max(1, min(per_language, SAMPLE_IN_ALL // max(1, len(sizes))))
     size = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("lang")) if sizes else F.lit(1)
     chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), size) < per_language).select("doc_id", "lang", "text")
 
@@ -175,18 +217,19 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sample = cut(chosen.mapInArrow(reduced, f"doc_id {kind}, lang string, buckets array<int>, times array<int>"))
-    # many rows of one id could pass the share: a hard bound
-    got = sample.limit(2 * per_language * max(1, len(sizes))).toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")]).combine_chunks()
+    # many rows of one id could pass the share: a hard bound, in an order that is the same each time
+    got = (sample.orderBy("doc_id", "lang", F.xxhash64("buckets", "times")).limit(2 * per_language * max(1, len(sizes)))
+           .toArrow().combine_chunks())
     bags = zip(*([row.values.to_numpy() for row in got[c]] for c in ("buckets", "times")), strict=True)
     return fit(list(bags), got["lang"].to_pylist())
 
 
+@passes_columns
 def predict_languages(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with ``__lang``, ``__score`` and ``__rejected``."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.languages, model.logits, model.temperature, model.threshold))
+        (model.languages, model.logits, model.temperature, model.threshold, model.shares, model.usual, model.least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)

@@ -19,7 +19,7 @@ out-of-fold predictions, ``LEAST_THRESHOLD`` at least.
 
 Cases: a null text or one without a word is not toxic, with probability 0.  Of several label
 rows of one id the worst of each category counts; label rows with a null are left out.  Without
-labels of both kinds nothing is toxic.  Repeated rows get the same result each; columns other
+labels of both kinds nothing is toxic.  Of several texts of one id the model learns from one.  Repeated rows get the same result each; columns other
 than ``doc_id`` and ``text`` are not read.
 """
 
@@ -184,7 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, per_stratum: int = SAMPLE_PER_STRA
     # at most about 2 ** len(CHAIN) * per_stratum rows: a bound that allows the broadcast
     chosen = known.withColumn("size", share).filter(F.pmod(F.xxhash64("doc_id"), F.col("size")) < per_stratum)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.drop("size")), "doc_id")
-    sample = cut(texts.dropDuplicates(["doc_id"]))
+    # of several texts under one id the one with the least hash
+    sample = cut(texts.groupBy("doc_id", *names).agg(F.min_by("text", F.xxhash64("text")).alias("text")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from fixtures import ENGLISH, documents, sentence, table  # noqa: E402
@@ -286,6 +287,32 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
 
+    # columns of the names that operators use, with values of their own
+    odd = docs.withColumns({c: F.lit(k) for k, c in enumerate(
+        ["__row", "__fp", "__lang", "__rejected", "__leaks", "__lines", "__lost", "__text_hash", "__id", "aside_0"])})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, str(tmp_path))
+        assert out.columns == odd.columns and out.select(*odd.columns[-10:]).distinct().count() == 1
+        assert out.count() == stage(spark, docs, str(tmp_path)).count()
+
+
+def test_pipeline_over_empty_tables(spark, tmp_path):
+    table(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.count() == 0 and "ids_sha256" in got.columns
+
+
+def test_pipeline_leaves_one_table_behind(spark, tmp_path, monkeypatch):
+    from martlane.llm import common
+    rows = documents(30)
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a passage of the benchmark that is in no document at all, of no length")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(common, "shared_folder", lambda _: f"{tmp_path}/shared")
+    corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert len(os.listdir(f"{tmp_path}/shared")) == 1
+
 
 SF = "/root/testdata/sf0.001"
 
@@ -306,9 +333,16 @@ def test_query_against_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_query_runs_over_its_whole_table(spark, name):
     rows = queries.QUERIES[name](spark, SF).count()
-    whole = {"op6_html_extraction": "pages", "op9_chat_format": "conversations"}.get(name, "documents")
-    n = spark.read.parquet(f"{SF}/{whole}.parquet").count()
-    assert 0 < rows <= n if name.startswith("op4") else rows == n
+    whole = {"op6_html_extraction": "pages", "op9_chat_format": "conversations", "op11_conversation_repair": "conversations",
+             "op12_embedding_whitening": "embeddings"}.get(name, "documents")
+    whole = spark.read.parquet(f"{SF}/{whole}.parquet")
+    n = whole.count()
+    if name.startswith("op4"):
+        assert 0 < rows <= n
+    elif name.startswith("op13"):
+        assert rows >= n  # a piece at least of every document
+    else:
+        assert rows == {"op11": whole.select(whole.columns[0]).distinct().count(), "op12": 16 * n}.get(name.split("_")[0], n)
 
 
 def test_native_operators_run_no_python(spark):

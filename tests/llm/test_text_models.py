@@ -243,6 +243,71 @@ def test_language_id_can_reject_garbage(n):
     assert np.mean([model.predict(t)[2] for _, t in texts]) < 0.03
 
 
+FOREIGN = {
+    "ja": "これは日本語の文章です。今日は天気がとても良いので公園に散歩に行きました。そこで友達に会って一緒に昼ご飯を食べました。",
+    "ru": "Сегодня хорошая погода и мы пошли гулять в парк потому что солнце светит ярко а птицы поют на каждом дереве у реки.",
+    "el": "Σήμερα ο καιρός είναι πολύ καλός και πήγαμε μια βόλτα στο πάρκο όπου συναντήσαμε φίλους και φάγαμε μαζί μεσημεριανό.",
+    "pl": "Dzisiaj jest bardzo ładna pogoda dlatego poszliśmy na spacer do parku gdzie świeciło słońce i śpiewały ptaki przy rzece.",
+    "fi": "Tänään sää on erittäin hyvä joten menimme kävelylle puistoon jossa aurinko paistoi ja linnut lauloivat joen rannalla."}
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
+def test_language_id_rejects_what_it_never_saw(spark):
+    """Three unseen scripts, two unseen Latin languages; texts of the learned languages stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(docs)
+    rng, rejected = random.Random(17), {}
+    for name, text in FOREIGN.items():
+        words = list(text) if name == "ja" else text.split()
+        made = [("" if name == "ja" else " ").join(rng.choice(words) for _ in range(rng.randint(30, 90))) for _ in range(60)]
+        rejected[name] = np.mean([model.predict(t)[2] for t in made])
+    assert min(rejected[x] for x in ("ja", "ru", "el")) >= 0.9 and min(rejected[x] for x in ("pl", "fi")) >= 0.5, rejected
+    known = language_id.predict_languages(docs.filter("text rlike '[a-z]' and lang is not null"), model)
+    assert known.selectExpr("avg(int(__rejected))").first()[0] < 0.01
+    assert language_id.TEMPERATURES[0] < model.temperature < language_id.TEMPERATURES[-1]
+
+
+def plain_language(model, text):
+    """Probabilities and familiarity from the text, n-gram by n-gram."""
+    body = " ".join("".join(c if unicodedata_letter(c) else " " for c in text.lower()).split())
+    seen = []
+    if body:
+        data = f" {body} ".encode()
+        for n in range(1, language_id.LONGEST + 1):
+            for at in range(len(data) - n + 1):
+                code = 0
+                for b in data[at:at + n]:
+                    code = (code * 0x01000193 & 0xFFFFFFFF) ^ b
+                seen.append(((code + n) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - language_id.BUCKET_BITS))
+    if not seen:
+        return "und", 0.0, True
+    z = [float(np.mean([model.logits[b, k] for b in seen])) / model.temperature for k in range(len(model.languages))]
+    e = [np.exp(x - max(z)) for x in z]
+    best = int(np.argmax(z))
+    own = float(np.mean([model.shares[best, b] for b in seen])) - model.usual[best] + language_id.SHORT / len(set(seen)) ** 0.5
+    return model.languages[best], e[best] / sum(e), e[best] / sum(e) < model.threshold or own < model.least
+
+
+def unicodedata_letter(c):
+    return __import__("unicodedata").category(c).startswith("L")
+
+
+def test_language_id_against_a_plain_scorer(spark):
+    rows = [r for r in documents(40) if not r[1] or len(r[1]) < 3000]
+    model = language_id.train(table(spark, documents(200)))
+    texts = [t for _, t, _ in rows] + [t[:80] for t in FOREIGN.values()]
+    for text in texts:
+        want, got = plain_language(model, text or ""), model.predict(text)
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-5) and got[2] == want[2], text
+
+
+def test_language_id_fit_does_not_depend_on_the_partitions(spark):
+    rows = documents(80) + [(7, t, "en") for _, t, _ in documents(30)]
+    a, b = (language_id.train(table(spark, rows).repartition(n), 20) for n in (1, 5))
+    assert np.array_equal(a.logits, b.logits) and a.threshold == b.threshold and a.least == b.least
+
+
 def test_language_id_counts_do_not_depend_on_the_chunk(monkeypatch):
     text = " ".join(sentence(random.Random(1), FRENCH, 300) for _ in range(4))
     whole = language_id.counts(text)
@@ -451,3 +516,42 @@ def test_toxicity(spark):
     assert one_kind is None and not any(r.toxic for r in toxicity.predict(docs, one_kind).collect())
     assert toxicity.train(docs, known.limit(0)) is None
     assert toxicity.predict(table(spark, []), chain).count() == 0
+
+
+def plain_toxicity(chain, text):
+    """Probabilities of the chain from the text alone."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not words:
+        return [0.0] * len(chain.categories)
+    present = {f for w in words for f in [w, *("~" + w[i:i + toxicity.GRAM] for i in range(len(w) - toxicity.GRAM + 1))]}
+    n = len(text)
+    digits, capitals = sum(c in "0123456789" for c in text), sum("A" <= c <= "Z" for c in text)
+    other = n - sum(map(len, words)) - digits - sum(c in " \n" for c in text)
+    x = [float(f in present) for f in sorted(chain.index, key=chain.index.get)]
+    x += [capitals / n, digits / n, max(0, other) / n, 1 - len(set(words)) / len(words)]
+    out = []
+    for w in chain.weights:
+        z = sum(a * b for a, b in zip(w, [*x, *out, 1.0], strict=True))
+        out.append(1 / (1 + np.exp(-max(-30, min(30, z)))))
+    return out
+
+
+def test_toxicity_against_a_plain_scorer(spark):
+    rows, labels, _ = toxic_corpus()
+    rows += [(3000 + i, t, None) for i, (_, t, _) in enumerate(documents(30)) if not t or len(t) < 5000]
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+    docs = table(spark, rows)
+    chain = toxicity.train(docs, known)
+    for r in toxicity.predict(docs, chain).collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        want = plain_toxicity(chain, text)
+        assert [r.p_low_quality, r.p_toxic] == pytest.approx(want, abs=1e-6)
+        assert r.toxic == (want[1] >= max(chain.threshold, 1e-9))
+
+
+def test_toxicity_learns_from_one_text_of_an_id(spark):
+    rows, labels, _ = toxic_corpus()
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+    docs = table(spark, rows + [(i, t + " other words", x) for i, t, x in rows[:50]])
+    a, b = (toxicity.train(docs.repartition(n), known) for n in (2, 7))
+    assert a.index == b.index and all(np.allclose(x, y) for x, y in zip(a.weights, b.weights, strict=True))
