@@ -9,6 +9,7 @@ sources anew.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import time
 
@@ -26,6 +27,7 @@ def main(argv=None):
                     help="what becomes of rows that repeat a mart's key")
     ap.add_argument("--on-reject", choices=["fail", "quarantine"], default="fail",
                     help="what becomes of ads documents that cannot be read")
+    ap.add_argument("--plan-ads", metavar="DAY", help="print the ads chunks still to be fetched up to a day, build nothing")
     ap.add_argument("marts", nargs="*", help="marts to build (default: all)")
     a = ap.parse_args(argv)
     from martlane.plans.warehouse import DEPENDS, Warehouse
@@ -38,6 +40,10 @@ def main(argv=None):
                else materialize(ShopShapes(spark, a.tables), f"{a.out.rstrip('/')}/_sources"))
     wh = Warehouse(spark, sources, a.out, partition_stores=a.partition_stores, on_duplicate=a.on_duplicate,
                    on_reject=a.on_reject)
+    if a.plan_ads:
+        chunks = wh.chunks_to_fetch(dt.date.fromisoformat(a.plan_ads)).orderBy("chunk_start").collect()
+        print(json.dumps({"chunks": [[str(r["chunk_start"]), str(r["chunk_end"])] for r in chunks]}))
+        return
     built = wh.refresh(a.marts or list(DEPENDS))
     print(json.dumps({"built": built, "rows": wh.counts, "root": a.out, "seconds": round(time.time() - t0, 1)}))
 

@@ -10,13 +10,18 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sorted_distinct_join(c, sep: str = ", ", empty=None) -> Column:
+def sorted_distinct_join(c, sep: str = ", ", empty=None, fold=None) -> Column:
     """Aggregate: distinct values sorted by value, joined; ``empty`` when no non-null value.
 
     ``collect_set`` merges sets in the partial aggregate, so the per-group state is
-    bounded by the number of distinct values, not by group size.
+    bounded by the number of distinct values, not by group size.  With ``fold``, values that
+    fold alike are one, the least of them.
     """
-    joined = F.array_join(F.sort_array(F.collect_set(_col(c))), sep)
+    values = F.sort_array(F.collect_set(_col(c)))
+    if fold is not None:
+        values = F.aggregate(values, F.expr("cast(array() as array<string>)"), lambda kept, v: F.when(
+            F.exists(kept, lambda k: fold(k) == fold(v)), kept).otherwise(F.array_append(kept, v)))
+    joined = F.array_join(values, sep)
     if empty is None:
         return F.when(F.count(_col(c)) > 0, joined)
     return F.when(F.count(_col(c)) > 0, joined).otherwise(F.lit(empty))

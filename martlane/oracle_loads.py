@@ -86,6 +86,21 @@ SELECT sstore AS source_store, count(DISTINCT sku) AS binary_skus, count(DISTINC
   count(*) FILTER (lower(sku) LIKE 'p1%') AS like_no_case
 FROM spelled GROUP BY 1""",
 
+    "order_units_collated": "WITH " + BASE + f"""
+,spelled AS (
+  SELECT lines.*, 'V' || l_suppkey || '-' || store AS v,
+    CASE WHEN l_partkey % 2 = 1 THEN lower('P' || (l_partkey // 2) || '-' || store) ELSE 'P' || (l_partkey // 2) || '-' || store END AS p
+  FROM lines),
+named AS (
+  SELECT l_orderkey, replace(replace(shape, '#', v), '@', p) AS label,
+    CASE WHEN v_state = 'known' THEN v WHEN p_state = 'known' THEN p ELSE CAST(l_partkey AS VARCHAR) END AS unit
+  FROM spelled JOIN label_of ON p_state = lp AND v_state = lv),
+units AS (SELECT l_orderkey, count(DISTINCT lower(unit)) AS n FROM named GROUP BY 1),
+labels AS (SELECT l_orderkey, string_agg(label, ', ' ORDER BY label) AS skus
+  FROM (SELECT l_orderkey, min(label) AS label FROM named GROUP BY l_orderkey, lower(label)) GROUP BY 1)
+SELECT m.source_store, m.order_id, coalesce(n, 0)::INTEGER AS units_total, coalesce(skus, '') AS ordered_items_skus
+FROM ({ORDER_MART}) m LEFT JOIN units u ON m.order_id = u.l_orderkey LEFT JOIN labels s ON m.order_id = s.l_orderkey""",
+
     "extracted_store_orders": _ORDERS_OF_MASTERS + f" AND source_store <> '{ABSENT}'",
 
     "landed_store_customers": f"SELECT * FROM ({STORE_UNION_CUSTOMERS}) WHERE source_store <> '{ABSENT}'",

@@ -105,8 +105,12 @@ def unit_cost_map(product_meta: DataFrame, product_posts: DataFrame | None = Non
 
 
 def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
-                cost_map: DataFrame | None = None) -> DataFrame:
-    """All per-order item aggregates in a single groupBy(store, order)."""
+                cost_map: DataFrame | None = None, fold=None) -> DataFrame:
+    """All per-order item aggregates in a single groupBy(store, order).
+
+    ``fold`` (a column function such as ``functions.collation.folded``) gives what DISTINCT
+    compares: spellings that fold alike are one product and one label, shown in its least one.
+    """
     is_line = F.col("order_item_type") == "line_item"
     is_fee = F.col("order_item_type") == "fee"
     is_ship = F.col("order_item_type") == "shipping"
@@ -129,9 +133,9 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
     # One aggregation pass: distinct counts/lists as sets (no Expand of count(DISTINCT)),
     # "first row" values as numeric min_by (fixed-width buffers).
     g = f.drop("_p").groupBy("order_id", STORE).agg(
-        F.size(F.collect_set(unit_key)).alias("units_total"),
+        F.size(F.collect_set(fold(unit_key) if fold else unit_key)).alias("units_total"),
         F.sum(F.when(is_line, lenient_decimal("qty_text", 12, 2))).alias("qty_sum"),
-        sorted_distinct_join(label, ", ", empty="").alias("ordered_items_skus"),
+        sorted_distinct_join(label, ", ", empty="", fold=fold).alias("ordered_items_skus"),
         F.sum(F.when(is_line, lenient_decimal("subtotal_text", 12, 2))).alias("line_subtotal_sum"),
         F.sum(F.when(is_line, lenient_decimal("subtotal_text", 12, 4))).alias("subtotal4"),
         F.sum(fee_amt).alias("fee_sum"),
@@ -152,7 +156,7 @@ def item_rollup(facts: DataFrame, product_costs: DataFrame | None = None,
 def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_meta: DataFrame,
                  store_lookup: DataFrame, store_product_meta: DataFrame | None = None,
                  cogs_mode: str = "zero", cost_map: DataFrame | None = None,
-                 with_profit: bool = True, facts: DataFrame | None = None) -> DataFrame:
+                 with_profit: bool = True, facts: DataFrame | None = None, fold=None) -> DataFrame:
     """Store orders (all stores at once, keyed by ``source_store``).
 
     ``store_lookup`` and ``store_product_meta`` hold each store's own products, keyed by
@@ -160,6 +164,7 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
     ``cogs_mode``: "zero" (the source's current override), "items" (qty x product cost
     meta, both cost keys counted) or "cost_map" (INT qty x PIM cost map, the commented form).
     ``facts``: item facts already pivoted (and written) once for several marts.
+    ``fold``: what DISTINCT compares of SKUs and labels (``item_rollup``).
     """
     hdr = order_header(posts, post_meta)
     if facts is None:
@@ -168,7 +173,7 @@ def build_orders(posts: DataFrame, post_meta: DataFrame, items: DataFrame, item_
              if store_product_meta is not None and cogs_mode == "items" else None)
     if cogs_mode == "cost_map" and cost_map is None:
         raise ValueError("cogs_mode='cost_map' needs cost_map")
-    roll = item_rollup(facts, costs, cost_map if cogs_mode == "cost_map" else None)
+    roll = item_rollup(facts, costs, cost_map if cogs_mode == "cost_map" else None, fold)
     o = hdr.join(roll, ["order_id", STORE], "left")
     tax = lenient_decimal("tax_text", 12, 2)
     gross = (F.col("line_subtotal_sum") + F.coalesce(tax, F.lit(0)) + F.coalesce(F.col("fee_sum"), F.lit(0))

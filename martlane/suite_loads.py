@@ -177,6 +177,21 @@ def q_distinct_skus_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_order_units_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct products and labels of each order where two products in two share a SKU but for
+    its case."""
+    from martlane.functions.collation import folded
+    from martlane.plans.orders import build_orders
+    from martlane.sources.shop_shape import VARIATION_ID_BASE
+    s = shapes(spark, sf_dir)
+    shared = F.concat(F.lit("P"), F.floor(F.col("product_id") / 2).cast("string"), F.lit("-"), F.col("source_store"))
+    shared = F.when(F.col("product_id") % 2 == 1, F.lower(shared)).otherwise(shared)
+    lookup = s.store_product_lookup.withColumn(
+        "sku", F.when((F.col("sku") != "") & (F.col("product_id") < VARIATION_ID_BASE), shared).otherwise(F.col("sku")))
+    o = build_orders(s.order_posts, s.order_meta, s.order_items, s.item_meta, lookup, fold=folded)
+    return o.select("source_store", "order_id", "units_total", "ordered_items_skus")
+
+
 #: How the landed stores lie: two as text extracts, one not at all, the rest as parquet.
 EXTRACTS, ABSENT = {"FR": "tsv", "IT": "csv"}, "FI"
 
@@ -252,6 +267,7 @@ QUERIES = {
     "load_first_wins": q_load_first_wins,
     "returns_by_product_collated": q_returns_by_product_collated,
     "distinct_skus_collated": q_distinct_skus_collated,
+    "order_units_collated": q_order_units_collated,
     "extracted_store_orders": q_extracted_store_orders,
     "landed_store_customers": q_landed_store_customers,
     "master_orders_filled": q_master_orders_filled,

@@ -3,6 +3,7 @@ ledger of chunks, extracts, collation, state across micro-batches."""
 import datetime as dt
 import json
 import os
+import re
 import time
 
 import pytest
@@ -187,6 +188,43 @@ def test_chunk_states(spark):
     assert got == {"2024-01-01": (False, 2), "2024-02-01": (True, 1)}
 
 
+def test_failed_chunks_drive_the_next_plan(spark, tmp_path, capsys):
+    from martlane.__main__ import main
+    folder, out = f"{tmp_path}/in/shared/ads_json", f"{tmp_path}/out"
+    name = lambda a, b: f"ads_{a}_to_{b}_0"
+    land_documents(folder, {name("2024-01-01", "2024-01-31"): page(rec()), name("2024-02-01", "2024-02-29"): page(rec(date_start="2024-02-03"))[:-2]})
+    wh = Warehouse(spark, LandedStores(spark, f"{tmp_path}/in"), out, now=T0, on_reject=QUARANTINE)
+    wh.refresh(["advertisements"])
+
+    def planned():
+        main(["--stores", f"{tmp_path}/in", "--out", out, "--plan-ads", "2024-03-10"])
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])["chunks"]
+
+    assert planned() == [["2024-02-01", "2024-02-29"], ["2024-03-01", "2024-03-10"]]
+    time.sleep(0.05)
+    land_documents(folder, {name("2024-02-01", "2024-02-29"): page(rec(date_start="2024-02-03"))})
+    wh.refresh(["advertisements"])
+    assert planned() == [["2024-03-01", "2024-03-10"]]
+    assert wh.table("advertisements").count() == 2
+
+
+def test_landed_stores_by_one_scan(spark, tmp_path):
+    root, flat = f"{tmp_path}/in", f"{tmp_path}/flat"
+    land(spark, root, "DE", [1, 2])
+    land(spark, root, "TR", [1], status=False)
+    for store in ("DE", "TR"):
+        for table in os.listdir(f"{root}/{store}"):
+            spark.read.parquet(f"{root}/{store}/{table}").write.parquet(f"{flat}/{table}/source_store={store}")
+    many, one = LandedStores(spark, root), LandedStores(spark, flat, one_scan=True)
+    for table in os.listdir(f"{root}/DE"):
+        a, b = getattr(many, table), getattr(one, table)
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect())), table
+        assert b._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    own = LandedStores(spark, flat, stores=["TR"], one_scan=True).order_posts
+    assert {r.source_store for r in own.collect()} == {"TR"}
+    assert re.search(r"PartitionFilters: \[[^\]]*source_store", own._jdf.queryExecution().executedPlan().toString())
+
+
 ROWS = [("DE", 1, "a", 2), ("DE", 1, "b", 1), ("DE", 1, "b", 1), ("DE", 2, "c", 1), (None, 3, "d", 1), ("DE", None, "e", 5), ("FR", 1, None, None)]
 
 
