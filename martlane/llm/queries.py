@@ -16,6 +16,7 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document: counts and places of the base phrases, all labels, a score."""
     from martlane.llm.license_scan import scan
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_base").alias("n_base"),
@@ -25,11 +26,13 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, group size and kept row of every document, by its text with white space made one space."""
     from martlane.llm.exact_dedup import exact_duplicates
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     from martlane.llm.simhash_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,6 +46,7 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, score and rejection of every document, learned from those that are not held out."""
     from martlane.llm.language_id import predict_languages, train
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -52,12 +56,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     from martlane.llm.html_extract import extract, train
     pages = table(spark, sf_dir, "pages")
     return extract(pages, train(pages))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before and after, and the hash of what stays."""
     from martlane.llm.line_dedup import drop_repeated_lines
     return drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
@@ -65,16 +71,19 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and hash of every document's ids, and the hash of their decoded text."""
     from martlane.llm.bpe import encode_documents
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), keep_ids=False).drop("ids")
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical message, order and tool-call problems of every turn."""
     from martlane.llm.chat_format import format_chats
     return format_chats(table(spark, sf_dir, "conversations")).withColumn("problems", F.array_join("problems", "; "))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity and its probabilities of every document."""
     from martlane.llm.toxicity import predict, train
     docs = table(spark, sf_dir, "documents")
     return predict(docs, train(docs, table(spark, sf_dir, "labels")))
