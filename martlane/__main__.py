@@ -27,17 +27,22 @@ def main(argv=None):
                     help="what becomes of rows that repeat a mart's key")
     ap.add_argument("--on-reject", choices=["fail", "quarantine"], default="fail",
                     help="what becomes of ads documents that cannot be read")
+    ap.add_argument("--bucketed", action="store_true",
+                    help="deal landed attribute tables into buckets of their entity before the marts read them")
     ap.add_argument("--plan-ads", metavar="DAY", help="print the ads chunks still to be fetched up to a day, build nothing")
     ap.add_argument("marts", nargs="*", help="marts to build (default: all)")
     a = ap.parse_args(argv)
     from martlane.plans.warehouse import DEPENDS, Warehouse
     from martlane.session import get_spark
+    from martlane.sources.bucketed import BucketedSources
     from martlane.sources.landed import LandedStores
     from martlane.sources.shop_shape import ShopShapes, materialize
     spark = get_spark(a.master)
     t0 = time.time()
     sources = (LandedStores(spark, a.stores) if a.stores
                else materialize(ShopShapes(spark, a.tables), f"{a.out.rstrip('/')}/_sources"))
+    if a.bucketed:
+        sources = BucketedSources(sources, f"{a.out.rstrip('/')}/_buckets")
     wh = Warehouse(spark, sources, a.out, partition_stores=a.partition_stores, on_duplicate=a.on_duplicate,
                    on_reject=a.on_reject)
     if a.plan_ads:

@@ -19,6 +19,8 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+from martlane.sources.files import file_system
+
 STORE = "source_store"
 #: Entity keys of the shop tables.
 BUCKET_KEYS = {
@@ -43,3 +45,31 @@ def store_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets
        .option("path", path).format("parquet").saveAsTable(table))
     spark.conf.set(KEEP_ORDER, "true")
     return spark.table(table)
+
+
+class BucketedSources:
+    """Source tables of which those in ``BUCKET_KEYS`` are stored in buckets at their first use.
+
+    Landed extracts lie as they came; a refresh reads the attribute tables several times (items,
+    orders, order items, customers), so it deals them out once and pivots without a shuffle.
+    """
+
+    def __init__(self, sources, root: str, buckets: int | None = None):
+        self.sources, self.root, self.buckets = sources, root.rstrip("/"), buckets
+        self._stored: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str):
+        if name not in BUCKET_KEYS:
+            return getattr(self.sources, name)
+        if name not in self._stored:
+            self._stored[name] = store_bucketed(getattr(self.sources, name), name, f"{self.root}/{name}_{uuid.uuid4().hex}",
+                                                BUCKET_KEYS[name], self.buckets)
+        return self._stored[name]
+
+    def forget(self) -> None:
+        """Drop what was stored: the next use reads the sources anew."""
+        for table in self._stored.values():
+            for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+                fs, path = file_system(table.sparkSession, folder)
+                fs.delete(path, True)
+        self._stored.clear()

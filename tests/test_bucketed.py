@@ -1,4 +1,5 @@
 """Entity-attribute-value tables in buckets: pivots and joins without an exchange or a sort."""
+import datetime as dt
 import os
 
 import pytest
@@ -6,8 +7,11 @@ from pyspark.sql import functions as F
 
 from martlane.operators.eav import eav_pivot
 from martlane.plans.orders import ITEM_META, item_facts
-from martlane.sources.bucketed import BUCKET_KEYS, store_bucketed
+from martlane.plans.warehouse import Warehouse
+from martlane.sources.bucketed import BUCKET_KEYS, BucketedSources, store_bucketed
+from martlane.sources.landed import LandedStores
 from martlane.suite import shapes
+from tests.test_refresh import land, land_shared
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +51,24 @@ def test_item_facts_meet_their_meta_without_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for name in BUCKET_KEYS:
         assert "Bucketed: true" in plan_of(getattr(s, name).groupBy(*BUCKET_KEYS[name]).agg(F.count("*")))
+
+
+def test_marts_over_bucketed_landed_stores(spark, tmp_path):
+    """The same marts, from fewer shuffles; a refresh sees what was landed meanwhile."""
+    root = f"{tmp_path}/in"
+    land(spark, root, "DE", [1, 2, 3])
+    land(spark, root, "TR", [1], status=False)
+    land_shared(spark, root)
+    marts = ["eur_orders", "master_order_items", "customers_eur"]
+    out, shuffles = {}, {}
+    for name, src in (("plain", LandedStores(spark, root)), ("bucketed", BucketedSources(LandedStores(spark, root), f"{tmp_path}/buckets", 3))):
+        wh = Warehouse(spark, src, f"{tmp_path}/{name}", now=dt.datetime(2024, 5, 1))
+        wh.refresh(marts)
+        out[name] = [sorted(map(str, wh.table(m).collect())) for m in marts]
+        shuffles[name] = sum(plan_of(wh._build(m)).count("Exchange hash") for m in ("item_facts", "store_orders", "store_customers"))
+    assert out["bucketed"] == out["plain"] and out["plain"][0]
+    assert shuffles["bucketed"] < shuffles["plain"]
+    land(spark, root, "DE", [1, 2, 3, 4])
+    wh.refresh(["master_orders"])
+    assert wh.table("master_orders").count() == 5
+    assert len(os.listdir(f"{tmp_path}/buckets")) <= len(BUCKET_KEYS)
