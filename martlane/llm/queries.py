@@ -130,7 +130,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_packing": op13_packing,
 }
 
+#: An edit before a suffix, whose cost is its first twelve signs and whose audit is the rest: so
+#: the least text is the cheapest, and of equally cheap ones the ASCII-least.
+_EDIT = "lpad(CAST(CAST(left({v}, 12) AS BIGINT) + {cost} AS VARCHAR), 12, '0') || '{letter}' || substr({v}, 13)"
+_NEVER = "'9'"
+
+
+def _edits(state: int) -> str:
+    to = 3 if state == 2 else 2
+    more = "CASE WHEN fault = 3 THEN 3 ELSE 0 END"
+    kept = {0: ("letter = 'u'", 2), 1: ("letter = 'u'", 2), 2: ("letter = 'a'", 3), 3: ("letter = 'u'", 2)}[state]
+    ways = [_EDIT.format(v=f"v{state}", cost=4, letter="D"),
+            f"CASE WHEN fault IN (1, 2) THEN {_NEVER} ELSE " + _EDIT.format(v=f"v{to}", cost=f"3 + {more}", letter="R") + " END",
+            f"CASE WHEN fault NOT IN (1, 2) AND {kept[0]} THEN " + _EDIT.format(v=f"v{kept[1]}", cost=more, letter="K") + f" ELSE {_NEVER} END"]
+    if state == 0:
+        ways.append("CASE WHEN fault NOT IN (1, 2) AND letter = 's' THEN " + _EDIT.format(v="v1", cost=more, letter="K") + f" ELSE {_NEVER} END")
+    return f"least({', '.join(ways)}) AS g{state}"
+
+
 SQL: dict[str, str] = {
+    "op11_conversation_repair": f"""
+        WITH RECURSIVE
+        named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+        -- crc32 bit by bit: a byte, then eight shifts
+        drawn AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(name, ''),
+                lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END),
+            CAST(4294967295 AS BIGINT)) % 20 AS k FROM named),
+        damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+            CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+            unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM drawn WHERE k <> 0),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+            sha256(CAST(length(role) AS VARCHAR) || ':' || role || text), copy) AS i FROM damaged),
+        judged AS (SELECT *, left(role, 1) AS letter, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+            CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM placed),
+        totals AS (SELECT conv_id, count(*) AS n,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+            count(*) FILTER (i > 1 AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+        -- the best edits of the rows from i on, from each of the states nothing, s, u, a
+        best AS (
+            SELECT conv_id, n + 1 AS i, '000000000000' AS v0, '000000000006II' AS v1, '000000000003I' AS v2, '000000000000' AS v3 FROM totals
+            UNION ALL
+            SELECT conv_id, i, least(g0, {_EDIT.format(v='w2', cost=3, letter='I')}), least(g1, {_EDIT.format(v='w2', cost=3, letter='I')}), w2, w3
+            FROM (SELECT *, least(g2, {_EDIT.format(v='g3', cost=3, letter='I')}) AS w2, least(g3, {_EDIT.format(v='g2', cost=3, letter='I')}) AS w3
+                FROM (SELECT best.conv_id, j.i, {', '.join(_edits(state) for state in range(4))}
+                    FROM best JOIN judged j ON best.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = best.i - 1))),
+        solved AS (SELECT conv_id, CAST(left(v0, 12) AS BIGINT) AS cost, substr(v0, 13) AS audit FROM best WHERE i = 1),
+        letters AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS p
+            FROM solved WHERE audit <> ''),
+        steps AS (SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w AS e
+            FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+        edited AS (SELECT s.conv_id, s.p, s.edit, s.e, j.role, j.text,
+                max(CASE WHEN s.e = 1 AND s.edit = 'K' AND j.letter = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY s.conv_id) AS shift
+            FROM steps s LEFT JOIN judged j ON s.edit <> 'I' AND s.conv_id IS NOT DISTINCT FROM j.conv_id AND s.i = j.i),
+        lines AS (SELECT conv_id, p, CASE WHEN edit = 'K' THEN role WHEN (e - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS line FROM edited WHERE edit <> 'D'),
+        texts AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY p) AS body FROM lines GROUP BY conv_id),
+        ids AS (SELECT DISTINCT conv_id FROM conversations)
+        SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+            coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+            coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+        FROM ids LEFT JOIN totals t ON ids.conv_id IS NOT DISTINCT FROM t.conv_id
+        LEFT JOIN solved s ON ids.conv_id IS NOT DISTINCT FROM s.conv_id
+        LEFT JOIN texts x ON ids.conv_id IS NOT DISTINCT FROM x.conv_id""",
+
     "op2_exact_dedup": """
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body
                    FROM documents)

@@ -177,6 +177,17 @@ def test_query_keeps_emptied_conversations(spark, tmp_path):
     assert sum(v[-1] == hashlib.sha256(b"").hexdigest() and not v[6] for v in got.values()) >= 3
 
 
+def test_sql_agrees_on_awkward_rows(spark, tmp_path):
+    import duckdb
+    from martlane.llm.queries import SQL
+    rows = conversations(21, 80)
+    frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = {r[0]: r[1:] for r in con.execute(SQL["op11_conversation_repair"]).fetchall()}
+    assert got == {c: v[:8] for c, v in expected(rows).items()}
+
+
 def test_empty_table(spark, tmp_path):
     from martlane.llm.queries import op11_conversation_repair
     frame(spark, []).write.parquet(f"{tmp_path}/conversations.parquet")
