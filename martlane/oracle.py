@@ -732,8 +732,3 @@ SELECT campaign_name, ad_name, adset_name, impressions::INTEGER AS impressions,
 ORACLE["landed_store_orders"] = """
 SELECT m.* REPLACE (CASE WHEN source_store = 'DE' THEN NULL ELSE order_status END AS order_status)
 FROM (""" + ORDER_MART + """) m WHERE source_store IN (""" + MASTER_ORDER_STORES_SQL + ")"
-
-
-from martlane.oracle_loads import LOADS  # noqa: E402 - it builds on this module
-
-ORACLE.update(LOADS)

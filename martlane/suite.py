@@ -8,53 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from martlane.sources.shop_shape import ShopShapes
-
-_CACHE: dict = {}
-_WH: dict = {}
-
-
-def _source_key(spark: SparkSession, sf_dir: str) -> tuple:
-    """A session and what lies in a data directory just now."""
-    from martlane.sources.files import fingerprint
-    return id(spark), sf_dir, fingerprint(spark, sf_dir)
-
-
-def _fresh_root(spark: SparkSession, kind: str) -> str:
-    import uuid
-    from martlane.session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex[:12]}"
-
-
-def shapes(spark: SparkSession, sf_dir: str) -> ShopShapes:
-    """Shop-shaped source tables for ``sf_dir``, stored once for each state of its files."""
-    from martlane.sources.shop_shape import materialize
-    key = _source_key(spark, sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = materialize(ShopShapes(spark, sf_dir), _fresh_root(spark, "shop_tables"))
-    return _CACHE[key]
-
-
-def warehouse(spark: SparkSession, sf_dir: str):
-    """Published marts over the shaped sources of ``sf_dir`` (see plans/warehouse.py)."""
-    from martlane.plans.warehouse import Warehouse
-    key = _source_key(spark, sf_dir)
-    if key not in _WH:
-        _WH[key] = Warehouse(spark, shapes(spark, sf_dir), _fresh_root(spark, "marts"))
-    return _WH[key]
-
-
-NULLABLE_INTS = {"customer_id", "variation_id", "refund_reference", "stock_qty"}
-
-
-def as_double(df: DataFrame, nullable_ints=()) -> DataFrame:
-    """Decimal columns -> double at the output edge; so are integer columns that hold NULLs
-    (``nullable_ints``), which pandas would otherwise render differently per engine."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name)
-                       if isinstance(f.dataType, T.DecimalType) or f.name in nullable_ints
-                       else F.col(f.name) for f in df.schema.fields])
+from martlane.suite_common import (_CACHE, _WH, ADS_SPLIT_A, ADS_SPLIT_B, ADS_TODAY, NULLABLE_INTS, _fresh_root, as_double,  # noqa: F401
+                                   shapes, warehouse)
+from martlane.suite_loads import QUERIES as LOADS
 
 
 def _orders(spark, sf_dir, cogs_mode="zero"):
@@ -176,6 +133,7 @@ def q_landed_store_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders from tables landed per store: the master stores that are there, one of them
     (DE) without the status column."""
     from martlane.plans.orders import build_orders
+    from martlane.sources.bucketed import BucketedSources
     from martlane.sources.landed import STORE_TABLES, LandedStores
     s, root = shapes(spark, sf_dir), _fresh_root(spark, "landed")
     for name in STORE_TABLES:
@@ -185,7 +143,7 @@ def q_landed_store_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .write.partitionBy("source_store").parquet(f"{root}/{name}"))
             table = table.filter("source_store <> 'DE'")
         table.write.mode("append").partitionBy("source_store").parquet(f"{root}/{name}")
-    src = LandedStores(spark, root, store_path="{root}/{table}/source_store={store}")
+    src = BucketedSources(LandedStores(spark, root, one_scan=True), f"{root}/_buckets")
     return as_double(build_orders(src.order_posts, src.order_meta, src.order_items, src.item_meta,
                                   src.store_product_lookup), NULLABLE_INTS)
 
@@ -297,11 +255,6 @@ QUERIES.update({
 
 # -- ads --------------------------------------------------------------------
 
-ADS_SPLIT_A = "2024-01-21"      # batch A of the upsert: events before this day
-ADS_SPLIT_B = "2024-01-16"      # batch B: events from this day on (last 15 days)
-ADS_TODAY = "2024-03-15"        # the run date of the next incremental load
-
-
 def q_ads_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.plans.ads import flatten_ads
     s = shapes(spark, sf_dir)
@@ -481,7 +434,4 @@ def q_ads_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["ads_stream"] = q_ads_stream
 
-
-from martlane.suite_loads import QUERIES as _LOADS  # noqa: E402 - it builds on this module
-
-QUERIES.update(_LOADS)
+QUERIES.update(LOADS)

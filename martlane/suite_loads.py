@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.suite import ADS_SPLIT_A, ADS_SPLIT_B, ADS_TODAY, NULLABLE_INTS, _fresh_root, as_double, shapes, warehouse
+from martlane.suite_common import ADS_SPLIT_A, ADS_SPLIT_B, ADS_TODAY, NULLABLE_INTS, _fresh_root, as_double, shapes, warehouse
 
 #: Event ids that one landed document spans.
 PAGE = 50_000

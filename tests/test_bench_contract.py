@@ -22,3 +22,9 @@ def test_bench_prints_one_json_line():
     assert {"metric", "value", "unit", "queries", "sf"} <= set(rec)
     assert rec["unit"] == "sec" and rec["sf"] == 0.001 and rec["value"] > 0
     assert len(rec["queries"]) >= 10
+
+
+@pytest.mark.parametrize("first", ["__spark_entry__ as E; E.oracle_sql(); E.queries()", "__spark_entry__ as E; E.queries(); E.oracle_sql()",
+                                   "martlane.oracle_loads", "martlane.suite_loads", "martlane.suite", "martlane.oracle"])
+def test_modules_import_in_any_order(first):
+    subprocess.run([sys.executable, "-c", f"import {first}"], cwd=ROOT, check=True, timeout=120)
