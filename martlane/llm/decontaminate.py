@@ -50,6 +50,8 @@ AT_ONCE = 1 << 20
 HITS_AT_ONCE = 1 << 20
 #: Longest pattern of a repetitive stretch, and what stays of such a stretch: more than two windows.
 PERIODS, STRETCH = 4, 256
+#: Code points that are looked at, every half ``STRETCH``, to see whether there is such a stretch.
+PROBED = 40
 #: Regions that are aligned at once.
 ALIGNED_AT_ONCE = 2048
 #: Regions that wait to be aligned.
@@ -144,34 +146,38 @@ def index(items: list[str]) -> Windows:
 
 
 def hits(p: np.ndarray, own: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(position, window, position in the window) of each q-gram that a window shares, some at a
-    time."""
+    """(positions, number of hits at each, entry of each hit) of the q-grams that windows share,
+    about ``HITS_AT_ONCE`` hits at a time."""
     for lo in range(0, max(0, len(p) - Q + 1), AT_ONCE):
         g = grams(p[lo:lo + AT_ONCE + Q - 1])
         pos = np.flatnonzero(own.present[g >> np.uint64(64 - TABLE_BITS)])
         code = np.searchsorted(own.codes, g[pos])
         same = own.codes[np.minimum(code, len(own.codes) - 1)] == g[pos]
         pos, code = pos[same], code[same]
-        ends = np.cumsum(own.first[code + 1] - own.first[code])
-        # the pairs of all positions, numbered one after the other, in pieces
-        for start in range(0, int(ends[-1]) if len(ends) else 0, HITS_AT_ONCE):
-            pair = np.arange(start, min(start + HITS_AT_ONCE, int(ends[-1])))
-            at = np.searchsorted(ends, pair, side="right")
-            entry = own.first[code[at] + 1] - (ends[at] - pair)
-            yield pos[at] + lo, own.entry_window[entry], own.entry_at[entry]
-
-
-def without_middles(p: np.ndarray) -> np.ndarray:
-    """Which code points are searched: all but the middles of repetitive stretches."""
-    kept = np.ones(len(p), dtype=bool)
+        first, n = own.first[code], own.first[code + 1] - own.first[code]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        cuts = np.searchsorted(ends, np.arange(HITS_AT_ONCE, total, HITS_AT_ONCE))
+        for a, z in zip([0, *cuts], [*cuts, len(pos)]):
+            if a < z:
+                own_n = n[a:z]
+                yield pos[a:z] + lo, own_n, np.repeat(first[a:z] - (np.cumsum(own_n) - own_n), own_n) + np.arange(own_n.sum())
+
+
+def without_middles(p: np.ndarray) -> np.ndarray | None:
+    """Which code points are searched: all (None) but the middles of repetitive stretches."""
+    kept = None
+    probe = np.arange(0, len(p) - PROBED - PERIODS, STRETCH // 2)
     for period in range(1, PERIODS + 1):
-        if len(p) <= STRETCH:
-            break
+        # such a stretch covers one of the probed places, with what follows it
+        if not len(probe) or not np.logical_and.reduce([p[probe + k] == p[probe + k + period] for k in range(PROBED)]).any():
+            continue
         differs = (p[period:] != p[:-period]) | (p[period:] == 0) | (p[:-period] == 0)
         ends = np.r_[-1, np.flatnonzero(differs), len(differs)]
         for k in np.flatnonzero(np.diff(ends) > STRETCH + period):
             first, last = ends[k] + 1, ends[k + 1] + period  # the stretch is p[first:last]
             drop = (last - first - STRETCH) // period * period
+            kept = np.ones(len(p), dtype=bool) if kept is None else kept
             kept[first + STRETCH // 2:first + STRETCH // 2 + drop] = False
     return kept
 
@@ -186,23 +192,28 @@ def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, in
     starts = np.cumsum([0, *(len(b) + 1 for b in bodies)])
     kept = without_middles(p)
     place = None
-    if not kept.all():  # of each searched code point, its place in the whole
+    if kept is not None:  # of each searched code point, its place in the whole
         place = np.flatnonzero(kept)
         before, p, starts = starts, p[kept], np.searchsorted(place, starts)
         bodies = [p[a:z - 1].tobytes().decode("utf-32-le") for a, z in zip(starts, [*starts[1:-1], len(p) + 1])]
-    counted: list[tuple[np.ndarray, np.ndarray]] = []
     # band numbers are made positive: no diagonal lies further before a document than a window is long
     lowest, span = 2 * max(map(len, own.texts)) + 2, int(max(map(len, bodies))) + 4 * max(map(len, own.texts)) + 8
-    for position, window, at in hits(p, own):
+    counted: list[tuple[np.ndarray, np.ndarray]] = []
+    for position, n, entry in hits(p, own):
         doc = np.searchsorted(starts, position, side="right") - 1
-        band = np.floor_divide(position - starts[doc] - at, np.maximum(own.reach[window], 1))
-        bands = np.r_[band, band - 1]
-        counted.append(np.unique((np.tile(doc, 2) * len(own.texts) + np.tile(window, 2)) * span + bands + lowest, return_counts=True))
+        window = own.entry_window[entry]
+        band = np.repeat(position - starts[doc], n) - own.entry_at[entry]
+        band //= own.reach[window]
+        band += lowest + (np.repeat(doc * len(own.texts), n) + window) * span
+        counted.append(np.unique(band, return_counts=True))
         if len(counted) > 16:
             counted = [_added(counted)]
     if not counted:
         return out
     keys, shared = _added(counted)
+    # a band and the next one together, which overlap with the bands before and after them; a region
+    # whose diagonals lie in two bands is found with the lower one
+    shared[:-1] += np.where(keys[1:] == keys[:-1] + 1, shared[1:], 0)
     bound = np.array([max(1, len(t) + 1 - Q * (budget(len(t)) + 1)) for t in own.texts])
     keys = keys[shared >= bound[keys // span % len(own.texts)]]
     best: dict[tuple[int, int], tuple[int, int]] = {}
@@ -242,9 +253,14 @@ def leaks(texts: list[str | None], own: Windows) -> list[list[tuple[int, int, in
 
 
 def _added(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """The sums of counts by key."""
-    keys, which = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
-    return keys, np.bincount(which, weights=np.concatenate([n for _, n in counted])).astype(np.int64)
+    """The sums of counts by key, in key order."""
+    if len(counted) == 1:
+        return counted[0]
+    keys, n = (np.concatenate([c[i] for c in counted]) for i in (0, 1))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(n, first)
 
 
 @passes_columns
