@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,10 @@ PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: A letter, a number and another sign, of which no contraction is made.
 STAND_INS = "é1!"
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pre-tokens whose ids a task remembers, and the length up to which it does.
+#: The same for text of settled ASCII characters, which ``re`` splits twice as fast.
+ASCII_PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+#: Pre-tokens whose ids a task remembers (those of the last ``MEMO`` new ones, and as many before
+#: them), and the length up to which it does.
 MEMO, MEMO_LENGTH = 200_000, 64
 
 
@@ -67,7 +71,9 @@ class Codec:
         self.pattern = regex.compile(PRE_TOKEN)
         self.spec, self.splitter = spec, None
         self.stand_ins: dict[int, str] = {}
+        self.ascii_pattern = re.compile(ASCII_PRE_TOKEN)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def stand_in(self, c: str) -> str:
         """A settled character of the class that the library gives a character."""
@@ -82,7 +88,7 @@ class Codec:
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text."""
         if all_settled(text):
-            return self.pattern.findall(text)
+            return (self.ascii_pattern if text.isascii() else self.pattern).findall(text)
         for c in set(unsettled().findall(text)):
             if ord(c) not in self.stand_ins:
                 self.stand_ins[ord(c)] = self.stand_in(c)
@@ -111,22 +117,24 @@ class Codec:
         return [i for i in ids if i >= 0]
 
     def packed(self, word: str) -> bytes:
-        ids = np.array(self.merge(word.encode()), dtype="<u4").tobytes()
-        if len(word) <= MEMO_LENGTH:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[word] = ids
+        """Ids of a pre-token that is not in the memo."""
+        if len(word) > MEMO_LENGTH:
+            return np.array(self.merge(word.encode()), dtype="<u4").tobytes()
+        ids = self.older.get(word) or np.array(self.merge(word.encode()), dtype="<u4").tobytes()
+        if len(self.memo) >= MEMO:
+            self.memo, self.older = {}, self.memo
+        self.memo[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         parts = self.split.split(text) if self.split else [text]
-        out, memo, packed = [], self.memo, self.packed
+        out, packed = [], self.packed
         for part in parts:
             if part in self.special:
                 out.append(np.array([self.special[part]], dtype="<u4").tobytes())
             else:
-                out.extend([memo.get(w) or packed(w) for w in self.words(part)])
+                out.extend([self.memo.get(w) or packed(w) for w in self.words(part)])
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
