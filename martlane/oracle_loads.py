@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martlane.oracle import (ADS_UPSERT, BASE, MASTER_ORDER_STORES_SQL, ORACLE, ORDER_MART, ORDER_NUMBERED, PARTS,
+from martlane.oracle import (ADS_UPSERT, BASE, MASTER_ORDER_STORES_SQL, ORDER_MART, ORDER_NUMBERED, PARTS,
                              STORE_UNION_CUSTOMERS, _ads_records)
 from martlane.suite_loads import ABSENT, ADS_ASKED_FROM, CUT_CHUNKS, FIRST_WINS_DELAY, PAGE
 from martlane.suite_common import ADS_TODAY

@@ -34,6 +34,9 @@ ADS_TABLE = T.StructType([
 def read_ads_json(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """API documents -> one row per record; missing ``data`` and null entries tolerated.
 
+    A document that cannot be parsed gives no row here; loads use ``ads_documents`` instead, which
+    says what became of each.
+
     ``position`` keeps the record order (file, then index) for first-row-wins dedupe.
     """
     df = (spark.read.schema(S.ADS_JSON_SCHEMA).option("multiLine", True).json(paths)
