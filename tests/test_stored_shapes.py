@@ -23,6 +23,7 @@ def driver_tables(spark, folder):
                        (2, 1, 8, 5, None, None, 0.0, 0.0, "R", "F", day), (4, 1, 8, 5, 1.0, 1.0, 0.0, 0.0, "N", "F", day)],
           "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
           "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    write("supplier", [(5, "Supplier#5", 0, 1.0)], "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
     part(spark, folder)
 
 
@@ -79,3 +80,43 @@ def test_buckets_grow_with_the_input(spark, tmp_path):
     product_meta = shaped.product_meta
     assert len({f for f in product_meta.inputFiles()}) > few or product_meta.rdd.getNumPartitions() == shaped.buckets
     assert product_meta.groupBy("post_id").agg(F.count("*").alias("n")).count() == 6
+
+
+def test_customers_and_landing_deal_no_items(spark, tmp_path):
+    """Items that are only counted by their order, or only landed, are not dealt to buckets of their key."""
+    driver_tables(spark, tmp_path)
+    got = QUERIES["customers_eur"](spark, str(tmp_path))
+    assert got.select("customer_id", "orders_count", "units_total").orderBy("customer_id").collect()[0][1:] == (1, 2)
+    s = shapes(spark, str(tmp_path))
+    assert stored_names(s) == {"_orders", "_refunds", "_lines", "users", "user_meta", "order_posts", "order_meta"}
+
+
+def test_landed_customers_store_no_attribute_table(spark, tmp_path):
+    driver_tables(spark, tmp_path)
+    got = QUERIES["landed_store_customers"](spark, str(tmp_path))
+    assert {r.source_store: (r.orders_count, r.units_total) for r in got.collect()} == {"DE": (1, 2), "FR": (1, 1)}
+    assert stored_names(shapes(spark, str(tmp_path))) == {"_orders", "_refunds", "_lines"}
+
+
+def test_items_and_their_meta_are_dealt_once(spark, tmp_path):
+    driver_tables(spark, tmp_path)
+    got = QUERIES["order_items_sku"](spark, str(tmp_path))
+    assert got.count() == 4
+    s = shapes(spark, str(tmp_path))
+    assert stored_names(s) == {"_orders", "_items", "order_items", "item_meta", "product_lookup", "_refunds"}
+    assert not os.path.exists(f"{s.root}/order_items") and not os.path.exists(f"{s.root}/_lines")
+    plan = s._items.repartition(s.buckets, "order_item_id", "source_store").groupBy("order_item_id", "source_store").count()
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_read_plain_is_the_stored_one(spark, tmp_path):
+    """Whether a plan reads a table in buckets or as it is made, it has the same rows; one that is
+    stored is not made again."""
+    driver_tables(spark, tmp_path)
+    s = StoredShapes(spark, str(tmp_path), f"{tmp_path}/out")
+    for name in ("order_posts", "order_meta", "order_items", "item_meta", "users", "user_meta"):
+        plain = s.plain(name)
+        stored = getattr(s, name)
+        want = stored.select(*plain.columns)
+        assert plain.exceptAll(want).count() == 0 and want.exceptAll(plain).count() == 0, name
+        assert s.plain(name) is stored
