@@ -388,3 +388,21 @@ def test_fixed_values(spark):
     assert dict(S.SEED_RATES) == {"EUR": "1.000000", "GBP": "1.165000", "DKK": "0.134000", "SEK": "0.087000",
                                   "CZK": "0.040000", "HUF": "0.002500", "RON": "0.201000", "TRY": "0.028000"}
     assert len(S.MASTER_ORDER_STORES) == 19 and len(S.MASTER_CUSTOMER_STORES) == 18
+
+
+def test_collated_returns_compare_spellings_once(spark):
+    """Spellings that a collation holds equal are one SKU; returns are grouped by the spelling shown."""
+    from martlane.functions.collation import no_case_no_accent
+    from martlane.plans.returns import returns_by_product
+    d = [dt.datetime(2024, 1, k) for k in range(1, 5)]
+    returns = spark.createDataFrame(
+        [(1, d[0], "p1, P1, \u1e541"), (2, d[1], "P1,Q2"), (2, d[2], "p1"), (3, d[3], "nULL,,x-Null"), (None, d[3], "q2")],
+        "return_id bigint, order_date timestamp_ntz, return_requested_items_sku string")
+    products = spark.createDataFrame([("P1", "one", "m", None), ("p1", "uno", "m", None), ("Q3", "three", "m", None)],
+                                     "sku string, title string, parent_sku string, categories string")
+    out = returns_by_product(returns, products, collate=no_case_no_accent)
+    got = sorted(map(tuple, out.select("sku", "product_name", "total_returns", "first_return_date", "last_return_date").collect()), key=str)
+    assert got == [("P1", "one", 2, d[0], d[2]), ("P1", "uno", 2, d[0], d[2]), ("Q2", None, 1, d[1], d[3])]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    dates = [line for line in plan.splitlines() if "Aggregate" in line and "min(order_date" in line]
+    assert dates and all("Aggregate [_least" in line for line in dates)
