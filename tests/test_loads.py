@@ -9,7 +9,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from martlane.functions.collation import folded, like, no_case, no_case_no_accent, plain
+from martlane.functions.collation import distinct_texts, folded, like, no_case, no_case_no_accent, plain, plain_spelling
 from martlane.operators.load import FAIL, KEEP, QUARANTINE, SKIP, LoadError, LoadRule, load
 from martlane.plans import ads_documents as D
 from martlane.plans.ads import ADS_KEYS, ads_mart, ads_window_chunks, flatten_ads, high_water_mark, load_ads, upsert_ads
@@ -366,6 +366,40 @@ def test_stores_from_text_extracts(spark, tmp_path):
     assert out["text"] == out["parquet"] and out["text"][0]
 
 
+def _odd_texts():
+    """Texts of letters that collations treat in ways of their own, alone and beside each other."""
+    parts = ["", "a", "A", "é", "É", "e", "e\u0301", "P", "Ｐ", "ṕ", "ς", "σ", "Σ", "İ", "i", "I", "ı", "й", "и", "и\u0306", "\u0306",
+             "a\u0363", "ß", "ss", "ẞ", "ﬁ", "fi", "²", "2", "\n", "\x00", " ", "l·", "ĺ·", "ŀ", "K", "k", "-"]
+    return [x + y for x in parts for y in parts] + [x + y + "a" for x in parts for y in parts]
+
+
+def test_distinct_texts_are_those_of_the_collation(spark):
+    texts = [(store, t) for store in ("A", None) for t in _odd_texts() if store or len(t) < 3] + [("A", None), ("A", None), ("B", None)]
+    rows = spark.createDataFrame(texts, "s string, t string").repartition(3)
+    for collate in (no_case, no_case_no_accent):
+        want = {r["s"]: r["n"] for r in rows.select("s", collate("t").alias("t")).distinct().groupBy("s").agg(F.count("*").alias("n")).collect()}
+        found = distinct_texts(rows, ["s"], "t", collate)
+        assert {r["s"]: r["n"] for r in found.groupBy("s").agg(F.count("*").alias("n")).collect()} == want
+        # the column has the collation: a DISTINCT of it finds nothing more
+        assert found.distinct().count() == found.count() == sum(want.values())
+
+
+def test_printable_texts_have_one_spelling(spark):
+    """No two printable texts are equal but by their case, so hashing their lower case is enough."""
+    pairs = spark.range(95 * 95).select(F.concat(F.char(F.col("id") % 95 + 32), F.char(F.floor(F.col("id") / 95) + 32)).alias("t"))
+    low = pairs.select(F.lower("t").alias("t")).distinct()
+    assert low.count() == pairs.select(no_case_no_accent("t").alias("t")).distinct().count() == 69 * 69
+    assert low.filter(plain_spelling("t").eqNullSafe(F.col("t"))).count() == 69 * 69
+
+
+def test_plain_texts_are_not_sorted_by_a_collation(spark):
+    rows = spark.createDataFrame([("A", "P1"), ("A", "p1"), ("A", "Ṕ1"), ("B", "P1")], "s string, t string")
+    for collate, n in ((no_case, 3), (no_case_no_accent, 2)):
+        found = distinct_texts(rows, ["s"], "t", collate)
+        assert found.count() == n
+        assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_collation(spark):
     a = spark.createDataFrame([("ABC-é", 1), ("abc-E", 2), ("Abc-ë", 3), ("x", 4), (None, 5)], "sku string, i int")
     b = spark.createDataFrame([("aBc-E",), ("X",), (None,)], "other string")
