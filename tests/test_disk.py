@@ -113,3 +113,53 @@ def test_orders_get_only_what_is_folded(spark):
     assert (float(r.fee_first), float(r.shipping_first)) == (1.5, 4.95) and "P7" not in r.ordered_items_skus and "P8" in r.ordered_items_skus
     dealt = next(subtrees(roll._jdf.queryExecution().executedPlan().toString(), r"Exchange hashpartitioning\(order_id#"))
     assert "is_line#" in dealt[0] + dealt[1] and not re.search(r"_p#|product_id#\d+L?,", dealt[0])
+
+
+def test_a_load_keeps_one_copy_of_its_rows(spark):
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1), (None, "d", 1)], "id long, label string, extract int")
+    there = folders(spark, "stages")
+    loaded = load(rows, LoadRule(("id",), ("extract",), QUARANTINE, QUARANTINE))
+    left = folders(spark, "stages") - there
+    assert len(left) == 1 and all(".zstd." in f for top in left for f in files(top))
+    marked = spark.read.parquet(*left)
+    assert sorted(r.label for r in marked.filter("first_row is not null").collect()) == ["b"]
+    assert sorted(r.label for r in loaded.kept.collect()) == ["a", "c"]
+    assert sorted((r.label, r.reject_reason) for r in loaded.rejects.collect()) == [("b", "duplicate key"), ("d", "NULL in key")]
+
+
+def test_loads_deal_no_items_to_buckets(spark, tmp_path):
+    driver_tables(spark, tmp_path)
+    assert QUERIES["load_first_wins"](spark, str(tmp_path)).count() > 0
+    assert stored_names(shapes(spark, str(tmp_path))) == {"_orders", "_refunds", "_lines"}
+
+
+@pytest.mark.parametrize("name", ["landed_store_orders", "extracted_store_orders"])
+def test_what_is_landed_is_not_kept_twice(spark, tmp_path, name):
+    """Landed tables are packed; the parts that they were made of go, but for those that were there before."""
+    driver_tables(spark, tmp_path)
+    s = shapes(spark, str(tmp_path))
+    kept, there = s._orders, folders(spark, "landed")
+    got = QUERIES[name](spark, str(tmp_path))
+    assert stored_names(s) == {"_orders"} and os.listdir(s.root) == ["_orders"] and kept.count() == 3
+    assert {(r.source_store, r.order_id % 10 ** 12) for r in got.collect()} >= {("DE", 1)}
+    top, = folders(spark, "landed") - there
+    landed = [f for f in files(top) if "/_buckets/" not in f]
+    assert landed and all(f.endswith((".zstd.parquet", ".csv.gz")) for f in landed)
+    assert s._lines.count() == 4 and all(".zstd." in f for f in s._lines.inputFiles())
+
+
+def test_landed_attributes_lie_packed_in_buckets(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", "DE", [1, 2])
+    src = BucketedSources(LandedStores(spark, f"{tmp_path}/in", ["DE"]), f"{tmp_path}/buckets", 2)
+    for name in ("order_meta", "item_meta", "order_items"):
+        assert all(".zstd." in f for f in getattr(src, name).inputFiles()), name
+
+
+def test_exports_and_order_marts_are_packed(spark, tmp_path):
+    driver_tables(spark, tmp_path)
+    exports, marts = folders(spark, "exports"), folders(spark, "marts")
+    assert QUERIES["export_round_trip"](spark, str(tmp_path)).groupBy("format").count().count() == 3
+    top, = folders(spark, "exports") - exports
+    assert files(top) and all(f.endswith(".gz") for f in files(top))
+    top, = folders(spark, "marts") - marts
+    assert {f.split("/")[-1].split(".")[-2] for f in files(f"{top}/store_orders")} == {"zstd"}
